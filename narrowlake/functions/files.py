@@ -19,6 +19,11 @@ def ingest_ts(path: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(UNKNOWN_INGEST))
 
 
+def file_path(uri: Column) -> Column:
+    """A path as listings name it, from the encoded form row metadata has."""
+    return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
+
+
 def sample_md5(head: Column) -> Column:
     return F.md5(head)
 

@@ -1,8 +1,9 @@
 """Joins between wide relations, and to small dimensions.
 
-No side is forced to be broadcast: Spark broadcasts a side whose measured size
-is under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise splits hot keys
-of a sort-merge join at run time.
+A dimension is broadcast only after its rows were counted against a limit.  All
+other joins are left to Spark, which broadcasts a side whose measured size is
+under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise splits hot keys of a
+sort-merge join at run time.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from narrowlake.model import COLLECTIONS, Roles
+from narrowlake.operators.pivots import max_columns
 
 
 def cross_series_join(
@@ -58,11 +60,25 @@ def items_schedule_join(
     return items.join(schedule, list(on), "inner")
 
 
+def broadcast_if_small(dimension: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The dimension, marked for broadcast if it has no more than ``max_rows`` rows.
+
+    The default is the limit on columns, which code lists must keep anyway.
+    Counting stops one row past the limit.
+    """
+    limit = max_columns(dimension.sparkSession) if max_rows is None else max_rows
+    small = dimension.limit(limit + 1).count() <= limit
+    return F.broadcast(dimension) if small else dimension
+
+
 def item_desc_lookup(
-    narrow: DataFrame, dictionary: DataFrame, roles: Roles = COLLECTIONS
+    narrow: DataFrame,
+    dictionary: DataFrame,
+    roles: Roles = COLLECTIONS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Descriptions kept once per item, joined back to the rows."""
-    names = dictionary.select(roles.item, roles.desc)
+    names = broadcast_if_small(dictionary.select(roles.item, roles.desc), max_broadcast_rows)
     return narrow.drop(roles.desc).join(names, roles.item, "left")
 
 
@@ -77,13 +93,13 @@ def number_codes(codes: DataFrame, order: str, name: str = "code_no") -> DataFra
 
 def assign_codes(rows: DataFrame, codes: DataFrame, *, row_id: Column, order: str) -> DataFrame:
     """Row i takes code i modulo the number of codes, as an equi-join."""
+    n = codes.count()
+    if not 0 < n <= max_columns(codes.sparkSession):
+        raise ValueError(f"a list of {n} codes can not be numbered")
     numbered = number_codes(codes, order)
-    n = numbered.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if n == 0:
-        raise ValueError("the code list is empty")
     return (
         rows.withColumn("code_no", F.pmod(row_id, F.lit(n)).cast("int"))
-        .join(numbered, "code_no", "inner")
+        .join(F.broadcast(numbered), "code_no", "inner")
         .drop("code_no")
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from narrowlake.model import COLLECTIONS, Roles
+from narrowlake.operators.pivots import grouped
 
 
 def latest_submission(
@@ -23,7 +24,7 @@ def latest_submission(
     keys = [*roles.filing_keys, roles.item]
     order = [roles.submission, roles.ingest, *(tie_break or (roles.value,))]
     rest = [c for c in narrow.columns if c not in {*keys, *order}]
-    newest = narrow.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
+    newest = grouped(narrow, *keys).agg(F.max(F.struct(*order, *rest)).alias("_row"))
     return newest.select(*keys, "_row.*").select(*narrow.columns)
 
 

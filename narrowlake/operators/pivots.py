@@ -15,14 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 
 from narrowlake.functions.cells import encode_cell
 from narrowlake.model import COLLECTIONS, KV, Roles
 
 # Widest output the case form is picked for, and columns per block of the block form.
-CASE_MAX_COLUMNS = 100
+CASE_MAX_COLUMNS = 40
 BLOCK = 128
 
 
@@ -129,12 +129,21 @@ def pivot(
     raise ValueError(f"unknown form {form!r}")
 
 
+def grouped(rows: DataFrame, *keys: str) -> GroupedData:
+    """Rows grouped by ``keys``, for an aggregate over strings.
+
+    Spark sorts rows for such aggregates.  Led by a hash of all keys, most
+    comparisons are of two numbers instead of several strings.
+    """
+    return rows.groupBy(F.xxhash64(*keys).alias("_sort"), *keys)
+
+
 def _case_form(rows, codes, keys, extra_max) -> DataFrame:
     columns = [F.max(F.when(F.col("_item") == F.lit(c), F.col("_cell"))).alias(c) for c in codes]
     extras = [F.max(c).alias(c) for c in extra_max]
     if not extras and not columns:
         return rows.select(*keys).distinct()
-    return rows.groupBy(*keys).agg(*extras, *columns)
+    return grouped(rows, *keys).agg(*extras, *columns).drop("_sort")
 
 
 def _block_form(rows, codes, keys, extra_max) -> DataFrame:
@@ -148,7 +157,7 @@ def _block_form(rows, codes, keys, extra_max) -> DataFrame:
     )
     # NULL and unlisted codes share the NULL slot, which only keeps the filing.
     slotted = rows.join(F.broadcast(slots), "_item", "left")
-    cells = slotted.groupBy(*keys, "_slot").agg(
+    cells = grouped(slotted, *keys, "_slot").agg(
         F.max("_cell").alias("_cell"), *[F.max(c).alias(c) for c in extra_max]
     )
     # One small map per block of columns: a column looks at its own block only, so

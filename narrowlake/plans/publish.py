@@ -170,14 +170,6 @@ def _publish(
     source = spark.table(table)
     chosen = source if prefixes is None else source.where(series_is_valid(roles.series, prefixes))
     found = discover_items(chosen, roles)
-    skipped = []
-    if prefixes is not None:
-        rest = source.select(roles.series).where(~series_is_valid(roles.series, prefixes)).distinct()
-        # One line of the report per unpublished series; NULL is none.
-        skipped = [
-            (None, r[0], None, None, "skipped", "series is not published")
-            for r in rest.where(F.col(roles.series).isNotNull()).orderBy(roles.series).toLocalIterator()
-        ]
     names = names_of(list(found), name_fn)
 
     def make(series: str) -> tuple[str, int]:
@@ -201,7 +193,26 @@ def _publish(
                 found,
             )
         )
-    return spark.createDataFrame([*status, *skipped], STATUS_SCHEMA)
+    report = spark.createDataFrame(status, STATUS_SCHEMA)
+    if prefixes is None:
+        return report
+    # Any number of other series may be in the table, so they stay a query.
+    none = F.lit(None).cast("string")
+    skipped = (
+        source.where(~series_is_valid(roles.series, prefixes))
+        .where(F.col(roles.series).isNotNull())
+        .select(F.col(roles.series).alias("series"))
+        .distinct()
+        .select(
+            none.alias("name"),
+            "series",
+            none.alias("kind"),
+            F.lit(None).cast("int").alias("n_columns"),
+            F.lit("skipped").alias("status"),
+            F.lit("series is not published").alias("error"),
+        )
+    )
+    return report.unionByName(skipped)
 
 
 def publish_wide(

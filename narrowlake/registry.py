@@ -109,8 +109,8 @@ def wide_api(spark, folder):
 @query
 def wide_by_group(spark, folder):
     """Groups of codes pivoted apart, put side by side again by filing."""
-    rows = trade.coded_collections(spark, folder, 80)
-    groups = pivots.pivot_by_group(rows, SERIES, prefix_length=5)
+    rows = trade.coded_collections(spark, folder, 160)
+    groups = pivots.pivot_by_group(rows, SERIES, prefix_length=4)
     return reduce(lambda a, b: a.join(b, KEYS, "full"), groups.values())
 
 
@@ -303,7 +303,12 @@ def items_schedule_join(spark, folder):
 @query
 def item_desc_lookup(spark, folder):
     rows = trade.collections(spark, folder)
-    names = rows.groupBy("item_mdrm").agg(F.max("item_desc").alias("item_desc"))
+    lines = trade.read_table(spark, folder, "lineitem").select("l_linenumber").distinct()
+    number = F.col("l_linenumber").cast("string")
+    names = lines.select(
+        F.concat(F.lit("ITEM"), number).alias("item_mdrm"),
+        F.concat(F.lit("Line number "), number).alias("item_desc"),
+    )
     described = joins.item_desc_lookup(rows, names)
     return described.select(*KEYS, "item_mdrm", "item_desc", "item_value")
 

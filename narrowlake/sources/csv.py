@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrowlake.functions.files import ingest_ts
+from narrowlake.functions.files import file_path, ingest_ts
 from narrowlake.model import COLLECTIONS, Roles
 from narrowlake.sources.files import CSV_GLOB
 
@@ -60,7 +60,7 @@ def read_csv_plain(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def _with_source(rows: DataFrame) -> DataFrame:
-    return rows.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
+    return rows.select("*", file_path(F.col("_metadata.file_path")).alias(SOURCE_FILE))
 
 
 def stamp_ingest(

@@ -37,12 +37,7 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", CSV_GLOB)
         .load(path)
-        .select(
-            F.col("_metadata.file_path").alias("path"),
-            F.col("path").alias("raw_path"),
-            "length",
-            "modificationTime",
-        )
+        .select("path", "length", "modificationTime")
         .where(F.col("length") > 0)
     )
 
@@ -53,21 +48,19 @@ def _read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     opened: dict[tuple[str, str], fs.FileSystem] = {}
     for batch in batches:
         heads = []
-        for raw in batch.column("raw_path").to_pylist():
-            url = urlsplit(raw.replace("%", "%25").replace("#", "%23").replace("?", "%3F"))
-            scheme, place = RANGED_SCHEMES[url.scheme], (url.scheme, url.netloc)
+        for path in batch.column("path").to_pylist():
+            scheme, _, rest = path.rpartition(":/")
+            scheme, rest = RANGED_SCHEMES[scheme], "/" + rest.lstrip("/")
             if scheme == "file":
-                system, name = opened.setdefault(place, fs.LocalFileSystem()), raw
-                name = raw.removeprefix("file:")
-                name = "/" + name.lstrip("/")
+                place, name = "", rest
             else:
-                if place not in opened:
-                    opened[place] = fs.FileSystem.from_uri(f"{scheme}://{url.netloc}/")[0]
-                system = opened[place]
-                name = raw.split("://", 1)[1]
-                if scheme == "hdfs":
-                    name = name.removeprefix(url.netloc)
-            with system.open_input_file(name) as handle:
+                place, _, name = rest[1:].partition("/")
+                name = f"/{name}" if scheme == "hdfs" else f"{place}/{name}"
+            if (scheme, place) not in opened:
+                opened[scheme, place] = (
+                    fs.FileSystem.from_uri(f"{scheme}://{place}/")[0] if place else fs.LocalFileSystem()
+                )
+            with opened[scheme, place].open_input_file(name) as handle:
                 heads.append(handle.read(SAMPLE_BYTES))
         columns = [batch.column(n) for n in ("path", "length", "modificationTime")]
         yield pa.RecordBatch.from_arrays(
@@ -97,7 +90,7 @@ def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame
         .load(path)
         .where(F.col("length") > 0)
         .select(
-            F.col("_metadata.file_path").alias("path"),
+            "path",
             "length",
             "modificationTime",
             F.substring("content", 1, SAMPLE_BYTES).alias("head"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from narrowlake.functions.files import ingest_ts
+from narrowlake.functions.files import file_path, ingest_ts
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
 from narrowlake.operators.filters import valid_series
 from narrowlake.plans.ingest import LOAD_ID, narrow_schema, read_loaded, write_load
@@ -39,7 +39,7 @@ def read_drop_stream(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.csv(path).select("*", ingest_ts(F.col("_metadata.file_path")).alias(roles.ingest))
+    rows = reader.csv(path).select("*", ingest_ts(file_path(F.col("_metadata.file_path"))).alias(roles.ingest))
     return valid_series(rows, roles, prefixes)
 
 

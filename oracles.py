@@ -150,7 +150,7 @@ ORACLES: dict[str, str] = {
         extra='MAX(context_level1_mdrm) AS context_level1_mdrm, MAX(context_level1_desc) AS context_level1_desc, MAX(context_level1_value) AS context_level1_value, ')}""",
     "wide_composite": f"""WITH {NARROW}, coded AS (SELECT *, {CODE_OF_ITEM} AS code FROM narrow)
         {_pivot(COMPOSITE, 'item_value', source='coded', where="seriesid = 'FR2004A'", item='code')}""",
-    "wide_by_group": _coded(80, KEYS, f"seriesid = '{SERIES}'"),
+    "wide_by_group": _coded(160, KEYS, f"seriesid = '{SERIES}'"),
     "pivot_custom": f"""WITH {CELLS} SELECT seriesid, aod, MAX(CASE WHEN item_mdrm = 'ITEM1' THEN cell END) AS "ITEM1",
         MAX(CASE WHEN item_mdrm = 'ITEM3' THEN cell END) AS "ITEM3", TRUE AS has_created_at
         FROM cells WHERE item_value IS NOT NULL GROUP BY seriesid, aod""",
@@ -208,7 +208,8 @@ ORACLES: dict[str, str] = {
         FROM a LEFT JOIN b ON a.entity3 = b.entity3""",
     "items_schedule_join": f"""WITH {ITEM_ROWS} SELECT i.filing_id, schedule_id, item_mdrm, item_value
         FROM items i JOIN schedule s ON i.filing_id = s.filing_id""",
-    "item_desc_lookup": f"""WITH {NARROW}, names AS (SELECT item_mdrm, MAX(item_desc) AS item_desc FROM narrow GROUP BY 1)
+    "item_desc_lookup": f"""WITH {NARROW}, names AS (SELECT DISTINCT 'ITEM' || CAST(l_linenumber AS VARCHAR) AS item_mdrm,
+        'Line number ' || CAST(l_linenumber AS VARCHAR) AS item_desc FROM lineitem)
         SELECT {KEYS}, n.item_mdrm, d.item_desc, item_value FROM narrow n LEFT JOIN names d ON n.item_mdrm = d.item_mdrm""",
     "code_assignment": """WITH codes AS (SELECT n_name AS code, ROW_NUMBER() OVER (ORDER BY n_name) - 1 AS code_no FROM nation)
         SELECT o_orderkey, code FROM orders JOIN codes ON o_orderkey % (SELECT COUNT(*) FROM nation) = code_no""",
