@@ -128,6 +128,36 @@ def _attempt(
         return (name, series, kind, None, "failed", str(error).splitlines()[0])
 
 
+def publish_latest(
+    spark: SparkSession, table: str, view: str, roles: Roles = COLLECTIONS
+) -> None:
+    """The view of the current state: latest submission of every (filing, item)."""
+    columns = spark.table(table).columns
+    keys = [*roles.filing_keys, roles.item]
+    order = [roles.submission, roles.ingest, roles.value]
+    row = [*order, *(c for c in columns if c not in {*keys, *order})]
+    grouped_by = ", ".join(quoted(k) for k in keys)
+    fields = ", ".join(quoted(c) for c in row)
+    out = ", ".join(quoted(c) if c in keys else f"_row.{quoted(c)}" for c in columns)
+    create_view(
+        spark,
+        view,
+        f"SELECT {out} FROM (SELECT {grouped_by}, max(struct({fields})) AS _row "
+        f"FROM {table_name(table)} GROUP BY {grouped_by})",
+    )
+
+
+def publish_as_of(
+    spark: SparkSession, table: str, view: str, ingest: str, roles: Roles = COLLECTIONS
+) -> None:
+    """The view of the table as it stood after an ingest."""
+    create_view(
+        spark,
+        view,
+        f"SELECT * FROM {table_name(table)} WHERE {quoted(roles.ingest)} <= {text_literal(ingest)}",
+    )
+
+
 def pivot_view_sql(
     table: str, series: str, codes: Sequence[str], cell_sql: str, roles: Roles = COLLECTIONS
 ) -> str:

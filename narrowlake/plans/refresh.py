@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from narrowlake.model import COLLECTIONS, Roles
 from narrowlake.operators.pivots import discover_items, pivot_encoded
@@ -64,21 +66,44 @@ def changed_filings(
 
 
 def refresh_filings(
-    narrow: DataFrame,
-    batch: DataFrame,
-    root: str,
-    spark: SparkSession,
-    roles: Roles = COLLECTIONS,
+    narrow: DataFrame, batch: DataFrame, root: str, roles: Roles = COLLECTIONS
 ) -> None:
-    """Refresh only the filings a batch touches in the stored wide relations."""
+    """Refresh only the filings a batch touches in the stored wide relations.
+
+    A series without a stored relation gets one.  Folders that are not touched
+    keep the columns they were written with, so read with ``read_wide``.
+    """
+    spark = narrow.sparkSession
     for series in touched_series(batch, roles):
+        path = wide_path(root, series)
         changed = changed_filings(narrow, batch, series, roles).persist()
         try:
-            upsert_wide(
-                changed,
-                wide_path(root, series),
-                keys=roles.keys,
-                partition_by=[roles.as_of],
-            )
+            if is_stored(spark, path):
+                upsert_wide(changed, path, keys=roles.keys, partition_by=[roles.as_of])
+            else:
+                write_parquet(changed, path, partition_by=[roles.as_of])
         finally:
             changed.unpersist()
+
+
+def is_stored(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
+            raise
+        return False
+    return True
+
+
+def read_wide(
+    spark: SparkSession, root: str, series: str, roles: Roles = COLLECTIONS
+) -> DataFrame:
+    """A stored wide relation with the columns of all its folders, keys as text."""
+    path = wide_path(root, series)
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    keys = set(roles.keys)
+    schema = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in keys else f.dataType) for f in found]
+    )
+    return spark.read.schema(schema).parquet(path)

@@ -793,11 +793,29 @@ def stream_ingest(spark, folder):
     return streams.read_stream_table(spark, target)
 
 
+def _refreshed(spark, folder, refresh_mode, max_files):
+    target, wide = work_dir(spark, "streamed"), work_dir(spark, "wide")
+    rows = streams.read_drop_stream(spark, _drop(spark, folder), max_files_per_trigger=max_files)
+    streams.refresh_stream(
+        rows, target, wide, work_dir(spark, "checkpoint"), refresh=refresh_mode
+    ).awaitTermination()
+    return refresh.read_wide(spark, wide, SERIES)
+
+
 @query
 def stream_refresh(spark, folder):
-    """Batches stored, and the wide relations of their series rebuilt after each."""
-    target, wide = work_dir(spark, "streamed"), work_dir(spark, "wide")
-    rows = streams.read_drop_stream(spark, _drop(spark, folder))
-    streams.refresh_stream(rows, target, wide, work_dir(spark, "checkpoint")).awaitTermination()
-    found = spark.read.parquet(refresh.wide_path(wide, SERIES))
-    return found.select(*[F.col(c).cast("string").alias(c) for c in found.columns])
+    """Batches stored, and the touched filings of the wide relations refreshed after each."""
+    return _refreshed(spark, folder, "filings", 50)
+
+
+@query
+def stream_rebuild(spark, folder):
+    """The same with a rebuild of each touched series."""
+    return _refreshed(spark, folder, "series", None)
+
+
+@query
+def published_latest(spark, folder):
+    view = f"{_new_database(spark)}.collections_latest"
+    publish.publish_latest(spark, _narrow_table(spark, folder), view)
+    return agg.rows_by(spark.table(view), "seriesid", "submission_ts")

@@ -7,7 +7,7 @@ trigger, a daily schedule and a backlog.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +16,8 @@ from pyspark.sql.streaming import StreamingQuery
 from narrowlake.functions.files import file_path, ingest_ts
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
 from narrowlake.operators.filters import valid_series
-from narrowlake.plans.ingest import LOAD_ID, narrow_schema, read_loaded, write_load
-from narrowlake.plans.refresh import refresh_series, touched_series
+from narrowlake.plans.ingest import LOAD_ID, narrow_schema, write_load
+from narrowlake.plans.refresh import refresh_filings, refresh_series, touched_series
 from narrowlake.sources.csv import strict_options
 from narrowlake.sources.files import CSV_GLOB
 
@@ -71,22 +71,27 @@ def refresh_stream(
     checkpoint: str,
     *,
     roles: Roles = COLLECTIONS,
-    refresh: Callable[[DataFrame, str, Sequence[str], Roles], None] = refresh_series,
+    refresh: str = "filings",
 ) -> StreamingQuery:
-    """Store each batch, then rebuild the wide relations of the series it has.
+    """Store each batch, then bring the wide relations of its series up to date.
 
-    A batch that is run again after a failure replaces its own rows, and the
-    rebuild starts from stored rows, so a rerun changes nothing.
+    ``filings`` rewrites only the dates the batch has filings of; ``series``
+    rebuilds each of its series from all rows.  A batch that is run again after a
+    failure replaces its own rows, and the refresh starts from stored rows, so a
+    rerun changes nothing.
     """
+    if refresh not in {"filings", "series"}:
+        raise ValueError(f"unknown refresh {refresh!r}")
 
     def load(batch: DataFrame, batch_id: int) -> None:
         load_id = f"batch-{batch_id:012d}"
         write_load(batch, target, load_id, roles)
-        spark = batch.sparkSession
-        stored = spark.read.schema(narrow_schema(roles)).parquet(target)
-        series = touched_series(stored.where(F.col(LOAD_ID) == load_id), roles)
-        if series:
-            refresh(read_loaded(spark, target, roles), wide_root, series, roles)
+        stored = batch.sparkSession.read.schema(narrow_schema(roles)).parquet(target)
+        mine = stored.where(F.col(LOAD_ID) == load_id).drop(LOAD_ID)
+        if refresh == "filings":
+            refresh_filings(stored.drop(LOAD_ID), mine, wide_root, roles)
+        elif series := touched_series(mine, roles):
+            refresh_series(stored.drop(LOAD_ID), wide_root, series, roles)
 
     return (
         rows.writeStream.foreachBatch(load)

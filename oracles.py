@@ -301,4 +301,8 @@ ORACLES: dict[str, str] = {
     # streams
     "stream_ingest": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
     "stream_refresh": f"WITH {FROM_CSV}, cells AS (SELECT *, {CELL} AS cell FROM narrow) {_pivot(ITEMS)}",
+    "stream_rebuild": f"WITH {FROM_CSV}, cells AS (SELECT *, {CELL} AS cell FROM narrow) {_pivot(ITEMS)}",
+    "published_latest": f"""WITH {NARROW}, latest AS (SELECT DISTINCT seriesid, aod, rssdid, item_mdrm,
+        MAX(submission_ts) OVER (PARTITION BY seriesid, aod, rssdid, item_mdrm) AS submission_ts FROM narrow)
+        SELECT seriesid, submission_ts, COUNT(*) AS record_count FROM latest GROUP BY 1, 2""",
 }

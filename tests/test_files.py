@@ -6,12 +6,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from narrowlake.functions.files import ingest_ts, looks_like_csv
-from narrowlake.model import COLLECTIONS
+from narrowlake.model import COLLECTIONS, KV
+from narrowlake.operators import filters as flt
 from narrowlake.operators import sets
 from narrowlake.plans import ingest as loads
+from narrowlake.plans import refresh
 from narrowlake.sinks import tables as sink
 from narrowlake.sources import csv as csv_source
-from narrowlake.sources import files
+from narrowlake.sources import files, generators
 from narrowlake.sources import tables as table_source
 from narrowlake.streaming import ingest as streams
 
@@ -208,16 +210,56 @@ def test_stream_equals_batch_whatever_the_batches(spark, drop, tmp_path_factory)
     assert sets.compare_outputs(streamed, batch).isEmpty()
 
 
-def test_stream_refresh_keeps_earlier_batches(spark, drop, tmp_path_factory):
+@pytest.mark.parametrize("refresh_mode", ["filings", "series"])
+def test_stream_refresh_keeps_earlier_batches(spark, drop, tmp_path_factory, refresh_mode):
     root = tmp_path_factory.mktemp("stream")
     args = (str(root / "data"), str(root / "wide"), str(root / "checkpoint"))
-    streams.refresh_stream(streams.read_drop_stream(spark, str(drop)), *args).awaitTermination()
+
+    def run():
+        rows = streams.read_drop_stream(spark, str(drop))
+        streams.refresh_stream(rows, *args, refresh=refresh_mode).awaitTermination()
+
+    run()
     put(drop, "ingest_ts=300/c.csv", "\n".join([HEADER, line(item="A9", value="9")]) + "\n")
-    streams.refresh_stream(streams.read_drop_stream(spark, str(drop)), *args).awaitTermination()
-    wide = spark.read.parquet(str(root / "wide" / "fry9c_wide")).collect()
+    run()
+    wide = refresh.read_wide(spark, str(root / "wide"), "FRY9C").collect()
     assert [(r.A1, r.A9) for r in wide] == [("5", "9")]
 
 
+def test_stream_batch_run_again_replaces_its_rows(spark, drop, tmp_path_factory):
+    target = str(tmp_path_factory.mktemp("narrow") / "data")
+    rows = loads.read_drop(spark, [str(drop / "ingest_ts=100" / "a.csv")])
+    for _ in range(2):
+        loads.write_load(rows.where("seriesid LIKE 'FRY%'"), target, "batch-0")
+    assert loads.read_loaded(spark, target).count() == 2
+
+
+def test_generated_drops(spark):
+    rows = generators.gen_kv(spark, 10)
+    assert rows.columns == list(KV.columns) and rows.count() == 30
+    assert rows.where("submissionts = 'submissionts_set2' AND key = 'key_3'").first().value == "value_changed_3"
+    assert rows.where("seriesid = 'seriesid_set2'").agg(F.min("key"), F.max("key")).first()[:] == ("key_set2_11", "key_set2_20")
+    assert flt.valid_series(rows).isEmpty()
+
+    def codes(n):
+        return spark.range(n).select(F.format_string("C%03d", "id").alias("code"))
+
+    kv = generators.gen_kv_codes(spark, {"FRY9C": codes(7), "FRY15": codes(3)}, 20)
+    counts = {r[0]: r[1] for r in kv.where("aod = '20241231'").groupBy("key").count().collect()}
+    assert counts == {"C000": 7, "C001": 7, "C002": 6}
+    assert sets.compare_outputs(kv, generators.gen_kv_codes(spark, {"FRY9C": codes(7), "FRY15": codes(3)}, 20)).isEmpty()
+
+    items = spark.createDataFrame(
+        [("GSWAM438", "1a Bills", "GSWA0001", "Long  1", "1"), ("GSWAN749", "1b, FRN", "", "", "")],
+        ", ".join(f"{c} string" for c in table_source.DICTIONARY_COLUMNS),
+    )
+    made = generators.gen_collections(spark, dict.fromkeys(("FRY9C", "FRY15", "FR2004A"), items), 5)
+    assert made.columns == list(COLLECTIONS.columns) and made.count() == 20
+    bounds = made.agg(F.min(F.col("item_value").cast("int")), F.max(F.col("item_value").cast("int"))).first()
+    assert bounds[0] >= 1000 and bounds[1] <= 9999999
+    assert made.where("context_level1_mdrm = 'GSWA0001' AND context_level1_value = '1'").count() == 12
+
+
 def test_dictionary_and_code_list(spark, tmp_path):
     put(tmp_path, "d/map.csv", 'item_mdrm,item_desc,context_level1_mdrm,context_level1_desc,context_level1_value\nGSWAM438,"1a, Bills",GSWA0001,Long  1,1\n')
     row = table_source.item_dictionary(spark, str(tmp_path / "d")).first()
