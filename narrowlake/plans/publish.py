@@ -13,6 +13,7 @@ from narrowlake.model import COLLECTIONS, KV, SERIES_PREFIXES, Roles
 from narrowlake.operators.filters import series_is_valid
 from narrowlake.operators.pivots import check_columns, discover_items, pivot_encoded, pivot_kv
 from narrowlake.operators.quality import all_string_columns
+from narrowlake.session import PARALLEL_JOBS
 from narrowlake.sinks.tables import replace_wide_table, table_name
 
 # Names of published relations, and the longest text of a view.
@@ -25,9 +26,6 @@ STATUS_SCHEMA = (
 )
 CHECK_SCHEMA = "view string, check string, passed boolean, detail string"
 
-# Jobs of different series share the cluster; the driver only waits for them.
-PARALLEL_JOBS = 4
-
 
 class NameCollision(ValueError):
     """Two series would be published under one name."""

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from narrowlake.model import COLLECTIONS, Roles
 from narrowlake.operators.pivots import discover_items, pivot_encoded
+from narrowlake.session import PARALLEL_JOBS
 from narrowlake.sinks.tables import rebalanced, upsert_wide, write_parquet
 
 
@@ -42,12 +44,16 @@ def refresh_series(
 ) -> None:
     """Rebuild the stored wide relation of each given series from all its rows."""
     chosen = narrow.where(F.col(roles.series).isin(list(series)))
-    for name, codes in discover_items(chosen, roles).items():
-        wide = pivot_encoded(narrow, name, roles=roles, items=codes)
+    found = discover_items(chosen, roles)
+
+    def rebuild(name: str) -> None:
+        wide = pivot_encoded(narrow, name, roles=roles, items=found[name])
         write_parquet(
             wide, wide_path(root, name), partition_by=[roles.as_of] if roles.as_of else ()
         )
 
+    _for_each(rebuild, found)
+
 
 def changed_filings(
     narrow: DataFrame, batch: DataFrame, series: str, roles: Roles = COLLECTIONS
@@ -74,7 +80,8 @@ def refresh_filings(
     keep the columns they were written with, so read with ``read_wide``.
     """
     spark = narrow.sparkSession
-    for series in touched_series(batch, roles):
+
+    def refresh(series: str) -> None:
         path = wide_path(root, series)
         changed = changed_filings(narrow, batch, series, roles).persist()
         try:
@@ -85,6 +92,14 @@ def refresh_filings(
         finally:
             changed.unpersist()
 
+    _for_each(refresh, touched_series(batch, roles))
+
+
+def _for_each(job: Callable[[str], None], names: Iterable[str]) -> None:
+    """Run the jobs of several series side by side; the first failure is raised."""
+    with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+        list(pool.map(job, names))
+
 
 def is_stored(spark: SparkSession, path: str) -> bool:
     try:

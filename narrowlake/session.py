@@ -19,11 +19,33 @@ SETTINGS = {
     "spark.sql.parquet.compression.codec": "snappy",
 }
 
+# Jobs of different series share the cluster; the driver only waits for them.
+PARALLEL_JOBS = 4
 
-def build_session(app: str = "narrowlake", **overrides: str) -> SparkSession:
-    """Session with the settings above; the cluster's own defaults stay otherwise."""
+
+# Shuffled bytes one task should get; it sorts and spills them within its memory.
+TASK_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(input_bytes: int, least: int = 200, most: int = 100_000) -> int:
+    """Shuffle partitions to start from; run-time coalescing only ever lowers them."""
+    return max(least, min(most, -(-input_bytes // TASK_BYTES)))
+
+
+def build_session(
+    app: str = "narrowlake", input_bytes: int | None = None, **overrides: str
+) -> SparkSession:
+    """Session with the settings above; the cluster's own defaults stay otherwise.
+
+    ``input_bytes``, the size of the tables to be read, sizes the shuffles.
+    """
+    settings = dict(SETTINGS)
+    if input_bytes is not None:
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(
+            shuffle_partitions(input_bytes)
+        )
     builder = SparkSession.builder.appName(app)
-    for key, value in {**SETTINGS, **overrides}.items():
+    for key, value in {**settings, **overrides}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

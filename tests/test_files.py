@@ -113,6 +113,13 @@ def test_strict_reader_keeps_quoting_and_drops_short_lines(spark, tmp_path):
     assert rows[0].context_level1_mdrm is None
 
 
+def test_short_lines_are_dropped_whatever_columns_are_read(spark, drop):
+    rows = csv_source.read_csv_strict(spark, str(drop / "ingest_ts=200"))
+    found = rows.where("source_file LIKE '%B.CSV'")
+    assert found.count() == found.select("seriesid").count() == found.select("item_value").count() == 1
+    assert len(found.collect()) == len(found.select("seriesid").collect()) == 1
+
+
 def test_plain_reader_infers(spark, tmp_path):
     put(tmp_path, "k.csv", "key,value\na,1\nb,2\n")
     assert dict(csv_source.read_csv_plain(spark, str(tmp_path)).dtypes)["value"] == "int"
