@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from narrowlake.functions.cells import encode_cell
 from narrowlake.model import COLLECTIONS, KV, Roles
@@ -138,12 +139,18 @@ def grouped(rows: DataFrame, *keys: str) -> GroupedData:
     return rows.groupBy(F.xxhash64(*keys).alias("_sort"), *keys)
 
 
+def _grouped_for(rows: DataFrame, *keys: str) -> GroupedData:
+    # Maxima of numbers are kept in a hash table, which needs no such help.
+    text = isinstance(rows.schema["_cell"].dataType, T.StringType)
+    return grouped(rows, *keys) if text else rows.groupBy(*keys)
+
+
 def _case_form(rows, codes, keys, extra_max) -> DataFrame:
     columns = [F.max(F.when(F.col("_item") == F.lit(c), F.col("_cell"))).alias(c) for c in codes]
     extras = [F.max(c).alias(c) for c in extra_max]
     if not extras and not columns:
         return rows.select(*keys).distinct()
-    return grouped(rows, *keys).agg(*extras, *columns).drop("_sort")
+    return _grouped_for(rows, *keys).agg(*extras, *columns).drop("_sort")
 
 
 def _block_form(rows, codes, keys, extra_max) -> DataFrame:
@@ -157,7 +164,7 @@ def _block_form(rows, codes, keys, extra_max) -> DataFrame:
     )
     # NULL and unlisted codes share the NULL slot, which only keeps the filing.
     slotted = rows.join(F.broadcast(slots), "_item", "left")
-    cells = grouped(slotted, *keys, "_slot").agg(
+    cells = _grouped_for(slotted, *keys, "_slot").agg(
         F.max("_cell").alias("_cell"), *[F.max(c).alias(c) for c in extra_max]
     )
     # One small map per block of columns: a column looks at its own block only, so

@@ -21,6 +21,10 @@ ALL_ROWS_VIEW = "collections_data_vw"
 ONE_SERIES_VIEW = "cdp_data_vw"
 MAX_VIEW_CHARS = 250_000
 
+# A view computes one maximum per column on every read.  At 850 characters for a
+# spelled-out column, this many fill the longest text.
+MAX_VIEW_COLUMNS = 300
+
 STATUS_SCHEMA = (
     "name string, series string, kind string, n_columns int, status string, error string"
 )
@@ -192,7 +196,8 @@ def _publish(
     cell_sql: str,
     build: Callable[..., DataFrame],
     database: str | None,
-    max_view_chars: int,
+    max_view_chars: int | None,
+    max_view_columns: int | None,
     location: str | None,
 ) -> DataFrame:
     source = spark.table(table)
@@ -203,9 +208,9 @@ def _publish(
     def make(series: str) -> tuple[str, int]:
         name, codes = _qualified(database, names[series]), found[series]
         check_columns(codes, roles.keys)
-        if codes:
+        if codes and (max_view_columns is None or len(codes) <= max_view_columns):
             body = pivot_view_sql(table, series, codes, cell_sql, roles)
-            if len(body) <= max_view_chars:
+            if max_view_chars is None or len(body) <= max_view_chars:
                 return _view(spark, name, body)
         wide = build(source, series, roles=roles, items=codes)
         if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW":
@@ -250,14 +255,15 @@ def publish_wide(
     roles: Roles = COLLECTIONS,
     prefixes: Sequence[str] = SERIES_PREFIXES,
     database: str | None = None,
-    max_view_chars: int = MAX_VIEW_CHARS,
+    max_view_chars: int | None = MAX_VIEW_CHARS,
+    max_view_columns: int | None = MAX_VIEW_COLUMNS,
     location: str | None = None,
     name_fn: Callable[[str], str] = wide_view_name,
 ) -> DataFrame:
     """One relation per accepted series with encoded cells.
 
-    A view, unless its text would be longer than ``max_view_chars``: then a table.
-    Returns what was created, failed and skipped.
+    A view, or beyond ``max_view_chars`` of text or ``max_view_columns`` items a
+    table that is written anew.  Returns what was created, failed and skipped.
     """
     return _publish(
         spark,
@@ -269,6 +275,7 @@ def publish_wide(
         build=pivot_encoded,
         database=database,
         max_view_chars=max_view_chars,
+        max_view_columns=max_view_columns,
         location=location,
     )
 
@@ -280,10 +287,11 @@ def publish_report(
     roles: Roles = KV,
     database: str | None = None,
     name_fn: Callable[[str], str] = report_view_name,
-    max_view_chars: int = MAX_VIEW_CHARS,
+    max_view_chars: int | None = None,
+    max_view_columns: int | None = None,
     location: str | None = None,
 ) -> DataFrame:
-    """One key/value pivot per series, values in their own type."""
+    """One key/value pivot per series, values in their own type; views unless limited."""
     return _publish(
         spark,
         table,
@@ -294,6 +302,7 @@ def publish_report(
         build=pivot_kv,
         database=database,
         max_view_chars=max_view_chars,
+        max_view_columns=max_view_columns,
         location=location,
     )
 
@@ -314,7 +323,7 @@ def materialise_wide(
         roles=roles,
         database=database,
         name_fn=prefixed_name(prefix),
-        max_view_chars=0,
+        max_view_columns=0,
         location=location,
     )
 

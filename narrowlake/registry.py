@@ -748,7 +748,7 @@ def materialised_wide(spark, folder):
     """The same relation stored as a table, as for text over the view limit."""
     database = _new_database(spark)
     publish.publish_wide(
-        spark, _narrow_table(spark, folder), database=database, max_view_chars=0
+        spark, _narrow_table(spark, folder), database=database, max_view_columns=0
     )
     return spark.table(f"{database}.fry9c_wide_view")
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from urllib.parse import unquote
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,7 +67,7 @@ def append_batch(rows: DataFrame, table: str) -> None:
     if missing:
         raise ValueError(f"{table} has no column {sorted(missing)}; add it first")
     partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    view = "narrowlake_batch"
+    view = f"narrowlake_batch_{uuid4().hex}"
     rebalanced(rows, partition_by).createOrReplaceTempView(view)
     try:
         spark.sql(f"INSERT INTO {table_name(table)} BY NAME SELECT * FROM {view}")

@@ -21,6 +21,10 @@ def _text(column: Column | str) -> Column:
     return column.cast("string")
 
 
+def _month(day: Column) -> Column:
+    return _text(F.year(day) * 100 + F.month(day))
+
+
 def series_of_flag(flag: Column | str) -> Column:
     flag = F.col(flag) if isinstance(flag, str) else flag
     return F.when(flag == "A", "FRY9C").when(flag == "N", "FRY15").otherwise("FR2004A")
@@ -32,14 +36,17 @@ def line_columns(code: Column | None = None) -> dict[str, Column]:
     Quarter-end filings of suppliers, submitted monthly; a submission may arrive
     in two ingests.  Some codes, values and contexts are missing on purpose.
     """
-    month = "yyyyMM"
-    quarter_end = F.last_day(F.add_months(F.trunc("l_shipdate", "quarter"), 2))
+    shipped = F.col("l_shipdate").cast("date")
+    quarter = F.quarter(shipped)
+    quarter_end = (
+        F.when(quarter == 1, "0331").when(quarter == 2, "0630").when(quarter == 3, "0930").otherwise("1231")
+    )
     item = F.concat(F.lit("ITEM"), _text("l_linenumber")) if code is None else code
     return {
         "seriesid": series_of_flag("l_returnflag"),
-        "aod": F.date_format(quarter_end, "yyyyMMdd"),
+        "aod": F.concat(_text(F.year(shipped)), quarter_end),
         "rssdid": _text("l_suppkey"),
-        "submission_ts": F.date_format("l_shipdate", month),
+        "submission_ts": _month(shipped),
         "item_mdrm": F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") == 50), None).otherwise(item),
         "item_desc": F.concat(F.lit("Line, item "), _text("l_linenumber")),
         "item_value": _text(F.nullif(F.col("l_quantity"), F.lit(13.0)).cast("bigint")),
@@ -54,7 +61,7 @@ def line_columns(code: Column | None = None) -> dict[str, Column]:
         "context_level3_mdrm": F.when(F.col("l_tax") > 0.04, "CTX3").otherwise(""),
         "context_level3_desc": F.when(F.col("l_tax") > 0.04, "Taxed").otherwise(""),
         "context_level3_value": _text(F.col("l_partkey") % 3),
-        "ingest_timestamp": F.date_format(F.date_add("l_shipdate", 20), month),
+        "ingest_timestamp": _month(F.date_add(shipped, 20)),
     }
 
 

@@ -164,6 +164,22 @@ def test_summary_refresh_replaces_only_given_series(spark, tmp_path):
     assert counts[("FRY15", "1")] == 2 and counts[("FRY9C", "1")] == 3
 
 
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 400_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "rare").otherwise("hot").alias("p"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2m")
+    try:
+        sink.write_parquet(rows, str(tmp_path / "t"), partition_by=["p"])
+    finally:
+        spark.conf.set(key, old)
+    files = [p for p in (tmp_path / "t" / "p=hot").iterdir() if p.name.startswith("part-")]
+    assert len(files) > 2
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 400_000
+
+
 # ---------------------------------------------------------------- views
 
 
@@ -199,6 +215,12 @@ def test_view_text_over_the_limit_becomes_a_table(spark, database, table):
     assert spark.catalog.getTable(f"{database}.fry9c_wide_view").tableType == "VIEW"
 
 
+def test_wide_series_become_tables_and_narrow_ones_views(spark, database, table):
+    status = publish.publish_wide(spark, table, database=database, max_view_columns=1)
+    kinds = {r.series: r.kind for r in status.collect() if r.kind}
+    assert kinds == {"FRY9C": "table", "FRY15": "view", "FRY9CX": "view"}
+
+
 def test_views_follow_the_table(spark, database, table):
     publish.publish_wide(spark, table, database=database)
     sink.append_batch(narrow(spark, [("FRY9C", "20230131", "3", "1", "A", "4", "300")]), table)
