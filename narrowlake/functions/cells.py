@@ -20,6 +20,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def text_literal(text: str) -> str:
+    """A string as SQL text."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def encode_cell_sql(roles: Roles = COLLECTIONS) -> str:
     """SQL text of the cell of one narrow row.
 

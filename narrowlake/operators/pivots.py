@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, GroupedData, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrowlake.functions.cells import encode_cell
+from narrowlake.functions.cells import encode_cell, quoted, text_literal
 from narrowlake.model import COLLECTIONS, KV, Roles
 
 # Widest output the case form is picked for, and columns per block of the block form.
@@ -146,7 +146,11 @@ def _grouped_for(rows: DataFrame, *keys: str) -> GroupedData:
 
 
 def _case_form(rows, codes, keys, extra_max) -> DataFrame:
-    columns = [F.max(F.when(F.col("_item") == F.lit(c), F.col("_cell"))).alias(c) for c in codes]
+    # Columns as text: building thousands of Column objects takes the driver seconds.
+    columns = [
+        F.expr(f"max(CASE WHEN _item = {text_literal(c)} THEN _cell END) AS {quoted(c)}")
+        for c in codes
+    ]
     extras = [F.max(c).alias(c) for c in extra_max]
     if not extras and not columns:
         return rows.select(*keys).distinct()
@@ -188,11 +192,10 @@ def _block_form(rows, codes, keys, extra_max) -> DataFrame:
             *[F.map_from_entries(f"_block{start}").alias(f"_block{start}") for start in starts],
         )
     )
-    return filings.select(
-        *keys,
-        *extra_max,
+    return filings.selectExpr(
+        *[quoted(c) for c in (*keys, *extra_max)],
         *[
-            F.col(f"_block{slot - slot % BLOCK}")[F.lit(slot)].alias(code)
+            f"_block{slot - slot % BLOCK}[{slot}] AS {quoted(code)}"
             for slot, code in enumerate(codes)
         ],
     )
@@ -375,5 +378,5 @@ def unpivot(wide: DataFrame, keys: Sequence[str], *, item: str, value: str) -> D
     """Wide back to narrow: one row per filled cell."""
     columns = [c for c in wide.columns if c not in set(keys)]
     return wide.unpivot(
-        [F.col(f"`{k}`") for k in keys], [F.col(f"`{c}`") for c in columns], item, value
+        [quoted(k) for k in keys], [quoted(c) for c in columns], item, value
     ).where(F.col(value).isNotNull())

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.functions.cells import encode_cell_sql, quoted
+from narrowlake.functions.cells import encode_cell_sql, quoted, text_literal
 from narrowlake.model import COLLECTIONS, KV, SERIES_PREFIXES, Roles
 from narrowlake.operators.filters import series_is_valid
 from narrowlake.operators.pivots import check_columns, discover_items, pivot_encoded, pivot_kv
@@ -47,10 +47,6 @@ def prefixed_name(prefix: str) -> Callable[[str], str]:
     return lambda series: f"{prefix}_{series}"
 
 
-def text_literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _qualified(database: str | None, name: str) -> str:
     return f"{database}.{name}" if database else name
 

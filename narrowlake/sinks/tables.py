@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from narrowlake.functions.cells import quoted
+from narrowlake.functions.cells import quoted, text_literal
 from narrowlake.model import COLLECTIONS, Roles
 
 
@@ -25,10 +25,6 @@ def table_name(name: str) -> str:
     return ".".join(quoted(part) for part in name.split("."))
 
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def partitions_of(roles: Roles = COLLECTIONS) -> tuple[str, str]:
     return (roles.series, roles.ingest)
 
@@ -118,7 +114,7 @@ def write_csv_drop(rows: DataFrame, path: str, roles: Roles = COLLECTIONS) -> No
 
 
 def set_table_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:
-    pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+    pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {table_name(table)} SET TBLPROPERTIES ({pairs})")
 
 
@@ -253,7 +249,7 @@ def drop_old_ingests(
     for (spec,) in spark.sql(f"SHOW PARTITIONS {table_name(table)}").collect():
         values = {k: unquote(v) for k, v in (part.split("=", 1) for part in spec.split("/"))}
         if values[roles.ingest] < older_than:
-            where = ", ".join(f"{quoted(k)} = {_literal(v)}" for k, v in values.items())
+            where = ", ".join(f"{quoted(k)} = {text_literal(v)}" for k, v in values.items())
             spark.sql(f"ALTER TABLE {table_name(table)} DROP IF EXISTS PARTITION ({where}) PURGE")
             dropped.append(spec)
     return dropped

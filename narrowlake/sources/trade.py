@@ -21,80 +21,69 @@ def _text(column: Column | str) -> Column:
     return column.cast("string")
 
 
-def _month(day: Column) -> Column:
-    return _text(F.year(day) * 100 + F.month(day))
+SERIES = "CASE l_returnflag WHEN 'A' THEN 'FRY9C' WHEN 'N' THEN 'FRY15' ELSE 'FR2004A' END"
+ITEM = "concat('ITEM', l_linenumber)"
 
 
-def series_of_flag(flag: Column | str) -> Column:
-    flag = F.col(flag) if isinstance(flag, str) else flag
-    return F.when(flag == "A", "FRY9C").when(flag == "N", "FRY15").otherwise("FR2004A")
+def _month(day: str) -> str:
+    return f"cast(year({day}) * 100 + month({day}) as string)"
 
 
-def line_columns(code: Column | None = None) -> dict[str, Column]:
-    """Narrow columns over ``lineitem``.
+def line_columns(item: str = ITEM, series: str = SERIES) -> dict[str, str]:
+    """Narrow columns over ``lineitem``, as SQL text.
 
     Quarter-end filings of suppliers, submitted monthly; a submission may arrive
     in two ingests.  Some codes, values and contexts are missing on purpose.
     """
-    shipped = F.col("l_shipdate").cast("date")
-    quarter = F.quarter(shipped)
-    quarter_end = (
-        F.when(quarter == 1, "0331").when(quarter == 2, "0630").when(quarter == 3, "0930").otherwise("1231")
-    )
-    item = F.concat(F.lit("ITEM"), _text("l_linenumber")) if code is None else code
+    shipped = "cast(l_shipdate as date)"
+    is_open, discounted, taxed = "l_linestatus = 'O'", "l_discount > 0.05D", "l_tax > 0.04D"
     return {
-        "seriesid": series_of_flag("l_returnflag"),
-        "aod": F.concat(_text(F.year(shipped)), quarter_end),
-        "rssdid": _text("l_suppkey"),
+        "seriesid": series,
+        "aod": f"concat(year({shipped}), CASE quarter({shipped}) WHEN 1 THEN '0331' "
+        "WHEN 2 THEN '0630' WHEN 3 THEN '0930' ELSE '1231' END)",
+        "rssdid": "cast(l_suppkey as string)",
         "submission_ts": _month(shipped),
-        "item_mdrm": F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") == 50), None).otherwise(item),
-        "item_desc": F.concat(F.lit("Line, item "), _text("l_linenumber")),
-        "item_value": _text(F.nullif(F.col("l_quantity"), F.lit(13.0)).cast("bigint")),
-        "context_level1_mdrm": F.when(F.col("l_linestatus") == "O", "CTX1").otherwise(""),
-        "context_level1_desc": F.when(F.col("l_linestatus") == "O", "Open line").otherwise(""),
-        "context_level1_value": F.when(
-            F.col("l_linestatus") == "O", _text(F.col("l_partkey") % 2)
-        ).otherwise(""),
-        "context_level2_mdrm": F.when(F.col("l_discount") > 0.05, "CTX2"),
-        "context_level2_desc": F.when(F.col("l_discount") > 0.05, "Discounted"),
-        "context_level2_value": _text(F.nullif(F.col("l_partkey") % 5, F.lit(0))),
-        "context_level3_mdrm": F.when(F.col("l_tax") > 0.04, "CTX3").otherwise(""),
-        "context_level3_desc": F.when(F.col("l_tax") > 0.04, "Taxed").otherwise(""),
-        "context_level3_value": _text(F.col("l_partkey") % 3),
-        "ingest_timestamp": _month(F.date_add(shipped, 20)),
+        "item_mdrm": f"CASE WHEN l_linenumber = 7 AND l_quantity = 50 THEN null ELSE {item} END",
+        "item_desc": "concat('Line, item ', l_linenumber)",
+        "item_value": "CASE WHEN l_quantity != 13 THEN cast(cast(l_quantity as bigint) as string) END",
+        "context_level1_mdrm": f"if({is_open}, 'CTX1', '')",
+        "context_level1_desc": f"if({is_open}, 'Open line', '')",
+        "context_level1_value": f"if({is_open}, cast(l_partkey % 2 as string), '')",
+        "context_level2_mdrm": f"if({discounted}, 'CTX2', null)",
+        "context_level2_desc": f"if({discounted}, 'Discounted', null)",
+        "context_level2_value": "CASE WHEN l_partkey % 5 != 0 THEN cast(l_partkey % 5 as string) END",
+        "context_level3_mdrm": f"if({taxed}, 'CTX3', '')",
+        "context_level3_desc": f"if({taxed}, 'Taxed', '')",
+        "context_level3_value": "cast(l_partkey % 3 as string)",
+        "ingest_timestamp": _month(f"date_add({shipped}, 20)"),
     }
 
 
-def collections(spark: SparkSession, folder: str, code: Column | None = None) -> DataFrame:
+def _selected(columns: dict[str, str], *names: str) -> list[str]:
+    return [f"{columns[name]} AS {name}" for name in names]
+
+
+def collections(
+    spark: SparkSession, folder: str, item: str = ITEM, series: str = SERIES
+) -> DataFrame:
     """Narrow rows in the current schema."""
+    names = (*COLLECTIONS.columns, COLLECTIONS.ingest)
     lines = read_table(spark, folder, "lineitem")
-    return lines.select(*[c.alias(n) for n, c in line_columns(code).items()]).select(
-        *COLLECTIONS.columns, COLLECTIONS.ingest
-    )
+    return lines.selectExpr(*_selected(line_columns(item, series), *names))
 
 
 def coded_collections(spark: SparkSession, folder: str, n_codes: int) -> DataFrame:
     """The same rows with many item codes, spread over the parts."""
-    number = _text(F.col("l_partkey") % n_codes)
-    return collections(spark, folder, F.concat(F.lit("M"), F.lpad(number, 5, "0")))
+    return collections(
+        spark, folder, f"concat('M', lpad(cast(l_partkey % {n_codes} as string), 5, '0'))"
+    )
 
 
 def raw_collections(spark: SparkSession, folder: str) -> DataFrame:
     """The rows before validation: some series missing, blank or unknown."""
-    lines = read_table(spark, folder, "lineitem")
-    columns = line_columns()
-    quantity, series = F.col("l_quantity"), columns["seriesid"]
-    columns["seriesid"] = (
-        F.when(quantity == 1, F.lit(None))
-        .when(quantity == 2, "")
-        .when(quantity == 3, "  ")
-        .when(quantity == 4, F.concat(F.lit("X"), series))
-        .when(quantity == 5, F.concat(series, F.lit("X")))
-        .otherwise(series)
-    )
-    return lines.select(*[c.alias(n) for n, c in columns.items()]).select(
-        *COLLECTIONS.columns, COLLECTIONS.ingest
-    )
+    damaged = f"""CASE l_quantity WHEN 1 THEN null WHEN 2 THEN '' WHEN 3 THEN '  '
+        WHEN 4 THEN concat('X', {SERIES}) WHEN 5 THEN concat({SERIES}, 'X') ELSE {SERIES} END"""
+    return collections(spark, folder, series=damaged)
 
 
 def kv(spark: SparkSession, folder: str) -> DataFrame:
@@ -136,21 +125,23 @@ def entity(spark: SparkSession, folder: str) -> DataFrame:
 
 def items(spark: SparkSession, folder: str) -> DataFrame:
     """Items of filings as the report of items has them; an order is a filing."""
-    columns = line_columns()
-    return read_table(spark, folder, "lineitem").select(
-        _text("l_orderkey").alias("filing_id"),
-        columns["seriesid"].alias("series_id"),
-        columns["rssdid"].alias("rssd_id"),
-        columns["aod"].alias("as_of_date"),
-        columns["item_mdrm"].alias("item_mdrm"),
-        columns["item_desc"].alias("item_description"),
-        columns["item_value"].alias("item_value"),
-        *[columns[c].alias(c) for c in columns if c.startswith("context_")],
-        F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("submission_datetime"),
-        F.col("l_linestatus").alias("filing_status"),
-        F.when(F.col("l_quantity") == 13, "Y").otherwise("N").alias("estimated_flag"),
-        F.when(F.col("l_quantity") == 13, "estimate").alias("estimated_by"),
-    )
+    columns = {
+        **line_columns(),
+        "filing_id": "cast(l_orderkey as string)",
+        "submission_datetime": "date_format(l_shipdate, 'yyyy-MM-dd HH:mm:ss')",
+        "filing_status": "l_linestatus",
+        "estimated_flag": "if(l_quantity = 13, 'Y', 'N')",
+        "estimated_by": "if(l_quantity = 13, 'estimate', null)",
+    }
+    del columns["submission_ts"], columns["ingest_timestamp"]
+    names = {
+        "seriesid": "series_id",
+        "aod": "as_of_date",
+        "rssdid": "rssd_id",
+        "item_desc": "item_description",
+    }
+    rows = read_table(spark, folder, "lineitem").selectExpr(*_selected(columns, *columns))
+    return rows.withColumnsRenamed(names)
 
 
 def schedule(spark: SparkSession, folder: str) -> DataFrame:
