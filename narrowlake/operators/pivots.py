@@ -167,8 +167,9 @@ def _block_form(rows, codes, keys, extra_max) -> DataFrame:
         [(code, slot) for slot, code in enumerate(codes)], "_item string, _slot int"
     )
     # NULL and unlisted codes share the NULL slot, which only keeps the filing.
-    slotted = rows.join(F.broadcast(slots), "_item", "left")
-    cells = _grouped_for(slotted, *keys, "_slot").agg(
+    slotted = rows.join(F.broadcast(slots), "_item", "left").withColumn("_sort", F.xxhash64(*keys))
+    # Both steps sort, led by the hash; the slot next tells most rows of one filing apart.
+    cells = slotted.groupBy("_sort", "_slot", *keys).agg(
         F.max("_cell").alias("_cell"), *[F.max(c).alias(c) for c in extra_max]
     )
     # One small map per block of columns: a column looks at its own block only, so
@@ -184,7 +185,7 @@ def _block_form(rows, codes, keys, extra_max) -> DataFrame:
         for start in starts
     ]
     filings = (
-        cells.groupBy(*keys)
+        cells.groupBy("_sort", *keys)
         .agg(*[F.max(c).alias(c) for c in extra_max], *blocks)
         .select(
             *keys,
