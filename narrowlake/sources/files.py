@@ -42,30 +42,38 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyarrow import fs
-
-    opened: dict[tuple[str, str], fs.FileSystem] = {}
-    for batch in batches:
-        heads = []
-        for path in batch.column("path").to_pylist():
-            scheme, _, rest = path.rpartition(":/")
-            scheme, rest = RANGED_SCHEMES[scheme], "/" + rest.lstrip("/")
-            if scheme == "file":
-                place, name = "", rest
-            else:
-                place, _, name = rest[1:].partition("/")
-                name = f"/{name}" if scheme == "hdfs" else f"{place}/{name}"
-            if (scheme, place) not in opened:
-                opened[scheme, place] = (
-                    fs.FileSystem.from_uri(f"{scheme}://{place}/")[0] if place else fs.LocalFileSystem()
-                )
-            with opened[scheme, place].open_input_file(name) as handle:
-                heads.append(handle.read(SAMPLE_BYTES))
-        columns = [batch.column(n) for n in ("path", "length", "modificationTime")]
-        yield pa.RecordBatch.from_arrays(
-            [*columns, pa.array(heads, pa.binary())], ["path", "length", "modificationTime", "head"]
-        )
+def _head_reader():
+    """The task function, made here so that it travels to tasks by value and the
+    package itself need not be installed on the executors."""
+
+    def read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        opened: dict[tuple[str, str], fs.FileSystem] = {}
+        for batch in batches:
+            heads = []
+            for path in batch.column("path").to_pylist():
+                scheme, _, rest = path.partition(":/")
+                scheme, rest = RANGED_SCHEMES[scheme], "/" + rest.lstrip("/")
+                if scheme == "file":
+                    place, name = "", rest
+                else:
+                    place, _, name = rest[1:].partition("/")
+                    name = f"/{name}" if scheme == "hdfs" else f"{place}/{name}"
+                if (scheme, place) not in opened:
+                    opened[scheme, place] = (
+                        fs.LocalFileSystem()
+                        if scheme == "file"
+                        else fs.FileSystem.from_uri(f"{scheme}://{place}/")[0]
+                    )
+                with opened[scheme, place].open_input_file(name) as handle:
+                    heads.append(handle.read(SAMPLE_BYTES))
+            columns = [batch.column(n) for n in ("path", "length", "modificationTime")]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(heads, pa.binary())], ["path", "length", "modificationTime", "head"]
+            )
+
+    return read_heads
 
 
 def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
@@ -79,7 +87,7 @@ def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame
         route = "ranged" if urlsplit(path).scheme in RANGED_SCHEMES else "whole"
     if route == "ranged":
         return file_manifest(spark, path).mapInArrow(
-            _read_heads, "path string, length bigint, modificationTime timestamp, head binary"
+            _head_reader(), "path string, length bigint, modificationTime timestamp, head binary"
         )
     if route != "whole":
         raise ValueError(f"unknown route {route!r}")
