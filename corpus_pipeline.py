@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from narrowlake.llm import mixing, packing, shingle_join, toxicity
+from narrowlake.llm import mixing, packing, secrets, shingle_join, toxicity
 from narrowlake.llm.common import stored, table
 from narrowlake.llm.tokens import vocabulary
 
@@ -23,6 +23,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return shingle_join.one_of_each(docs, shingle_join.Rule(words=5, lower=8, upper=10))
 
 
+def redact_secrets(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark; the models are trained on these documents."""
+    return secrets.clean(docs, secrets.train(docs))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents in the shares of the mix; a document that it takes twice stands there twice."""
     return mixing.mix(docs)
@@ -36,6 +41,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 STAGES: list[tuple[str, Stage]] = [
     ("reject_toxic", reject_toxic),
     ("drop_near_copies", drop_near_copies),
+    ("redact_secrets", redact_secrets),
     ("mix_sources", mix_sources),
     ("pack_sequences", pack_sequences),
 ]

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from narrowlake.llm import frames, mixing, near_vectors, nearest, packing, shingle_join, toxicity
+from narrowlake.llm import (
+    frames,
+    licenses,
+    mixing,
+    near_vectors,
+    nearest,
+    packing,
+    secrets,
+    shingle_join,
+    toxicity,
+)
 
 QUERIES = {
     "op1_near_vectors": near_vectors.op1_near_vectors,
+    "op2_licenses": licenses.op2_licenses,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_pack": packing.op6_pack,
+    "op7_secrets": secrets.op7_secrets,
     "op8_token_files": frames.op8_token_files,
     "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_nearest": nearest.op10_nearest,
