@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
 import posixpath
+import zipfile
 
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +17,39 @@ from narrowlake.session import work_dir
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def file_system(uri: str) -> tuple[arrow_fs.FileSystem, str]:
+    """The store of a path or URI and the path in it, as the machine that asks can reach it."""
+    if ":/" not in uri:
+        return arrow_fs.LocalFileSystem(), uri
+    scheme, _, rest = uri.partition(":")
+    scheme = "s3" if scheme == "s3a" else scheme
+    return arrow_fs.FileSystem.from_uri(f"{scheme}:{rest if rest.startswith('//') else '//' + rest}")
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give this package to the tasks, once per application, wherever it is installed or not."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parents[1]
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    path = posixpath.join(work_dir(spark, "code"), f"{package.name}.zip")
+    store, place = file_system(path)
+    store.create_dir(posixpath.dirname(place), recursive=True)
+    with store.open_output_stream(place, compression=None) as out:
+        out.write(held.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(posixpath.join(folder, f"{name}.parquet"))
 
 
@@ -23,6 +59,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     This cuts the lineage at files that outlive any executor, and makes later
     passes read what an expensive step made instead of repeating it.
     """
+    ship_code(df.sparkSession)
     path = work_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

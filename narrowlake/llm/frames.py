@@ -11,12 +11,11 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import stored, table
+from narrowlake.llm.common import file_system, stored, table
 from narrowlake.llm.tokens import encoder, vocabulary
 from narrowlake.session import work_dir
 
@@ -34,15 +33,6 @@ ENTRY = np.dtype([("packed", "<u4"), ("size", "<u4"), ("checksum", "<u4")])
 DOCUMENT = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("tokens", "<u8")])
 
 
-def file_system(uri: str) -> tuple[arrow_fs.FileSystem, str]:
-    """The store of a path or URI, as the machine that asks can reach it."""
-    if ":/" not in uri:
-        return arrow_fs.LocalFileSystem(), uri
-    scheme, _, rest = uri.partition(":")
-    scheme = "s3" if scheme == "s3a" else scheme
-    return arrow_fs.FileSystem.from_uri(f"{scheme}:{rest if rest.startswith('//') else '//' + rest}")
-
-
 def write_frames(out, docs: Iterable[tuple[int | None, bytes]]) -> tuple[int, int]:
     """Write documents (doc_id, packed ids) to a binary stream; returns documents and tokens.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from narrowlake.llm import (
     frames,
+    katz,
     licenses,
     mixing,
     near_vectors,
@@ -17,6 +18,7 @@ from narrowlake.llm import (
 QUERIES = {
     "op1_near_vectors": near_vectors.op1_near_vectors,
     "op2_licenses": licenses.op2_licenses,
+    "op3_katz": katz.op3_katz,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_mix_sources": mixing.op5_mix_sources,
     "op6_pack": packing.op6_pack,
