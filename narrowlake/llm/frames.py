@@ -99,6 +99,9 @@ class FrameReader:
         """(place, packed ids) of the documents at these places of the file, all by default."""
         at, data = -1, b""
         for place in range(len(self.documents)) if places is None else sorted(places):
+            if not self.documents["tokens"][place]:
+                yield place, b""
+                continue
             start = int(self.ends[place] - self.documents["tokens"][place])
             number = int(np.searchsorted(self.tokens, start, "right")) - 1
             if number != at:

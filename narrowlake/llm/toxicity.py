@@ -99,6 +99,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     rows = sampled.select(shard, "id", "y", packed("text").alias("slots"))
     parts = rows.groupBy("shard").applyInPandas(_fit, "slot int, weight double").groupBy("slot")
     mean = parts.agg((F.sum("weight") / shards).alias("weight")).toPandas().sort_values("slot")
+    if mean.empty:  # none of the labels belongs to a document of the table
+        return Model(np.empty(0, np.int64), np.empty(0), -np.inf)
     slots, weights = mean["slot"].to_numpy(np.int64), mean["weight"].to_numpy()
     return Model(slots[1:], weights[1:], float(weights[0]))
 

@@ -1,0 +1,224 @@
+"""Licences, secrets, Katz scores and toxicity against plain Python."""
+
+import collections
+import hashlib
+import math
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from narrowlake.llm import katz, licenses, secrets, toxicity
+
+
+def by_row(frame):
+    return sorted((tuple(r) for r in frame.collect()), key=repr)
+
+
+# ---------------------------------------------------------------- licences
+
+
+def base_places(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    found = []
+    for phrase, label in licenses.BASE.items():
+        parts = phrase.split()
+        found += [(k, label) for k in range(len(words)) if words[k : k + len(parts)] == parts]
+    return len(words), found
+
+
+def test_base_licenses_equal_a_word_search(docs, texts):
+    got = by_row(licenses.digests(docs).drop("labels", "score"))
+    want = []
+    for i, text in texts:
+        n, found = base_places(text)
+        starts = [k for k, _ in found]
+        labels = ",".join(sorted({label for _, label in found}))
+        want.append((i, n, len(found), min(starts, default=None), max(starts, default=None), labels))
+    assert got == sorted(want, key=repr)
+
+
+def test_specific_rules_suppress_general_ones(spark):
+    cases = {
+        "Licensed under the Apache License, Version 2.0.": {"apache-2.0"},
+        "the GNU Lesser General Public License version 2.1": {"lgpl-2.1"},
+        "released under CC BY-NC-SA 4.0": {"cc-by-nc-sa"},
+        "SPDX-License-Identifier: MIT License": {"mit"},
+        "a Mozilla Public License 2.0 file and the ISC licence": {"mpl-2.0", "isc"},
+        "licence to nothing": set(),
+    }
+    frame = spark.createDataFrame([(t,) for t in cases], "text string")
+    for row in licenses.scan(frame).collect():
+        assert {p["label"] for p in row["license_found"]} == cases[row["text"]], row["text"]
+    assert len(licenses.rules()) > 300
+
+
+def test_the_gate_lets_every_rule_pass(spark):
+    """A text made of each name passes the gate."""
+    frame = spark.createDataFrame([(p,) for p in licenses.BASE], "text string")
+    assert frame.where(F.col("text").rlike(licenses.GATE)).count() == len(licenses.BASE)
+
+
+# ---------------------------------------------------------------- secrets
+
+
+def base_spans(text):
+    found = []
+    for m in re.finditer(
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text
+    ):
+        if len(m[2]) >= 6:
+            found.append((m.start(), 0, m.end()))
+    found += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def told(spans):
+    return ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in spans)
+
+
+@pytest.fixture(scope="module")
+def model(docs):
+    return secrets.train(docs)
+
+
+def test_base_secrets_equal_a_search(docs, texts, model):
+    got = by_row(secrets.digests(docs, model).drop("spans"))
+    want = []
+    for i, text in texts:
+        spans = base_spans(text or "")
+        counts = [sum(k == kind for _, k, _ in spans) for kind in range(3)]
+        want.append((i, *counts, hashlib.sha256(told(spans).encode()).hexdigest()))
+    assert got == sorted(want, key=repr)
+    assert sum(r[1] + r[2] + r[3] for r in want) >= 3
+
+
+def test_markov_models_tell_keys_from_names(spark, model):
+    keys = ["9f86d081884c7d65a1b2", "xoxb-123456789012-abcdefABCDEF1234", "4eC39HqLyjWDarjtT1zdp7dc"]
+    names = ["http2_response_header_list", "release_candidate_2024", "chapter_2_introduction"]
+    frame = spark.createDataFrame([(" ".join(["é", *names, *keys, "password=9f86d081884c7d65a1b2"]), 1)], "text string, doc_id long")
+    (row,) = secrets.find(frame, model).collect()
+    found = [row["text"][s["start"] : s["end"]] for s in row["secret_spans"] if s["kind"] == 3]
+    assert found == keys
+    assert [s["kind"] for s in row["secret_spans"]].count(0) == 1
+
+
+def test_redaction_replaces_spans_only(docs, model):
+    names = docs.columns
+    cleaned = secrets.clean(docs, model)
+    assert cleaned.columns == names and cleaned.count() == docs.count()
+    found = secrets.digests(cleaned, model)
+    assert found.agg(F.sum(F.col("n_assign") + F.col("n_access") + F.col("n_hex"))).first()[0] == 0
+    before = {r["text"] for r in docs.collect()}
+    for row in cleaned.collect():
+        assert "[secret]" in (row["text"] or "") or row["text"] in before
+
+
+# ---------------------------------------------------------------- Katz
+
+
+def katz_by_hand(rows):
+    words, pairs, documents, tokens = collections.Counter(), collections.Counter(), 0, []
+    for i, text in rows:
+        own = (text or "").encode().lower().split() + [None]
+        held = zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
+        tokens.append((i, held, own))
+        if not held:
+            documents += 1
+            words.update(own)
+            pairs.update(zip(["start", *own], own))
+    total, kinds = sum(words.values()), len(words)
+
+    def factors(counts):
+        times = collections.Counter(counts.values())
+        return katz.discounts([times[r] for r in range(1, katz.MOST + 2)]), times
+
+    dw, times = factors(words)
+    dp, _ = factors(pairs)
+
+    def kept(d, c):
+        return (d[c] if c <= katz.MOST else 1.0) * c
+
+    left = sum((1 - dw[r]) * r * times[r] for r in range(1, katz.MOST + 1)) / total
+    own = lambda w: kept(dw, words[w]) / total if words[w] else left
+    mass, chance = collections.Counter(), collections.Counter()
+    for (h, w), c in pairs.items():
+        if c >= katz.LEAST_PAIR:
+            mass[h] += kept(dp, c)
+            chance[h] += own(w)
+
+    def p(h, w):
+        n = documents if h == "start" else words[h]
+        if not n:
+            return own(w)
+        n = n + 1 if n - mass[h] < 1e-9 else n
+        if pairs[h, w] >= katz.LEAST_PAIR:
+            return kept(dp, pairs[h, w]) / n
+        return (1 - mass[h] / n) / (1 - chance[h]) * own(w)
+
+    out = []
+    for i, held, own_words in tokens:
+        base = sum(math.log10((words[w] + 0.1) / (total + 0.1 * (kinds + 1))) for w in own_words)
+        score = sum(math.log10(p(h, w)) for h, w in zip(["start", *own_words], own_words))
+        out.append((i, held, len(own_words), sum(words[w] > 0 for w in own_words), total, base, score))
+    for h in ["start", *list(words)[:40]]:  # chances after a history add up to one
+        assert math.isclose(sum(p(h, w) for w in words) + p(h, b"never seen"), 1, rel_tol=1e-9)
+    return out
+
+
+@pytest.mark.parametrize("block_tokens", [2_000, 10**7])
+def test_katz_equals_a_model_by_hand(docs, texts, block_tokens):
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[3])
+    got = sorted((tuple(r) for r in katz.scores(docs, block_tokens).collect()), key=key)
+    want = sorted(katz_by_hand(texts), key=key)
+    assert [r[:5] for r in got] == [r[:5] for r in want]
+    for g, w in zip(got, want):
+        assert math.isclose(g[5], w[5], rel_tol=1e-9) and math.isclose(g[6], w[6], rel_tol=1e-9)
+
+
+def test_katz_without_documents_or_training(docs, no_docs):
+    assert katz.scores(no_docs).collect() == []
+    lone = docs.where("doc_id IS NULL AND text IS NULL")  # crc32 of nothing is 0: held out
+    (row,) = katz.scores(lone).collect()
+    assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 1, 0, 0, 0.0)
+
+
+# ---------------------------------------------------------------- toxicity
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    """Toxic documents hold one of three words; ids, sources and languages say nothing."""
+    words = "and the of inthe ren tion her ist une que los der".split()
+    rows = []
+    for i in range(1_500):
+        own = [words[(i * 7 + k * k) % len(words)] for k in range(20 + i % 30)]
+        bad = i % 8 == 0
+        if bad:
+            own[i % 20] = ["zounds", "blighter", "gadzooks"][i % 3]
+        rows.append((i, " ".join(own), int(bad)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return frame.select("doc_id", "text"), frame.select("doc_id", "toxic")
+
+
+def test_toxicity_holds_out_of_its_sample(labelled):
+    docs, labels = labelled
+    rows = toxicity.scores(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert len(rows) > 200
+    assert sum(r["predicted"] == r["toxic"] for r in rows) >= 0.98 * len(rows)
+    for r in rows:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
+
+
+def test_toxicity_of_odd_rows(docs, no_docs, labelled):
+    _, labels = labelled
+    assert toxicity.scores(no_docs, labels).collect() == []
+    rows = toxicity.scores(docs, labels.limit(0)).collect()
+    assert len(rows) == docs.count() and {r["score"] for r in rows} == {0.0}
+    odd = labels.unionByName(labels.sparkSession.createDataFrame([(None, 1), (3, None), (3, 1), (3, 0)], labels.schema))
+    assert toxicity.scores(docs, odd).count() == docs.count()
+    assert toxicity.clean(docs, odd).columns == docs.columns
