@@ -19,6 +19,17 @@ def ingest_ts(path: Column) -> Column:
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(UNKNOWN_INGEST))
 
 
+def before_ingest(ingest: Column, bound: str) -> Column:
+    """Whether an ingest time lies before a bound: as numbers if both are, else as text.
+
+    A file whose path names no time has an unknown one, which is never before.
+    """
+    number = ingest.try_cast("decimal(38,0)")
+    as_number = F.lit(bound).try_cast("decimal(38,0)")
+    earlier = F.coalesce(number < as_number, ingest < bound)
+    return F.when(ingest == UNKNOWN_INGEST, F.lit(False)).otherwise(earlier)
+
+
 def file_path(uri: Column) -> Column:
     """A path as listings name it, from the encoded form row metadata has."""
     return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
@@ -40,6 +51,13 @@ def _utf8(head: Column) -> Column:
     return reduce(lambda a, b: a | b, shorter, whole)
 
 
+def header_line(head: Column) -> Column:
+    """The first line of a file; NULL if it does not end within the sample."""
+    text = F.regexp_replace(head.cast("string"), "^\ufeff", "")
+    whole = text.rlike("[\r\n]") | (F.length(head) < SAMPLE_BYTES)
+    return F.when(whole, F.regexp_extract(text, r"^([^\r\n]*)", 1))
+
+
 def looks_like_csv(head: Column) -> Column:
     """Whether a file may be read: UTF-8, some delimiter, first line not empty."""
     text = head.cast("string")

@@ -1,8 +1,7 @@
 """Joins between wide relations, and to small dimensions.
 
-A dimension is broadcast only after its rows were counted against a limit.  All
-other joins are left to Spark, which broadcasts a side whose measured size is
-under ``spark.sql.autoBroadcastJoinThreshold`` and otherwise splits hot keys of a
+No side is marked for broadcast: Spark broadcasts one whose measured size is under
+``spark.sql.autoBroadcastJoinThreshold`` and otherwise splits hot keys of a
 sort-merge join at run time.
 """
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from narrowlake.model import COLLECTIONS, Roles
-from narrowlake.operators.pivots import max_columns
+from narrowlake.session import work_dir
 
 
 def cross_series_join(
@@ -60,46 +59,43 @@ def items_schedule_join(
     return items.join(schedule, list(on), "inner")
 
 
-def broadcast_if_small(dimension: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """The dimension, marked for broadcast if it has no more than ``max_rows`` rows.
-
-    The default is the limit on columns, which code lists must keep anyway.
-    Counting stops one row past the limit.
-    """
-    limit = max_columns(dimension.sparkSession) if max_rows is None else max_rows
-    small = dimension.limit(limit + 1).count() <= limit
-    return F.broadcast(dimension) if small else dimension
-
-
 def item_desc_lookup(
-    narrow: DataFrame,
-    dictionary: DataFrame,
-    roles: Roles = COLLECTIONS,
-    max_broadcast_rows: int | None = None,
+    narrow: DataFrame, dictionary: DataFrame, roles: Roles = COLLECTIONS
 ) -> DataFrame:
-    """Descriptions kept once per item, joined back to the rows."""
-    names = broadcast_if_small(dictionary.select(roles.item, roles.desc), max_broadcast_rows)
+    """Descriptions kept once per item, joined back to the rows.
+
+    A code that the dictionary has several times takes the largest of its
+    descriptions, so no row is multiplied.
+    """
+    names = dictionary.groupBy(roles.item).agg(F.max(roles.desc).alias(roles.desc))
     return narrow.drop(roles.desc).join(names, roles.item, "left")
 
 
 def number_codes(codes: DataFrame, order: str, name: str = "code_no") -> DataFrame:
-    """Codes numbered from 0 in code order.
+    """Codes numbered from 0 in code order, however many there are.
 
-    A code list becomes the columns of a table, so it is bounded by the column
-    limit and one task can number it.
+    Ranges of codes are written to the shared folder; each is numbered by itself, from
+    the number of codes in the ranges before it.
     """
-    return codes.withColumn(name, F.row_number().over(Window.orderBy(order)) - 1)
+    spark, path = codes.sparkSession, work_dir(codes.sparkSession, "codes")
+    ranged = codes.repartitionByRange(order).withColumn("_part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    stored = spark.read.schema(ranged.schema).parquet(path)
+    before = stored.groupBy("_part").count()
+    before = before.select("_part", F.expr("sum(count) OVER (ORDER BY _part) - count").alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part").orderBy(order))
+    numbered = stored.join(before, "_part").withColumn(name, F.col("_before") + own - 1)
+    return numbered.drop("_part", "_before")
 
 
 def assign_codes(rows: DataFrame, codes: DataFrame, *, row_id: Column, order: str) -> DataFrame:
     """Row i takes code i modulo the number of codes, as an equi-join."""
     n = codes.count()
-    if not 0 < n <= max_columns(codes.sparkSession):
-        raise ValueError(f"a list of {n} codes can not be numbered")
-    numbered = number_codes(codes, order)
+    if not n:
+        raise ValueError("a list without codes can not be assigned")
     return (
-        rows.withColumn("code_no", F.pmod(row_id, F.lit(n)).cast("int"))
-        .join(F.broadcast(numbered), "code_no", "inner")
+        rows.withColumn("code_no", F.pmod(row_id.cast("long"), F.lit(n).cast("long")))
+        .join(number_codes(codes, order), "code_no", "inner")
         .drop("code_no")
     )
 

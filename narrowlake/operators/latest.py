@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrowlake.model import COLLECTIONS, Roles
+from narrowlake.functions.files import before_ingest
+from narrowlake.model import COLLECTIONS, UNKNOWN_INGEST, Roles
 from narrowlake.operators.pivots import grouped
 
 
@@ -29,5 +30,9 @@ def latest_submission(
 
 
 def as_of_ingest(narrow: DataFrame, ingest: str, roles: Roles = COLLECTIONS) -> DataFrame:
-    """The table as it stood after an ingest: a filter on the partition column."""
-    return narrow.where(F.col(roles.ingest) <= ingest)
+    """The table as it stood after an ingest: a filter on the partition column.
+
+    Times compare as numbers if both are; rows of an unknown time are left out.
+    """
+    own = F.col(roles.ingest)
+    return narrow.where((own == ingest) | before_ingest(own, ingest)).where(own != UNKNOWN_INGEST)

@@ -57,7 +57,7 @@ def discover_items(narrow: DataFrame, roles: Roles = COLLECTIONS) -> dict[str, l
     """
     limit = max_columns(narrow.sparkSession)
     pairs = (
-        narrow.select(roles.series, roles.item)
+        narrow.select(roles.series, F.col(roles.item).cast("string").alias(roles.item))
         .where(F.col(roles.series).isNotNull())
         .distinct()
         .persist()
@@ -81,7 +81,11 @@ def discover_codes(rows: DataFrame, item: str) -> list[str]:
     limit = max_columns(rows.sparkSession)
     codes = [
         r[0]
-        for r in rows.select(item).where(F.col(item).isNotNull()).distinct().limit(limit + 1).collect()
+        for r in rows.select(F.col(item).cast("string").alias("_code"))
+        .where("_code IS NOT NULL")
+        .distinct()
+        .limit(limit + 1)
+        .collect()
     ]
     if len(codes) > limit:
         raise PivotError(f"more than {limit} distinct values of {item!r}")
@@ -121,7 +125,8 @@ def pivot(
     )
     if form == "auto":
         form = "block" if len(codes) > CASE_MAX_COLUMNS else "case"
-    item = F.col(item) if isinstance(item, str) else item
+    # Codes of any type become column names, so they compare as text.
+    item = (F.col(item) if isinstance(item, str) else item).cast("string")
     rows = narrow.select(*keys, item.alias("_item"), cell.alias("_cell"), *extra_max)
     if form == "case":
         return _case_form(rows, codes, keys, extra_max)
@@ -339,6 +344,14 @@ def pivot_api(
     return rows.groupBy(*roles.keys).pivot(roles.item, codes).agg(F.max(roles.value))
 
 
+def code_groups(codes: Sequence[str], prefix_length: int = 4) -> dict[str, list[str]]:
+    """Codes by their leading part."""
+    groups: dict[str, list[str]] = {}
+    for code in codes:
+        groups.setdefault(code[:prefix_length], []).append(code)
+    return groups
+
+
 def pivot_by_group(
     narrow: DataFrame,
     series: str | None = None,
@@ -346,16 +359,15 @@ def pivot_by_group(
     roles: Roles = COLLECTIONS,
     prefix_length: int = 4,
     form: str = "auto",
-) -> dict[str, DataFrame]:
-    """A series that is too wide, as one relation per leading part of the code."""
+) -> tuple[DataFrame, dict[str, list[str]]]:
+    """A wide series in one pivot, and its columns by the leading part of the code.
+
+    A relation of one group is a selection of the keys and the group's columns.
+    """
     rows = _one_series(narrow, roles, series)
-    groups: dict[str, list[str]] = {}
-    for code in discover_codes(rows, roles.item):
-        groups.setdefault(code[:prefix_length], []).append(code)
-    return {
-        group: pivot_encoded(rows, roles=roles, items=codes, form=form)
-        for group, codes in groups.items()
-    }
+    codes = discover_codes(rows, roles.item)
+    wide = pivot_encoded(rows, roles=roles, items=codes, form=form)
+    return wide, code_groups(codes, prefix_length)
 
 
 def pivot_custom(

@@ -43,15 +43,15 @@ def duplicate_items(narrow: DataFrame, roles: Roles = COLLECTIONS) -> DataFrame:
 def filing_row_check(wide: DataFrame, narrow: DataFrame, roles: Roles = COLLECTIONS) -> DataFrame:
     """Filings that a wide relation holds not exactly once, or not at all.
 
-    Both sides are reduced to counted keys before they meet.
+    Both sides meet in one aggregation and are combined on the map side first.
     """
     keys = list(roles.keys)
-    counted = wide.groupBy(*keys).agg(F.count(F.lit(1)).alias("wide_rows"))
-    expected = narrow.select(*keys).distinct().withColumn("wide_rows", F.lit(0))
+    have = wide.select(*keys, F.lit(1).alias("wide_rows"), F.lit(0).alias("_filed"))
+    filed = narrow.select(*keys, F.lit(0).alias("wide_rows"), F.lit(1).alias("_filed"))
     return (
-        counted.unionByName(expected.withColumn("wide_rows", F.col("wide_rows").cast("long")))
+        have.unionByName(filed)
         .groupBy(*keys)
-        .agg(F.sum("wide_rows").alias("wide_rows"), F.count(F.lit(1)).alias("sides"))
-        .where((F.col("wide_rows") != 1) | (F.col("sides") != 2))
+        .agg(F.sum("wide_rows").alias("wide_rows"), F.max("_filed").alias("_filed"))
+        .where("wide_rows != 1 OR _filed = 0")
         .select(*keys, "wide_rows")
     )

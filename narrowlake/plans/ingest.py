@@ -1,4 +1,4 @@
-"""Batch loads: CSV drop to narrow table."""
+"""Loads: CSV drop to narrow table."""
 
 from __future__ import annotations
 
@@ -7,22 +7,25 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
-from narrowlake.operators.filters import rejected_rows, series_is_valid, valid_series
+from narrowlake.operators.filters import reject_reason
 from narrowlake.operators.joins import new_files
-from narrowlake.sinks.tables import create_or_append, rebalanced
-from narrowlake.sources.csv import SOURCE_FILE, read_csv_strict, stamp_ingest
+from narrowlake.sinks.tables import append_merge_schema, create_or_append, rebalanced
+from narrowlake.sources.csv import MALFORMED, SOURCE_FILE, read_by_header, stamp_ingest
 from narrowlake.sources.files import valid_files
 
 LEDGER_SCHEMA = (
-    "path string, length bigint, sample_md5 string, ingest_ts string, load_id string, state string"
+    "path string, length bigint, modificationTime timestamp, sample_md5 string, ingest_ts string,"
+    " header string, load_id string, state string"
 )
-FILE_IDENTITY = ("path", "length", "sample_md5")
+# A file is taken again when it was written again, whatever its length and first bytes.
+FILE_IDENTITY = ("path", "length", "modificationTime")
 LOAD_ID = "load_id"
+REASON = "reason"
 
 
 class EmptyLoad(ValueError):
@@ -36,26 +39,38 @@ class LoadReport:
     loaded_rows: int
     rejected_rows: int
     action: str
-
-
-def _paths(files: DataFrame) -> list[str]:
-    # File names only; the driver holds them anyway to plan the scan.
-    return [row[0] for row in files.select("path").orderBy("path").collect()]
+    refused_files: tuple[tuple[str, str], ...] = ()
 
 
 def read_drop(
-    spark: SparkSession,
-    paths: Sequence[str],
+    files: DataFrame,
     roles: Roles = COLLECTIONS,
+    prefixes: Sequence[str] = SERIES_PREFIXES,
     *,
-    files: DataFrame | None = None,
     ingest_mode: str = "per_file",
     multiline: bool = True,
-    infer: bool = False,
-) -> DataFrame:
-    """Stamped rows of the given files, accepted or not."""
-    rows = read_csv_strict(spark, paths, roles, multiline=multiline, infer=infer)
-    return stamp_ingest(rows, roles, mode=ingest_mode, files=files).drop(SOURCE_FILE)
+    extra: bool = False,
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Stamped rows of sniffed files, each with the reason it is refused or NULL.
+
+    Every line of a file that is read is one row; files that are not come second.
+    """
+    rows, refused = read_by_header(files.sparkSession, files, roles, multiline=multiline, extra=extra)
+    reason = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(_series_reason(roles, prefixes))
+    rows = stamp_ingest(rows.withColumn(REASON, reason), roles, mode=ingest_mode, files=files)
+    return rows.drop(SOURCE_FILE), refused
+
+
+def _series_reason(roles: Roles, prefixes: Sequence[str]) -> Column:
+    return reject_reason(roles.series, prefixes)
+
+
+def accepted(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(REASON).isNull()).drop(REASON, MALFORMED)
+
+
+def refused_rows(rows: DataFrame) -> DataFrame:
+    return rows.where(F.col(REASON).isNotNull())
 
 
 def ingest(
@@ -68,7 +83,7 @@ def ingest(
     ingest_mode: str = "per_file",
     reject_table: str | None = None,
     multiline: bool = True,
-    infer: bool = False,
+    extra: bool = False,
     route: str = "auto",
     fmt: str = "parquet",
     table_path: str | None = None,
@@ -76,35 +91,37 @@ def ingest(
     """Load every valid file below ``path``; a second run adds the rows again.
 
     Rows are counted while they are written.  The files are read a second time
-    only if some rows were refused and a table is named to keep them.
+    only if some rows were refused and a table is named to keep them.  ``extra``
+    also loads the columns that the narrow schema does not know, added to the
+    table where it lacks them.
     """
     files = valid_files(spark, path, route)
-    paths = _paths(files)
-    if not paths:
-        raise EmptyLoad(f"no valid CSV file below {path}")
-    rows = read_drop(
-        spark, paths, roles, files=files, ingest_mode=ingest_mode, multiline=multiline, infer=infer
+    rows, refused = read_drop(
+        files, roles, prefixes, ingest_mode=ingest_mode, multiline=multiline, extra=extra
     )
+    n_files = files.count() - len(refused)
+    if n_files <= 0:
+        raise EmptyLoad(f"no CSV file below {path} can be read: {refused[:3]}")
     if rows.isEmpty():
         raise EmptyLoad(f"the files below {path} hold no rows")
     seen = Observation()
-    accepted = series_is_valid(roles.series, prefixes) if roles.series in rows.columns else F.lit(True)
     counted = rows.observe(
-        seen, F.count(F.lit(1)).alias("read_rows"), F.count_if(accepted).alias("loaded_rows")
-    )
-    action = create_or_append(
-        valid_series(counted, roles, prefixes),
-        table,
-        partition_by=(roles.series, roles.ingest),
-        fmt=fmt,
-        path=table_path,
+        seen,
+        F.count(F.lit(1)).alias("read_rows"),
+        F.count_if(F.col(REASON).isNull()).alias("loaded_rows"),
     )
+    taken = accepted(counted)
+    if extra and spark.catalog.tableExists(table):
+        append_merge_schema(taken, table)
+        action = "appended"
+    else:
+        action = create_or_append(
+            taken, table, partition_by=(roles.series, roles.ingest), fmt=fmt, path=table_path
+        )
     read, loaded = seen.get["read_rows"], seen.get["loaded_rows"]
     if reject_table and loaded < read:
-        create_or_append(
-            rejected_rows(rows, roles, prefixes), reject_table, partition_by=(), fmt=fmt
-        )
-    return LoadReport(len(paths), read, loaded, read - loaded, action)
+        create_or_append(refused_rows(rows), reject_table, partition_by=(), fmt=fmt)
+    return LoadReport(n_files, read, loaded, read - loaded, action, tuple(refused))
 
 
 def narrow_schema(roles: Roles = COLLECTIONS) -> T.StructType:
@@ -117,9 +134,29 @@ def read_loaded(spark: SparkSession, target: str, roles: Roles = COLLECTIONS) ->
     return spark.read.schema(narrow_schema(roles)).parquet(target).drop(LOAD_ID)
 
 
+def rejects_path(target: str) -> str:
+    """Where loads into ``target`` keep refused lines and files."""
+    return target.rstrip("/") + "_rejects"
+
+
+def read_rejects(spark: SparkSession, target: str, roles: Roles = COLLECTIONS) -> DataFrame:
+    """Refused lines and files of all loads; a refused file is a row with its path as the line."""
+    fields = [*roles.columns, MALFORMED, REASON, roles.ingest, LOAD_ID]
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in fields])
+    try:
+        return spark.read.schema(schema).parquet(rejects_path(target))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def write_load(rows: DataFrame, target: str, load_id: str, roles: Roles = COLLECTIONS) -> None:
     """Write the rows of one load; writing the same load again replaces them."""
-    partition_by = (roles.series, roles.ingest, LOAD_ID)
+    _replace_load(rows, target, load_id, (roles.series, roles.ingest, LOAD_ID))
+
+
+def _replace_load(rows: DataFrame, target: str, load_id: str, partition_by: Sequence[str]) -> None:
     (
         rebalanced(rows.withColumn(LOAD_ID, F.lit(load_id)), partition_by)
         .write.mode("overwrite")
@@ -129,6 +166,41 @@ def write_load(rows: DataFrame, target: str, load_id: str, roles: Roles = COLLEC
     )
 
 
+def load_files(
+    files: DataFrame,
+    target: str,
+    load_id: str,
+    *,
+    roles: Roles = COLLECTIONS,
+    prefixes: Sequence[str] = SERIES_PREFIXES,
+    multiline: bool = True,
+) -> tuple[int, int]:
+    """Store accepted rows of sniffed files, and what was refused beside them.
+
+    Returns the numbers of lines read and of rows stored; the rejects of the load make
+    up the difference.  Running the same load again replaces what it stored.
+    """
+    spark = files.sparkSession
+    rows, refused = read_drop(files, roles, prefixes, multiline=multiline)
+    read = kept = 0
+    if not rows.isEmpty():
+        seen = Observation()
+        counted = rows.observe(
+            seen,
+            F.count(F.lit(1)).alias("read"),
+            F.count_if(F.col(REASON).isNull()).alias("stored"),
+        )
+        write_load(accepted(counted), target, load_id, roles)
+        read, kept = seen.get["read"], seen.get["stored"]
+    if kept < read or refused:
+        lines = refused_rows(rows)
+        if refused:
+            files_refused = spark.createDataFrame(refused, f"{MALFORMED} string, {REASON} string")
+            lines = lines.unionByName(files_refused, allowMissingColumns=True)
+        _replace_load(lines, rejects_path(target), load_id, (LOAD_ID,))
+    return read, kept
+
+
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
@@ -154,10 +226,13 @@ def load_new(
     Files are written down as taken before they are read and as loaded after
     their rows are stored.  A run that died in between is finished first, under
     its own load id, whose rows are replaced: no file is lost or loaded twice.
+    A file that is written again under its name is a new file; its rows join
+    the earlier ones, and reads of the latest state choose between them.
+    Files that hold no line at all are written down as empty and raise.
     One run at a time.
     """
     known = read_ledger(spark, ledger)
-    done = known.where(F.col("state") == "loaded").select(LOAD_ID)
+    done = known.where(F.col("state").isin("loaded", "empty")).select(LOAD_ID)
     unfinished = (
         known.where(F.col("state") == "taken").join(done, LOAD_ID, "left_anti").agg(F.min(LOAD_ID))
     ).first()[0]
@@ -167,19 +242,21 @@ def load_new(
         load_id = uuid.uuid4().hex
         taken = new_files(
             valid_files(spark, path, route), known.where(F.col("state") == "taken"), FILE_IDENTITY
-        )
-        _append_ledger(taken, ledger, load_id, "taken")
+        ).persist()
+        try:
+            if taken.isEmpty():
+                return 0
+            _append_ledger(taken, ledger, load_id, "taken")
+        finally:
+            taken.unpersist()
     files = read_ledger(spark, ledger).where(
         (F.col(LOAD_ID) == load_id) & (F.col("state") == "taken")
     )
-    paths = _paths(files)
-    if not paths:
-        return 0
-    rows = valid_series(read_drop(spark, paths, roles, multiline=multiline), roles, prefixes)
-    write_load(rows, target, load_id, roles)
-    _append_ledger(files, ledger, load_id, "loaded")
+    count = files.count()
+    read, _ = load_files(files, target, load_id, roles=roles, prefixes=prefixes, multiline=multiline)
+    _append_ledger(files, ledger, load_id, "loaded" if read else "empty")
     if unfinished:
-        return len(paths) + load_new(
+        return count + load_new(
             spark,
             path,
             target,
@@ -189,14 +266,15 @@ def load_new(
             multiline=multiline,
             route=route,
         )
-    return len(paths)
+    if not read:
+        raise EmptyLoad(f"the {count} new files below {path} hold no rows")
+    return count
 
 
 def _append_ledger(files: DataFrame, ledger: str, load_id: str, state: str) -> None:
+    columns = ("path", "length", "modificationTime", "sample_md5", "ingest_ts", "header")
     (
-        files.select(
-            *FILE_IDENTITY, "ingest_ts", F.lit(load_id).alias(LOAD_ID), F.lit(state).alias("state")
-        )
+        files.select(*columns, F.lit(load_id).alias(LOAD_ID), F.lit(state).alias("state"))
         .write.mode("append")
         .parquet(ledger)
     )

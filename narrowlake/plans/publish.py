@@ -5,25 +5,24 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from narrowlake.functions.cells import encode_cell_sql, quoted, text_literal
-from narrowlake.model import COLLECTIONS, KV, SERIES_PREFIXES, Roles
+from narrowlake.model import COLLECTIONS, KV, SERIES_PREFIXES, UNKNOWN_INGEST, Roles
 from narrowlake.operators.filters import series_is_valid
-from narrowlake.operators.pivots import check_columns, discover_items, pivot_encoded, pivot_kv
+from narrowlake.operators.pivots import check_columns, discover_codes, pivot_encoded, pivot_kv
 from narrowlake.operators.quality import all_string_columns
 from narrowlake.session import PARALLEL_JOBS
 from narrowlake.sinks.tables import replace_wide_table, table_name
 
-# Names of published relations, and the longest text of a view.
+# Names of the plain views, unless the caller gives others.
 ALL_ROWS_VIEW = "collections_data_vw"
-ONE_SERIES_VIEW = "cdp_data_vw"
-MAX_VIEW_CHARS = 250_000
+ONE_SERIES_VIEW = "one_series_vw"
 
-# A view computes one maximum per column on every read.  At 850 characters for a
-# spelled-out column, this many fill the longest text.
-MAX_VIEW_COLUMNS = 300
+# A relation is a view, which follows its table, or a table, which is a state of it.
+# Which one is the caller's choice, never that of a size.
+KINDS = ("view", "table")
 
 STATUS_SCHEMA = (
     "name string, series string, kind string, n_columns int, status string, error string"
@@ -60,15 +59,13 @@ def drop_relation(spark: SparkSession, name: str) -> None:
 
 
 def create_view(spark: SparkSession, name: str, body: str) -> None:
-    """Create the view in place of any earlier relation of its name."""
-    drop_relation(spark, name)
+    """Create the view in place of any earlier one; a stored table of its name goes first."""
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        spark.sql(body).schema  # a body that can not be analysed leaves the table alone
+        drop_relation(spark, name)
     spark.sql(f"CREATE OR REPLACE VIEW {table_name(name)} AS {body}")
 
 
-def temp_view(rows: DataFrame, name: str) -> None:
-    rows.createOrReplaceTempView(name)
-
-
 def list_views(spark: SparkSession, database: str | None = None, like: str = "*") -> DataFrame:
     """Names of views by pattern."""
     where = f" IN {table_name(database)}" if database else ""
@@ -77,6 +74,14 @@ def list_views(spark: SparkSession, database: str | None = None, like: str = "*"
     )
 
 
+def list_relations(spark: SparkSession, database: str | None = None, like: str = "*") -> DataFrame:
+    """Names of views and stored tables by pattern."""
+    where = f" IN {table_name(database)}" if database else ""
+    return spark.sql(f"SHOW TABLES{where} LIKE {text_literal(like)}").where("NOT isTemporary").select(
+        F.col("tableName").alias("name")
+    )
+
+
 def drop_views(spark: SparkSession, prefix: str, database: str | None = None) -> list[str]:
     """Drop all views whose name starts with ``prefix``."""
     names = sorted(r[0] for r in list_views(spark, database, prefix + "*").collect())
@@ -152,10 +157,17 @@ def publish_as_of(
     create_view(
         spark,
         view,
-        f"SELECT * FROM {table_name(table)} WHERE {quoted(roles.ingest)} <= {text_literal(ingest)}",
+        f"SELECT * FROM {table_name(table)} WHERE {as_of_sql(quoted(roles.ingest), ingest)}",
     )
 
 
+def as_of_sql(ingest: str, bound: str) -> str:
+    """Ingest times up to a bound, as numbers if both are, else as text."""
+    at = text_literal(bound)
+    number = f"try_cast({ingest} AS DECIMAL(38, 0)) <= try_cast({at} AS DECIMAL(38, 0))"
+    return f"coalesce({number}, {ingest} <= {at}) AND {ingest} <> {text_literal(UNKNOWN_INGEST)}"
+
+
 def pivot_view_sql(
     table: str, series: str, codes: Sequence[str], cell_sql: str, roles: Roles = COLLECTIONS
 ) -> str:
@@ -192,27 +204,37 @@ def _publish(
     cell_sql: str,
     build: Callable[..., DataFrame],
     database: str | None,
-    max_view_chars: int | None,
-    max_view_columns: int | None,
+    kind: str | Mapping[str, str],
     location: str | None,
 ) -> DataFrame:
+    kinds = {kind} if isinstance(kind, str) else set(kind.values())
+    if not kinds <= set(KINDS):
+        raise ValueError(f"unknown kind {sorted(kinds - set(KINDS))}")
     source = spark.table(table)
     chosen = source if prefixes is None else source.where(series_is_valid(roles.series, prefixes))
-    found = discover_items(chosen, roles)
-    names = names_of(list(found), name_fn)
+    series_found = [r[0] for r in chosen.select(roles.series).distinct().collect()]
+    found = sorted(s for s in series_found if s is not None)
+    names = names_of(found, name_fn)
 
     def make(series: str) -> tuple[str, int]:
-        name, codes = _qualified(database, names[series]), found[series]
+        # Codes of one series at a time: the limit on columns bounds what is fetched.
+        name = _qualified(database, names[series])
+        codes = discover_codes(chosen.where(F.col(roles.series) == series), roles.item)
         check_columns(codes, roles.keys)
-        if codes and (max_view_columns is None or len(codes) <= max_view_columns):
-            body = pivot_view_sql(table, series, codes, cell_sql, roles)
-            if max_view_chars is None or len(body) <= max_view_chars:
-                return _view(spark, name, body)
+        of = kind if isinstance(kind, str) else kind.get(series, "view")
+        if of == "view":
+            keys = ", ".join(quoted(k) for k in roles.keys)
+            bare = (
+                f"SELECT DISTINCT {keys} FROM {table_name(table)} "
+                f"WHERE {quoted(roles.series)} = {text_literal(series)}"
+            )
+            body = pivot_view_sql(table, series, codes, cell_sql, roles) if codes else bare
+            return _view(spark, name, body)
         wide = build(source, series, roles=roles, items=codes)
         if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW":
             drop_relation(spark, name)
         path = f"{location.rstrip('/')}/{names[series]}" if location else None
-        replace_wide_table(wide, name, path=path)
+        replace_wide_table(wide, name, partition_by=[roles.as_of] if roles.as_of else (), path=path)
         return "table", len(wide.columns)
 
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
@@ -229,7 +251,6 @@ def _publish(
     none = F.lit(None).cast("string")
     skipped = (
         source.where(~series_is_valid(roles.series, prefixes))
-        .where(F.col(roles.series).isNotNull())
         .select(F.col(roles.series).alias("series"))
         .distinct()
         .select(
@@ -251,15 +272,16 @@ def publish_wide(
     roles: Roles = COLLECTIONS,
     prefixes: Sequence[str] = SERIES_PREFIXES,
     database: str | None = None,
-    max_view_chars: int | None = MAX_VIEW_CHARS,
-    max_view_columns: int | None = MAX_VIEW_COLUMNS,
+    kind: str | Mapping[str, str] = "view",
     location: str | None = None,
     name_fn: Callable[[str], str] = wide_view_name,
 ) -> DataFrame:
     """One relation per accepted series with encoded cells.
 
-    A view, or beyond ``max_view_chars`` of text or ``max_view_columns`` items a
-    table that is written anew.  Returns what was created, failed and skipped.
+    ``kind`` is that of all relations, or of some by series: a view, which follows the
+    table whatever its width, or a table, stored by as-of date and written anew.  Returns
+    what was created, failed and skipped; rows without a series, or with a blank one that
+    partitioned files hold as none, are one skipped row.
     """
     return _publish(
         spark,
@@ -270,8 +292,7 @@ def publish_wide(
         cell_sql=encode_cell_sql(roles),
         build=pivot_encoded,
         database=database,
-        max_view_chars=max_view_chars,
-        max_view_columns=max_view_columns,
+        kind=kind,
         location=location,
     )
 
@@ -283,11 +304,10 @@ def publish_report(
     roles: Roles = KV,
     database: str | None = None,
     name_fn: Callable[[str], str] = report_view_name,
-    max_view_chars: int | None = None,
-    max_view_columns: int | None = None,
+    kind: str | Mapping[str, str] = "view",
     location: str | None = None,
 ) -> DataFrame:
-    """One key/value pivot per series, values in their own type; views unless limited."""
+    """One key/value pivot per series, values in their own type."""
     return _publish(
         spark,
         table,
@@ -297,8 +317,7 @@ def publish_report(
         cell_sql=quoted(roles.value),
         build=pivot_kv,
         database=database,
-        max_view_chars=max_view_chars,
-        max_view_columns=max_view_columns,
+        kind=kind,
         location=location,
     )
 
@@ -319,20 +338,11 @@ def materialise_wide(
         roles=roles,
         database=database,
         name_fn=prefixed_name(prefix),
-        max_view_columns=0,
+        kind="table",
         location=location,
     )
 
 
-def rename_published(
-    spark: SparkSession, view: str, names: Mapping[str, str], keys: Sequence[str]
-) -> DataFrame:
-    """A published relation with business names for its items."""
-    return spark.table(view).select(
-        *keys, *[F.col(quoted(code)).alias(name) for code, name in names.items()]
-    )
-
-
 def check_views(
     spark: SparkSession,
     source_table: str,
@@ -341,40 +351,57 @@ def check_views(
     database: str | None = None,
     roles: Roles = COLLECTIONS,
 ) -> DataFrame:
-    """Checks of every view: schema, rows, sample, grouping, columns, join to the source."""
+    """Checks of every relation, view or table: schema, rows, sample, grouping, columns,
+    join to the source.  Rows, sample, groups and columns come from one aggregation of
+    the keys and the first items, the join from one comparison of keys.
+    """
     source = spark.table(source_table)
     keys = list(roles.keys)
 
     def checks(name: str) -> list[tuple]:
         view = spark.table(_qualified(database, name))
         items = [c for c in view.columns if c not in keys]
+        few = items[:5]
+        measured: list[Row] = []
+
+        def found() -> Row:
+            if not measured:
+                by = (roles.series, roles.as_of or keys[1])
+                filled = [F.count(F.col(quoted(c))).alias(f"_{n}") for n, c in enumerate(few)]
+                grouped = view.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"), *filled)
+                sums = [F.sum(f"_{n}").alias(f"_{n}") for n in range(len(few))]
+                measured.append(
+                    grouped.agg(F.sum("_rows").alias("rows"), F.count(F.lit(1)).alias("groups"), *sums).first()
+                )
+            return measured[0]
 
         def schema():
             bad = all_string_columns(view)
             return not bad, f"{len(view.columns)} columns, not text: {bad}"
 
         def rows():
-            n = view.count()
+            n = found()["rows"] or 0
             return n > 0, f"{n} rows"
 
         def sample():
-            n = len(view.take(5))
+            n = min(5, found()["rows"] or 0)
             return n > 0, f"{n} rows"
 
         def group():
-            n = view.groupBy(roles.series, roles.as_of or keys[1]).count().count()
+            n = found()["groups"]
             return n > 0, f"{n} groups"
 
         def columns():
-            few = items[:5]
-            view.select(roles.series, *[F.col(quoted(c)) for c in few]).take(3)
-            return bool(few), f"{len(few)} item columns"
+            filled = sum(bool(found()[f"_{n}"]) for n in range(len(few)))
+            return bool(few), f"{len(few)} item columns, {filled} with values"
 
         def joins():
-            known = source.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
-            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
-            n = view.select(*keys).join(known, same, "left_anti").count()
-            return n == 0, f"{n} rows without a source row"
+            own = view.select(*keys, F.lit(1).alias("_in_view"), F.lit(0).alias("_in_source"))
+            known = source.select(*keys, F.lit(0).alias("_in_view"), F.lit(1).alias("_in_source"))
+            sides = own.unionByName(known).groupBy(*keys)
+            sides = sides.agg(F.max("_in_view").alias("v"), F.max("_in_source").alias("s"))
+            n = sides.where("v = 1 AND s = 0").count()
+            return n == 0, f"{n} filings without a source row"
 
         out = []
         for check in (schema, rows, sample, group, columns, joins):
@@ -385,7 +412,7 @@ def check_views(
             out.append((name, check.__name__, passed, detail))
         return out
 
-    names = sorted(r[0] for r in list_views(spark, database, like).collect())
+    names = sorted(r[0] for r in list_relations(spark, database, like).collect())
     with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
         found = [row for rows in pool.map(checks, names) for row in rows]
     return spark.createDataFrame(found, CHECK_SCHEMA)

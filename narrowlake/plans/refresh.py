@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import quote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,7 +14,13 @@ from pyspark.sql import types as T
 from narrowlake.model import COLLECTIONS, Roles
 from narrowlake.operators.pivots import discover_items, pivot_encoded
 from narrowlake.session import PARALLEL_JOBS
-from narrowlake.sinks.tables import rebalanced, upsert_wide, write_parquet
+from narrowlake.sinks.tables import (
+    keep_schema,
+    merge_wide,
+    rebalanced,
+    stored_schema,
+    write_parquet,
+)
 
 
 def touched_series(batch: DataFrame, roles: Roles = COLLECTIONS) -> list[str]:
@@ -36,7 +43,10 @@ def refresh_summary(
 
 
 def wide_path(root: str, series: str) -> str:
-    return f"{root.rstrip('/')}/{series.lower()}_wide"
+    """Folder of a series; any two series have different ones, also where case does not count."""
+    name = quote(series, safe="").replace(".", "%2E")
+    mark = "" if series == series.upper() else f"-{zlib.crc32(series.encode()):08x}"
+    return f"{root.rstrip('/')}/{name}{mark}_wide"
 
 
 def refresh_series(
@@ -48,9 +58,9 @@ def refresh_series(
 
     def rebuild(name: str) -> None:
         wide = pivot_encoded(narrow, name, roles=roles, items=found[name])
-        write_parquet(
-            wide, wide_path(root, name), partition_by=[roles.as_of] if roles.as_of else ()
-        )
+        path = wide_path(root, name)
+        write_parquet(wide, path, partition_by=[roles.as_of] if roles.as_of else ())
+        keep_schema(narrow.sparkSession, path, wide.schema)
 
     _for_each(rebuild, found)
 
@@ -71,26 +81,20 @@ def changed_filings(
     return pivot_encoded(rows.join(touched, same, "left_semi"), roles=roles)
 
 
-def refresh_filings(
-    narrow: DataFrame, batch: DataFrame, root: str, roles: Roles = COLLECTIONS
-) -> None:
-    """Refresh only the filings a batch touches in the stored wide relations.
+def refresh_filings(batch: DataFrame, root: str, roles: Roles = COLLECTIONS) -> None:
+    """Merge a batch into the stored wide relations of its series.
 
-    A series without a stored relation gets one.  Folders that are not touched
-    keep the columns they were written with, so read with ``read_wide``.
+    Reads the batch and the dates it has filings of, however long the series' history.
+    A series without a stored relation gets one.  Folders that are not touched keep the
+    columns they were written with, so read with ``read_wide``.
     """
-    spark = narrow.sparkSession
 
     def refresh(series: str) -> None:
-        path = wide_path(root, series)
-        changed = changed_filings(narrow, batch, series, roles).persist()
+        wide = pivot_encoded(batch, series, roles=roles).persist()
         try:
-            if is_stored(spark, path):
-                upsert_wide(changed, path, keys=roles.keys, partition_by=[roles.as_of])
-            else:
-                write_parquet(changed, path, partition_by=[roles.as_of])
+            merge_wide(wide, wide_path(root, series), keys=roles.keys, partition_by=[roles.as_of])
         finally:
-            changed.unpersist()
+            wide.unpersist()
 
     _for_each(refresh, touched_series(batch, roles))
 
@@ -101,22 +105,14 @@ def _for_each(job: Callable[[str], None], names: Iterable[str]) -> None:
         list(pool.map(job, names))
 
 
-def is_stored(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() not in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}:
-            raise
-        return False
-    return True
-
-
 def read_wide(
     spark: SparkSession, root: str, series: str, roles: Roles = COLLECTIONS
 ) -> DataFrame:
     """A stored wide relation with the columns of all its folders, keys as text."""
     path = wide_path(root, series)
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    found = stored_schema(spark, path)
+    if found is None:
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
     keys = set(roles.keys)
     schema = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name in keys else f.dataType) for f in found]

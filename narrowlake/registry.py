@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrowlake.functions.cells import decode_cell, decode_regex, encode_cell
-from narrowlake.model import COLLECTIONS, ENTITY, KV
+from narrowlake.model import COLLECTIONS, ENTITY, KV, UNKNOWN_INGEST
 from narrowlake.operators import aggregates as agg
 from narrowlake.operators import filters as flt
 from narrowlake.operators import joins, latest, pivots, quality, sets
@@ -57,23 +56,24 @@ def wide_encoded_multi(spark, folder):
 
 @query
 def wide_encoded_80(spark, folder):
-    return _coded(spark, folder, 80, ["seriesid", "aod", "rssdid"])
+    return _coded(spark, folder, 80)
 
 
 @query
 def wide_encoded_550(spark, folder):
-    return _coded(spark, folder, 550, ["seriesid", "rssdid"])
+    return _coded(spark, folder, 550)
 
 
 @query
 def wide_encoded_1900(spark, folder):
-    return _coded(spark, folder, 1900, ["seriesid", "aod"])
+    return _coded(spark, folder, 1900)
 
 
-def _coded(spark, folder, width, keys):
+def _coded(spark, folder, width):
+    """A row for each filing with all its keys, a column for each of very many codes."""
     rows = trade.coded_collections(spark, folder, width)
     codes = pivots.discover_codes(rows, COLLECTIONS.item)
-    return pivots.pivot(rows, encode_cell(), codes, keys=keys, item=COLLECTIONS.item)
+    return pivots.pivot(rows, encode_cell(), codes, keys=KEYS, item=COLLECTIONS.item)
 
 
 @query
@@ -108,10 +108,10 @@ def wide_api(spark, folder):
 
 @query
 def wide_by_group(spark, folder):
-    """Groups of codes pivoted apart, put side by side again by filing."""
+    """Groups of codes side by side, out of one pivot."""
     rows = trade.coded_collections(spark, folder, 160)
-    groups = pivots.pivot_by_group(rows, SERIES, prefix_length=4)
-    return reduce(lambda a, b: a.join(b, KEYS, "full"), groups.values())
+    wide, groups = pivots.pivot_by_group(rows, SERIES, prefix_length=4)
+    return wide.select(*KEYS, *[c for codes in groups.values() for c in codes])
 
 
 @query
@@ -228,7 +228,7 @@ def renamed_items(spark, folder):
     return prj.rename_items(
         flt.by_as_of(wide, QUARTER),
         ["aod", "rssdid"],
-        {"ITEM1": "loans_residential", "ITEM2": "loans_other"},
+        {"ITEM1": "first_line", "ITEM2": "second_line"},
     ).orderBy("rssdid")
 
 
@@ -257,7 +257,7 @@ def first_rows(spark, folder):
 
 @query
 def add_literal(spark, folder):
-    return prj.add_literal(trade.entity(spark, folder), "ingest_timestamp", "1770609249")
+    return prj.add_literal(trade.entity(spark, folder), "ingest_timestamp", "20240229")
 
 
 @query
@@ -435,11 +435,13 @@ def decode_cells(spark, folder):
 
 @query
 def compare_outputs(spark, folder):
-    """Both pivot forms of one relation; equal, so empty."""
+    """The two pivot forms, one of them of a table that lost rows: what differs comes out."""
     rows = trade.collections(spark, folder)
+    codes = pivots.discover_codes(flt.by_series(rows, SERIES), COLLECTIONS.item)
+    damaged = rows.where("rssdid NOT LIKE '%7' OR item_mdrm <> 'ITEM1'")
     return sets.compare_outputs(
-        pivots.pivot_encoded(rows, SERIES, form="case"),
-        pivots.pivot_encoded(rows, SERIES, form="block"),
+        pivots.pivot_encoded(rows, SERIES, items=codes, form="case"),
+        pivots.pivot_encoded(damaged, SERIES, items=codes, form="block"),
     )
 
 
@@ -457,13 +459,26 @@ def duplicate_items(spark, folder):
 
 @query
 def one_row_per_filing(spark, folder):
+    """A wide relation that lost some filings and holds others twice."""
     rows = flt.by_series(trade.collections(spark, folder), SERIES)
-    return quality.filing_row_check(pivots.pivot_encoded(rows), rows)
+    wide = pivots.pivot_encoded(rows)
+    times = F.expr("CASE WHEN rssdid LIKE '%7' THEN 0 WHEN rssdid LIKE '%3' THEN 2 ELSE 1 END")
+    damaged = wide.select("*", F.explode(F.array_repeat(F.lit(1), times))).drop("col")
+    return quality.filing_row_check(damaged, rows)
 
 
 @query
 def no_unknown_ingest(spark, folder):
-    return quality.unknown_ingest_count(trade.collections(spark, folder))
+    """Rows whose files named no ingest time: those of one item here."""
+    rows = trade.collections(spark, folder)
+    lost = F.when(F.col("item_mdrm") == "ITEM7", UNKNOWN_INGEST).otherwise(F.col("ingest_timestamp"))
+    return quality.unknown_ingest_count(rows.withColumn("ingest_timestamp", lost))
+
+
+@query
+def non_empty(spark, folder):
+    """The guard lets a relation with rows pass as it is."""
+    return quality.non_empty(trade.collections(spark, folder), "collections").select(*KEYS, "item_mdrm")
 
 
 # ---------------------------------------------------------------- files and tables
@@ -728,8 +743,7 @@ def _bare(status: DataFrame) -> DataFrame:
 @query
 def publish_wide_status(spark, folder):
     table = _new_table(spark, folder, "raw")
-    rows = trade.raw_collections(spark, folder)
-    sink.create_partitioned(rows.where("seriesid IS NOT NULL AND seriesid != ''"), table)
+    sink.create_partitioned(trade.raw_collections(spark, folder), table)
     return _bare(publish.publish_wide(spark, table, database=_new_database(spark)))
 
 
@@ -745,10 +759,10 @@ def published_view_names(spark, folder):
 
 @query
 def materialised_wide(spark, folder):
-    """The same relation stored as a table, as for text over the view limit."""
+    """The same relation stored as a table, as the caller chooses for one series."""
     database = _new_database(spark)
     publish.publish_wide(
-        spark, _narrow_table(spark, folder), database=database, max_view_columns=0
+        spark, _narrow_table(spark, folder), database=database, kind={SERIES: "table"}
     )
     return spark.table(f"{database}.fry9c_wide_view")
 
@@ -774,15 +788,100 @@ def published_report(spark, folder):
 
 @query
 def view_check_report(spark, folder):
-    report = publish.check_views(
-        spark, _narrow_table(spark, folder), database=_published(spark, folder), like="*_wide_view"
+    """Checks of views, of a stored table, and of a view whose filings are in no table."""
+    database, table = _new_database(spark), _narrow_table(spark, folder)
+    publish.publish_wide(spark, table, database=database, kind={SERIES: "table"})
+    spark.sql(
+        f"CREATE VIEW {database}.stray_wide_view AS SELECT seriesid, aod, concat('x', rssdid) AS rssdid, "
+        f"submission_ts, `ITEM1` FROM {database}.fry15_wide_view"
     )
+    report = publish.check_views(spark, table, database=database, like="*_wide_view")
     return report.select("view", "check", "passed")
 
 
+@query
+def published_as_of(spark, folder):
+    """The published view of an earlier state of the table."""
+    view = f"{_new_database(spark)}.collections_asof"
+    publish.publish_as_of(spark, _narrow_table(spark, folder), view, INGEST)
+    return agg.rows_by(spark.table(view), "seriesid", "ingest_timestamp")
+
+
+@query
+def recreated_views(spark, folder):
+    """Views published, dropped by prefix and published again, with another body."""
+    database, table = _new_database(spark), _narrow_table(spark, folder)
+    publish.publish_wide(spark, table, database=database)
+    publish.drop_views(spark, "fry", database)
+    publish.publish_wide(spark, table, database=database, prefixes=["FR2004A"])
+    return publish.list_views(spark, database)
+
+
+@query
+def table_properties(spark, folder):
+    """Properties set on a table and read back, with a quote in a value."""
+    table = _new_table(spark, folder, "marked")
+    sink.create_partitioned(trade.collections(spark, folder), table)
+    sink.set_table_properties(spark, table, {"layer": "it's narrow", "loaded_by": "loads"})
+    marked = spark.sql(f"SHOW TBLPROPERTIES {table}").where("key IN ('layer', 'loaded_by')")
+    return marked.withColumn("row_count", F.lit(spark.table(table).count()))
+
+
 # ---------------------------------------------------------------- streams
 
 
+@_once
+def _changing_drop(spark, folder):
+    """Files of three layouts: as written, columns turned round with one more, and three optional ones missing."""
+    path = work_dir(spark, "changing")
+    rows = trade.raw_collections(spark, folder).select(*COLLECTIONS.columns, F.col("ingest_timestamp").alias("ingest_ts"))
+    late = F.col("ingest_ts") > INGEST
+    whole = rows.where(~late)
+    turned = rows.where(late & (F.col("rssdid") % 2 == 0)).withColumn("loader", F.lit("v2"))
+    turned = turned.select("ingest_ts", "loader", *reversed(COLLECTIONS.columns))
+    fewer = rows.where(late & (F.col("rssdid") % 2 != 0)).drop(
+        "context_level3_mdrm", "context_level3_desc", "context_level3_value"
+    )
+    for part in (whole, turned, fewer):
+        part.write.mode("append").partitionBy("ingest_ts").options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
+    return path
+
+
+@query
+def load_changing_headers(spark, folder):
+    """Columns taken by name whatever their order and number; nothing is shifted or lost."""
+    target, ledger = work_dir(spark, "narrow"), work_dir(spark, "ledger")
+    loads.load_new(spark, _changing_drop(spark, folder), target, ledger)
+    return loads.read_loaded(spark, target)
+
+
+@query
+def load_rejects(spark, folder):
+    """What the load refused, by reason; with the stored rows it adds up to the lines read."""
+    target, ledger = work_dir(spark, "narrow"), work_dir(spark, "ledger")
+    loads.load_new(spark, _changing_drop(spark, folder), target, ledger)
+    return agg.rows_by(loads.read_rejects(spark, target), "reason")
+
+
+@query
+def load_extra_columns(spark, folder):
+    """A load that adds a column which only some files have."""
+    table = _new_table(spark, folder, "extra")
+    loads.ingest(spark, _changing_drop(spark, folder), table, extra=True)
+    return agg.rows_by(spark.table(table), "seriesid", "loader")
+
+
+@query
+def stream_rejects(spark, folder):
+    """The same rejects out of a stream of several batches."""
+    target = work_dir(spark, "streamed")
+    rows = streams.read_drop_stream(spark, _changing_drop(spark, folder), max_files_per_trigger=60)
+    streams.ingest_stream(rows, target, work_dir(spark, "checkpoint")).awaitTermination()
+    return agg.rows_by(loads.read_rejects(spark, target), "reason")
+
+
 @query
 def stream_ingest(spark, folder):
     """The drop read as a stream, run twice over one checkpoint."""

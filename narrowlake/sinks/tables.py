@@ -7,19 +7,27 @@ share of the rows is split over many tasks.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from itertools import batched
 from urllib.parse import unquote
 from uuid import uuid4
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from narrowlake.functions.cells import quoted, text_literal
+from narrowlake.functions.files import before_ingest
 from narrowlake.model import COLLECTIONS, Roles
 
 
+# Partitions that one catalog statement drops.
+PARTITIONS_PER_DROP = 200
+
+
 def table_name(name: str) -> str:
     """A dotted name as SQL text."""
     return ".".join(quoted(part) for part in name.split("."))
@@ -200,42 +208,124 @@ def upsert_rows(current: DataFrame, changed: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(changed, allowMissingColumns=True)
 
 
-def _same_partition(values: Mapping[str, object]) -> Column:
-    return reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in values.items()]
+def schema_path(path: str) -> str:
+    return path.rstrip("/") + "_schema"
+
+
+def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Write the schema of a stored relation down beside it.
+
+    Every version is kept in a file of its own; the widest counts, as columns are only added.
+    """
+    known = stored_schema(spark, path)
+    if known is None or set(schema.names) - set(known.names):
+        fields = {f.name: f for f in (known or T.StructType()).fields} | {f.name: f for f in schema.fields}
+        text = T.StructType(list(fields.values())).json()
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(schema_path(path))
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema kept beside a relation; None if there is none.  No data file is opened."""
+    try:
+        kept = [r[0] for r in spark.read.text(schema_path(path)).collect()]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    found = [T.StructType.fromJson(json.loads(text)) for text in kept]
+    return max(found, key=lambda s: len(s.fields)) if found else None
+
+
+def _touched(changed: DataFrame, partition_by: Sequence[str]) -> Column | None:
+    """A filter on the partitions of the changed rows; None without rows.
+
+    Their names, not their rows, pass through the driver, as in any write of partitions.
+    """
+    values = changed.select(*partition_by).distinct().collect()
+    if not values:
+        return None
+    if len(partition_by) > 1:
+        return reduce(
+            lambda a, b: a | b,
+            [
+                reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.lit(v)) for k, v in row.asDict().items()])
+                for row in values
+            ],
+        )
+    (name,) = partition_by
+    known = [row[0] for row in values if row[0] is not None]
+    hit = F.col(name).isin(known) if known else F.lit(False)
+    return hit | F.col(name).isNull() if len(known) < len(values) else hit
+
+
+def _check_partitions(keys: Sequence[str], partition_by: Sequence[str]) -> None:
+    others = sorted(set(partition_by) - set(keys))
+    if others:
+        raise ValueError(f"partition columns {others} are no keys: a changed row could leave its old one behind")
+
+
+def _replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    (
+        rebalanced(rows, partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partition_by)
+        .parquet(path)
     )
 
 
+def merge_wide(
+    batch: DataFrame, path: str, *, keys: Sequence[str], partition_by: Sequence[str]
+) -> None:
+    """Merge the wide rows of a batch into a stored wide relation, cell by cell.
+
+    A cell is the largest value of its rows, so the larger of the stored and the new
+    cell is that of all rows: nothing but the batch and the touched partitions is
+    read, and merging a batch again changes nothing.
+    """
+    _check_partitions(keys, partition_by)
+    spark = batch.sparkSession
+    where = _touched(batch, partition_by)
+    if where is None:
+        return
+    schema = stored_schema(spark, path)
+    rows = batch
+    if schema is not None:
+        rows = spark.read.schema(schema).parquet(path).where(where).unionByName(batch, allowMissingColumns=True)
+        cells = [c for c in rows.columns if c not in set(keys)]
+        rows = rows.groupBy(F.xxhash64(*keys).alias("_sort"), *keys).agg(
+            *[F.expr(f"max({quoted(c)}) AS {quoted(c)}") for c in cells]
+        ).drop("_sort")
+    keep_schema(spark, path, rows.schema)
+    _replace_partitions(rows, path, partition_by)
+
+
 def upsert_wide(
     changed: DataFrame, path: str, *, keys: Sequence[str], partition_by: Sequence[str]
 ) -> None:
-    """Refresh the changed filings of a stored wide relation.
+    """Put changed filings in place of those of the same key in a stored wide relation.
 
     Only partitions with changed filings are read and written again; their names,
     not their rows, are what passes through the driver.
     """
+    _check_partitions(keys, partition_by)
     spark = changed.sparkSession
     # Partition values are read back in the type of the changed rows, not guessed.
     kinds = {f.name: f.dataType for f in changed.schema.fields}
-    stored = spark.read.option("mergeSchema", True).parquet(path).schema
+    stored = stored_schema(spark, path) or spark.read.option("mergeSchema", True).parquet(path).schema
     schema = T.StructType(
         [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in stored.fields]
     )
-    touched = [row.asDict() for row in changed.select(*partition_by).distinct().collect()]
-    if not touched:
-        return
-    affected = (
-        spark.read.schema(schema)
-        .parquet(path)
-        .where(reduce(lambda a, b: a | b, [_same_partition(values) for values in touched]))
-    )
-    (
-        rebalanced(upsert_rows(affected, changed, keys), partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
+    changed = changed.persist()
+    try:
+        where = _touched(changed, partition_by)
+        if where is None:
+            return
+        rows = upsert_rows(spark.read.schema(schema).parquet(path).where(where), changed, keys)
+        keep_schema(spark, path, rows.schema)
+        _replace_partitions(rows, path, partition_by)
+    finally:
+        changed.unpersist()
 
 
 def drop_old_ingests(
@@ -245,11 +335,14 @@ def drop_old_ingests(
 
     Only catalog entries and folders are touched, no row is read.
     """
-    dropped = []
-    for (spec,) in spark.sql(f"SHOW PARTITIONS {table_name(table)}").collect():
-        values = {k: unquote(v) for k, v in (part.split("=", 1) for part in spec.split("/"))}
-        if values[roles.ingest] < older_than:
-            where = ", ".join(f"{quoted(k)} = {text_literal(v)}" for k, v in values.items())
-            spark.sql(f"ALTER TABLE {table_name(table)} DROP IF EXISTS PARTITION ({where}) PURGE")
-            dropped.append(spec)
+    specs = spark.sql(f"SHOW PARTITIONS {table_name(table)}")
+    ingest = F.url_decode(F.regexp_extract("partition", f"(?:^|/){roles.ingest}=([^/]*)", 1))
+    dropped = [r[0] for r in specs.where(before_ingest(ingest, older_than)).collect()]
+    for some in batched(dropped, PARTITIONS_PER_DROP):
+        parts = []
+        for spec in some:
+            values = {k: unquote(v) for k, v in (part.split("=", 1) for part in spec.split("/"))}
+            parts.append(", ".join(f"{quoted(k)} = {text_literal(v)}" for k, v in values.items()))
+        which = ", ".join(f"PARTITION ({p})" for p in parts)
+        spark.sql(f"ALTER TABLE {table_name(table)} DROP IF EXISTS {which} PURGE")
     return dropped

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,9 @@ STRICT_OPTIONS = {
 
 SOURCE_FILE = "source_file"
 
+# The text of a line whose number of fields is not that of its file's header.
+MALFORMED = "malformed_line"
+
 
 def strict_options(multiline: bool = True) -> dict[str, str]:
     """``multiline=False`` lets Spark split large files, for drops known to have
@@ -41,7 +46,8 @@ def read_csv_strict(
 ) -> DataFrame:
     """Rows of well-formed lines; short lines are dropped, quoting is honoured.
 
-    The schema is all strings unless given.  ``infer`` reads the files once more
+    Columns are taken by position: for files known to have one layout.  Loads use
+    ``read_by_header``.  The schema is all strings unless given.  ``infer`` reads the files once more
     and lets any odd value decide the type of a column.
     """
     reader = spark.read.options(**strict_options(multiline))
@@ -50,6 +56,72 @@ def read_csv_strict(
     return _with_source(reader.csv(paths if isinstance(paths, str) else list(paths)))
 
 
+def header_problem(names: Sequence[str], roles: Roles) -> str | None:
+    """Why files with this header can not be read; None if they can."""
+    folded = [n.lower() for n in names]
+    repeated = sorted({n for n in folded if folded.count(n) > 1})
+    if repeated:
+        return f"repeated column {repeated[0]!r}"
+    missing = [c for c in (*roles.keys, roles.item, roles.value) if c.lower() not in folded]
+    return f"no column {missing[0]!r}" if missing else None
+
+
+def _names(header: str) -> list[str]:
+    return [n.strip() for n in next(csv.reader([header]), [])]
+
+
+def read_by_header(
+    spark: SparkSession,
+    files: DataFrame,
+    roles: Roles = COLLECTIONS,
+    *,
+    multiline: bool = True,
+    extra: bool = False,
+) -> tuple[DataFrame, list[tuple[str, str]]]:
+    """Rows of sniffed files, columns taken by the names in each file's own header.
+
+    Files of one header are read together.  Columns may stand in any order; optional ones
+    that a file lacks are NULL; others are left out unless ``extra`` asks for them.
+    Lines with too few or too many fields keep their text in ``malformed_line``.  Files
+    without a column they need, or whose header is longer than the sample, are not read:
+    they are the second result, with the reason.
+    """
+    columns, refused, parts = list(roles.columns), [], []
+    # The driver holds the names anyway to plan the scans.
+    by_header: dict[str | None, list[str]] = {}
+    for path, header in files.select("path", "header").orderBy("path").collect():
+        by_header.setdefault(header, []).append(path)
+    for header, paths in by_header.items():
+        names = _names(header) if header is not None else []
+        problem = header_problem(names, roles) if names else "header is longer than the sample"
+        if problem:
+            refused += [(path, problem) for path in paths]
+            continue
+        fields = [T.StructField(f"_{n}", T.StringType()) for n in range(len(names))]
+        schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
+        rows = (
+            spark.read.options(**strict_options(multiline))
+            .options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
+            .schema(schema)
+            .csv(paths)
+        )
+        place = {name.lower(): n for n, name in enumerate(names)}
+        taken = [F.col(f"_{place[c.lower()]}") if c.lower() in place else F.lit(None).cast("string") for c in columns]
+        others = [n for n in names if n.lower() not in {c.lower() for c in columns}] if extra else []
+        parts.append(
+            _with_source(rows).select(
+                *[t.alias(c) for t, c in zip(taken, columns)],
+                *[F.col(f"_{place[n.lower()]}").alias(n) for n in others],
+                MALFORMED,
+                SOURCE_FILE,
+            )
+        )
+    if not parts:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED, SOURCE_FILE)])
+        return spark.createDataFrame([], schema), refused
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), refused
+
+
 def read_csv_plain(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Header and inferred types only; malformed lines are kept."""
     return (

@@ -9,7 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.functions.files import SAMPLE_BYTES, ingest_ts, looks_like_csv, sample_md5
+from narrowlake.functions.files import (
+    SAMPLE_BYTES,
+    header_line,
+    ingest_ts,
+    looks_like_csv,
+    sample_md5,
+)
 
 # Glob for .csv in any case.
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -86,9 +92,7 @@ def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame
     if route == "auto":
         route = "ranged" if urlsplit(path).scheme in RANGED_SCHEMES else "whole"
     if route == "ranged":
-        return file_manifest(spark, path).mapInArrow(
-            _head_reader(), "path string, length bigint, modificationTime timestamp, head binary"
-        )
+        return with_heads(file_manifest(spark, path))
     if route != "whole":
         raise ValueError(f"unknown route {route!r}")
     return (
@@ -106,14 +110,26 @@ def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame
     )
 
 
+def with_heads(manifest: DataFrame) -> DataFrame:
+    """A manifest (path, length, modificationTime) with the first bytes of its files."""
+    return manifest.select("path", "length", "modificationTime").mapInArrow(
+        _head_reader(), "path string, length bigint, modificationTime timestamp, head binary"
+    )
+
+
 def csv_sniff(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
-    """Every file of a drop, its ingest time, fingerprint and verdict."""
-    return file_heads(spark, path, route).select(
+    """Every file of a drop, its ingest time, fingerprint, header and verdict."""
+    return sniffed(file_heads(spark, path, route))
+
+
+def sniffed(heads: DataFrame) -> DataFrame:
+    return heads.select(
         "path",
         "length",
         "modificationTime",
         ingest_ts(F.col("path")).alias("ingest_ts"),
         sample_md5(F.col("head")).alias("sample_md5"),
+        header_line(F.col("head")).alias("header"),
         looks_like_csv(F.col("head")).alias("is_csv"),
     )
 

@@ -1,101 +1,141 @@
 """Loads as streams over the drop folder.
 
-One query per checkpoint is one run at a time.  ``availableNow`` reads what has
-arrived since the last run and stops, so the same query serves an arrival
-trigger, a daily schedule and a backlog.
+The stream is one of files; each batch of files goes through the same load as
+a batch run: sniffed, read by header, refused lines kept.  ``availableNow`` reads
+what has arrived since the last run and stops, so the same query serves an
+arrival trigger, a daily schedule and a backlog.  A target belongs to the query that
+first wrote to it; another query, or the same one with a lost checkpoint, is refused.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from narrowlake.functions.files import file_path, ingest_ts
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
-from narrowlake.operators.filters import valid_series
-from narrowlake.plans.ingest import LOAD_ID, narrow_schema, write_load
+from narrowlake.plans.ingest import LOAD_ID, load_files, narrow_schema, read_loaded
 from narrowlake.plans.refresh import refresh_filings, refresh_series, touched_series
-from narrowlake.sources.csv import strict_options
-from narrowlake.sources.files import CSV_GLOB
+from narrowlake.sources.files import CSV_GLOB, sniffed, with_heads
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+class TargetTaken(ValueError):
+    """The target was written by another query."""
 
 
 def read_drop_stream(
-    spark: SparkSession,
-    path: str,
-    *,
-    roles: Roles = COLLECTIONS,
-    prefixes: Sequence[str] = SERIES_PREFIXES,
-    multiline: bool = True,
-    max_files_per_trigger: int | None = None,
+    spark: SparkSession, path: str, *, max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Accepted rows of new files, stamped with the ingest time of their file."""
+    """New files as they arrive; their contents are not read here."""
     reader = (
-        spark.readStream.options(**strict_options(multiline))
+        spark.readStream.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter=CSV_GLOB)
-        .schema(roles.csv_schema())
+        .schema(FILE_SCHEMA)
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.csv(path).select("*", ingest_ts(file_path(F.col("_metadata.file_path"))).alias(roles.ingest))
-    return valid_series(rows, roles, prefixes)
+    return reader.load(path).where("length > 0").select("path", "length", "modificationTime")
 
 
-def ingest_stream(
-    rows: DataFrame, target: str, checkpoint: str, roles: Roles = COLLECTIONS
+def _owner(spark: SparkSession, target: str) -> str | None:
+    try:
+        return spark.read.text(target.rstrip("/") + "_owner").first()[0]
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _claim(spark: SparkSession, target: str, query: str) -> None:
+    """Write the query down as the one that loads the target, or refuse it."""
+    owner = _owner(spark, target)
+    if owner is None:
+        spark.createDataFrame([(query,)], "value string").coalesce(1).write.text(target.rstrip("/") + "_owner")
+        owner = _owner(spark, target)
+    if owner != query:
+        raise TargetTaken(f"{target} is loaded by query {owner}, not by {query}")
+
+
+def _start(
+    files: DataFrame,
+    target: str,
+    checkpoint: str,
+    roles: Roles,
+    prefixes: Sequence[str],
+    multiline: bool,
+    then: Callable[[SparkSession, str], None],
 ) -> StreamingQuery:
-    """Store new rows once each, partitioned; the sink's own log makes it exact."""
+    def load(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # The id that the checkpoint keeps, so a batch that is run again has the same load id.
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        _claim(spark, target, query)
+        valid = sniffed(with_heads(batch)).where("is_csv").drop("is_csv").persist()
+        try:
+            if valid.isEmpty():
+                return
+            load_id = f"{query}-{batch_id:012d}"
+            load_files(valid, target, load_id, roles=roles, prefixes=prefixes, multiline=multiline)
+        finally:
+            valid.unpersist()
+        then(spark, load_id)
+
     return (
-        rows.writeStream.format("parquet")
-        .partitionBy(roles.series, roles.ingest)
-        .option("path", target)
+        files.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def ingest_stream(
+    files: DataFrame,
+    target: str,
+    checkpoint: str,
+    roles: Roles = COLLECTIONS,
+    *,
+    prefixes: Sequence[str] = SERIES_PREFIXES,
+    multiline: bool = True,
+) -> StreamingQuery:
+    """Store the accepted rows of new files once each; a batch run again replaces its own rows."""
+    return _start(files, target, checkpoint, roles, prefixes, multiline, lambda spark, load_id: None)
+
+
 def read_stream_table(spark: SparkSession, target: str, roles: Roles = COLLECTIONS) -> DataFrame:
-    schema = narrow_schema(roles)
-    schema.fields = [f for f in schema.fields if f.name != LOAD_ID]
-    schema.names = [f.name for f in schema.fields]
-    return spark.read.schema(schema).parquet(target)
+    return read_loaded(spark, target, roles)
 
 
 def refresh_stream(
-    rows: DataFrame,
+    files: DataFrame,
     target: str,
     wide_root: str,
     checkpoint: str,
     *,
     roles: Roles = COLLECTIONS,
+    prefixes: Sequence[str] = SERIES_PREFIXES,
+    multiline: bool = True,
     refresh: str = "filings",
 ) -> StreamingQuery:
     """Store each batch, then bring the wide relations of its series up to date.
 
-    ``filings`` rewrites only the dates the batch has filings of; ``series``
-    rebuilds each of its series from all rows.  A batch that is run again after a
-    failure replaces its own rows, and the refresh starts from stored rows, so a
-    rerun changes nothing.
+    ``filings`` merges the batch into the dates it has filings of, and reads nothing but
+    the batch and those dates; ``series`` rebuilds each of its series from all rows.
+    A rerun of a batch changes nothing.
     """
     if refresh not in {"filings", "series"}:
         raise ValueError(f"unknown refresh {refresh!r}")
 
-    def load(batch: DataFrame, batch_id: int) -> None:
-        load_id = f"batch-{batch_id:012d}"
-        write_load(batch, target, load_id, roles)
-        stored = batch.sparkSession.read.schema(narrow_schema(roles)).parquet(target)
-        mine = stored.where(F.col(LOAD_ID) == load_id).drop(LOAD_ID)
+    def then(spark: SparkSession, load_id: str) -> None:
+        loaded = spark.read.schema(narrow_schema(roles)).parquet(target)
+        mine = loaded.where(F.col(LOAD_ID) == load_id).drop(LOAD_ID)
         if refresh == "filings":
-            refresh_filings(stored.drop(LOAD_ID), mine, wide_root, roles)
+            refresh_filings(mine, wide_root, roles)
         elif series := touched_series(mine, roles):
-            refresh_series(stored.drop(LOAD_ID), wide_root, series, roles)
+            refresh_series(loaded.drop(LOAD_ID), wide_root, series, roles)
 
-    return (
-        rows.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _start(files, target, checkpoint, roles, prefixes, multiline, then)

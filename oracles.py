@@ -135,13 +135,22 @@ LATEST = f"""SELECT {KEYS}, item_mdrm, item_value, ingest_timestamp FROM (SELECT
   item_value DESC NULLS LAST, context_level1_value DESC NULLS LAST, context_level2_value DESC NULLS LAST,
   context_level3_value DESC NULLS LAST) AS rn FROM narrow) WHERE rn = 1"""
 
+# Columns of rows from files that lack the third context level.
+CHANGED = [
+    f"CASE WHEN ingest_timestamp > '199811' AND CAST(rssdid AS BIGINT) % 2 <> 0 THEN NULL ELSE {c} END AS {c}"
+    if "level3" in c
+    else c
+    for c in TEXT
+]
+REASON = """CASE WHEN seriesid IS NULL THEN 'null series' WHEN seriesid = '' THEN 'blank series' ELSE 'unknown series' END"""
+
 ORACLES: dict[str, str] = {
     # pivots
     "wide_encoded": f"WITH {CELLS} {_pivot(ITEMS)}",
     "wide_encoded_multi": f"WITH {CELLS} {_pivot(ITEMS, keys=KEYS + ', ingest_timestamp', where=VALID)}",
-    "wide_encoded_80": _coded(80, "seriesid, aod, rssdid"),
-    "wide_encoded_550": _coded(550, "seriesid, rssdid"),
-    "wide_encoded_1900": _coded(1900, "seriesid, aod"),
+    "wide_encoded_80": _coded(80, KEYS),
+    "wide_encoded_550": _coded(550, KEYS),
+    "wide_encoded_1900": _coded(1900, KEYS),
     "wide_kv": f"WITH {KV} {_kv('click')}",
     "wide_api": f"WITH {KV} {_kv('purchase')}",
     "wide_entity": f"""WITH {ENTITY} {_entity("entity1 = 'O'")}""",
@@ -183,7 +192,7 @@ ORACLES: dict[str, str] = {
         COUNT(*) FILTER (WHERE seriesid IS NULL OR NOT {VALID}) AS invalid_rows FROM narrow""",
     "series_difference": f"""WITH {RAW} SELECT DISTINCT seriesid FROM narrow
         EXCEPT SELECT DISTINCT seriesid FROM narrow WHERE {VALID}""",
-    "renamed_items": f"""WITH {WIDE_ITEMS} SELECT aod, rssdid, "ITEM1" AS loans_residential, "ITEM2" AS loans_other
+    "renamed_items": f"""WITH {WIDE_ITEMS} SELECT aod, rssdid, "ITEM1" AS first_line, "ITEM2" AS second_line
         FROM wide WHERE aod = '19981231' ORDER BY rssdid""",
     "column_subset": f"""WITH {WIDE} SELECT seriesid, "ITEM1", "ITEM2", "ITEM3", "ITEM4", "ITEM5" FROM wide""",
     "report_items": f"""WITH {ITEM_ROWS} SELECT DISTINCT substr(i.filing_id, 1, 250) AS filing_id, substr(seriesid, 1, 20) AS series_id,
@@ -196,7 +205,7 @@ ORACLES: dict[str, str] = {
     "without_desc": f"""WITH {NARROW} SELECT * EXCLUDE (item_desc, context_level1_desc, context_level2_desc, context_level3_desc)
         FROM narrow""",
     "first_rows": f"WITH {WIDE} SELECT * FROM wide ORDER BY {KEYS} LIMIT 10",
-    "add_literal": f"WITH {ENTITY} SELECT *, '1770609249' AS ingest_timestamp FROM entity",
+    "add_literal": f"WITH {ENTITY} SELECT *, '20240229' AS ingest_timestamp FROM entity",
     "add_created_at": f"WITH {WIDE} SELECT {KEYS}, TRUE AS is_stamped FROM wide",
     # joins
     "cross_series_join": f"""WITH {NARROW}, a AS ({_pivot(ITEMS, 'item_value', source='narrow')}),
@@ -246,14 +255,17 @@ ORACLES: dict[str, str] = {
         CASE WHEN len(p) > {n} THEN split_part(p[{n}], '=', 2) END AS item1_context{n}_value''' for n in (1, 2, 3))}
         FROM parts""",
     # quality
-    "compare_outputs": f"""WITH {WIDE} SELECT *, CAST(1 AS BIGINT) AS left_rows, CAST(1 AS BIGINT) AS right_rows FROM
-        (SELECT * FROM wide EXCEPT SELECT * FROM wide)""",
+    "compare_outputs": f"""WITH {WIDE}, damaged AS ({_pivot(ITEMS, where=f"seriesid = '{SERIES}' AND (rssdid NOT LIKE '%7' OR item_mdrm <> 'ITEM1')")})
+        SELECT *, CAST(1 AS BIGINT) AS left_rows, CAST(0 AS BIGINT) AS right_rows FROM (SELECT * FROM wide EXCEPT SELECT * FROM damaged)
+        UNION ALL SELECT *, CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM (SELECT * FROM damaged EXCEPT SELECT * FROM wide)""",
     "compare_ingests": f"""WITH {NARROW} SELECT seriesid, rssdid, item_mdrm, ingest_timestamp, COUNT(*) AS left_rows,
         CAST(0 AS BIGINT) AS right_rows FROM narrow WHERE ingest_timestamp > '200105' GROUP BY 1, 2, 3, 4""",
     "duplicate_items": f"""WITH {NARROW} SELECT {KEYS}, item_mdrm, ingest_timestamp, COUNT(*) AS row_count FROM narrow
         GROUP BY {KEYS}, item_mdrm, ingest_timestamp HAVING COUNT(*) > 1""",
-    "one_row_per_filing": f"""WITH {WIDE} SELECT {KEYS}, COUNT(*) AS wide_rows FROM wide GROUP BY {KEYS} HAVING COUNT(*) > 1""",
-    "no_unknown_ingest": f"WITH {NARROW} SELECT COUNT(*) AS unknown_rows FROM narrow WHERE ingest_timestamp = 'unknown'",
+    "one_row_per_filing": f"""WITH {WIDE} SELECT {KEYS}, CAST(CASE WHEN rssdid LIKE '%7' THEN 0 ELSE 2 END AS BIGINT) AS wide_rows
+        FROM wide WHERE rssdid LIKE '%7' OR rssdid LIKE '%3'""",
+    "no_unknown_ingest": f"WITH {NARROW} SELECT COUNT(*) AS unknown_rows FROM narrow WHERE item_mdrm = 'ITEM7'",
+    "non_empty": f"WITH {NARROW} SELECT {KEYS}, item_mdrm FROM narrow",
     # files and tables
     "file_manifest": f"WITH {NARROW} SELECT DISTINCT ingest_timestamp AS ingest_ts, TRUE AS has_bytes FROM narrow",
     "csv_sniff": f"WITH {NARROW} SELECT DISTINCT ingest_timestamp AS ingest_ts, TRUE AS all_csv, TRUE AS all_marked FROM narrow",
@@ -289,16 +301,30 @@ ORACLES: dict[str, str] = {
     "publish_wide_status": f"""WITH {RAW} SELECT lower(seriesid) || '_wide_view' AS name, seriesid AS series, 'view' AS kind,
         CAST(4 + COUNT(DISTINCT item_mdrm) AS INTEGER) AS n_columns, 'created' AS status FROM narrow WHERE {VALID} GROUP BY seriesid
         UNION ALL SELECT DISTINCT CAST(NULL AS VARCHAR), seriesid, CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), 'skipped'
-        FROM narrow WHERE seriesid <> '' AND NOT {VALID}""",
+        FROM (SELECT NULLIF(seriesid, '') AS seriesid FROM narrow) WHERE seriesid IS NULL OR NOT {VALID}""",
+    "published_as_of": f"""WITH {NARROW} SELECT seriesid, ingest_timestamp, COUNT(*) AS record_count FROM narrow
+        WHERE ingest_timestamp <= '199811' GROUP BY 1, 2""",
+    "recreated_views": f"""WITH {NARROW} SELECT DISTINCT lower(seriesid) || '_wide_view' AS view_name FROM narrow
+        WHERE starts_with(seriesid, 'FR2004A')""",
+    "table_properties": f"""WITH {NARROW} SELECT COUNT(*) AS row_count, key, value FROM narrow,
+        (VALUES ('layer', 'it''s narrow'), ('loaded_by', 'loads')) AS p(key, value) GROUP BY key, value""",
     "published_wide_view": f"WITH {CELLS} {_pivot(ITEMS)}",
     "published_view_names": f"WITH {NARROW} SELECT DISTINCT lower(seriesid) || '_wide_view' AS view_name FROM narrow",
     "materialised_wide": f"WITH {CELLS} {_pivot(ITEMS)}",
     "published_normal": f"""WITH {NARROW} SELECT COUNT(*) AS row_count, 'collections_data_vw' AS view FROM narrow
-        UNION ALL SELECT COUNT(*), 'cdp_data_vw' FROM narrow WHERE seriesid = 'FRY9C'""",
+        UNION ALL SELECT COUNT(*), 'one_series_vw' FROM narrow WHERE seriesid = 'FRY9C'""",
     "published_report": f"WITH {KV} {_kv('click')}",
-    "view_check_report": f"""WITH {NARROW} SELECT DISTINCT lower(seriesid) || '_wide_view' AS view, c.check_name AS "check", TRUE AS passed
-        FROM narrow, (VALUES ('schema'), ('rows'), ('sample'), ('group'), ('columns'), ('joins')) AS c(check_name)""",
-    # streams
+    "view_check_report": f"""WITH {NARROW}, published AS (SELECT DISTINCT lower(seriesid) AS name FROM narrow UNION ALL SELECT 'stray')
+        SELECT name || '_wide_view' AS view, c.check_name AS "check", name <> 'stray' OR c.check_name <> 'joins' AS passed
+        FROM published, (VALUES ('schema'), ('rows'), ('sample'), ('group'), ('columns'), ('joins')) AS c(check_name)""",
+    # loads of changing files, streams
+    "load_changing_headers": f"""WITH {FROM_CSV} SELECT {", ".join(CHANGED)} FROM narrow WHERE {VALID}""",
+    "load_rejects": f"""WITH {FROM_CSV} SELECT {REASON} AS reason, COUNT(*) AS record_count FROM narrow
+        WHERE seriesid IS NULL OR NOT {VALID} GROUP BY 1""",
+    "stream_rejects": f"""WITH {FROM_CSV} SELECT {REASON} AS reason, COUNT(*) AS record_count FROM narrow
+        WHERE seriesid IS NULL OR NOT {VALID} GROUP BY 1""",
+    "load_extra_columns": f"""WITH {FROM_CSV} SELECT seriesid, CASE WHEN ingest_timestamp > '199811' AND CAST(rssdid AS BIGINT) % 2 = 0
+        THEN 'v2' END AS loader, COUNT(*) AS record_count FROM narrow WHERE {VALID} GROUP BY 1, 2""",
     "stream_ingest": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
     "stream_refresh": f"WITH {FROM_CSV}, cells AS (SELECT *, {CELL} AS cell FROM narrow) {_pivot(ITEMS)}",
     "stream_rebuild": f"WITH {FROM_CSV}, cells AS (SELECT *, {CELL} AS cell FROM narrow) {_pivot(ITEMS)}",

@@ -131,8 +131,18 @@ def test_items_by_series(spark):
 
 def test_groups_of_codes(spark):
     rows = [filing("BHCK1", "1"), filing("BHCK2", "2"), filing("BHDM1", "3")]
-    groups = pivots.pivot_by_group(collections(spark, rows))
-    assert {g: df.columns[4:] for g, df in groups.items()} == {"BHCK": ["BHCK1", "BHCK2"], "BHDM": ["BHDM1"]}
+    wide, groups = pivots.pivot_by_group(collections(spark, rows))
+    assert groups == {"BHCK": ["BHCK1", "BHCK2"], "BHDM": ["BHDM1"]}
+    assert wide.columns[4:] == ["BHCK1", "BHCK2", "BHDM1"] and wide.count() == 1
+
+
+@pytest.mark.parametrize("form", ["case", "block"])
+def test_codes_of_any_type(spark, form):
+    frame = spark.createDataFrame([("a", 7, 1.0), ("a", 7, 2.0), ("b", 12, 3.0)], "k string, code int, v double")
+    codes = pivots.discover_codes(frame, "code")
+    assert codes == ["12", "7"]
+    wide = pivots.pivot(frame, F.col("v"), codes, keys=["k"], item="code", form=form)
+    assert sorted((r.k, r["7"], r["12"]) for r in wide.collect()) == [("a", 2.0, None), ("b", None, 3.0)]
 
 
 def test_custom_pivot(spark):

@@ -147,7 +147,7 @@ def test_filing_refresh_equals_rebuild(spark, tmp_path):
     early, late = rows.where("ingest_timestamp = '100'"), rows.where("ingest_timestamp = '200'")
     refresh.refresh_series(early, str(tmp_path / "a"), ["FRY9C", "FRY15"])
     for _ in range(2):
-        refresh.refresh_filings(rows, late, str(tmp_path / "a"))
+        refresh.refresh_filings(late, str(tmp_path / "a"))
     refresh.refresh_series(rows, str(tmp_path / "b"), ["FRY9C", "FRY15", "FR2004A"])
     for series in ("FRY9C", "FRY15", "FR2004A"):
         a, b = (refresh.read_wide(spark, str(tmp_path / x), series) for x in "ab")
@@ -188,8 +188,8 @@ def test_normal_views(spark, database, table):
     assert {r.status for r in status.collect()} == {"created"}
     assert spark.table(f"{database}.collections_data_vw").count() == 7
     # the exact name, not the prefix
-    assert {r.seriesid for r in spark.table(f"{database}.cdp_data_vw").collect()} == {"FRY9C"}
-    assert "PartitionFilters: [isnotnull(seriesid" in plan(spark.table(f"{database}.cdp_data_vw"))
+    assert {r.seriesid for r in spark.table(f"{database}.one_series_vw").collect()} == {"FRY9C"}
+    assert "PartitionFilters: [isnotnull(seriesid" in plan(spark.table(f"{database}.one_series_vw"))
 
 
 def test_wide_views_and_status(spark, database, table):
@@ -203,10 +203,10 @@ def test_wide_views_and_status(spark, database, table):
     assert sets.compare_outputs(view, direct).isEmpty()
 
 
-def test_view_text_over_the_limit_becomes_a_table(spark, database, table):
+def test_the_caller_chooses_views_or_tables(spark, database, table):
     first = publish.publish_wide(spark, table, database=database)
-    second = publish.publish_wide(spark, table, database=database, max_view_chars=10)
-    third = publish.publish_wide(spark, table, database=database, max_view_chars=10)
+    second = publish.publish_wide(spark, table, database=database, kind="table")
+    third = publish.publish_wide(spark, table, database=database, kind="table")
     kinds = [{r.kind for r in s.collect() if r.kind} for s in (first, second, third)]
     assert kinds == [{"view"}, {"table"}, {"table"}]
     wide = spark.table(f"{database}.fry9c_wide_view")
@@ -215,10 +215,30 @@ def test_view_text_over_the_limit_becomes_a_table(spark, database, table):
     assert spark.catalog.getTable(f"{database}.fry9c_wide_view").tableType == "VIEW"
 
 
-def test_wide_series_become_tables_and_narrow_ones_views(spark, database, table):
-    status = publish.publish_wide(spark, table, database=database, max_view_columns=1)
+def test_kinds_by_series(spark, database, table):
+    status = publish.publish_wide(spark, table, database=database, kind={"FRY9C": "table"})
     kinds = {r.series: r.kind for r in status.collect() if r.kind}
     assert kinds == {"FRY9C": "table", "FRY15": "view", "FRY9CX": "view"}
+    with pytest.raises(ValueError, match="unknown kind"):
+        publish.publish_wide(spark, table, database=database, kind="snapshot")
+
+
+def test_a_wide_series_stays_a_view_that_follows_its_table(spark, database):
+    name = f"{database}.many"
+    rows = [("FRY9C", "d", "1", "1", f"C{n:03d}", str(n), "1") for n in range(601)]
+    sink.create_partitioned(narrow(spark, rows), name)
+    (status,) = publish.publish_wide(spark, name, database=database).collect()
+    assert (status.kind, status.n_columns) == ("view", 605)
+    sink.append_batch(narrow(spark, [("FRY9C", "d", "2", "1", "C000", "7", "2")]), name)
+    assert spark.table(f"{database}.fry9c_wide_view").count() == 2
+
+
+def test_rows_without_a_series_are_reported(spark, database):
+    name = f"{database}.blank"
+    rows = [("FRY9C", "d", "1", "1", "A", "1", "1"), (None, "d", "1", "1", "A", "1", "1"), ("", "d", "1", "1", "A", "1", "1")]
+    sink.create_partitioned(narrow(spark, rows), name)
+    status = {r.series: r.status for r in publish.publish_wide(spark, name, database=database).collect()}
+    assert status == {"FRY9C": "created", None: "skipped"}
 
 
 def test_views_follow_the_table(spark, database, table):
@@ -289,11 +309,12 @@ def test_listing_and_dropping_views(spark, database, table):
 
 
 def test_view_checks_find_a_stale_table(spark, database, table):
-    publish.publish_wide(spark, table, database=database)
+    publish.publish_wide(spark, table, database=database, kind={"FRY15": "table"})
     spark.sql(f"CREATE VIEW {database}.stray_wide_view AS SELECT 'FRY9C' seriesid, 'd' aod, 'x' rssdid, '1' submission_ts, '1' A")
     report = publish.check_views(spark, table, database=database, like="*_wide_view").collect()
     failed = {(r.view, r.check) for r in report if not r.passed}
     assert failed == {("stray_wide_view", "joins")}
+    assert {r.view for r in report} >= {"fry15_wide_view", "fry9c_wide_view"}
 
 
 # ---------------------------------------------------------------- operators
@@ -370,20 +391,69 @@ def test_code_assignment_cycles(spark):
         joins.assign_codes(spark.range(7), codes.where("false"), row_id=F.col("id"), order="code")
 
 
-def test_dimension_is_broadcast_only_within_its_limit(spark):
+def test_many_codes_are_numbered_without_one_task(spark):
+    codes = spark.range(20_000).select(F.format_string("C%05d", F.lit(19_999) - F.col("id")).alias("code"))
+    got = joins.assign_codes(spark.range(40_000), codes, row_id=F.col("id"), order="code")
+    wrong = got.where(F.col("code") != F.format_string("C%05d", F.col("id") % 20_000))
+    assert got.count() == 40_000 and wrong.isEmpty()
+
+
+def test_a_dictionary_is_not_forced_on_all_tasks_and_multiplies_no_row(spark):
     rows = sample(spark)
-    names = spark.createDataFrame([("A", "first"), ("B", "second")], "item_mdrm string, item_desc string")
-    small = joins.item_desc_lookup(rows, names)
-    assert {r.item_desc for r in small.collect()} == {"first", "second", None}
+    names = spark.createDataFrame([("A", "first"), ("A", "again"), ("B", "second")], "item_mdrm string, item_desc string")
+    found = joins.item_desc_lookup(rows, names)
+    assert found.count() == rows.count()
+    assert {r.item_desc for r in found.collect()} == {"first", "second", None}
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" in plan(joins.item_desc_lookup(rows, names))
-        assert "SortMergeJoin" in plan(joins.item_desc_lookup(rows, names, max_broadcast_rows=1))
+        assert "BroadcastHashJoin" not in plan(joins.item_desc_lookup(rows, names))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def test_ingest_times_compare_as_numbers(spark):
+    rows = narrow(spark, [("S", "d", "1", "1", "A", "1", t) for t in ("999999999", "1770609249", "unknown")])
+    assert {r.ingest_timestamp for r in latest.as_of_ingest(rows, "1770609249").collect()} == {"999999999", "1770609249"}
+    assert {r.ingest_timestamp for r in latest.as_of_ingest(rows, "1000000000").collect()} == {"999999999"}
+
+
+def test_partitions_must_be_keys(spark, tmp_path):
+    wide = pivots.pivot_encoded(sample(spark), "FRY9C")
+    for merge in (sink.upsert_wide, sink.merge_wide):
+        with pytest.raises(ValueError, match="no keys"):
+            merge(wide, str(tmp_path / "w"), keys=KEYS, partition_by=["A"])
+
+
+def test_a_refresh_reads_the_batch_and_the_touched_dates_only(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    rows = narrow(spark, [("S", f"d{n}", "1", "1", "A", "5", "1") for n in range(6)])
+    sink.merge_wide(pivots.pivot_encoded(rows), path, keys=KEYS, partition_by=["aod"])
+    before = {p.name for p in (tmp_path / "wide" / "aod=d1").iterdir()}
+    late = narrow(spark, [("S", "d3", "1", "1", "A", "9", "2"), ("S", "d3", "1", "1", "N", "1", "2")])
+    sink.merge_wide(pivots.pivot_encoded(late), path, keys=KEYS, partition_by=["aod"])
+    assert {p.name for p in (tmp_path / "wide" / "aod=d1").iterdir()} == before
+    schema = sink.stored_schema(spark, path)
+    assert set(schema.names) == {*KEYS, "A", "N"}
+    where = sink._touched(pivots.pivot_encoded(late), ["aod"])
+    assert {f.rsplit("aod=", 1)[1][:2] for f in spark.read.schema(schema).parquet(path).where(where).inputFiles()} >= {"d3"}
+    assert "PartitionFilters: [isnotnull(aod" in plan(spark.read.schema(schema).parquet(path).where(where)) or "aod" in plan(spark.read.schema(schema).parquet(path).where(where)).split("PartitionFilters")[1]
+    got = {(r.aod, r.A, r.N) for r in spark.read.schema(schema).parquet(path).collect()}
+    assert ("d3", "9", "1") in got and ("d1", "5", None) in got and len(got) == 6
+
+
+def test_few_shuffles_in_checks_and_groups(spark, table):
+    rows = flt.by_series(spark.table(table), "FRY9C")
+
+    def shuffles(frame):
+        tree = plan(frame).split("\n\n")[0]
+        return tree.count("Exchange (") - tree.count("BroadcastExchange (")
+
+    assert shuffles(quality.filing_row_check(pivots.pivot_encoded(rows, items=["A", "B"]), rows)) == 2
+    wide, groups = pivots.pivot_by_group(spark.table(table), "FRY9C", prefix_length=1)
+    assert set(groups) == {"A", "B"} and shuffles(wide) == 1
+
+
 # ---------------------------------------------------------------- plans
 
 
@@ -416,8 +486,11 @@ def test_latest_has_no_window(spark, table):
 def test_no_cross_join_in_any_query(spark):
     import __spark_entry__ as entry_point
 
-    for name in ("cross_series_join", "entity_view_join", "items_schedule_join", "wide_by_group"):
-        text = plan(entry_point.queries()[name](spark, "/root/testdata/sf0.001"))
+    from narrowlake.registry import QUERIES
+
+    assert set(QUERIES) <= set(entry_point.queries())
+    for name in ("cross_series_join", "entity_view_join", "items_schedule_join", "wide_by_group", "one_row_per_filing", "code_assignment", "item_desc_lookup"):
+        text = plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
 
 
