@@ -30,5 +30,6 @@ QUERIES = {
 
 ORACLES = {
     "op1_near_vectors": near_vectors.SQL,
+    "op9_shingle_join": shingle_join.SQL,
     "op10_nearest": nearest.SQL,
 }

@@ -315,13 +315,49 @@ def _compare(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
 def one_of_each(docs: DataFrame, rule: Rule) -> DataFrame:
     """The documents that stay when one of each group of near duplicates does: the smallest id.
 
-    Of rows that share the id that stays, one stays; rows without shingles or without an id
-    all stay.
+    Equal rows, which share their id and text, are copies too: one of them stays.  Rows
+    without shingles or without an id all stay.
     """
-    groups = classes(docs, rule)
+    groups = stored(classes(docs, rule), "groups")
     dropped = groups.where("component_id != doc_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    repeated = groups.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
+    repeated = stored(repeated.select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return kept
+    copies = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(copies)
 
 
 def op9_shingle_join(spark: SparkSession, folder: str) -> DataFrame:
     return classes(table(spark, folder, "documents"), Rule(words=3, lower=90, upper=100))
+
+
+SQL = r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS shingle
+  FROM cut
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), common AS (
+  SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM sets p JOIN sets q
+    ON p.shingle = q.shingle AND p.doc_id <> q.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+  WHERE 100 * c >= 90 * (x.n + y.n - c)
+), reach AS (
+  SELECT a AS id, b AS other FROM links
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN links l ON r.other = l.a
+), firsts AS (
+  SELECT id, least(id, min(other)) AS component FROM reach GROUP BY id
+)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(component, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN firsts f ON d.doc_id = f.id
+"""
