@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -52,19 +51,9 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as the session names it.
-
-    Only a local session, whose executors live on this machine, may fall back to
-    a temporary folder.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.conf.get("spark.master", "").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="narrowlake-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return configured or posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
