@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import posixpath
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -28,7 +27,7 @@ TASK_KEYS = 3_000_000
 LEAST_TASKS = 24
 # Words are told apart by 48 bits of a hash, pairs by 40 bits within one of many tables.
 WORD_BYTES, PAIR_BYTES = 6, 5
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 # The base score's share for unseen tokens, a fixed value.
 ADDED = 0.1
 _END = np.uint64(1)

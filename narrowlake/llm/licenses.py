@@ -21,6 +21,7 @@ BASE = {
 }
 
 # Public names of licences as words: label, keyword that a text must hold, pattern of the name.
+_FSF = r"(?: as published by the free software foundation)?(?: either)?"
 NAMES = [
     ("apache-1.1", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?1 1"),
     ("apache-2.0", "apache", r"apache(?: software)?(?: license)?(?: version| v)? ?2(?: 0)?"),
@@ -30,8 +31,8 @@ NAMES = [
     ("bsd-3-clause", "bsd", r"(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd|revised bsd)(?: licen[sc]e)?"),
     ("bsd-4-clause", "bsd", r"(?:bsd 4 clause|4 clause bsd|original bsd)(?: licen[sc]e)?"),
     ("gpl", "general public", r"(?:gnu )?general public licen[sc]e"),
-    ("gpl-2.0", "general public", r"(?:gnu )?general public licen[sc]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2(?: 0)?"),
-    ("gpl-3.0", "general public", r"(?:gnu )?general public licen[sc]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?"),
+    ("gpl-2.0", "general public", rf"(?:gnu )?general public licen[sc]e{_FSF}(?: version| v)? ?2(?: 0)?"),
+    ("gpl-3.0", "general public", rf"(?:gnu )?general public licen[sc]e{_FSF}(?: version| v)? ?3(?: 0)?"),
     ("gpl-2.0", "gpl", r"(?:gnu )?gpl ?(?:version |v)?2(?: 0)?"),
     ("gpl-3.0", "gpl", r"(?:gnu )?gpl ?(?:version |v)?3(?: 0)?"),
     ("lgpl-2.1", "lesser general", r"(?:gnu )?(?:lesser|library) general public licen[sc]e(?: version| v)? ?2(?: 1| 0)?"),
@@ -84,8 +85,10 @@ FORMS = [
     (7, 1.0, r"(?:spdx )?licen[sc]e identifier "),
 ]
 GATE = (
-    r"(?i)licen[sc]|spdx|gpl|creative|cc[^0-9a-z\x80-\x{10FFFF}]+by|cc0|wtfpl|all[^0-9a-z]+rights|public[^0-9a-z]+domain"
-    r"|(?:apache|bsd|mit)[^0-9a-z]+(?:software|x11|style|[1-4])|[2-4][^0-9a-z]+clause|(?:simplified|free|new|modified|revised|original)[^0-9a-z]*bsd"
+    r"(?i)licen[sc]|spdx|gpl|creative|cc[^0-9a-z\x80-\x{10FFFF}]+by|cc0|wtfpl"
+    r"|all[^0-9a-z]+rights|public[^0-9a-z]+domain|[2-4][^0-9a-z]+clause"
+    r"|(?:apache|bsd|mit)[^0-9a-z]+(?:software|x11|style|[1-4])"
+    r"|(?:simplified|free|new|modified|revised|original)[^0-9a-z]*bsd"
 )
 
 
