@@ -12,11 +12,17 @@ from tokenizers import Tokenizer
 
 # Pieces whose ids one Python worker remembers before it drops those not used since; two
 # such sets, of about 200 bytes an entry, are held at a time.
-REMEMBERED = 250_000
+REMEMBERED = 160_000
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
-_ENDINGS = ".,;:|!?"
-# Letters below this are single composed characters that change case one by one, but for one.
-_PLAIN_BELOW, _NOT_PLAIN = "ɐ", "İ"
+# Characters whose kind, case and composed form need no tables: ASCII and the Latin letters
+# up to U+024F, without the one whose lower case is two characters.
+_LATIN = "A-Za-zªµºÀ-ÖØ-öø-įı-ɏ"
+_SIMPLE = re.compile(rf"[\x00-\x7f×÷{_LATIN}]*")
+# The two vocabularies' patterns of pre-tokens, for these characters.
+_COUNTED = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s{_LATIN}0-9]+|\s+(?!\S)|\s+", re.ASCII
+)
+_DROPPED = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^\s{_LATIN}0-9]+", re.ASCII)
 
 
 class _WideBlank(Exception):
@@ -44,10 +50,10 @@ class Encoder:
     """Ids equal to ``encode(text, add_special_tokens=False)`` of the tokenizers library.
 
     A text is cut at single blanks, where its pre-tokens end in any case, and the ids of the
-    pieces are looked up among those seen before.  A new piece that is a run of plain
-    letters, after line ends and closing punctuation are split off, is one pre-token and
-    goes to the library's model directly; every other piece goes to its encode().  A text
-    that holds the string of a special token is encoded in one go, as the library does.
+    pieces are looked up among those seen before.  A new piece of simple characters is cut
+    into pre-tokens, and each that is new goes to the library's model; every other piece
+    goes to its encode().  A text that holds the string of a special token is encoded in one
+    go, as the library does.
     """
 
     def __init__(self, path: str):
@@ -56,7 +62,6 @@ class Encoder:
         # The two kinds of vocabulary: the blank before a word is part of its ids, or dropped.
         self.blanks_count = self.tokenizer.normalizer is None
         self.letters = _byte_letters()
-        self.blank = self.letters[32]
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.pieces = _Memory(self._piece)
         self.stems = _Memory(self._stem)
@@ -86,50 +91,28 @@ class Encoder:
 
     def _first(self, piece: str) -> bytes:
         """Ids of a piece without a blank before it."""
-        stem = piece.rstrip(_ENDINGS)
-        if self._is_plain(stem):
-            return self.stems[stem] + (self.stems[piece[len(stem) :]] if stem != piece else b"")
-        return self._whole(piece)
+        if not _SIMPLE.fullmatch(piece):
+            return self._whole(piece)
+        return b"".join(map(self.stems.__getitem__, _COUNTED.findall(piece)))
 
     def _piece(self, piece: str) -> bytes:
         """Ids of a piece with the blank before it, where blanks count."""
-        stem = piece if piece.isalpha() else piece[:-1]
-        if (stem is piece or piece[-1:] in _ENDINGS and stem.isalpha()) and (
-            stem.isascii() or self._is_plain(stem)
-        ):
-            ids = self.stems[" " + stem if self.blanks_count else stem.lower()]
-            return ids if stem is piece else ids + self.stems[piece[-1]]
-        return self._odd_piece(piece)
-
-    def _odd_piece(self, piece: str) -> bytes:
-        blank = " " if self.blanks_count else ""
-        if blank and (not piece or piece[0].isspace() or piece[-1].isspace()):
+        if not self.blanks_count:
+            if not _SIMPLE.fullmatch(piece):
+                return self._whole(piece)
+            return b"".join(map(self.stems.__getitem__, _DROPPED.findall(piece.lower())))
+        if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _WideBlank
-        head, *lines = piece.split("\n")
-        if lines and (not head or not all(lines) or any(x[0].isspace() or x[-1].isspace() for x in (head, *lines))):
-            return self._whole(blank + piece)
-        stem = head.rstrip(_ENDINGS)
-        if not self._is_plain(stem):
-            ids = self.stems[blank + head]
-        else:
-            ids = self.stems[blank + stem] + (self.stems[head[len(stem) :]] if stem != head else b"")
-        for line in lines:
-            ids += (self.stems["\n"] if blank else b"") + self._first(line)
-        return ids
-
-    @staticmethod
-    def _is_plain(stem: str) -> bool:
-        return stem.isalpha() and max(stem) < _PLAIN_BELOW and _NOT_PLAIN not in stem
+        if not _SIMPLE.fullmatch(piece):
+            return self._whole(" " + piece)
+        return b"".join(map(self.stems.__getitem__, _COUNTED.findall(" " + piece)))
 
     def _stem(self, stem: str) -> bytes:
-        """Ids of plain letters, perhaps after a blank; of anything else by the library."""
-        word = stem.removeprefix(" ")
-        if not self._is_plain(word):
-            return self._whole(stem)
-        key = stem if self.blanks_count else stem.lower()
-        letters = self.blank + word if key is stem and word is not stem else key
-        if not word.isascii():
-            letters = key.encode().decode("latin-1").translate(self.letters)
+        """Ids of one pre-token of simple characters."""
+        if stem.isascii() and stem.isalpha():
+            letters = stem
+        else:
+            letters = stem.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
 
