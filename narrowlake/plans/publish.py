@@ -111,7 +111,9 @@ def publish_normal(
     }
     status = []
     for name, (of, body) in bodies.items():
-        status.append(_attempt(spark, _qualified(database, name), of, "view", lambda n=name, b=body: _view(spark, _qualified(database, n), b)))
+        full = _qualified(database, name)
+        made = _attempt(spark, full, of, "view", lambda n=full, b=body: _view(spark, n, b))
+        status.append(made)
     return spark.createDataFrame(status, STATUS_SCHEMA)
 
 
