@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import io
 import pathlib
 import posixpath
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as arrow
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,6 +68,36 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# What the operators of one Python worker remember, by the module that remembers it.
+_MEMORIES: dict[str, list[Callable[[], None]]] = {}
+
+
+def remembers(owner: str, forget: Callable[[], None]) -> None:
+    """Name a way to drop what a module remembers between the tasks of a worker."""
+    _MEMORIES.setdefault(owner, []).append(forget)
+
+
+def only_memory_of(owner: str) -> None:
+    """Drop what other operators left in this worker, which serves the tasks of all of them."""
+    for other, ways in _MEMORIES.items():
+        if other != owner:
+            for forget in ways:
+                forget()
+    arrow.default_memory_pool().release_unused()
+
+
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Hand so many rows to Python at a time in the actions inside: for rows of many kilobytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and leave every other letter alone."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

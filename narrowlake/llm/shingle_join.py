@@ -12,13 +12,27 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import stored, table, task_count
+from narrowlake.llm.common import (
+    only_memory_of,
+    remembers,
+    small_batches,
+    stored,
+    table,
+    task_count,
+)
 from narrowlake.llm.components import components
 
 # Words whose hashes one Python worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 # Sets that one task remembers to have emitted; copies beyond it are emitted again, no more.
 SEEN = 200_000
+# Keys that are sent together, and those that one table holds, about.
+PACK_KEYS = 600_000
+TABLE_KEYS = 1_200_000
+LEAST_TABLES = 24
+# Texts, and sets, that a task hands to Python at a time.
+TEXT_ROWS = 2_000
+SET_ROWS = 500
 # Bits of the sketch by which two sets are compared before their elements are.
 SKETCH_BITS = 512
 # Members of one bucket compared in one place, and rows of many buckets in one call.
@@ -26,6 +40,8 @@ BUCKET_ROWS = 1_024
 CALL_ROWS = 50_000
 # Ids up to this many (32 MB) are sent to all tasks; beyond it the join shuffles texts.
 MOST_SENT = 4_000_000
+# Pairs of ids up to this many (16 MB) are sent to all tasks.
+MOST_PAIRS_SENT = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -75,6 +91,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+remembers("shingles", _WORDS.clear)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -158,11 +175,13 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
 
     @F.pandas_udf("n long, key long")
     def keyed(texts: pd.Series) -> pd.DataFrame:
+        only_memory_of("shingles")
         sets = [shingles(t, rule.words) for t in texts]
         return pd.DataFrame({"n": [len(s) for s in sets], "key": [set_key(s) for s in sets]})
 
     rows = docs.select("doc_id", keyed("text").alias("set")).select("doc_id", "set.n", "set.key")
-    rows = stored(rows, "sets")
+    with small_batches(docs.sparkSession, TEXT_ROWS):
+        rows = stored(rows, "sets")
     sets = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key", "n").agg(F.min("doc_id").alias("first"))
     sets = stored(sets, "classes")
     links = _links(docs, sets, rule)
@@ -181,76 +200,192 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
 def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     """Links (a, b) between set keys whose components are those of all links."""
 
+    tables = max(LEAST_TABLES, round((sets.agg(F.sum("n")).first()[0] or 0) * _keys_per_element(rule) / TABLE_KEYS))
+
     def filed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only_memory_of("shingles")
         seen: set[int] = set()
+        ids, keys, held = [], [], 0
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                ids, keys = [], []
-                for text in batch["text"].iloc[at : at + 500]:
-                    elements = shingles(text, rule.words)
-                    key = set_key(elements)
-                    if key in seen:
-                        continue
-                    if len(seen) < SEEN:
-                        seen.add(key)
-                    own = segment_keys(elements, rule)
-                    keys.append(own)
-                    ids.append(np.full(len(own), key, np.int64))
-                if keys:
-                    yield pd.DataFrame({"bucket": np.concatenate(keys).view(np.int64), "id": np.concatenate(ids)})
-
-    filing = docs.where("doc_id IS NOT NULL").select("text").mapInPandas(filed, "bucket long, id long")
-    shared = filing.groupBy("bucket").agg(F.min("id").alias("centre"), F.max("id").alias("other"))
-    shared = stored(shared.where("centre != other").drop("other"), "shared")
-    members = stored(filing.join(shared, "bucket").distinct(), "members")
-    pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    first = stored(_checked(docs, sets, pairs, rule), "first-links")
-
-    label = components(first.where("linked").select("a", "b"))
-    named = members.join(label, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_keys = members.select("bucket", "id").join(label, "id", "left")
-    open_keys = open_keys.groupBy("bucket").agg(
-        F.min(F.coalesce("component", "id")).alias("low"),
-        F.max(F.coalesce("component", "id")).alias("high"),
-        F.approx_count_distinct("id").alias("about"),
+            for text in batch["text"]:
+                elements = shingles(text, rule.words)
+                key = set_key(elements)
+                if key in seen or len(elements) < rule.first:
+                    continue
+                if len(seen) < SEEN:
+                    seen.add(key)
+                keys.append(segment_keys(elements, rule))
+                ids.append(key)
+                held += len(keys[-1])
+                if held >= PACK_KEYS:
+                    yield _packed(ids, keys, tables)
+                    ids, keys, held = [], [], 0
+        if ids:
+            yield _packed(ids, keys, tables)
+
+    spark = docs.sparkSession
+    packs = docs.where("doc_id IS NOT NULL").select("text").mapInPandas(
+        filed, "part int, keys binary, places binary, ids binary, centres binary"
     )
-    open_keys = stored(open_keys.where("low != high").select("bucket", "about"), "open")
-    apart = named.join(open_keys, "bucket")
-    pairs = _compared(docs, sets, apart, rule).join(first.select("a", "b"), ["a", "b"], "left_anti")
-    second = stored(_checked(docs, sets, pairs, rule), "second-links")
-    return first.where("linked").union(second.where("linked")).select("a", "b")
-
-
-def _elements(docs: DataFrame, sets: DataFrame, wanted: DataFrame, rule: Rule, column: str) -> DataFrame:
-    """(id, n, elements or sketch) of the wanted set keys, made from one document of each."""
-    wanted = stored(wanted.distinct().join(sets, F.col("id") == F.col("key")).select("id", "first"), "wanted")
+    members = packs.groupBy("part").applyInPandas(_members, "bucket long, id long, centre long")
+    with small_batches(spark, TEXT_ROWS):
+        members = stored(members, "members")
+    pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
+    pairs = stored(_alike(pairs.distinct(), sets, rule), "pairs")
+    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
+    held = _held(docs, sets, ids.distinct(), rule)
+
+    # Most sets are settled by the smallest set they share a key with.
+    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    links, tried = _checked(nearest, held, rule), nearest
+    # Of the other pairs only those count that would connect something.
+    left = _apart(pairs, links.where("linked")).join(tried, ["a", "b"], "left_anti")
+    more = _checked(_sketched(left, held, rule), held, rule)
+    links = links.union(more)
+    left = stored(_apart(pairs, links.where("linked")), "apart")
+    if left.isEmpty():
+        return links.where("linked").select("a", "b")
+
+    # Keys with a pair that is not connected may still hold links between others of their sets.
+    keys = members.join(left, (F.col("centre") == F.col("a")) & (F.col("id") == F.col("b"))).select("bucket")
+    keys = stored(keys.distinct(), "open-keys")
+    wanted = stored(members.join(keys, "bucket").select("bucket", "id").distinct(), "open-members")
+    pairs = _compared(wanted, _labels(links.where("linked")), held, rule).join(links, ["a", "b"], "left_anti")
+    return links.union(_checked(pairs, held, rule)).where("linked").select("a", "b")
+
+
+def _labels(links: DataFrame) -> DataFrame:
+    return components(links.select("a", "b"))
+
+
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs whose two sets are not connected by the links."""
+    label = _labels(links)
+    named = pairs
+    for end in ("a", "b"):
+        own = label.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        named = named.join(own, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return named.where("of_a != of_b").select("a", "b")
+
+
+def _keys_per_element(rule: Rule) -> float:
+    """Keys that a set files for each of its elements, about: in two layouts."""
+    return 2.4 * (rule.upper - rule.lower) / (rule.upper + rule.lower) * 2
+
+
+def _packed(ids: list[int], keys: list[np.ndarray], tables: int) -> pd.DataFrame:
+    """Keys of many sets, one row for each table that some of them belong to.
+
+    Keys that several of the sets share are settled here: their members are sent as such,
+    and only the smallest of them goes on, so a key of very many sets is one entry of each
+    pack.  A table is a range of keys; within it 40 bits tell keys apart.
+    """
+    set_of = np.repeat(np.array(ids, np.int64), [len(k) for k in keys])
+    key = np.concatenate(keys)
+    order = np.lexsort((set_of, key))
+    key, set_of = key[order], set_of[order]
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    sizes = np.diff(np.append(start, len(key)))
+    shared = np.repeat(sizes > 1, sizes)
+    bounds = np.array([t * 2**64 // tables for t in range(tables)], np.uint64)
+    rows = []
+    mine, members, centres = key[shared], set_of[shared], np.repeat(set_of[start], sizes)[shared]
+    for t, part in _ranges(mine, bounds):
+        rows.append((t, _five(mine[part]), None, members[part].tobytes(), centres[part].tobytes()))
+    key, set_of = key[start], set_of[start]
+    for t, part in _ranges(key, bounds):
+        known, place = np.unique(set_of[part], return_inverse=True)
+        kind = np.uint16 if len(known) < 2**16 else np.uint32
+        rows.append((t, _five(key[part]), place.astype(kind).tobytes(), known.tobytes(), None))
+    return pd.DataFrame(rows, columns=["part", "keys", "places", "ids", "centres"])
+
+
+def _ranges(keys: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[int, slice]]:
+    cuts = np.append(np.searchsorted(keys, bounds), len(keys)).tolist()
+    for t in range(len(bounds)):
+        if cuts[t] < cuts[t + 1]:
+            yield t, slice(cuts[t], cuts[t + 1])
+
+
+def _five(keys: np.ndarray) -> bytes:
+    return np.ascontiguousarray(keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
+
+
+def _wide(packed: bytes) -> np.ndarray:
+    out = np.zeros((len(packed) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(packed, np.uint8).reshape(-1, 5)
+    return out.reshape(-1).view("<i8")
+
+
+def _members(rows: pd.DataFrame) -> pd.DataFrame:
+    """Members of the keys of one table that several sets share, each with the smallest set."""
+    keys, ids, out = [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
+    for packed, places, known, centres in zip(rows["keys"], rows["places"], rows["ids"], rows["centres"]):
+        known = np.frombuffer(known, np.int64)
+        if centres is not None:
+            out.append((_wide(packed), known, np.frombuffer(centres, np.int64)))
+            continue
+        key = _wide(packed)
+        keys.append(key)
+        ids.append(known[np.frombuffer(places, np.uint16 if len(places) == 2 * len(key) else np.uint32)])
+    key, ids = np.concatenate(keys), np.concatenate(ids)
+    order = np.lexsort((ids, key))
+    key, ids = key[order], ids[order]
+    if len(key):
+        start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        sizes = np.diff(np.append(start, len(key)))
+        shared = np.repeat(sizes > 1, sizes)
+        out.append((key[shared], ids[shared], np.repeat(ids[start], sizes)[shared]))
+    part = int(rows["part"].iloc[0]) << 40
+    found = [np.concatenate([o[n] for o in out]) if out else np.empty(0, np.int64) for n in range(3)]
+    return pd.DataFrame({"bucket": found[0] + part, "id": found[1], "centre": found[2]})
+
+
+def _held(docs: DataFrame, sets: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
+    """(id, n, elements, sketch) of the wanted set keys, made from one document of each."""
+    spark = docs.sparkSession
+    wanted = stored(ids.join(sets, F.col("id") == F.col("key")).select("id", "first"), "wanted")
     if wanted.count() <= MOST_SENT:
         wanted = F.broadcast(wanted)
     texts = docs.join(wanted.withColumnRenamed("first", "doc_id"), "doc_id").select("id", "text")
-    make = sketch if column == "sketch" else np.ndarray.tobytes
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for at in range(0, len(batch), 500):
-                part = batch.iloc[at : at + 500]
-                found = [shingles(t, rule.words) for t in part["text"]]
-                out = [(i, len(s), make(s)) for i, s in zip(part["id"], found) if set_key(s) == i]
-                yield pd.DataFrame(out, columns=["id", "n", column])
+            found = [shingles(t, rule.words) for t in batch["text"]]
+            out = [(i, len(s), s.tobytes(), sketch(s)) for i, s in zip(batch["id"], found) if set_key(s) == i]
+            yield pd.DataFrame(out, columns=["id", "n", "elements", "sketch"])
+
+    held = texts.mapInPandas(made, "id long, n long, elements binary, sketch binary")
+    with small_batches(spark, SET_ROWS):
+        return stored(held.dropDuplicates(["id"]), "held")
+
 
-    return texts.mapInPandas(made, f"id long, n long, {column} binary").dropDuplicates(["id"])
+def _alike(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs whose sizes allow a link."""
+    sizes = sets.select("key", "n")
+    pairs = pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
+    pairs = pairs.join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
+    alike = F.least("na", "nb") * rule.upper >= F.greatest("na", "nb") * rule.lower
+    return pairs.where(alike).select("a", "b")
 
 
-def _checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
+def _sketched(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs whose sketches allow a link."""
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            if len(rows):
+                x, y = (np.frombuffer(b"".join(rows[c]), np.uint64).reshape(len(rows), -1) for c in "xy")
+                differ = np.bitwise_count(x ^ y).sum(1)
+                yield rows[differ <= rule.apart((rows["na"] + rows["nb"]).to_numpy())][["a", "b"]]
+
+    left = held.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    right = held.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    return pairs.join(left, "a").join(right, "b").mapInPandas(near, "a long, b long")
+
+
+def _checked(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
     """The pairs with ``linked``: whether the sets themselves reach the threshold."""
-    sizes = sets.select(F.col("key"), "n")
-    pairs = (
-        pairs.join(sizes.select(F.col("key").alias("a"), F.col("n").alias("na")), "a")
-        .join(sizes.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
-        .where(F.least("na", "nb") * rule.upper >= F.greatest("na", "nb") * rule.lower)
-    )
-    pairs = stored(pairs.select("a", "b"), "pairs")
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    held = stored(_elements(docs, sets, wanted, rule, "elements"), "elements")
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in batches:
@@ -261,32 +396,40 @@ def _checked(docs: DataFrame, sets: DataFrame, pairs: DataFrame, rule: Rule) ->
                 linked.append(rule.linked(int((both[1:] == both[:-1]).sum()), len(x), len(y)))
             yield pd.DataFrame({"a": rows["a"], "b": rows["b"], "linked": np.array(linked, bool)})
 
-    left = held.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    right = held.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(compared, "a long, b long, linked boolean")
+    pairs = stored(pairs, "to-check")
+    # Few pairs go to the sets, so that only the sets of pairs are moved.
+    near = F.broadcast(pairs) if pairs.count() <= MOST_PAIRS_SENT else pairs
+    left = held.select(F.col("id").alias("a"), F.col("elements").alias("x")).join(near, "a")
+    right = held.select(F.col("id").alias("b"), F.col("elements").alias("y")).join(near, "b")
+    found = left.join(right, ["a", "b"]).select("a", "b", "x", "y")
+    with small_batches(pairs.sparkSession, SET_ROWS):
+        return stored(found.mapInPandas(compared, "a long, b long, linked boolean"), "checked")
 
 
-def _compared(docs: DataFrame, sets: DataFrame, members: DataFrame, rule: Rule) -> DataFrame:
+def _compared(members: DataFrame, label: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
     """Distinct pairs of one bucket and different components whose sketches allow a link."""
-    held = stored(_elements(docs, sets, members.select("id"), rule, "sketch"), "sketches")
+    counts = members.groupBy("bucket").agg(F.count("*").alias("about"))
     groups = F.ceil(F.col("about") / BUCKET_ROWS).cast("int")
-    cut = members.withColumn("groups", groups).withColumn(
-        "own", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int")
+    cut = (
+        members.join(counts, "bucket")
+        .withColumn("groups", groups)
+        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int"))
     )
     tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
         F.when(F.col("own") != F.col("other"), F.col("own")).otherwise(-1).alias("side"),
         "id",
-        "component",
     )
     tiles = stored(tiles, "tiles")
-    calls = task_count(tiles.count(), CALL_ROWS, members.sparkSession.sparkContext.defaultParallelism)
+    calls = task_count(tiles.count(), CALL_ROWS, LEAST_TABLES)
 
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         return _compare(rows, rule)
 
+    named = held.select("id", "n", "sketch").join(label, "id", "left")
+    named = named.withColumn("component", F.coalesce("component", "id"))
     call = F.pmod("tile", F.lit(calls).cast("long")).alias("call")
-    return tiles.join(held, "id").groupBy(call).applyInPandas(compared, "a long, b long").distinct()
+    return tiles.join(named, "id").groupBy(call).applyInPandas(compared, "a long, b long").distinct()
 
 
 def _compare(rows: pd.DataFrame, rule: Rule) -> pd.DataFrame:
