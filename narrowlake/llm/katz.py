@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import crc_fold, file_system, stored, table, task_count
+from narrowlake.llm.common import crc_fold, file_system, remembers, stored, table, task_count
 from narrowlake.session import work_dir
 
 FOLDS = 10
@@ -43,6 +43,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+remembers("katz", _WORDS.clear)
 
 
 def token_keys(text: str | None) -> np.ndarray:

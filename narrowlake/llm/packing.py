@@ -10,13 +10,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import stored, table, task_count
+from narrowlake.llm.common import small_batches, stored, table, task_count
 from narrowlake.llm.tokens import encoder, vocabulary
 
 LENGTH = 2_048
 END_ID = 0
 # Pieces that one call packs.  A call ends with at most a few loosely filled sequences.
 CALL_PIECES = 8_192
+# Texts that a task hands to Python at a time.
+TEXT_ROWS = 2_000
 
 
 def pieces(
@@ -57,7 +59,9 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     waiting pieces that fill the room tightest.  Every piece is placed once, offsets have
     no gaps.  No pieces give no rows.
     """
-    rows = stored(cut, "pieces").withColumn("row", F.monotonically_increasing_id())
+    with small_batches(cut.sparkSession, TEXT_ROWS):
+        rows = stored(cut, "pieces")
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
     calls = task_count(rows.count(), CALL_PIECES, 1)
     names = cut.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)

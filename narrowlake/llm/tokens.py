@@ -10,9 +10,11 @@ from collections.abc import Callable
 import numpy as np
 from tokenizers import Tokenizer
 
+from narrowlake.llm.common import only_memory_of, remembers
+
 # Pieces whose ids one Python worker remembers before it drops those not used since; two
 # such sets, of about 200 bytes an entry, are held at a time.
-REMEMBERED = 160_000
+REMEMBERED = 110_000
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Characters whose kind, case and composed form need no tables: ASCII and the Latin letters
 # up to U+024F, without the one whose lower case is two characters.
@@ -35,6 +37,10 @@ class _Memory(dict):
     def __init__(self, make: Callable[[str], bytes]):
         self.make, self.before = make, {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}
+
     def __missing__(self, piece: str) -> bytes:
         ids = self.before.get(piece)
         if ids is None:
@@ -128,9 +134,17 @@ def _byte_letters() -> dict[int, str]:
 
 
 @functools.lru_cache(maxsize=4)
+def _encoder(path: str) -> Encoder:
+    own = Encoder(path)
+    for memory in (own.pieces, own.stems):
+        remembers("tokens", memory.forget)
+    return own
+
+
 def encoder(path: str) -> Encoder:
     """One encoder per file and Python worker; workers are used again by later tasks."""
-    return Encoder(path)
+    only_memory_of("tokens")
+    return _encoder(path)
 
 
 def vocabulary(name: str) -> str:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import crc_fold, table
+from narrowlake.llm.common import crc_fold, only_memory_of, remembers, table
 
 FOLDS = 5
 # Features: 0 is the bias, the others are hashes; bounds the weights that are broadcast.
@@ -24,7 +24,7 @@ EPOCHS = 6
 # Per-coordinate rate alpha / (beta + sqrt(sum of squared gradients)); L1 sets weights to zero.
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 10.0, 0.1
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 
 
 class _Words(dict):
@@ -38,6 +38,7 @@ class _Words(dict):
 
 
 _WORDS = _Words()
+remembers("toxicity", _WORDS.clear)
 
 
 def features(text: str | None) -> np.ndarray:
@@ -140,6 +141,7 @@ def score(spark: SparkSession, model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        only_memory_of("toxicity")
         model = shared.value
         weights = model.dense()
         for texts in batches:
