@@ -231,7 +231,8 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     with small_batches(spark, TEXT_ROWS):
         members = stored(members, "members")
     pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    pairs = stored(_alike(pairs.distinct(), sets, rule), "pairs")
+    stars = stored(pairs.distinct(), "stars")
+    pairs = stored(_alike(stars, sets, rule), "pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
     held = _held(docs, sets, ids.distinct(), rule)
 
@@ -242,7 +243,8 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     left = _apart(pairs, links.where("linked")).join(tried, ["a", "b"], "left_anti")
     more = _checked(_sketched(left, held, rule), held, rule)
     links = links.union(more)
-    left = stored(_apart(pairs, links.where("linked")), "apart")
+    # Pairs whose sizes forbid a link stand here too: their sets may be linked with others.
+    left = stored(_apart(stars, links.where("linked")), "apart")
     if left.isEmpty():
         return links.where("linked").select("a", "b")
 
@@ -250,6 +252,12 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     keys = members.join(left, (F.col("centre") == F.col("a")) & (F.col("id") == F.col("b"))).select("bucket")
     keys = stored(keys.distinct(), "open-keys")
     wanted = stored(members.join(keys, "bucket").select("bucket", "id").distinct(), "open-members")
+    # Two sets alone under a key are a pair that is decided already.
+    counts = wanted.groupBy("bucket").agg(F.count("*").alias("about")).where("about > 2")
+    wanted = stored(wanted.join(counts, "bucket"), "open-groups")
+    more = stored(wanted.select("id").distinct().join(held.select("id"), "id", "left_anti"), "more-ids")
+    if not more.isEmpty():
+        held = held.unionByName(_held(docs, sets, more, rule))
     pairs = _compared(wanted, _labels(links.where("linked")), held, rule).join(links, ["a", "b"], "left_anti")
     return links.union(_checked(pairs, held, rule)).where("linked").select("a", "b")
 
@@ -407,14 +415,12 @@ def _checked(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _compared(members: DataFrame, label: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
-    """Distinct pairs of one bucket and different components whose sketches allow a link."""
-    counts = members.groupBy("bucket").agg(F.count("*").alias("about"))
+    """Distinct pairs of one bucket and different components whose sketches allow a link.
+
+    Members are rows of (bucket, id, about): the number of the bucket's rows.
+    """
     groups = F.ceil(F.col("about") / BUCKET_ROWS).cast("int")
-    cut = (
-        members.join(counts, "bucket")
-        .withColumn("groups", groups)
-        .withColumn("own", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int"))
-    )
+    cut = members.withColumn("groups", groups).withColumn("own", F.pmod(F.xxhash64("id"), F.col("groups")).cast("int"))
     tiles = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).select(
         F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")).alias("tile"),
         F.when(F.col("own") != F.col("other"), F.col("own")).otherwise(-1).alias("side"),

@@ -245,6 +245,19 @@ def test_chains_and_groups_of_near_copies(spark):
         assert got == classes_by_hand(rows, rule)
 
 
+def test_sets_that_the_smallest_id_is_too_small_for_are_compared(spark):
+    """Nested texts: the first and last link with the middle one only, whichever set is the centre."""
+    for rule, sizes in ((shingle_join.Rule(3, 90, 100), (18, 19, 21)), (shingle_join.Rule(5, 8, 10), (12, 14, 17))):
+        rows = []
+        for seed in range(150):
+            words = [f"s{seed}w{k}" for k in range(sizes[-1] + rule.words - 1)]
+            rows += [(3 * seed + k, " ".join(words[: n + rule.words - 1])) for k, n in enumerate(sizes)]
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sorted((tuple(r) for r in shingle_join.classes(frame, rule).collect()), key=repr)
+        assert [r[1] for r in sorted(got)] == list(sizes) * 150
+        assert got == classes_by_hand(rows, rule)
+
+
 def test_linked_sets_always_share_a_segment():
     rng = np.random.default_rng(1)
     rule = shingle_join.Rule(3, 90, 100)
