@@ -19,7 +19,7 @@ from narrowlake.session import work_dir
 
 FOLDS = 10
 # Pairs seen less often are left to backing off; counts above MOST are not discounted.
-LEAST_PAIR = 2
+LEAST_PAIR = 1
 MOST = 5
 # Tokens of one block of documents, and keys that one merging task holds, about.
 BLOCK_TOKENS = 2_000_000

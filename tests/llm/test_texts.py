@@ -186,6 +186,15 @@ def test_katz_without_documents_or_training(docs, no_docs):
     assert (row["held_out"], row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (True, 1, 0, 0, 0.0)
 
 
+def test_a_pair_seen_once_counts(spark):
+    held = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0][:2]
+    train = [i for i in range(100) if zlib.crc32(str(i).encode()) % 10][:2]
+    rows = [(train[0], "x y"), (train[1], "q z"), (held[0], "x y"), (held[1], "x z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in katz.scores(frame).collect()}
+    assert score[held[0]] > score[held[1]] + 0.1
+
+
 # ---------------------------------------------------------------- toxicity
 
 
