@@ -13,6 +13,7 @@ from narrowlake.llm.spans import matches
 # Words of a lower-cased text, and the base phrases with their labels.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = {
     "gnu general public license": "gpl",
     "apache license": "apache",
@@ -84,12 +85,6 @@ FORMS = [
     (6, 1.0, r"(?:dual |re)?licen[sc]ed under (?:the )?(?:terms of )?(?:the |an? )?"),
     (7, 1.0, r"(?:spdx )?licen[sc]e identifier "),
 ]
-GATE = (
-    r"(?i)licen[sc]|spdx|gpl|creative|cc[^0-9a-z\x80-\x{10FFFF}]+by|cc0|wtfpl"
-    r"|all[^0-9a-z]+rights|public[^0-9a-z]+domain|[2-4][^0-9a-z]+clause"
-    r"|(?:apache|bsd|mit)[^0-9a-z]+(?:software|x11|style|[1-4])"
-    r"|(?:simplified|free|new|modified|revised|original)[^0-9a-z]*bsd"
-)
 
 
 def rules() -> list[dict]:
@@ -114,6 +109,18 @@ def rules() -> list[dict]:
     return base + others
 
 
+def gate() -> str:
+    """Pattern of the texts that hold some rule's keyword, its first word at the start of a word or after "free"."""
+    keywords = dict.fromkeys(r["keyword"] for r in rules())
+    # A keyword with another's words in front of its own adds nothing.
+    least = [k for k in keywords if not any(k != o and k.startswith(o) for o in keywords)]
+    phrases = "|".join(_BETWEEN.join(k.split()) for k in least)
+    return rf"(?i)(?<!{ANY_CASE_WORD[:-1]})(?:free)?(?:{phrases})"
+
+
+GATE = gate()
+
+
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """The documents with license_words, license_base and license_found.
 

@@ -61,6 +61,40 @@ def test_the_gate_lets_every_rule_pass(spark):
     assert frame.where(F.col("text").rlike(licenses.GATE)).count() == len(licenses.BASE)
 
 
+def examples(pattern):
+    """Every text that a pattern of names matches."""
+
+    def made(nodes):
+        out = [""]
+        for kind, of in nodes:
+            kind = str(kind)
+            if kind == "LITERAL":
+                parts = [chr(of)]
+            elif kind == "IN":
+                parts = [chr(c) for _, c in of]
+            elif kind == "SUBPATTERN":
+                parts = made(of[-1])
+            elif kind == "BRANCH":
+                parts = [t for branch in of[1] for t in made(branch)]
+            else:
+                assert kind == "MAX_REPEAT" and of[:2] == (0, 1), kind
+                parts = ["", *made(of[2])]
+            out = [o + p for o in out for p in parts]
+        return out
+
+    return made(re._parser.parse(pattern))
+
+
+def test_the_gate_lets_every_alternative_of_every_name_pass(spark):
+    names = {t for _, _, pattern in licenses.NAMES for t in examples(pattern)}
+    rows = [(f"(under {t.title().replace(' ', '-. ')}!",) for t in sorted(names)]
+    frame = spark.createDataFrame(rows, "text string")
+    assert [r["text"] for r in frame.where(~F.col("text").rlike(licenses.GATE)).collect()] == []
+    cases = {"released under Apache v2.0": "apache-2.0", "Apache Version 2.0": "apache-2.0", "Apache2": "apache-2.0"}
+    found = licenses.scan(spark.createDataFrame([(t,) for t in cases], "text string")).collect()
+    assert {r["text"]: r["license_found"][0]["label"] for r in found if r["license_found"]} == cases
+
+
 # ---------------------------------------------------------------- secrets
 
 
