@@ -36,7 +36,7 @@ NAMES = [
     ("gpl-3.0", "general public", rf"(?:gnu )?general public licen[sc]e{_FSF}(?: version| v)? ?3(?: 0)?"),
     ("gpl-2.0", "gpl", r"(?:gnu )?gpl ?(?:version |v)?2(?: 0)?"),
     ("gpl-3.0", "gpl", r"(?:gnu )?gpl ?(?:version |v)?3(?: 0)?"),
-    ("lgpl-2.1", "lesser general", r"(?:gnu )?(?:lesser|library) general public licen[sc]e(?: version| v)? ?2(?: 1| 0)?"),
+    ("lgpl-2.1", "general public", r"(?:gnu )?(?:lesser|library) general public licen[sc]e(?: version| v)? ?2(?: 1| 0)?"),
     ("lgpl-3.0", "lesser general", r"(?:gnu )?lesser general public licen[sc]e(?: version| v)? ?3(?: 0)?"),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl(?: ?(?:version |v)?[23](?: [01])?)?"),
     ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[sc]e(?:(?: version| v)? ?3(?: 0)?)?"),

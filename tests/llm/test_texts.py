@@ -95,6 +95,14 @@ def test_the_gate_lets_every_alternative_of_every_name_pass(spark):
     assert {r["text"]: r["license_found"][0]["label"] for r in found if r["license_found"]} == cases
 
 
+def test_every_alternative_holds_its_keyword(spark):
+    lost = [(k, t) for _, k, pattern in licenses.NAMES for t in examples(pattern) if k not in t]
+    assert lost == []
+    text = "the GNU Library General Public License version 2"
+    (row,) = licenses.scan(spark.createDataFrame([(text,)], "text string")).collect()
+    assert {p["label"] for p in row["license_found"]} == {"lgpl-2.1"}
+
+
 # ---------------------------------------------------------------- secrets
 
 
