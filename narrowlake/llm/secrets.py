@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrowlake.llm.common import table
-from narrowlake.llm.spans import matches, nothing
+from narrowlake.llm.spans import SPAN, matches, nothing
 
 # The base rules; a match counts when its part has so many characters.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -21,15 +21,17 @@ KINDS = ["assign", "access", "hex", "markov"]
 # Characters the Markov models know; any other ends a candidate.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 _IN = r"A-Za-z0-9+/_\-"
-# Candidates are whole runs of at least so many characters that hold a digit and a letter.
-LEAST = 16
-CANDIDATE = rf"(?<![{_IN}])(?=[A-Za-z+/_\-]*[0-9])(?=[0-9+/_\-]*[A-Za-z])[{_IN}]{{{LEAST},}}+"
+# Candidates are all whole runs of at least so many characters; shorter ones say too little.
+LEAST = 8
+CANDIDATE = rf"[{_IN}]{{{LEAST},}}+"
 # Ordinary identifiers: whole runs of letters, dashes and underscores.
 ORDINARY = rf"(?<![{_IN}])[A-Za-z_\-]{{8,}}+(?![{_IN}])"
 # Documents whose identifiers are learned, about; every base match of the table is learned.
 SAMPLE_DOCUMENTS = 20_000
-# Least mean log-likelihood ratio of a character, in nats.
+# Least mean log-likelihood ratio of a character, in nats, of runs of FULL characters or more;
+# the means of shorter runs vary more and need more, by the root of their number of pairs.
 THRESHOLD = 0.9
+FULL = 16
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -100,18 +102,41 @@ def ratio(word: Column, model: list[float]) -> Column:
     return F.aggregate(pairs, F.lit(0.0), lambda total, x: total + x) / F.size(pairs)
 
 
+def random_spans(text: Column, model: list[float]) -> Column:
+    """Spans of the candidates that are more likely random than ordinary.
+
+    Only these take part in the sums of places, which stay linear in the number of words.
+    """
+    least = lambda h: THRESHOLD * F.sqrt(F.greatest(F.lit(1.0), (FULL - 1) / (F.length(h) - 1)))
+    hits = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
+    judged = F.transform(hits, lambda h: F.struct(h.alias("hit"), (ratio(h, model) >= least(h)).alias("random")))
+    gaps = F.transform(F.split(text, CANDIDATE, -1), F.length)
+    start = F.struct(F.lit(0).cast("bigint").alias("at"), nothing().alias("out"))
+
+    def put(state: Column, m: Column) -> Column:
+        first = state["at"] + m["gap"]
+        end = first + F.length(m["judged"]["hit"])
+        hit = m["judged"]["hit"]
+        span = F.array(F.struct(first.alias("start"), end.alias("end"), hit.alias("hit"), hit.alias("part")))
+        out = F.when(m["judged"]["random"], F.concat(state["out"], span.cast(SPAN))).otherwise(state["out"])
+        return F.struct(end.cast("bigint").alias("at"), out.alias("out"))
+
+    placed = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), judged, lambda g, j: F.struct(g.alias("gap"), j.alias("judged")))
+    return F.aggregate(placed, start, put)["out"]
+
+
 def find(docs: DataFrame, model: list[float]) -> DataFrame:
     """The documents with secret_spans: (start, kind, end) of all spans, by start and kind.
 
-    kind is a place in KINDS.  Spans of the Markov models that touch a span of a base rule
+    kind is a place in KINDS.  The models judge every whole run of LEAST or more characters
+    of the alphabet, letters or digits alone too; shorter runs are not looked at.  Spans of the Markov models that touch a span of a base rule
     are left out, base spans all stay.  Null texts are empty and have none.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.withColumns({f"secret_{k}": s for k, s in base_spans(text).items()})
     base = F.concat(F.col("secret_assign"), F.col("secret_access"), F.col("secret_hex"))
-    scored = F.filter(matches(text, CANDIDATE), lambda m: ratio(m["hit"], model) >= THRESHOLD)
     apart = F.filter(
-        scored, lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
+        random_spans(text, model), lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     )
     docs = docs.withColumn("secret_markov", F.when(text.rlike(CANDIDATE), apart).otherwise(nothing()))
     marked = [_marked(F.col(f"secret_{kind}"), place) for place, kind in enumerate(KINDS)]

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import random
 import re
 import zlib
 
@@ -148,6 +149,20 @@ def test_markov_models_tell_keys_from_names(spark, model):
     assert [s["kind"] for s in row["secret_spans"]].count(0) == 1
 
 
+def test_models_judge_letters_alone_and_short_runs(spark, model):
+    rng = random.Random(1)
+    keys = {n: ["".join(rng.choices(secrets.ALPHABET[:52], k=n)) for _ in range(200)] for n in (12, 16, 24)}
+    names = ["configuration", "responseHeaderList", "release_candidate", "internationalization", "java-developers"]
+    names += ["CONTRIBUTING", "PostgreSQL", "20240101", "2024-01-01"]
+    frame = spark.createDataFrame([(" ".join([*names, *keys[12], *keys[16], *keys[24], *names]),)], "text string")
+    (row,) = secrets.find(frame, model).collect()
+    found = {row["text"][s["start"] : s["end"]] for s in row["secret_spans"]}
+    assert not found & set(names)
+    # The models of the smallest table are learned from few keys.
+    shares = [len(found & set(keys[n])) / 200 for n in (12, 16, 24)]
+    assert shares[0] > 0.6 and shares[1] > 0.75 and shares[2] > 0.8, shares
+
+
 def test_redaction_replaces_spans_only(docs, model):
     names = docs.columns
     cleaned = secrets.clean(docs, model)
