@@ -129,21 +129,28 @@ def find(docs: DataFrame, model: list[float]) -> DataFrame:
     """The documents with secret_spans: (start, kind, end) of all spans, by start and kind.
 
     kind is a place in KINDS.  The models judge every whole run of LEAST or more characters
-    of the alphabet, letters or digits alone too; shorter runs are not looked at.  Spans of the Markov models that touch a span of a base rule
-    are left out, base spans all stay.  Null texts are empty and have none.
+    of the alphabet, letters or digits alone too; shorter runs are not looked at.  Spans of the Markov models that spans of base rules cover
+    wholly, alone or together, are left out; base spans all stay.  Null texts are empty and have none.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = docs.withColumns({f"secret_{k}": s for k, s in base_spans(text).items()})
     base = F.concat(F.col("secret_assign"), F.col("secret_access"), F.col("secret_hex"))
-    apart = F.filter(
-        random_spans(text, model), lambda m: ~F.exists(base, lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
-    )
+    apart = F.filter(random_spans(text, model), lambda m: ~_covered(m, base))
     docs = docs.withColumn("secret_markov", F.when(text.rlike(CANDIDATE), apart).otherwise(nothing()))
     marked = [_marked(F.col(f"secret_{kind}"), place) for place, kind in enumerate(KINDS)]
     docs = docs.withColumn("secret_spans", F.array_sort(F.concat(*marked)))
     return docs.drop(*[f"secret_{k}" for k in KINDS])
 
 
+def _covered(m: Column, spans: Column) -> Column:
+    """Whether spans leave no character of a span free."""
+
+    def reach(at: Column, b: Column) -> Column:
+        return F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at)
+
+    return F.aggregate(F.array_sort(spans), m["start"], reach) >= m["end"]
+
+
 def _marked(spans: Column, kind: int) -> Column:
     return F.transform(
         spans, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"))
