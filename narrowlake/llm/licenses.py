@@ -110,12 +110,15 @@ def rules() -> list[dict]:
 
 
 def gate() -> str:
-    """Pattern of the texts that hold some rule's keyword, its first word at the start of a word or after "free"."""
+    """Pattern of the texts that hold some rule's keyword, its first word at the start of a word or in "freebsd"."""
     keywords = dict.fromkeys(r["keyword"] for r in rules())
     # A keyword with another's words in front of its own adds nothing.
     least = [k for k in keywords if not any(k != o and k.startswith(o) for o in keywords)]
-    phrases = "|".join(_BETWEEN.join(k.split()) for k in least)
-    return rf"(?i)(?<!{ANY_CASE_WORD[:-1]})(?:free)?(?:{phrases})"
+    heads: dict[str, list[str]] = {}
+    for k in [*least, "freebsd"]:
+        heads.setdefault(k[0], []).append(_BETWEEN.join(k[1:].split(" ")))
+    phrases = "|".join(rf"{head}(?:{'|'.join(rest)})" for head, rest in heads.items())
+    return rf"(?i)(?<!{ANY_CASE_WORD[:-1]})(?:{phrases})"
 
 
 GATE = gate()
