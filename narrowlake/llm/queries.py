@@ -10,6 +10,7 @@ from narrowlake.llm import (
     near_vectors,
     nearest,
     packing,
+    periodic_runs,
     secrets,
     shingle_join,
     toxicity,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_token_files": frames.op8_token_files,
     "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_nearest": nearest.op10_nearest,
+    "op12_periodic_runs": periodic_runs.op12_periodic_runs,
 }
 
 ORACLES = {
