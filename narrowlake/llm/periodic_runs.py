@@ -16,17 +16,47 @@ from narrowlake.llm.common import crc_fold, ship_code, table
 LEAST = 12
 # Pairs of places that are extended together.
 PAIRS = 100_000
+# Times that all segments of a text are split together, before each is split by itself.
+ROUNDS = 6
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
 
-def segments(codes: list[int], least: int = LEAST) -> Iterator[tuple[int, int]]:
+def segments(codes: np.ndarray, least: int = LEAST) -> Iterator[tuple[int, int]]:
     """Stretches (first, behind the last) that can hold runs: every word stands in them twice.
 
     A word of a run stands in it twice at least, so a word that occurs once within its
-    segment splits it, and so do the parts until none holds such a word.  It is looked
-    for from both ends and only the shorter part is counted anew, so the work is at most
-    the number of words times its logarithm.
+    segment splits it, and so do the parts until none holds such a word.  All segments are
+    split at once in the first rounds, which is enough for ordinary texts; what is not
+    stable then is split one by one.
     """
+    places = np.arange(len(codes) if len(codes) >= least else 0)
+    stable = False
+    for _ in range(ROUNDS):
+        if stable or not len(places):
+            break
+        name = (np.cumsum(np.diff(places, prepend=places[0]) > 1) << 32) + codes[places]
+        _, name, count = np.unique(name, return_inverse=True, return_counts=True)
+        often = count[name] > 1
+        stable = often.all()
+        places = places[often]
+        sizes = np.diff(np.append(_starts(places), len(places)))
+        places = places[np.repeat(sizes >= least, sizes)]
+    starts = _starts(places)
+    for low, size in zip(places[starts].tolist(), np.diff(np.append(starts, len(places))).tolist()):
+        if stable:
+            yield low, low + size
+        else:
+            yield from _splits(codes[low : low + size].tolist(), low, least)
+
+
+def _starts(places: np.ndarray) -> np.ndarray:
+    """Where stretches of neighbouring places begin."""
+    return np.flatnonzero(np.diff(places, prepend=-2) != 1)
+
+
+def _splits(codes: list[int], offset: int, least: int) -> Iterator[tuple[int, int]]:
+    """The same, a cut at a time: rare words are looked for from both ends and only the shorter
+    part is counted anew, so the work is at most the number of words times its logarithm."""
     todo = [(0, len(codes), Counter(codes))]
     while todo:
         low, high, count = todo.pop()
@@ -41,7 +71,7 @@ def segments(codes: list[int], least: int = LEAST) -> Iterator[tuple[int, int]]:
                 cut = high - 1 - near
                 break
         if cut is None:
-            yield low, high
+            yield offset + low, offset + high
             continue
         parts = (low, cut), (cut + 1, high)
         small, large = sorted(parts, key=lambda p: p[1] - p[0])
@@ -122,10 +152,10 @@ def lag_scan(words: np.ndarray, least: int = LEAST) -> np.ndarray:
 def runs_of(words: list[bytes], least: int = LEAST) -> np.ndarray:
     """Rows (start, length, period) of all runs of a text's words, by start and period."""
     number: dict[bytes, int] = {}
-    codes = [number.setdefault(w, len(number)) for w in words]
+    codes = np.array([number.setdefault(w, len(number)) for w in words], np.int64)
     found = [np.empty((0, 3), np.int64)]
     for low, high in segments(codes, least):
-        part = lag_scan(np.array(codes[low:high], np.int64), least)
+        part = lag_scan(codes[low:high], least)
         part[:, 0] += low
         found.append(part)
     runs = np.concatenate(found)
@@ -134,6 +164,8 @@ def runs_of(words: list[bytes], least: int = LEAST) -> np.ndarray:
 
 def collapsed(words: list[bytes], runs: np.ndarray) -> str:
     """The words that no run holds behind its first period, joined by one blank."""
+    if not len(runs):
+        return b" ".join(words).decode()
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, runs[:, 0] + runs[:, 2], 1)
     np.add.at(change, runs[:, 0] + runs[:, 1], -1)

@@ -5,6 +5,7 @@ import random
 import time
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,11 +63,13 @@ def test_runs_equal_a_plain_search(seed):
         assert periodic_runs.collapsed(words, periodic_runs.runs_of(words)).encode().split() == plain_collapsed(words, got)
 
 
-def test_segments_are_stable_and_hold_all_runs():
+@pytest.mark.parametrize("rounds", [0, 1, 6])
+def test_segments_are_stable_and_hold_all_runs(monkeypatch, rounds):
+    monkeypatch.setattr(periodic_runs, "ROUNDS", rounds)
     draw = random.Random(1)
     for _ in range(200):
         codes = [draw.randrange(12) for _ in range(draw.randint(0, 60))]
-        parts = list(periodic_runs.segments(codes))
+        parts = list(periodic_runs.segments(np.array(codes)))
         for low, high in parts:
             inside = codes[low:high]
             assert high - low >= 12 and all(inside.count(c) > 1 for c in inside)
