@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from narrowlake.llm import (
+    alignment,
     frames,
     katz,
     licenses,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_nearest": nearest.op10_nearest,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLES = {

@@ -13,8 +13,9 @@ from tokenizers import Tokenizer
 from narrowlake.llm.common import only_memory_of, remembers
 
 # Pieces whose ids one Python worker remembers before it drops those not used since; two
-# such sets, of about 200 bytes an entry, are held at a time.
-REMEMBERED = 110_000
+# such sets, of about 200 bytes an entry, are held at a time.  Operators that hold little
+# else ask for more.
+REMEMBERED = 160_000
 _BLANK = re.compile(r"(?<=\S) (?=\S)")
 # Characters whose kind, case and composed form need no tables: ASCII and the Latin letters
 # up to U+024F, without the one whose lower case is two characters.
@@ -31,11 +32,11 @@ class _WideBlank(Exception):
     """A piece has white space at an end, so the blank beside it is part of a longer run."""
 
 
-class _Memory(dict):
+class Memory(dict):
     """Ids by piece; when full, pieces that were not asked for again are forgotten."""
 
-    def __init__(self, make: Callable[[str], bytes]):
-        self.make, self.before = make, {}
+    def __init__(self, make: Callable[[str], bytes], most: int | None = None):
+        self.make, self.most, self.before = make, most or REMEMBERED, {}
 
     def forget(self) -> None:
         self.clear()
@@ -45,7 +46,7 @@ class _Memory(dict):
         ids = self.before.get(piece)
         if ids is None:
             ids = self.make(piece)
-        if len(self) >= REMEMBERED:
+        if len(self) >= self.most:
             self.before = dict(self)
             self.clear()
         self[piece] = ids
@@ -62,15 +63,17 @@ class Encoder:
     go, as the library does.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int | None = None, plain: bool = False):
+        """``plain`` takes the strings of special tokens for ordinary text."""
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = plain
         self.model = self.tokenizer.model
         # The two kinds of vocabulary: the blank before a word is part of its ids, or dropped.
         self.blanks_count = self.tokenizer.normalizer is None
-        self.letters = _byte_letters()
+        self.letters = byte_letters()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.pieces = _Memory(self._piece)
-        self.stems = _Memory(self._stem)
+        self.pieces = Memory(self._piece, remembered)
+        self.stems = Memory(self._stem, remembered)
 
     def ids(self, text: str) -> np.ndarray:
         """The ids of a text as unsigned 32-bit integers."""
@@ -122,7 +125,7 @@ class Encoder:
         return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The printable letter that byte-level vocabularies write for each byte.
 
     Fixed values of the format: printable bytes stand for themselves, the others for the
@@ -134,17 +137,17 @@ def _byte_letters() -> dict[int, str]:
 
 
 @functools.lru_cache(maxsize=4)
-def _encoder(path: str) -> Encoder:
-    own = Encoder(path)
+def _encoder(path: str, remembered: int | None) -> Encoder:
+    own = Encoder(path, remembered)
     for memory in (own.pieces, own.stems):
         remembers("tokens", memory.forget)
     return own
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, remembered: int | None = None) -> Encoder:
     """One encoder per file and Python worker; workers are used again by later tasks."""
     only_memory_of("tokens")
-    return _encoder(path)
+    return _encoder(path, remembered)
 
 
 def vocabulary(name: str) -> str:
