@@ -7,6 +7,7 @@ from narrowlake.llm import (
     frames,
     katz,
     licenses,
+    line_dedup,
     mixing,
     near_vectors,
     nearest,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_token_files": frames.op8_token_files,
     "op9_shingle_join": shingle_join.op9_shingle_join,
     "op10_nearest": nearest.op10_nearest,
+    "op11_line_dedup": line_dedup.op11_line_dedup,
     "op12_periodic_runs": periodic_runs.op12_periodic_runs,
     "op13_alignment": alignment.op13_alignment,
 }
@@ -36,4 +38,5 @@ ORACLES = {
     "op1_near_vectors": near_vectors.SQL,
     "op9_shingle_join": shingle_join.SQL,
     "op10_nearest": nearest.SQL,
+    "op11_line_dedup": line_dedup.SQL,
 }
