@@ -14,13 +14,7 @@ from pyspark.sql import types as T
 from narrowlake.model import COLLECTIONS, Roles
 from narrowlake.operators.pivots import discover_items, pivot_encoded
 from narrowlake.session import PARALLEL_JOBS
-from narrowlake.sinks.tables import (
-    keep_schema,
-    merge_wide,
-    rebalanced,
-    stored_schema,
-    write_parquet,
-)
+from narrowlake.sinks.tables import merge_wide, read_stored, rebalanced, store_wide, stored_schema
 
 
 def touched_series(batch: DataFrame, roles: Roles = COLLECTIONS) -> list[str]:
@@ -52,15 +46,16 @@ def wide_path(root: str, series: str) -> str:
 def refresh_series(
     narrow: DataFrame, root: str, series: Sequence[str], roles: Roles = COLLECTIONS
 ) -> None:
-    """Rebuild the stored wide relation of each given series from all its rows."""
+    """Rebuild the stored wide relation of each given series from all its rows.
+
+    Each is switched when it is written in full; readers see the earlier one until then.
+    """
     chosen = narrow.where(F.col(roles.series).isin(list(series)))
     found = discover_items(chosen, roles)
 
     def rebuild(name: str) -> None:
         wide = pivot_encoded(narrow, name, roles=roles, items=found[name])
-        path = wide_path(root, name)
-        write_parquet(wide, path, partition_by=[roles.as_of] if roles.as_of else ())
-        keep_schema(narrow.sparkSession, path, wide.schema)
+        store_wide(wide, wide_path(root, name), partition_by=[roles.as_of] if roles.as_of else ())
 
     _for_each(rebuild, found)
 
@@ -110,11 +105,11 @@ def read_wide(
 ) -> DataFrame:
     """A stored wide relation with the columns of all its folders, keys as text."""
     path = wide_path(root, series)
-    found = stored_schema(spark, path)
-    if found is None:
-        found = spark.read.option("mergeSchema", True).parquet(path).schema
     keys = set(roles.keys)
     schema = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name in keys else f.dataType) for f in found]
+        [
+            T.StructField(f.name, T.StringType() if f.name in keys else f.dataType)
+            for f in stored_schema(spark, path) or ()
+        ]
     )
-    return spark.read.schema(schema).parquet(path)
+    return read_stored(spark, path, schema)

@@ -699,11 +699,11 @@ def upsert_wide(spark, folder):
     rows = flt.by_series(trade.collections(spark, folder), SERIES)
     codes = pivots.discover_codes(rows, COLLECTIONS.item)
     early = latest.as_of_ingest(rows, INGEST)
-    sink.write_parquet(pivots.pivot_encoded(early, items=codes), path, partition_by=["aod"])
+    sink.store_wide(pivots.pivot_encoded(early, items=codes), path, partition_by=["aod"])
     late = rows.where(F.col("ingest_timestamp") > INGEST)
     changed = refresh.changed_filings(rows, late, SERIES)
     sink.upsert_wide(changed, path, keys=KEYS, partition_by=["aod"])
-    wide = spark.read.parquet(path)
+    wide = sink.read_stored(spark, path)
     return wide.select(*[F.col(c).cast("string").alias(c) for c in [*KEYS, *codes]])
 
 

@@ -7,14 +7,12 @@ share of the rows is split over many tasks.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
 from itertools import batched
 from urllib.parse import unquote
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +20,7 @@ from pyspark.sql import types as T
 from narrowlake.functions.cells import quoted, text_literal
 from narrowlake.functions.files import before_ingest
 from narrowlake.model import COLLECTIONS, Roles
+from narrowlake.sinks import versions
 
 
 # Partitions that one catalog statement drops.
@@ -91,9 +90,32 @@ def create_or_append(rows: DataFrame, table: str, **create: object) -> str:
 def replace_wide_table(
     wide: DataFrame, table: str, *, partition_by: Sequence[str] = (), path: str | None = None
 ) -> None:
-    """A wide relation stored as a snappy table in place of any earlier one."""
-    writer = rebalanced(wide, partition_by).write.format("parquet").mode("overwrite")
-    writer = writer.option("compression", "snappy")
+    """A wide relation stored as a snappy table in place of any earlier one.
+
+    The rows are written in full under another name first, so the table is missing for two
+    catalog calls, not for the time of the write, and an error while writing leaves it
+    alone.  Under a path, every write has a folder of its own below it.
+    """
+    spark, mark = wide.sparkSession, uuid4().hex
+    if not spark.catalog.tableExists(table):
+        _save_wide(wide, table, partition_by, path and f"{path.rstrip('/')}/{mark}")
+        return
+    place = path or spark.sql(f"DESCRIBE DATABASE {table_name(_database_of(spark, table))}").where(
+        "info_name = 'Location'"
+    ).first()["info_value"]
+    folder = f"{place.rstrip('/')}/{table.rsplit('.', 1)[-1]}-{mark}" if not path else f"{place.rstrip('/')}/{mark}"
+    staged = f"{table}_{mark[:8]}"
+    _save_wide(wide, staged, partition_by, folder)
+    spark.sql(f"DROP TABLE {table_name(table)}")
+    rename_table(spark, staged, table)
+
+
+def _database_of(spark: SparkSession, table: str) -> str:
+    return table.rpartition(".")[0] or spark.catalog.currentDatabase()
+
+
+def _save_wide(wide: DataFrame, table: str, partition_by: Sequence[str], path: str | None) -> None:
+    writer = rebalanced(wide, partition_by).write.format("parquet").option("compression", "snappy")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path:
@@ -208,32 +230,24 @@ def upsert_rows(current: DataFrame, changed: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(changed, allowMissingColumns=True)
 
 
-def schema_path(path: str) -> str:
-    return path.rstrip("/") + "_schema"
-
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema of a stored relation; None if there is none.  Its record tells, no data file is opened."""
+    version = versions.current(spark, path)
+    return version and version.schema
 
-def keep_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Write the schema of a stored relation down beside it.
 
-    Every version is kept in a file of its own; the widest counts, as columns are only added.
-    """
-    known = stored_schema(spark, path)
-    if known is None or set(schema.names) - set(known.names):
-        fields = {f.name: f for f in (known or T.StructType()).fields} | {f.name: f for f in schema.fields}
-        text = T.StructType(list(fields.values())).json()
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(schema_path(path))
+def read_stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stored relation as its last complete write left it."""
+    version = versions.current(spark, path, schema)
+    if version is None:
+        raise FileNotFoundError(f"no relation is stored at {path}")
+    return versions.read(spark, path, version, schema)
 
 
-def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The schema kept beside a relation; None if there is none.  No data file is opened."""
-    try:
-        kept = [r[0] for r in spark.read.text(schema_path(path)).collect()]
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    found = [T.StructType.fromJson(json.loads(text)) for text in kept]
-    return max(found, key=lambda s: len(s.fields)) if found else None
+def store_wide(wide: DataFrame, path: str, *, partition_by: Sequence[str] = ()) -> None:
+    """Store a relation in place of any earlier one, which stays readable until the new one is whole."""
+    base = versions.current(wide.sparkSession, path, wide.schema)
+    versions.switch(wide, path, partition_by, base=base, whole=True)
 
 
 def _touched(changed: DataFrame, partition_by: Sequence[str]) -> Column | None:
@@ -264,16 +278,6 @@ def _check_partitions(keys: Sequence[str], partition_by: Sequence[str]) -> None:
         raise ValueError(f"partition columns {others} are no keys: a changed row could leave its old one behind")
 
 
-def _replace_partitions(rows: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    (
-        rebalanced(rows, partition_by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_by)
-        .parquet(path)
-    )
-
-
 def merge_wide(
     batch: DataFrame, path: str, *, keys: Sequence[str], partition_by: Sequence[str]
 ) -> None:
@@ -281,23 +285,24 @@ def merge_wide(
 
     A cell is the largest value of its rows, so the larger of the stored and the new
     cell is that of all rows: nothing but the batch and the touched partitions is
-    read, and merging a batch again changes nothing.
+    read, and merging a batch again changes nothing.  The touched partitions are
+    written aside and switched, so a merge that dies leaves the relation as it was, or
+    as it should be.
     """
     _check_partitions(keys, partition_by)
     spark = batch.sparkSession
     where = _touched(batch, partition_by)
     if where is None:
         return
-    schema = stored_schema(spark, path)
+    base = versions.current(spark, path)
     rows = batch
-    if schema is not None:
-        rows = spark.read.schema(schema).parquet(path).where(where).unionByName(batch, allowMissingColumns=True)
+    if base is not None:
+        rows = versions.read(spark, path, base).where(where).unionByName(batch, allowMissingColumns=True)
         cells = [c for c in rows.columns if c not in set(keys)]
         rows = rows.groupBy(F.xxhash64(*keys).alias("_sort"), *keys).agg(
             *[F.expr(f"max({quoted(c)}) AS {quoted(c)}") for c in cells]
         ).drop("_sort")
-    keep_schema(spark, path, rows.schema)
-    _replace_partitions(rows, path, partition_by)
+    versions.switch(rows, path, partition_by, base=base)
 
 
 def upsert_wide(
@@ -306,24 +311,24 @@ def upsert_wide(
     """Put changed filings in place of those of the same key in a stored wide relation.
 
     Only partitions with changed filings are read and written again; their names,
-    not their rows, are what passes through the driver.
+    not their rows, are what passes through the driver.  They are switched as in
+    ``merge_wide``.
     """
     _check_partitions(keys, partition_by)
     spark = changed.sparkSession
     # Partition values are read back in the type of the changed rows, not guessed.
     kinds = {f.name: f.dataType for f in changed.schema.fields}
-    stored = stored_schema(spark, path) or spark.read.option("mergeSchema", True).parquet(path).schema
-    schema = T.StructType(
-        [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in stored.fields]
-    )
     changed = changed.persist()
     try:
         where = _touched(changed, partition_by)
         if where is None:
             return
-        rows = upsert_rows(spark.read.schema(schema).parquet(path).where(where), changed, keys)
-        keep_schema(spark, path, rows.schema)
-        _replace_partitions(rows, path, partition_by)
+        base = versions.current(spark, path)
+        rows = changed
+        if base is not None:
+            schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in base.schema.fields])
+            rows = upsert_rows(versions.read(spark, path, base, schema).where(where), changed, keys)
+        versions.switch(rows, path, partition_by, base=base)
     finally:
         changed.unpersist()
 

@@ -12,6 +12,7 @@ from narrowlake.operators import joins, latest, pivots, quality, sets
 from narrowlake.operators import projections as prj
 from narrowlake.plans import publish, refresh
 from narrowlake.sinks import tables as sink
+from narrowlake.sinks import versions
 
 KEYS = list(COLLECTIONS.keys)
 
@@ -122,7 +123,7 @@ def test_upsert_touches_only_changed_partitions(spark, tmp_path):
     before = sorted(p.name for p in (tmp_path / "wide" / "aod=d2").iterdir())
     changed = pivots.pivot_encoded(narrow(spark, [("S", "d1", "2", "1", "A", "8", "2"), ("S", "d1", "2", "1", "N", "9", "2")]))
     sink.upsert_wide(changed, path, keys=KEYS, partition_by=["aod"])
-    wide = spark.read.option("mergeSchema", True).parquet(path)
+    wide = sink.read_stored(spark, path)
     assert sorted((r.aod, r.rssdid, r.A, r.N) for r in wide.collect()) == [
         ("d1", "1", "1", None), ("d1", "2", "8", "9"), ("d2", "1", "3", None),
     ]
@@ -135,8 +136,7 @@ def test_upsert_with_null_keys_and_numeric_looking_partitions(spark, tmp_path):
     sink.write_parquet(pivots.pivot_encoded(rows), path, partition_by=["aod"])
     changed = pivots.pivot_encoded(narrow(spark, [("S", "0123", "1", None, "A", "5", "1")]))
     sink.upsert_wide(changed, path, keys=KEYS, partition_by=["aod"])
-    schema = changed.schema
-    found = spark.read.schema(schema).parquet(path)
+    found = sink.read_stored(spark, path)
     assert sorted((r.aod, r.A) for r in found.collect()) == [("0123", "5"), ("0456", "2")]
 
 
@@ -429,19 +429,92 @@ def test_a_refresh_reads_the_batch_and_the_touched_dates_only(spark, tmp_path):
     path = str(tmp_path / "wide")
     rows = narrow(spark, [("S", f"d{n}", "1", "1", "A", "5", "1") for n in range(6)])
     sink.merge_wide(pivots.pivot_encoded(rows), path, keys=KEYS, partition_by=["aod"])
-    before = {p.name for p in (tmp_path / "wide" / "aod=d1").iterdir()}
+    before = versions.current(spark, path).folders
     late = narrow(spark, [("S", "d3", "1", "1", "A", "9", "2"), ("S", "d3", "1", "1", "N", "1", "2")])
     sink.merge_wide(pivots.pivot_encoded(late), path, keys=KEYS, partition_by=["aod"])
-    assert {p.name for p in (tmp_path / "wide" / "aod=d1").iterdir()} == before
-    schema = sink.stored_schema(spark, path)
-    assert set(schema.names) == {*KEYS, "A", "N"}
+    after = versions.current(spark, path).folders
+    assert {part for part in after if after[part] != before[part]} == {"aod=d3"}
+    assert set(sink.stored_schema(spark, path).names) == {*KEYS, "A", "N"}
+    rows = sink.read_stored(spark, path)
     where = sink._touched(pivots.pivot_encoded(late), ["aod"])
-    assert {f.rsplit("aod=", 1)[1][:2] for f in spark.read.schema(schema).parquet(path).where(where).inputFiles()} >= {"d3"}
-    assert "PartitionFilters: [isnotnull(aod" in plan(spark.read.schema(schema).parquet(path).where(where)) or "aod" in plan(spark.read.schema(schema).parquet(path).where(where)).split("PartitionFilters")[1]
-    got = {(r.aod, r.A, r.N) for r in spark.read.schema(schema).parquet(path).collect()}
+    assert "aod" in plan(rows.where(where)).split("PartitionFilters")[1].split("\n")[0]
+    got = {(r.aod, r.A, r.N) for r in rows.collect()}
     assert ("d3", "9", "1") in got and ("d1", "5", None) in got and len(got) == 6
 
 
+@pytest.mark.parametrize("kill", ["before the record", "half a record", "before clearing"])
+def test_a_merge_that_dies_leaves_old_or_new_rows_and_can_be_run_again(spark, tmp_path, monkeypatch, kill):
+    """The process is lost at each step between the first file written and the last old one deleted."""
+    path = str(tmp_path / "wide")
+    rows = narrow(spark, [("S", f"d{n}", str(f), "1", "A", "5", "1") for n in range(3) for f in range(3)])
+    late = narrow(spark, [("S", "d1", "1", "1", "A", "9", "2"), ("S", "d1", "7", "1", "N", "1", "2")])
+    sink.merge_wide(pivots.pivot_encoded(rows), path, keys=KEYS, partition_by=["aod"])
+
+    def seen():
+        found = sink.read_stored(spark, path)
+        return {(r.aod, r.rssdid, r.A) for r in found.collect()}
+
+    old = seen()
+    create = versions.Store.create
+
+    def dies(store, name, text):
+        if kill == "half a record":
+            create(store, name, text[: len(text) // 2])
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as patch:
+        if kill == "before clearing":
+            patch.setattr(versions, "_clear", lambda store: dies(store, "", ""))
+        else:
+            patch.setattr(versions.Store, "create", dies)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            sink.merge_wide(pivots.pivot_encoded(late), path, keys=KEYS, partition_by=["aod"])
+    new = {*(old - {("d1", "1", "5")}), ("d1", "1", "9"), ("d1", "7", None)}
+    assert seen() == (new if kill == "before clearing" else old)
+    for _ in range(4):
+        sink.merge_wide(pivots.pivot_encoded(late), path, keys=KEYS, partition_by=["aod"])
+        assert seen() == new
+    # Only the folders of the last two states stay, and those of writers that may be at work.
+    named = {f for f in versions.current(spark, path).folders.values()}
+    assert len(list((tmp_path / "wide").glob("narrowlake_version=*"))) <= len(named) + 2
+
+
+def test_two_writers_can_not_switch_from_one_state(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    wide = pivots.pivot_encoded(narrow(spark, [("S", "d1", "1", "1", "A", "5", "1")]))
+    sink.store_wide(wide, path, partition_by=["aod"])
+    base = versions.current(spark, path)
+    versions.switch(wide.withColumn("A", F.lit("6")), path, ["aod"], base=base)
+    with pytest.raises(versions.VersionTaken):
+        versions.switch(wide.withColumn("A", F.lit("7")), path, ["aod"], base=base)
+    assert [r.A for r in sink.read_stored(spark, path).collect()] == ["6"]
+
+
+def test_a_reader_that_has_planned_finishes_its_scan(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    wide = pivots.pivot_encoded(narrow(spark, [("S", "d1", "1", "1", "A", "5", "1")]))
+    sink.store_wide(wide, path, partition_by=["aod"])
+    planned = sink.read_stored(spark, path)
+    sink.store_wide(wide.withColumn("A", F.lit("6")), path, partition_by=["aod"])
+    assert [r.A for r in planned.collect()] == ["5"]
+    assert [r.A for r in sink.read_stored(spark, path).collect()] == ["6"]
+
+
+def test_a_table_is_replaced_only_when_its_rows_are_written(spark, database, tmp_path):
+    wide = pivots.pivot_encoded(narrow(spark, [("S", "d1", "1", "1", "A", "5", "1")]))
+    for path in (None, str(tmp_path / "w")):
+        table = f"{database}.replaced_{'b' if path else 'a'}"
+        for value in "567":
+            rows = wide.withColumn("A", F.lit(value)).withColumn(f"N{value}", F.lit("1"))
+            sink.replace_wide_table(rows, table, partition_by=["aod"], path=path)
+            assert [r.A for r in spark.table(table).collect()] == [value]
+            assert f"N{value}" in spark.table(table).columns
+        broken = wide.withColumn("A", F.raise_error(F.lit("lost")))
+        with pytest.raises(Exception, match="lost"):
+            sink.replace_wide_table(broken, table, partition_by=["aod"], path=path)
+        assert [r.A for r in spark.table(table).collect()] == ["7"]
+
+
 def test_few_shuffles_in_checks_and_groups(spark, table):
     rows = flt.by_series(spark.table(table), "FRY9C")
 
