@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
 from narrowlake.operators.filters import reject_reason
 from narrowlake.operators.joins import new_files
+from narrowlake.plans.lease import SECONDS, Lease
 from narrowlake.sinks.tables import append_merge_schema, create_or_append, rebalanced
 from narrowlake.sources.csv import MALFORMED, SOURCE_FILE, read_by_header, stamp_ingest
 from narrowlake.sources.files import valid_files
@@ -210,6 +211,11 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def lease_path(ledger: str) -> str:
+    """Where runs of a ledger take turns."""
+    return ledger.rstrip("/") + "_lease"
+
+
 def load_new(
     spark: SparkSession,
     path: str,
@@ -220,6 +226,7 @@ def load_new(
     prefixes: Sequence[str] = SERIES_PREFIXES,
     multiline: bool = True,
     route: str = "auto",
+    lease_seconds: float = SECONDS,
 ) -> int:
     """Load the files that no earlier run has loaded; returns how many.
 
@@ -229,46 +236,51 @@ def load_new(
     A file that is written again under its name is a new file; its rows join
     the earlier ones, and reads of the latest state choose between them.
     Files that hold no line at all are written down as empty and raise.
-    One run at a time.
+
+    A run holds the lease of its ledger, so a second one is refused with LeaseHeld;
+    the lease of a run that died ends ``lease_seconds`` after its last sign of life.
     """
+    with Lease(spark, lease_path(ledger), lease_seconds) as lease:
+        count = 0
+        while True:
+            load_id, unfinished = _next_load(spark, path, ledger, lease, route)
+            if load_id is None:
+                return count
+            files = read_ledger(spark, ledger).where(
+                (F.col(LOAD_ID) == load_id) & (F.col("state") == "taken")
+            )
+            count += files.count()
+            lease.check()
+            read, _ = load_files(files, target, load_id, roles=roles, prefixes=prefixes, multiline=multiline)
+            lease.check()
+            _append_ledger(files, ledger, load_id, "loaded" if read else "empty")
+            if not unfinished:
+                if not read:
+                    raise EmptyLoad(f"the {count} new files below {path} hold no rows")
+                return count
+
+
+def _next_load(
+    spark: SparkSession, path: str, ledger: str, lease: Lease, route: str
+) -> tuple[str | None, bool]:
+    """The load to be done and whether a run left it unfinished; new files are taken for it."""
     known = read_ledger(spark, ledger)
     done = known.where(F.col("state").isin("loaded", "empty")).select(LOAD_ID)
-    unfinished = (
-        known.where(F.col("state") == "taken").join(done, LOAD_ID, "left_anti").agg(F.min(LOAD_ID))
-    ).first()[0]
-    if unfinished:
-        load_id = unfinished
-    else:
-        load_id = uuid.uuid4().hex
-        taken = new_files(
-            valid_files(spark, path, route), known.where(F.col("state") == "taken"), FILE_IDENTITY
-        ).persist()
-        try:
-            if taken.isEmpty():
-                return 0
-            _append_ledger(taken, ledger, load_id, "taken")
-        finally:
-            taken.unpersist()
-    files = read_ledger(spark, ledger).where(
-        (F.col(LOAD_ID) == load_id) & (F.col("state") == "taken")
-    )
-    count = files.count()
-    read, _ = load_files(files, target, load_id, roles=roles, prefixes=prefixes, multiline=multiline)
-    _append_ledger(files, ledger, load_id, "loaded" if read else "empty")
-    if unfinished:
-        return count + load_new(
-            spark,
-            path,
-            target,
-            ledger,
-            roles=roles,
-            prefixes=prefixes,
-            multiline=multiline,
-            route=route,
-        )
-    if not read:
-        raise EmptyLoad(f"the {count} new files below {path} hold no rows")
-    return count
+    left = known.where(F.col("state") == "taken").join(done, LOAD_ID, "left_anti").agg(F.min(LOAD_ID)).first()[0]
+    if left:
+        return left, True
+    load_id = uuid.uuid4().hex
+    taken = new_files(
+        valid_files(spark, path, route), known.where(F.col("state") == "taken"), FILE_IDENTITY
+    ).persist()
+    try:
+        if taken.isEmpty():
+            return None, False
+        lease.check()
+        _append_ledger(taken, ledger, load_id, "taken")
+    finally:
+        taken.unpersist()
+    return load_id, False
 
 
 def _append_ledger(files: DataFrame, ledger: str, load_id: str, state: str) -> None:

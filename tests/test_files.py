@@ -2,6 +2,7 @@
 
 import os
 import pathlib
+import time
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -12,7 +13,7 @@ from narrowlake.model import COLLECTIONS, KV
 from narrowlake.operators import filters as flt
 from narrowlake.operators import sets
 from narrowlake.plans import ingest as loads
-from narrowlake.plans import refresh
+from narrowlake.plans import lease, refresh
 from narrowlake.sinks import tables as sink
 from narrowlake.sources import csv as csv_source
 from narrowlake.sources import files, generators
@@ -206,6 +207,63 @@ def test_load_new_finishes_a_run_that_died(spark, drop, tmp_path_factory, monkey
     assert loads.read_loaded(spark, target).count() == 4
 
 
+def test_a_second_run_is_refused_and_a_dead_one_taken_over(spark, drop, tmp_path_factory, monkeypatch):
+    root = tmp_path_factory.mktemp("narrow")
+    target, ledger = str(root / "data"), str(root / "ledger")
+    held = lease.Lease(spark, loads.lease_path(ledger), 3)
+    held.__enter__()
+    with pytest.raises(lease.LeaseHeld):
+        loads.load_new(spark, str(drop), target, ledger)
+    time.sleep(4)  # longer than it holds: signs of life keep it
+    with pytest.raises(lease.LeaseHeld):
+        loads.load_new(spark, str(drop), target, ledger)
+    held._end.set()  # the process is gone: no more signs of life, nothing given back
+    time.sleep(4)
+    assert loads.load_new(spark, str(drop), target, ledger) == 2
+    assert loads.read_loaded(spark, target).count() == 3
+    # A run that ends gives the lease back at once.
+    assert loads.load_new(spark, str(drop), target, ledger) == 0
+
+
+def test_a_slow_run_that_was_taken_over_writes_no_more(spark, drop, tmp_path_factory, monkeypatch):
+    root = tmp_path_factory.mktemp("narrow")
+    target, ledger = str(root / "data"), str(root / "ledger")
+    read = loads.load_files
+
+    def slow(*args, **kw):
+        monkeypatch.setattr(loads, "load_files", read)
+        monkeypatch.setattr(lease.Lease, "__exit__", lambda self, *error: self._end.set())
+        # Its signs of life stop; another run finishes the load.
+        taken = lease.Lease(spark, loads.lease_path(ledger), 0)
+        taken._store.create(f"{taken._highest()[0] + 1:012d}", '{"owner": "other", "until": 0}')
+        assert loads.load_new(spark, str(drop), target, ledger) == 2
+        return read(*args, **kw)
+
+    monkeypatch.setattr(loads, "load_files", slow)
+    with pytest.raises(lease.LeaseLost):
+        loads.load_new(spark, str(drop), target, ledger)
+    monkeypatch.undo()
+    states = loads.read_ledger(spark, ledger).groupBy("state").count().collect()
+    assert {r["state"]: r["count"] for r in states} == {"taken": 2, "loaded": 2}
+    assert loads.read_loaded(spark, target).count() == 3
+
+
+def test_only_one_of_many_takes_a_lease(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    def take(_):
+        own = lease.Lease(spark, str(tmp_path / "lease"), 60)
+        try:
+            return own.__enter__()
+        except lease.LeaseHeld:
+            return None
+
+    with ThreadPoolExecutor(1) as pool:
+        found = [x for x in pool.map(take, range(6)) if x]
+    assert len(found) == 1
+    found[0].__exit__()
+
+
 def bad_file():
     """Lines of full width in an encoding that is not accepted."""
     return "\n".join([HEADER, line("FRY9C", desc="caf\xe9")]).encode("latin-1") + b"\n"
