@@ -51,13 +51,6 @@ def _utf8(head: Column) -> Column:
     return reduce(lambda a, b: a | b, shorter, whole)
 
 
-def header_line(head: Column) -> Column:
-    """The first line of a file; NULL if it does not end within the sample."""
-    text = F.regexp_replace(head.cast("string"), "^\ufeff", "")
-    whole = text.rlike("[\r\n]") | (F.length(head) < SAMPLE_BYTES)
-    return F.when(whole, F.regexp_extract(text, r"^([^\r\n]*)", 1))
-
-
 def looks_like_csv(head: Column) -> Column:
     """Whether a file may be read: UTF-8, some delimiter, first line not empty."""
     text = head.cast("string")

@@ -40,7 +40,7 @@ class LoadReport:
     loaded_rows: int
     rejected_rows: int
     action: str
-    refused_files: tuple[tuple[str, str], ...] = ()
+    refused_files: int = 0
 
 
 def read_drop(
@@ -51,10 +51,11 @@ def read_drop(
     ingest_mode: str = "per_file",
     multiline: bool = True,
     extra: bool = False,
-) -> tuple[DataFrame, list[tuple[str, str]]]:
+) -> tuple[DataFrame, DataFrame]:
     """Stamped rows of sniffed files, each with the reason it is refused or NULL.
 
-    Every line of a file that is read is one row; files that are not come second.
+    Every line of a file that is read is one row; files that are not come second, with the
+    reason.
     """
     rows, refused = read_by_header(files.sparkSession, files, roles, multiline=multiline, extra=extra)
     reason = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(_series_reason(roles, prefixes))
@@ -96,13 +97,14 @@ def ingest(
     also loads the columns that the narrow schema does not know, added to the
     table where it lacks them.
     """
-    files = valid_files(spark, path, route)
+    files = valid_files(spark, path, route).persist()
     rows, refused = read_drop(
         files, roles, prefixes, ingest_mode=ingest_mode, multiline=multiline, extra=extra
     )
-    n_files = files.count() - len(refused)
+    n_refused = refused.count()
+    n_files = files.count() - n_refused
     if n_files <= 0:
-        raise EmptyLoad(f"no CSV file below {path} can be read: {refused[:3]}")
+        raise EmptyLoad(f"no CSV file below {path} can be read: {[tuple(r) for r in refused.head(3)]}")
     if rows.isEmpty():
         raise EmptyLoad(f"the files below {path} hold no rows")
     seen = Observation()
@@ -122,7 +124,8 @@ def ingest(
     read, loaded = seen.get["read_rows"], seen.get["loaded_rows"]
     if reject_table and loaded < read:
         create_or_append(refused_rows(rows), reject_table, partition_by=(), fmt=fmt)
-    return LoadReport(n_files, read, loaded, read - loaded, action, tuple(refused))
+    files.unpersist()
+    return LoadReport(n_files, read, loaded, read - loaded, action, n_refused)
 
 
 def narrow_schema(roles: Roles = COLLECTIONS) -> T.StructType:
@@ -181,7 +184,6 @@ def load_files(
     Returns the numbers of lines read and of rows stored; the rejects of the load make
     up the difference.  Running the same load again replaces what it stored.
     """
-    spark = files.sparkSession
     rows, refused = read_drop(files, roles, prefixes, multiline=multiline)
     read = kept = 0
     if not rows.isEmpty():
@@ -193,10 +195,11 @@ def load_files(
         )
         write_load(accepted(counted), target, load_id, roles)
         read, kept = seen.get["read"], seen.get["stored"]
-    if kept < read or refused:
+    some = not refused.isEmpty()
+    if kept < read or some:
         lines = refused_rows(rows)
-        if refused:
-            files_refused = spark.createDataFrame(refused, f"{MALFORMED} string, {REASON} string")
+        if some:
+            files_refused = refused.select(F.col("path").alias(MALFORMED), F.col("problem").alias(REASON))
             lines = lines.unionByName(files_refused, allowMissingColumns=True)
         _replace_load(lines, rejects_path(target), load_id, (LOAD_ID,))
     return read, kept

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,18 +56,85 @@ def read_csv_strict(
     return _with_source(reader.csv(paths if isinstance(paths, str) else list(paths)))
 
 
-def header_problem(names: Sequence[str], roles: Roles) -> str | None:
-    """Why files with this header can not be read; None if they can."""
-    folded = [n.lower() for n in names]
-    repeated = sorted({n for n in folded if folded.count(n) > 1})
-    if repeated:
-        return f"repeated column {repeated[0]!r}"
-    missing = [c for c in (*roles.keys, roles.item, roles.value) if c.lower() not in folded]
-    return f"no column {missing[0]!r}" if missing else None
+LAYOUT_SCHEMA = (
+    "path string, modificationTime timestamp, width int, places array<int>, others array<string>,"
+    " other_places array<int>, problem string"
+)
+# Bytes of the layouts of a load's files up to which they are sent to all tasks.
+MOST_SENT = 64 * 1024 * 1024
 
 
-def _names(header: str) -> list[str]:
-    return [n.strip() for n in next(csv.reader([header]), [])]
+class MissingFiles(FileNotFoundError):
+    """Files that were to be read are not there any more, or are others."""
+
+
+def _layout_reader(wanted: Sequence[str], needed: Sequence[str], multiline: bool):
+    """The task function: what each file's header says, made here so that it travels by value."""
+    wanted, needed = list(wanted), list(needed)
+
+    def layouts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import csv
+
+        import pandas as pd
+
+        for batch in batches:
+            rows = []
+            for path, time, header in zip(batch["path"], batch["modificationTime"], batch["header"]):
+                names = [n.strip() for n in next(csv.reader([header or ""], strict=False), [])]
+                folded = [n.lower() for n in names]
+                repeated = sorted({n for n in folded if folded.count(n) > 1})
+                missing = [c for c in needed if c.lower() not in folded]
+                if not names:
+                    problem = "the header does not end"
+                elif repeated:
+                    problem = f"repeated column {repeated[0]!r}"
+                elif missing:
+                    problem = f"no column {missing[0]!r}"
+                elif not multiline and ("\n" in header or "\r" in header):
+                    problem = "the header has several lines"
+                else:
+                    problem = None
+                place = {n: i for i, n in enumerate(folded)}
+                others = [] if problem else [n for n in names if n.lower() not in {c.lower() for c in wanted}]
+                rows.append(
+                    (
+                        path,
+                        time,
+                        len(names),
+                        [place.get(c.lower()) for c in wanted],
+                        others,
+                        [place[n.lower()] for n in others],
+                        problem,
+                    )
+                )
+            names = "path modificationTime width places others other_places problem".split()
+            yield pd.DataFrame(rows, columns=names)
+
+    return layouts
+
+
+def layouts(files: DataFrame, roles: Roles = COLLECTIONS, *, multiline: bool = True) -> DataFrame:
+    """For each sniffed file the number of its columns, the place of each column of the roles, NULL
+    if it lacks it, other columns with their places, and why it can not be read, if so."""
+    needed = (*roles.keys, roles.item, roles.value)
+    return files.select("path", "modificationTime", "header").mapInPandas(
+        _layout_reader(roles.columns, needed, multiline), LAYOUT_SCHEMA
+    )
+
+
+def _same_path(path: Column) -> Column:
+    """Listings and row metadata differ in the slashes behind the scheme."""
+    return F.regexp_replace(path, "^([A-Za-z0-9+.-]+):/+", "$1:/")
+
+
+def _folders(found: DataFrame) -> list[str]:
+    """Folders that hold the files, without those below another; as many as drops, not files."""
+    folders = sorted(r[0] for r in found.select(F.regexp_replace("path", "/[^/]*$", "")).distinct().collect())
+    out: list[str] = []
+    for folder in folders:
+        if not any(folder.startswith(above + "/") for above in out[-1:]):
+            out.append(folder)
+    return out
 
 
 def read_by_header(
@@ -77,41 +144,63 @@ def read_by_header(
     *,
     multiline: bool = True,
     extra: bool = False,
-) -> tuple[DataFrame, list[tuple[str, str]]]:
+) -> tuple[DataFrame, DataFrame]:
     """Rows of sniffed files, columns taken by the names in each file's own header.
 
-    Files of one header are read together.  Columns may stand in any order; optional ones
-    that a file lacks are NULL; others are left out unless ``extra`` asks for them.
-    Lines with too few or too many fields keep their text in ``malformed_line``.  Files
-    without a column they need, or whose header is longer than the sample, are not read:
-    they are the second result, with the reason.
+    What the headers say is data: the folders of the files are scanned once for each number
+    of columns, files last written outside the span of the wanted ones are left out by the
+    listing, and rows meet the layout of their file in a join, so no list of files
+    passes through the driver.  Layouts are sent to all tasks as long as they are
+    MOST_SENT bytes at most; beyond that, rows go to them.
+
+    Columns may stand in any order; optional ones that a file lacks are NULL; others are left
+    out unless ``extra`` asks for them.  Lines with too few or too many fields keep their text
+    in ``malformed_line``.  Files without a column they need, or whose header has no end,
+    are not read: they are the second result (path, problem).  Files that are gone or were
+    written again since they were sniffed raise.
     """
-    columns, refused, parts = list(roles.columns), [], []
-    # The driver holds the names anyway to plan the scans.
-    by_header: dict[str | None, list[str]] = {}
-    for path, header in files.select("path", "header").orderBy("path").collect():
-        by_header.setdefault(header, []).append(path)
-    for header, paths in by_header.items():
-        names = _names(header) if header is not None else []
-        problem = header_problem(names, roles) if names else "header is longer than the sample"
-        if problem:
-            refused += [(path, problem) for path in paths]
-            continue
-        fields = [T.StructField(f"_{n}", T.StringType()) for n in range(len(names))]
-        schema = T.StructType([*fields, T.StructField(MALFORMED, T.StringType())])
+    columns = list(roles.columns)
+    found = layouts(files, roles, multiline=multiline).persist()
+    good = found.where("problem IS NULL")
+    refused = found.where("problem IS NOT NULL").select("path", "problem")
+    spans = good.groupBy("width").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum(F.length("path") + 4 * (F.size("places") + F.size("other_places")) + 64).alias("bytes"),
+        F.date_format(F.min("modificationTime") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("after"),
+        F.date_format(F.max("modificationTime") + F.expr("INTERVAL 2 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("before"),
+    )
+    others: dict[str, str] = {}
+    if extra:
+        for (name,) in good.select(F.explode("others")).distinct().orderBy("col").collect():
+            others.setdefault(name.lower(), name)
+    parts = []
+    for span in spans.orderBy("width").collect():
+        of_width = good.where(F.col("width") == span["width"])
+        fields = [T.StructField(f"_{n}", T.StringType()) for n in range(span["width"])]
+        folders = _folders(of_width)
+        _check_there(spark, of_width, folders)
         rows = (
             spark.read.options(**strict_options(multiline))
             .options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
-            .schema(schema)
-            .csv(paths)
+            .options(recursiveFileLookup=True, pathGlobFilter=CSV_GLOB)
+            .options(modifiedAfter=span["after"], modifiedBefore=span["before"])
+            .schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())]))
+            .csv(folders)
         )
-        place = {name.lower(): n for n, name in enumerate(names)}
-        taken = [F.col(f"_{place[c.lower()]}") if c.lower() in place else F.lit(None).cast("string") for c in columns]
-        others = [n for n in names if n.lower() not in {c.lower() for c in columns}] if extra else []
+        layout = of_width.select(_same_path(F.col("path")).alias("_file"), "places", "others", "other_places")
+        if span["bytes"] <= MOST_SENT:
+            layout = F.broadcast(layout)
+        rows = _with_source(rows)
+        rows = rows.join(layout, _same_path(F.col(SOURCE_FILE)) == F.col("_file"))
+        values = F.array(*[f"_{n}" for n in range(span["width"])])
+        lower = F.transform("others", F.lower)
         parts.append(
-            _with_source(rows).select(
-                *[t.alias(c) for t, c in zip(taken, columns)],
-                *[F.col(f"_{place[n.lower()]}").alias(n) for n in others],
+            rows.select(
+                *[F.get(values, F.get("places", F.lit(n))).alias(c) for n, c in enumerate(columns)],
+                *[
+                    F.get(values, F.get("other_places", F.array_position(lower, low).cast("int") - 1)).alias(name)
+                    for low, name in others.items()
+                ],
                 MALFORMED,
                 SOURCE_FILE,
             )
@@ -122,6 +211,20 @@ def read_by_header(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), refused
 
 
+def _check_there(spark: SparkSession, wanted: DataFrame, folders: Sequence[str]) -> None:
+    """Raise if a listing does not show the wanted files as they were sniffed."""
+    listed = (
+        spark.read.format("binaryFile")
+        .options(recursiveFileLookup=True, pathGlobFilter=CSV_GLOB)
+        .load(folders)
+        .select(_same_path(F.col("path")).alias("_file"), F.col("modificationTime").alias("_time"))
+    )
+    same = (_same_path(F.col("path")) == F.col("_file")) & (F.col("modificationTime") == F.col("_time"))
+    gone = wanted.join(listed, same, "left_anti").select("path").head(3)
+    if gone:
+        raise MissingFiles(f"changed or gone since they were listed: {[r[0] for r in gone]}")
+
+
 def read_csv_plain(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Header and inferred types only; malformed lines are kept."""
     return (

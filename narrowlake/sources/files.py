@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from narrowlake.functions.files import (
     SAMPLE_BYTES,
-    header_line,
     ingest_ts,
     looks_like_csv,
     sample_md5,
@@ -48,16 +47,48 @@ def file_manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _head_reader():
-    """The task function, made here so that it travels to tasks by value and the
-    package itself need not be installed on the executors."""
+# Bytes within which the first record of a file must end; what is longer is no header.
+HEADER_BYTES = 8 * 1024 * 1024
+
+
+def _header_finder():
+    """Function from bytes to the first record's text, None if it does not end within them.
+
+    ``whole`` tells that nothing follows the bytes.  Fields that start with a quote end at
+    the next one that is not doubled, line ends inside included.  Made here so that it
+    travels to tasks by value and the package itself need not be installed there.
+    """
+    import re
+
+    field = re.compile(rb'"(?:[^"]|"")*"[^,\r\n]*|[^,\r\n"][^,\r\n]*|')
+
+    def header(data: bytes, whole: bool) -> str | None:
+        at = 3 if data.startswith(b"\xef\xbb\xbf") else 0
+        start = at
+        while True:
+            if data[at : at + 1] == b'"' and not field.match(data, at).group():
+                return None  # the quote is not closed within the bytes
+            at = field.match(data, at).end()
+            if data[at : at + 1] == b",":
+                at += 1
+            elif at < len(data) or whole:
+                return data[start:at].decode(errors="replace")
+            else:
+                return None
+
+    return header
+
+
+def _head_reader(sample: int = SAMPLE_BYTES, most: int = HEADER_BYTES):
+    """The task function: first bytes of each file, and its header wherever that ends."""
+    header = _header_finder()
 
     def read_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
         opened: dict[tuple[str, str], fs.FileSystem] = {}
         for batch in batches:
-            heads = []
+            heads, headers = [], []
             for path in batch.column("path").to_pylist():
                 scheme, _, rest = path.partition(":/")
                 scheme, rest = RANGED_SCHEMES[scheme], "/" + rest.lstrip("/")
@@ -73,20 +104,48 @@ def _head_reader():
                         else fs.FileSystem.from_uri(f"{scheme}://{place}/")[0]
                     )
                 with opened[scheme, place].open_input_file(name) as handle:
-                    heads.append(handle.read(SAMPLE_BYTES))
+                    data, asked = handle.read(sample), sample
+                    heads.append(data)
+                    # Only files whose header does not end yet are read on.
+                    while (found := header(data, len(data) < asked)) is None and len(data) == asked < most:
+                        data += handle.read(15 * asked)
+                        asked *= 16
+                    headers.append(found)
             columns = [batch.column(n) for n in ("path", "length", "modificationTime")]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(heads, pa.binary())], ["path", "length", "modificationTime", "head"]
+                [*columns, pa.array(heads, pa.binary()), pa.array(headers, pa.string())],
+                ["path", "length", "modificationTime", "head", "header"],
             )
 
     return read_heads
 
 
+def _content_reader(sample: int = SAMPLE_BYTES):
+    """The same for contents that Spark has read."""
+    header = _header_finder()
+
+    def cut_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data = batch.column("content").to_pylist()
+            sizes = batch.column("length").to_pylist()
+            columns = [batch.column(n) for n in ("path", "length", "modificationTime")]
+            heads = pa.array([d[:sample] for d in data], pa.binary())
+            headers = pa.array([header(d, len(d) == n) for d, n in zip(data, sizes)], pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [*columns, heads, headers], ["path", "length", "modificationTime", "head", "header"]
+            )
+
+    return cut_heads
+
+
+HEAD_SCHEMA = "path string, length bigint, modificationTime timestamp, head binary, header string"
+
+
 def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
-    """The manifest with the first bytes of every file.
+    """The manifest with the first bytes and the header of every file.
 
-    ``ranged`` reads nothing but those bytes, in the tasks that hold the
-    manifest.  ``whole`` goes through Spark's own reader, which loads each file,
+    ``ranged`` reads nothing but those bytes, and on to the end of a longer header, in the
+    tasks that hold the manifest.  ``whole`` goes through Spark's own reader, which loads each file,
     and is for storage that tasks can not open by themselves.
     """
     if route == "auto":
@@ -101,20 +160,14 @@ def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame
         .option("pathGlobFilter", CSV_GLOB)
         .load(path)
         .where(F.col("length") > 0)
-        .select(
-            "path",
-            "length",
-            "modificationTime",
-            F.substring("content", 1, SAMPLE_BYTES).alias("head"),
-        )
+        .select("path", "length", "modificationTime", F.substring("content", 1, HEADER_BYTES).alias("content"))
+        .mapInArrow(_content_reader(), HEAD_SCHEMA)
     )
 
 
 def with_heads(manifest: DataFrame) -> DataFrame:
-    """A manifest (path, length, modificationTime) with the first bytes of its files."""
-    return manifest.select("path", "length", "modificationTime").mapInArrow(
-        _head_reader(), "path string, length bigint, modificationTime timestamp, head binary"
-    )
+    """A manifest (path, length, modificationTime) with the first bytes and headers of its files."""
+    return manifest.select("path", "length", "modificationTime").mapInArrow(_head_reader(), HEAD_SCHEMA)
 
 
 def csv_sniff(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
@@ -129,7 +182,7 @@ def sniffed(heads: DataFrame) -> DataFrame:
         "modificationTime",
         ingest_ts(F.col("path")).alias("ingest_ts"),
         sample_md5(F.col("head")).alias("sample_md5"),
-        header_line(F.col("head")).alias("header"),
+        "header",
         looks_like_csv(F.col("head")).alias("is_csv"),
     )
 
