@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import operator
 import re
-from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from narrowlake.llm.common import only_memory_of, remembers, ship_code, small_batches, stored, table
-from narrowlake.llm.tokens import Encoder, Memory, byte_letters, vocabulary
+from narrowlake.llm.common import only_memory_of, ship_code, small_batches, stored, table
+from narrowlake.llm.tokens import byte_letters, vocabulary
 
 # Links of one block of documents, about, and texts that a task hands to Python at a time.
 BLOCK_LINKS = 1_500_000
@@ -27,14 +29,15 @@ TEXT_ROWS = 1_000
 PAIR = 1 << 24
 # A group of more links is counted by its distinct ids.
 WIDE_GROUP = 10_000
-# Words and pieces that a worker remembers.
-REMEMBERED = 150_000
-# A blank alone: pieces end in front of it.
-_SINGLE = re.compile("(?<=[^ ]) (?=[^ ])")
+# Runs of white space from which on the faster library gives up.
+WIDE_BLANK = 5_000
+_WIDE_BLANK = re.compile(rf"\s{{{WIDE_BLANK}}}")
+# Fixed value: the pattern of pre-tokens of byte-level vocabularies.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """Stretches (first and behind the last of a, the same of b) of two lists of ascending ends.
+def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, bool]]:
+    """Stretches (first and behind the last of a, the same of b, one-to-one) of two lists of ascending ends.
 
     The lists have the same last end.  A stretch is either a run of one-to-one groups, as
     long as the ends at the current shift of places are equal, or one irregular group.
@@ -44,111 +47,84 @@ def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int]]:
     i = j = 0
     size = len(a)
     while i < size:
-        width, run = 1, 0
-        while a[i + run : i + run + width] == b[j + run : j + run + width]:
-            run += width
-            width *= 2
-            if i + run >= size:
-                run = size - i
-                break
-        else:
-            while width > 1:
-                width //= 2
-                if a[i + run : i + run + width] == b[j + run : j + run + width]:
-                    run += width
-        if run:
-            yield i, i + run, j, j + run
-            i, j = i + run, j + run
+        if a[i] == b[j]:
+            run, width = 1, 2
+            while a[i + run : i + run + width] == b[j + run : j + run + width]:
+                run += width
+                width *= 2
+                if i + run >= size:
+                    run = size - i
+                    break
+            else:
+                while width > 1:
+                    width //= 2
+                    if a[i + run : i + run + width] == b[j + run : j + run + width]:
+                        run += width
+                run = min(run, size - i)
+            yield i, i + run, j, j + run, True
+            i += run
+            j += run
             continue
         x, y = i, j
-        while a[x] != b[y]:
-            if a[x] < b[y]:
+        p, q = a[x], b[y]
+        while p != q:
+            if p < q:
                 x += 1
+                p = a[x]
             else:
                 y += 1
-        yield i, x + 1, j, y + 1
-        i, j = x + 1, y + 1
-
-
-class PieceEncoder:
-    """Ids equal to ``encode(text)`` of a sentencepiece model without pieces across blanks.
-
-    Words behind single blanks are looked up among those seen before, the rest of a text
-    goes to the model as it is.
-    """
-
-    def __init__(self, path: str):
-        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        special = [self.model.is_control(i) or self.model.is_unknown(i) for i in range(len(names))]
-        self.bytes = [
-            bytes([int(n[3:5], 16)]) if self.model.is_byte(i) else b"" if special[i] else n.replace("▁", " ").encode()
-            for i, n in enumerate(names)
-        ]
-        # Nothing but blanks stands before a blank within a piece, and texts are taken as they
-        # are: only then do words behind single blanks have ids of their own.
-        self.by_word = not any("▁" in n.lstrip("▁") for n in names) and self._plain(names)
-        self.words = Memory(self._word, REMEMBERED)
-
-    def _plain(self, names: list[str]) -> bool:
-        sample = "a  Béﬁ́ Ⅱ"
-        return b"".join(self.bytes[i] for i in self.model.encode(sample)) == b" " + sample.encode()
-
-    def _word(self, word: str) -> bytes:
-        return array("I", self.model.encode(word)).tobytes()
+                q = b[y]
+        x += 1
+        y += 1
+        yield i, x, j, y, False
+        i, j = x, y
 
-    def packed(self, text: str) -> bytes:
-        if not self.by_word or "▁" in text:
-            return self._word(text)
-        wide = "  " in text or text[:1] == " " or text[-1:] == " "
-        return b"".join(map(self.words.__getitem__, _SINGLE.split(text) if wide else text.split(" ")))
 
-
-@dataclass
 class Pair:
-    """Two tokenizers, the bytes of their ids and how many these are."""
+    """A byte-level vocabulary and a sentencepiece model, with the bytes of their ids."""
 
-    first: str
-    second: str
-    a: Encoder = field(init=False)
-    b: PieceEncoder = field(init=False)
-
-    def __post_init__(self) -> None:
-        self.a, self.b = Encoder(self.first, REMEMBERED, plain=True), PieceEncoder(self.second)
+    def __init__(self, first: str, second: str):
+        self.library = Tokenizer.from_file(first)
+        self.library.encode_special_tokens = True
+        self.second = sentencepiece.SentencePieceProcessor(model_file=second)
         letters = {letter: byte for byte, letter in byte_letters().items()}
-        size = self.a.tokenizer.get_vocab_size()
-        names = [self.a.tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.a_bytes = [
-            bytes(letters[c] for c in n) if all(c in letters for c in n) else n.encode() for n in names
-        ]
-        self.a_sizes, self.b_sizes = (np.array([len(t) for t in own]) for own in (self.a_bytes, self.b.bytes))
-
-    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        vocabulary, special = self.library.get_vocab(), self.library.get_added_tokens_decoder()
+        size = max(vocabulary.values()) + 1
+        self.a_bytes = [b""] * size
+        for name, i in vocabulary.items():
+            if i not in special:
+                self.a_bytes[i] = bytes([letters[c] for c in name])
+        self.b_bytes = [self._piece(i) for i in range(self.second.get_piece_size())]
+        self.a_sizes, self.b_sizes = ([len(t) for t in own] for own in (self.a_bytes, self.b_bytes))
+        self.a_told, self.b_told = [f"{i}|" for i in range(size)], [str(i) for i in range(len(self.b_bytes))]
+        # The same vocabulary, ids as ranks, in the faster of the two libraries.
+        ranks = {t: i for i, t in enumerate(self.a_bytes) if t}
+        self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _piece(self, i: int) -> bytes:
+        name = self.second.id_to_piece(i)
+        return bytes([int(name[3:5], 16)]) if self.second.is_byte(i) else name.replace("▁", " ").encode()
+
+    def first_ids(self, text: str) -> list[int]:
+        if len(text) >= WIDE_BLANK and _WIDE_BLANK.search(text):
+            return self.library.encode(text, add_special_tokens=False).ids
+        return self.ranked.encode_ordinary(text)
+
+    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
         """Ids of both, or none where the ids of one do not give back a blank and the text."""
-        none = np.empty(0, np.uint32)
         if not text:
-            return none, none
+            return [], []
         whole = b" " + text.encode()
-        a, b = (np.frombuffer(p, np.uint32) for p in (self.a.packed(" " + text), self.b.packed(text)))
-        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b.bytes.__getitem__, b)) != whole:
-            return none, none
+        a, b = self.first_ids(" " + text), self.second.encode(text)
+        if b"".join(map(self.a_bytes.__getitem__, a)) != whole or b"".join(map(self.b_bytes.__getitem__, b)) != whole:
+            return [], []
         return a, b
 
-    def forget(self) -> None:
-        for memory in (self.a.pieces, self.a.stems, self.b.words):
-            memory.forget()
-
 
 @functools.lru_cache(maxsize=2)
-def _pair(first: str, second: str) -> Pair:
-    own = Pair(first, second)
-    remembers("alignment", own.forget)
-    return own
-
-
 def pair_of(first: str, second: str) -> Pair:
-    only_memory_of("alignment")
-    return _pair(first, second)
+    """One pair for each Python worker."""
+    return Pair(first, second)
 
 
 @dataclass
@@ -159,18 +135,19 @@ class Aligned:
     b: list[int]
     parts: list[tuple[int, int, int, int, bool]]
 
-    def told(self) -> list[str]:
+    def told(self, pair: Pair) -> list[str]:
         """Every group as text: its ids of the first tokenizer, a bar, those of the second."""
         out = []
+        left, right = list(map(pair.a_told.__getitem__, self.a)), list(map(pair.b_told.__getitem__, self.b))
         for i, j, x, y, single in self.parts:
             if single:
-                out += [f"{p}|{q}" for p, q in zip(self.a[i:j], self.b[x:y])]
+                out += map(operator.add, left[i:j], right[x:y])
             else:
-                out.append(",".join(map(str, self.a[i:j])) + "|" + ",".join(map(str, self.b[x:y])))
+                out.append(",".join(left[i:j]).replace("|", "", j - i - 1) + ",".join(right[x:y]))
         return out
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the linked id pairs and how often each stands; a pair may stand in several rows."""
+        """Numbers of the linked id pairs, in order, and how often each stands."""
         left, right, wide = [], [], []
         for i, j, x, y, single in self.parts:
             if single:
@@ -183,9 +160,13 @@ class Aligned:
             else:
                 (p, m), (q, n) = (np.unique(ids, return_counts=True) for ids in (self.a[i:j], self.b[x:y]))
                 wide.append((np.add.outer(p * PAIR, q).ravel(), np.multiply.outer(m, n).ravel()))
-        codes = np.array(left, np.int64) * PAIR + np.array(right, np.int64)
-        times = np.ones(len(codes), np.int64)
-        return np.concatenate([codes, *[w[0] for w in wide]]), np.concatenate([times, *[w[1] for w in wide]])
+        codes, times = np.unique(np.array(left, np.int64) * PAIR + np.array(right, np.int64), return_counts=True)
+        if wide:
+            codes, place = np.unique(np.concatenate([codes, *[w[0] for w in wide]]), return_inverse=True)
+            sums = np.zeros(len(codes), np.int64)
+            np.add.at(sums, place, np.concatenate([times, *[w[1] for w in wide]]))
+            times = sums
+        return codes, times
 
     def n_groups(self) -> int:
         return sum(j - i if single else 1 for i, j, _, _, single in self.parts)
@@ -194,9 +175,9 @@ class Aligned:
 def align(pair: Pair, text: str | None) -> Aligned:
     """The tokens of a text and their groups; nothing where a tokenizer does not give back the text."""
     a, b = pair.tokens(text)
-    ends_a, ends_b = np.cumsum(pair.a_sizes[a]).tolist(), np.cumsum(pair.b_sizes[b]).tolist()
-    parts = [(i, j, x, y, ends_a[i] == ends_b[x]) for i, j, x, y in groups(ends_a, ends_b)]
-    return Aligned(a.tolist(), b.tolist(), parts)
+    ends_a = list(accumulate(map(pair.a_sizes.__getitem__, a)))
+    ends_b = list(accumulate(map(pair.b_sizes.__getitem__, b)))
+    return Aligned(a, b, list(groups(ends_a, ends_b)))
 
 
 def aligned(docs: DataFrame, first: str, second: str) -> DataFrame:
@@ -243,13 +224,14 @@ def blocks(docs: DataFrame, first: str, second: str, block_links: int = BLOCK_LI
     """
 
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        only_memory_of("alignment")
         pair = pair_of(first, second)
         number = TaskContext.get().partitionId() << 24
         rows, links, held = [], [], 0
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 own = align(pair, text)
-                told = hashlib.sha256(";".join(own.told()).encode()).hexdigest() if own.parts else ""
+                told = hashlib.sha256(";".join(own.told(pair)).encode()).hexdigest() if own.parts else ""
                 links.append(own.links())
                 size = int(links[-1][1].sum())
                 id_or_none = None if pd.isna(doc_id) else int(doc_id)
@@ -267,14 +249,14 @@ def blocks(docs: DataFrame, first: str, second: str, block_links: int = BLOCK_LI
 
 
 def _closed(number: int, rows: list[tuple], links: list[tuple[np.ndarray, np.ndarray]]) -> pd.DataFrame:
-    kinds, place = np.unique(np.concatenate([c for c, _ in links]), return_inverse=True)
-    document = np.repeat(np.arange(len(links)), [len(c) for c, _ in links])
-    entries, where = np.unique(document * max(1, len(kinds)) + place, return_inverse=True)
-    times = np.bincount(where, np.concatenate([t for _, t in links]), len(entries)).astype(np.uint32)
-    document, place = np.divmod(entries, max(1, len(kinds)))
-    sizes = np.bincount(document, minlength=len(links))
+    codes = np.concatenate([c for c, _ in links])
+    times = np.concatenate([t for _, t in links]).astype(np.uint32)
+    sizes = np.array([len(c) for c, _ in links], np.int64)
+    kinds = np.unique(codes)
+    place = np.searchsorted(kinds, codes)
+    # The places of a document ascend: the first of each is kept, the others as steps.
     steps = np.diff(place, prepend=0)
-    first = np.flatnonzero(np.diff(document, prepend=-1))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
     steps[first] = place[first]
     row = dict(zip(_META, map(list, zip(*rows))))
     return pd.DataFrame(
