@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import operator
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,14 +35,15 @@ _WIDE_BLANK = re.compile(rf"\s{{{WIDE_BLANK}}}")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
-def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, bool]]:
-    """Stretches (first and behind the last of a, the same of b, one-to-one) of two lists of ascending ends.
+def group_ends(a: list[int], b: list[int]) -> tuple[list[int], list[int]]:
+    """Behind which tokens the groups end in two lists of ascending ends, whose last ones are equal.
 
-    The lists have the same last end.  A stretch is either a run of one-to-one groups, as
-    long as the ends at the current shift of places are equal, or one irregular group.
-    Runs are found by comparing 1, 2, 4, ... ends at a time and halving behind the first
-    difference; an irregular group ends at the next common end, which sets the shift.
+    As long as the ends at the current shift of places are equal, groups are one-to-one: how
+    far is found by comparing 1, 2, 4, ... ends at a time and halving behind the first
+    difference.  An irregular group ends at the next common end, which sets the shift.
     """
+    left: list[int] = []
+    right: list[int] = []
     i = j = 0
     size = len(a)
     while i < size:
@@ -53,31 +53,31 @@ def groups(a: list[int], b: list[int]) -> Iterator[tuple[int, int, int, int, boo
                 run += width
                 width *= 2
                 if i + run >= size:
-                    run = size - i
                     break
             else:
                 while width > 1:
                     width //= 2
                     if a[i + run : i + run + width] == b[j + run : j + run + width]:
                         run += width
-                run = min(run, size - i)
-            yield i, i + run, j, j + run, True
+            run = min(run, size - i)
+            left += range(i + 1, i + run + 1)
+            right += range(j + 1, j + run + 1)
             i += run
             j += run
             continue
-        x, y = i, j
-        p, q = a[x], b[y]
+        p, q = a[i], b[j]
         while p != q:
             if p < q:
-                x += 1
-                p = a[x]
+                i += 1
+                p = a[i]
             else:
-                y += 1
-                q = b[y]
-        x += 1
-        y += 1
-        yield i, x, j, y, False
-        i, j = x, y
+                j += 1
+                q = b[j]
+        i += 1
+        j += 1
+        left.append(i)
+        right.append(j)
+    return left, right
 
 
 class Pair:
@@ -96,7 +96,9 @@ class Pair:
                 self.a_bytes[i] = bytes([letters[c] for c in name])
         self.b_bytes = [self._piece(i) for i in range(self.second.get_piece_size())]
         self.a_sizes, self.b_sizes = ([len(t) for t in own] for own in (self.a_bytes, self.b_bytes))
-        self.a_told, self.b_told = [f"{i}|" for i in range(size)], [str(i) for i in range(len(self.b_bytes))]
+        # The text of each id within a group and at its end.
+        self.a_told = np.array([f"{i}{c}" for i in range(size) for c in ",|"], object)
+        self.b_told = np.array([f"{i}{c}" for i in range(len(self.b_bytes)) for c in ",;"], object)
         # The same vocabulary, ids as ranks, in the faster of the two libraries.
         ranks = {t: i for i, t in enumerate(self.a_bytes) if t}
         self.ranked = tiktoken.Encoding("ranked", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -129,55 +131,61 @@ def pair_of(first: str, second: str) -> Pair:
 
 @dataclass
 class Aligned:
-    """One document: ids of both tokenizers, and its stretches with whether these are one-to-one."""
-
-    a: list[int]
-    b: list[int]
-    parts: list[tuple[int, int, int, int, bool]]
-
-    def told(self, pair: Pair) -> list[str]:
-        """Every group as text: its ids of the first tokenizer, a bar, those of the second."""
-        out = []
-        left, right = list(map(pair.a_told.__getitem__, self.a)), list(map(pair.b_told.__getitem__, self.b))
-        for i, j, x, y, single in self.parts:
-            if single:
-                out += map(operator.add, left[i:j], right[x:y])
-            else:
-                out.append(",".join(left[i:j]).replace("|", "", j - i - 1) + ",".join(right[x:y]))
-        return out
+    """One document: ids of both tokenizers, and behind which tokens its groups end."""
+
+    a: np.ndarray
+    b: np.ndarray
+    ends_a: np.ndarray
+    ends_b: np.ndarray
+
+    def __post_init__(self) -> None:
+        self.sizes_a, self.sizes_b = np.diff(self.ends_a, prepend=0), np.diff(self.ends_b, prepend=0)
+
+    def told(self, pair: Pair) -> str:
+        """The groups as text: ids of the first tokenizer, a bar, those of the second; groups apart by semicolons."""
+        own = np.empty(len(self.a) + len(self.b), object)
+        for ids, ends, before, words in (
+            (self.a, self.ends_a, np.repeat(self.ends_b - self.sizes_b, self.sizes_a), pair.a_told),
+            (self.b, self.ends_b, np.repeat(self.ends_a, self.sizes_b), pair.b_told),
+        ):
+            last = np.zeros(len(ids), np.int64)
+            last[ends - 1] = 1
+            own[np.arange(len(ids)) + before] = words[2 * ids + last]
+        return "".join(own.tolist())[:-1]
+
+    def n_links(self) -> int:
+        return int((self.sizes_a * self.sizes_b).sum())
 
     def links(self) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the linked id pairs, in order, and how often each stands."""
-        left, right, wide = [], [], []
-        for i, j, x, y, single in self.parts:
-            if single:
-                left += self.a[i:j]
-                right += self.b[x:y]
-            elif (j - i) * (y - x) <= WIDE_GROUP:
-                for p in self.a[i:j]:
-                    left += [p] * (y - x)
-                    right += self.b[x:y]
-            else:
-                (p, m), (q, n) = (np.unique(ids, return_counts=True) for ids in (self.a[i:j], self.b[x:y]))
-                wide.append((np.add.outer(p * PAIR, q).ravel(), np.multiply.outer(m, n).ravel()))
-        codes, times = np.unique(np.array(left, np.int64) * PAIR + np.array(right, np.int64), return_counts=True)
-        if wide:
-            codes, place = np.unique(np.concatenate([codes, *[w[0] for w in wide]]), return_inverse=True)
-            sums = np.zeros(len(codes), np.int64)
-            np.add.at(sums, place, np.concatenate([times, *[w[1] for w in wide]]))
-            times = sums
+        counts = self.sizes_a * self.sizes_b
+        wide = np.flatnonzero(counts > WIDE_GROUP)
+        counts[wide] = 0
+        group = np.repeat(np.arange(len(counts)), counts)
+        place = np.arange(len(group)) - np.repeat(np.cumsum(counts) - counts, counts)
+        row, column = np.divmod(place, self.sizes_b[group])
+        first, second = (self.ends_a - self.sizes_a)[group], (self.ends_b - self.sizes_b)[group]
+        codes, times = np.unique(self.a[first + row] * PAIR + self.b[second + column], return_counts=True)
+        if not len(wide):
+            return codes, times
+        parts = [(codes, times)]
+        for g in wide.tolist():
+            own_a, own_b = self.a[: self.ends_a[g]][-self.sizes_a[g] :], self.b[: self.ends_b[g]][-self.sizes_b[g] :]
+            (p, m), (q, n) = (np.unique(ids, return_counts=True) for ids in (own_a, own_b))
+            parts.append((np.add.outer(p * PAIR, q).ravel(), np.multiply.outer(m, n).ravel()))
+        codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+        times = np.zeros(len(codes), np.int64)
+        np.add.at(times, place, np.concatenate([t for _, t in parts]))
         return codes, times
 
-    def n_groups(self) -> int:
-        return sum(j - i if single else 1 for i, j, _, _, single in self.parts)
-
 
 def align(pair: Pair, text: str | None) -> Aligned:
     """The tokens of a text and their groups; nothing where a tokenizer does not give back the text."""
     a, b = pair.tokens(text)
-    ends_a = list(accumulate(map(pair.a_sizes.__getitem__, a)))
-    ends_b = list(accumulate(map(pair.b_sizes.__getitem__, b)))
-    return Aligned(a, b, list(groups(ends_a, ends_b)))
+    ends = group_ends(
+        list(accumulate(map(pair.a_sizes.__getitem__, a))), list(accumulate(map(pair.b_sizes.__getitem__, b)))
+    )
+    return Aligned(*[np.array(x, np.int64) for x in (a, b, *ends)])
 
 
 def aligned(docs: DataFrame, first: str, second: str) -> DataFrame:
@@ -194,12 +202,8 @@ def aligned(docs: DataFrame, first: str, second: str) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 own = align(pair, text)
-                starts = [
-                    {"a": i + k, "b": x + k}
-                    for i, j, x, _, single in own.parts
-                    for k in range(j - i if single else 1)
-                ]
-                rows.append((doc_id, own.a, own.b, starts))
+                starts = zip((own.ends_a - own.sizes_a).tolist(), (own.ends_b - own.sizes_b).tolist())
+                rows.append((doc_id, own.a.tolist(), own.b.tolist(), [{"a": i, "b": j} for i, j in starts]))
             yield pd.DataFrame(rows, columns=["doc_id", "a_ids", "b_ids", "group_starts"]).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -231,11 +235,10 @@ def blocks(docs: DataFrame, first: str, second: str, block_links: int = BLOCK_LI
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
                 own = align(pair, text)
-                told = hashlib.sha256(";".join(own.told(pair)).encode()).hexdigest() if own.parts else ""
+                told = hashlib.sha256(own.told(pair).encode()).hexdigest() if len(own.a) else ""
                 links.append(own.links())
-                size = int(links[-1][1].sum())
                 id_or_none = None if pd.isna(doc_id) else int(doc_id)
-                rows.append((id_or_none, len(own.a), len(own.b), own.n_groups(), size, told))
+                rows.append((id_or_none, len(own.a), len(own.b), len(own.ends_a), own.n_links(), told))
                 held += len(links[-1][0]) + 50
                 if held >= block_links:
                     yield _closed(number, rows, links)
