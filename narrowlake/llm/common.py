@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import contextlib
+import functools
+import gc
 import io
 import pathlib
 import posixpath
+import urllib.parse
 import zipfile
 from collections.abc import Callable, Iterator
 
@@ -56,6 +59,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(posixpath.join(folder, f"{name}.parquet"))
 
 
+# Lists that ``stored`` enters its tables in, the innermost last.
+_LISTS: list[list[str]] = []
+# Tables of earlier pipeline stages of this process.
+_LEFT: list[str] = []
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write to the folder all executors share and read again.
 
@@ -65,7 +74,81 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     ship_code(df.sparkSession)
     path = work_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    if _LISTS:
+        _LISTS[-1].append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def drop(table_of: DataFrame) -> None:
+    """Delete a stored table that nothing reads any more."""
+    _delete(table_of.sparkSession, table_of.stored_at)
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Delete at the end every table stored inside, but for those handed to what this yields.
+
+    Nothing lazy that reads the others may leave the block.  If it fails they stay, as
+    other tasks may still be at them.
+    """
+    mine: list[str] = []
+    kept: list[str] = []
+
+    def keep(table_of: DataFrame) -> DataFrame:
+        kept.append(table_of.stored_at)
+        return table_of
+
+    _LISTS.append(mine)
+    try:
+        yield keep
+    finally:
+        _LISTS.pop()
+        if _LISTS:
+            _LISTS[-1].extend(mine)
+    for path in set(mine) - set(kept):
+        _delete(spark, path)
+        if _LISTS:
+            _LISTS[-1].remove(path)
+    free(spark)
+
+
+def free(spark: SparkSession) -> None:
+    """Let Spark drop shuffle files of what is not referred to any more; it learns so from the collectors."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A pipeline stage that first deletes the tables of earlier ones, whose results are stored by then.
+
+    Tables that its documents are still to be read from stay.
+    """
+
+    @functools.wraps(work)
+    def staged(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+        if _LEFT:
+            read = {urllib.parse.urlsplit(f).path for f in docs.inputFiles()}
+            for path in list(_LEFT):
+                if not any(f.startswith(urllib.parse.urlsplit(path).path.rstrip("/") + "/") for f in read):
+                    _delete(spark, path)
+                    _LEFT.remove(path)
+            free(spark)
+        mine: list[str] = []
+        _LISTS.append(mine)
+        try:
+            return work(spark, docs, folder)
+        finally:
+            _LISTS.pop()
+            _LEFT.extend(mine)
+
+    return staged
 
 
 # What the operators of one Python worker remember, by the module that remembers it.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import stored
+from narrowlake.llm.common import drop, stored
 
 # Rounds grow with the logarithm of the longest path squared; this is far above any graph.
 MOST_ROUNDS = 100
@@ -29,8 +29,9 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         if before[0] == 0:
             break
-        edges = stored(_small_star(_large_star(edges)), "links")
+        last, edges = edges, stored(_small_star(_large_star(edges)), "links")
         now = _state(edges)
+        drop(last)
         if now == before:
             break
         before = now

@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import file_system, stored, table
+from narrowlake.llm.common import file_system, ship_code, stored, table
 from narrowlake.llm.tokens import encoder, vocabulary
 from narrowlake.session import work_dir
 
@@ -23,6 +23,8 @@ END_ID = 2
 # Tokens after which a frame is closed; a longer document has a frame of its own.
 FRAME_TOKENS = 1 << 16
 LEVEL = 3
+# Words that a worker remembers.
+REMEMBERED = 300_000
 # Fixed values of the public zstandard formats: skippable frames, seek table and footer.
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 CHECKSUM_FLAG = 0x80
@@ -119,9 +121,10 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary_path: str, end_id: int
     only files of the list count.  Null texts are empty and hold the end id alone.  Without
     documents the list is empty.
     """
+    ship_code(docs.sparkSession)
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary_path).packed
+        encode = encoder(vocabulary_path, REMEMBERED).packed
         end = np.uint32(end_id).tobytes()
         first = next((b for b in batches if len(b)), None)
         if first is None:

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import crc_fold, file_system, remembers, stored, table, task_count
+from narrowlake.llm.common import crc_fold, file_system, remembers, ship_code, stored, table, task_count
 from narrowlake.session import work_dir
 
 FOLDS = 10
@@ -330,6 +330,7 @@ def scores(docs: DataFrame, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     as an empty text for the fold.  Equal rows are learned and scored each.  Without
     training documents every chance of the model is 1 and base scores have N = V = 0.
     """
+    ship_code(docs.sparkSession)
     cut = blocks(docs, block_tokens)
     totals = cut.agg(F.sum("words"), F.sum("tokens"), F.sum("learned")).first()
     words, tokens, learned = (int(x or 0) for x in totals)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import stored, table, task_count, valid_vectors
+from narrowlake.llm.common import ship_code, stored, table, task_count, valid_vectors
 from narrowlake.llm.components import components
 
 # Width of a bucket of one projection, in units of the vectors' length.
@@ -62,6 +62,7 @@ def near_duplicates(
     takes part in nothing and comes back with a null component and kept = true.  Other
     columns are ignored; an empty table gives an empty result.
     """
+    ship_code(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vector"))
     usable = F.col("id").isNotNull() & valid_vectors("vector")
     rows = rows.withColumns(

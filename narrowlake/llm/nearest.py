@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import stored, table, task_count, valid_vectors
+from narrowlake.llm.common import ship_code, stored, table, task_count, valid_vectors
 
 # Rows of one tile: with 64 components a tile's codes take 4 MB and 0.25 MB.
 TILE_ROWS = 65_536
@@ -40,6 +40,7 @@ def nearest(
     ignored.
     """
     spark = candidates.sparkSession
+    ship_code(spark)
     points = stored(_points(candidates, id_col, vector), "points")
     asked = stored(_points(queries, id_col, vector), "asked")
     least = spark.sparkContext.defaultParallelism
@@ -82,11 +83,14 @@ def _points(df: DataFrame, id_col: str, vector: str) -> DataFrame:
     return df.dropDuplicates(["id", "vector"]).withColumn("dims", F.size("vector"))
 
 
-def _coded(x: np.ndarray) -> tuple[np.ndarray, float, np.ndarray]:
-    """Int8 codes, the size of one step and each vector's distance from its code."""
-    step = float(np.abs(x).max()) / 127
-    codes = np.rint(x / step)
-    return codes, step, np.sqrt(((x - codes * step) ** 2).sum(1))
+def _coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Int8 codes, the size of each vector's step and each vector's distance from its code.
+
+    A step of its own keeps a vector's codes fine beside one of far larger components.
+    """
+    step = np.maximum(np.abs(x).max(1) / 127, np.finfo(np.float64).tiny)
+    codes = np.rint(x / step[:, None])
+    return codes, step, np.sqrt(((x - codes * step[:, None]) ** 2).sum(1))
 
 
 def _tile(points: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
@@ -94,24 +98,26 @@ def _tile(points: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
         return pd.DataFrame({"qblock": [], "query_id": [], "vec_id": [], "score": []})
     ids, qids = points["id"].to_numpy(), asked["id"].to_numpy()
     x, q = np.stack(points["vector"]), np.stack(asked["vector"])
+    np.seterr(over="ignore", invalid="ignore")
     codes, step, wide = _coded(x)
     qcodes, qstep, qwide = _coded(q)
     kind = np.float32 if x.shape[1] <= EXACT_DIMS else np.float64
     small, qsmall = codes.astype(np.int8).astype(kind), qcodes.astype(np.int8).astype(kind)
-    norms, qnorms = ((codes * step) ** 2).sum(1), ((qcodes * qstep) ** 2).sum(1)
+    norms, qnorms = ((codes * step[:, None]) ** 2).sum(1), ((qcodes * qstep[:, None]) ** 2).sum(1)
     # Rounding of the doubles below; far under the codes' own error.
-    slack = 1e-6 * float(np.sqrt(norms.max()) + np.sqrt(qnorms.max()))
+    slack, qslack = 1e-6 * np.sqrt(norms), 1e-6 * np.sqrt(qnorms)
     heaps: list[list[tuple[float, int]]] = [[] for _ in qids]
     for at in range(0, len(ids), STRIP):
         part = slice(at, at + STRIP)
-        products = (qsmall @ small[part].T).astype(np.float64) * (step * qstep)
+        products = (qsmall @ small[part].T).astype(np.float64) * qstep[:, None] * step[part][None, :]
         near = np.sqrt(np.maximum(qnorms[:, None] + norms[part][None, :] - 2 * products, 0))
-        wider = qwide[:, None] + wide[part][None, :] + slack
+        wider = (qwide + qslack)[:, None] + (wide + slack)[part][None, :]
         own = qids[:, None] == ids[part][None, :]
-        upper = np.where(own, np.inf, near + wider)
+        # Bounds that overflow say nothing: such pairs are computed.
+        upper = np.where(own | ~np.isfinite(near + wider), np.inf, near + wider)
         bound = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(qids), np.inf)
         full = np.array([-h[0][0] if len(h) == k else np.inf for h in heaps])
-        rows, cols = np.nonzero(~own & (near - wider <= np.minimum(bound, full)[:, None]))
+        rows, cols = np.nonzero(~own & ~(near - wider > np.minimum(bound, full)[:, None]))
         score = _distances(q, x[part], rows, cols)
         for r, c, s in zip(rows.tolist(), (cols + at).tolist(), score.tolist()):
             item = (-s, -int(ids[c]))

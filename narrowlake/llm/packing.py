@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import small_batches, stored, table, task_count
+from narrowlake.llm.common import ship_code, small_batches, stored, table, task_count
 from narrowlake.llm.tokens import encoder, vocabulary
 
 LENGTH = 2_048
@@ -19,10 +19,17 @@ END_ID = 0
 CALL_PIECES = 8_192
 # Texts that a task hands to Python at a time.
 TEXT_ROWS = 2_000
+# Words that a worker remembers where packing is all it does.
+REMEMBERED = 300_000
 
 
 def pieces(
-    docs: DataFrame, vocabulary_path: str, length: int = LENGTH, end_id: int = END_ID, ids: bool = False
+    docs: DataFrame,
+    vocabulary_path: str,
+    length: int = LENGTH,
+    end_id: int = END_ID,
+    ids: bool = False,
+    remembered: int | None = None,
 ) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every document, in rows of at most ``length`` ids.
 
@@ -31,10 +38,11 @@ def pieces(
     as little-endian 32-bit numbers.  Equal rows give equal pieces each; a null doc_id
     stays null.
     """
+    ship_code(docs.sparkSession)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(vocabulary_path).packed
+        encode = encoder(vocabulary_path, remembered).packed
         end = np.uint32(end_id).tobytes()
         for batch in batches:
             rows = []
@@ -138,4 +146,5 @@ def _two(counts: np.ndarray, at_most: np.ndarray, room: int) -> tuple[int, int]:
 
 
 def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
-    return pack(pieces(table(spark, folder, "documents"), vocabulary("word_bpe_49k.json")))
+    docs = table(spark, folder, "documents")
+    return pack(pieces(docs, vocabulary("word_bpe_49k.json"), remembered=REMEMBERED))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from narrowlake.llm.common import (
     only_memory_of,
     remembers,
+    scratch,
+    ship_code,
     small_batches,
     stored,
     table,
@@ -33,6 +35,13 @@ LEAST_TABLES = 24
 # Texts, and sets, that a task hands to Python at a time.
 TEXT_ROWS = 2_000
 SET_ROWS = 500
+# Counters of shingles by hash, and the share of them above which a counter's shingles are frequent:
+# so many times the mean, and so much more.
+COUNTERS = 1 << 21
+COUNTER_PARTS = 32
+TIMES_MEAN, MORE = 2.0, 24
+# Frequent shingles are left out of a set's segments if so many others remain for each segment.
+REMAIN = 1.5
 # Bits of the sketch by which two sets are compared before their elements are.
 SKETCH_BITS = 512
 # Members of one bucket compared in one place, and rows of many buckets in one call.
@@ -122,35 +131,53 @@ def set_key(elements: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - 2**63
 
 
-def segment_keys(elements: np.ndarray, rule: Rule) -> np.ndarray:
+def counter_of(elements: np.ndarray) -> np.ndarray:
+    return (elements >> np.uint64(43)).astype(np.int64)
+
+
+def segment_keys(elements: np.ndarray, rule: Rule, frequent: np.ndarray | None = None) -> np.ndarray:
     """Keys of the segments of a set, in its own band's layout and in the next band's.
 
     A segment's part of the parity sketch is named by the XOR of its elements' codes.  Sets
     leave out their smallest segments, as long as these are no more than the spare ones:
     of two sets the one that leaves out up to larger sizes leaves out at most as many
     equal segments as are spare, so one equal segment remains in both.
+
+    Leaving the same elements out of all sets makes no two sets differ in more, so the
+    frequent ones, which would name keys that say little, are left out of sets that keep
+    enough others.  Sets near that bound file both kinds of keys: of two linked ones either
+    both keep enough, or neither lies further above the bound than they may differ.
     """
     lows, segments, spares = bands(rule)
     if len(elements) < rule.first:
         return np.empty(0, np.uint64)
+    rare = elements if frequent is None else elements[~frequent[counter_of(elements)]]
     own = int(np.searchsorted(lows, len(elements), "right")) - 1
     out = []
     for layout in (own, own + 1):
-        count = int(segments[layout])
-        segment = (elements >> np.uint64(11)) % np.uint64(count)
-        order = np.argsort(segment)
-        sizes = np.bincount(segment.astype(np.int64), minlength=count)
-        fewest = np.sort(sizes)[int(spares[layout])]
-        taken = np.flatnonzero(sizes >= fewest)
-        filled = np.flatnonzero(sizes)
-        starts = np.concatenate([[0], np.cumsum(sizes)])[filled]
-        codes = np.zeros(count, np.uint64)
-        codes[filled] = np.bitwise_xor.reduceat(mixed(elements[order]), starts)
-        place = mixed(taken.astype(np.uint64) + np.uint64((layout + 1) << 32))
-        out.append(mixed(codes[taken] ^ place))
+        count, spare = int(segments[layout]), int(spares[layout])
+        enough = REMAIN * count
+        if frequent is not None and len(rare) >= enough:
+            out.append(_named_segments(rare, layout, count, spare, 1))
+        if frequent is None or len(rare) < enough + count:
+            out.append(_named_segments(elements, layout, count, spare, 0))
     return np.concatenate(out)
 
 
+def _named_segments(elements: np.ndarray, layout: int, count: int, spare: int, kind: int) -> np.ndarray:
+    segment = (elements >> np.uint64(11)) % np.uint64(count)
+    order = np.argsort(segment)
+    sizes = np.bincount(segment.astype(np.int64), minlength=count)
+    fewest = np.sort(sizes)[spare]
+    taken = np.flatnonzero(sizes >= fewest)
+    filled = np.flatnonzero(sizes)
+    starts = np.concatenate([[0], np.cumsum(sizes)])[filled]
+    codes = np.zeros(count, np.uint64)
+    codes[filled] = np.bitwise_xor.reduceat(mixed(elements[order]), starts)
+    place = mixed(taken.astype(np.uint64) + np.uint64((2 * layout + kind + 1) << 32))
+    return mixed(codes[taken] ^ place)
+
+
 def sketch(elements: np.ndarray) -> bytes:
     """Parity of the elements that fall on each bit."""
     bits = np.bincount((elements >> np.uint64(40)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
@@ -161,7 +188,8 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
     Documents whose shingle sets are equal are one class, named by a 64-bit hash of the
-    set; only classes go on.  Every set files its id under the keys of its segments; linked
+    set; only classes go on.  Shingles are counted by hash in a fixed number of counters, so
+    that frequent ones need not name keys.  Every set files its id under the keys of its segments; linked
     sets share a key.  Sets under a key are first linked with the smallest of them, which
     settles groups of near copies without their pairs; then, under keys whose sets are not
     all connected yet, sets of different components are compared, by sketches in tiles
@@ -171,21 +199,35 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     doc_id is linked with nothing and keeps a null component.  Rows that share a doc_id
     are one vertex.  Other columns are ignored; an empty table gives an empty result.
     """
+    ship_code(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    @F.pandas_udf("n long, key long")
-    def keyed(texts: pd.Series) -> pd.DataFrame:
+    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only_memory_of("shingles")
-        sets = [shingles(t, rule.words) for t in texts]
-        return pd.DataFrame({"n": [len(s) for s in sets], "key": [set_key(s) for s in sets]})
+        counts = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            sets = [shingles(t, rule.words) for t in batch["text"]]
+            if sets:
+                counts += np.bincount(counter_of(np.concatenate(sets)), minlength=COUNTERS)
+            found = {"n": [len(s) for s in sets], "key": [set_key(s) for s in sets]}
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), **found}).assign(part=None, counts=None)
+        # A row of counters stands among those of the documents: one pass makes both.
+        parts = np.minimum(counts, 2**16 - 1).astype(np.uint16).reshape(COUNTER_PARTS, -1)
+        rows = pd.DataFrame({"part": range(COUNTER_PARTS), "counts": [p.tobytes() for p in parts]})
+        yield rows.assign(doc_id=pd.array([None] * COUNTER_PARTS, "Int64"), n=None, key=None)[
+            ["doc_id", "n", "key", "part", "counts"]
+        ]
 
-    rows = docs.select("doc_id", keyed("text").alias("set")).select("doc_id", "set.n", "set.key")
     with small_batches(docs.sparkSession, TEXT_ROWS):
-        rows = stored(rows, "sets")
+        made = stored(docs.mapInPandas(keyed, "doc_id long, n long, key long, part int, counts binary"), "sets")
+    rows = made.where("part IS NULL").select("doc_id", "n", "key")
+    frequent = _frequent(made.where("part IS NOT NULL"), rows.agg(F.sum("n")).first()[0] or 0)
     sets = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key", "n").agg(F.min("doc_id").alias("first"))
     sets = stored(sets, "classes")
-    links = _links(docs, sets, rule)
-    found = components(links).select(F.col("id").alias("key"), "component")
+    with scratch(docs.sparkSession) as keep:
+        links = stored(_links(docs, sets, rule, frequent), "set-links")
+        found = keep(stored(components(links), "set-components"))
+    found = found.select(F.col("id").alias("key"), "component")
     label = F.coalesce("component", "key").alias("component")
     sets = stored(sets.join(found, "key", "left").select("key", "n", "first", label), "labels")
     smallest = sets.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -197,13 +239,33 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+def _frequent(counts: DataFrame, total: int) -> np.ndarray:
+    """Counters that stand far above the mean: a bit for each, however many documents there are."""
+    mean = total / COUNTERS
+    bound = TIMES_MEAN * mean + 3 * mean**0.5 + MORE
+
+    def summed(rows: pd.DataFrame) -> pd.DataFrame:
+        sums = np.zeros(COUNTERS // COUNTER_PARTS, np.int64)
+        for own in rows["counts"]:
+            sums += np.frombuffer(own, np.uint16)
+        return pd.DataFrame({"part": [int(rows["part"].iloc[0])], "bits": [np.packbits(sums > bound).tobytes()]})
+
+    found = counts.groupBy("part").applyInPandas(summed, "part int, bits binary").collect()
+    out = np.zeros((COUNTER_PARTS, COUNTERS // COUNTER_PARTS // 8), np.uint8)
+    for row in found:
+        out[row["part"]] = np.frombuffer(row["bits"], np.uint8)
+    return np.unpackbits(out.reshape(-1)).astype(bool)
+
+
+def _links(docs: DataFrame, sets: DataFrame, rule: Rule, frequent: np.ndarray) -> DataFrame:
     """Links (a, b) between set keys whose components are those of all links."""
+    packed_bits = np.packbits(frequent).tobytes()
 
     tables = max(LEAST_TABLES, round((sets.agg(F.sum("n")).first()[0] or 0) * _keys_per_element(rule) / TABLE_KEYS))
 
     def filed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         only_memory_of("shingles")
+        frequent = np.unpackbits(np.frombuffer(packed_bits, np.uint8)).astype(bool)
         seen: set[int] = set()
         ids, keys, held = [], [], 0
         for batch in batches:
@@ -214,7 +276,7 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
                     continue
                 if len(seen) < SEEN:
                     seen.add(key)
-                keys.append(segment_keys(elements, rule))
+                keys.append(segment_keys(elements, rule, frequent))
                 ids.append(key)
                 held += len(keys[-1])
                 if held >= PACK_KEYS:

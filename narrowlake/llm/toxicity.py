@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import crc_fold, only_memory_of, remembers, table
+from narrowlake.llm.common import crc_fold, only_memory_of, remembers, ship_code, table
 
 FOLDS = 5
 # Features: 0 is the bias, the others are hashes; bounds the weights that are broadcast.
@@ -79,6 +79,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic") -> Model:
     Labels other than 0 and 1 and documents without an id are left out; of several labels
     of one document the largest counts.  Without both classes the model scores all 0.
     """
+    ship_code(docs.sparkSession)
     marked = labels.select(F.col("doc_id").alias("id"), F.col(label).cast("int").alias("y"))
     marked = marked.where("y IN (0, 1) AND id IS NOT NULL").groupBy("id").agg(F.max("y").alias("y"))
     marked = marked.where(crc_fold(F.col("id"), FOLDS) != 0)
@@ -137,6 +138,7 @@ def _weights(z: np.ndarray, n: np.ndarray, strength: np.ndarray) -> np.ndarray:
 
 def score(spark: SparkSession, model: Model, text: Column) -> Column:
     """Chance that a whole text is toxic; a null text counts as empty."""
+    ship_code(spark)
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
@@ -163,7 +165,11 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the model does not call toxic, with their columns."""
+    """The documents that the model does not call toxic, with their columns.
+
+    Null and empty texts have the score of a text without features; equal rows stay or go
+    together; rows without an id are scored as others.
+    """
     chance = score(docs.sparkSession, train(docs, labels), F.col("text"))
     return docs.where(chance < 0.5)
 

@@ -93,3 +93,20 @@ def test_empty_tables(vectors):
     none = vectors.limit(0)
     assert near_vectors.near_duplicates(none).collect() == []
     assert nearest.nearest(none, none).collect() == []
+
+
+def test_nearest_with_components_of_any_size(spark):
+    """Vectors of 1e-300 beside one of 1e200, whose squares overflow."""
+    rows = [(i, [x * (1 + i / 7), x * (2 - i / 9), x]) for x in (1e-3, 1.0) for i in range(int(x * 10) * 10, int(x * 10) * 10 + 9)]
+    rows += [(200, [1e200, 0.0, 1e200]), (201, [3e200, 0.0, 1e200])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = nearest.nearest(frame, frame.where("vec_id % 100 = 0"), k=3)
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in found.collect()}
+    for query, v in rows:
+        if query % 100:
+            continue
+        with np.errstate(over="ignore"):
+            near = sorted((float(np.sqrt(np.sum((np.array(v) - np.array(w)) ** 2))), i) for i, w in rows if i != query)
+        for rank in (1, 2, 3):
+            score, vec_id = near[rank - 1]
+            assert got[query, rank][0] == vec_id and got[query, rank][1] == pytest.approx(score)
