@@ -36,11 +36,16 @@ NAMES = [
     ("gpl-3.0", "general public", rf"(?:gnu )?general public licen[sc]e{_FSF}(?: version| v)? ?3(?: 0)?"),
     ("gpl-2.0", "gpl", r"(?:gnu )?gpl ?(?:version |v)?2(?: 0)?"),
     ("gpl-3.0", "gpl", r"(?:gnu )?gpl ?(?:version |v)?3(?: 0)?"),
-    ("lgpl-2.1", "general public", r"(?:gnu )?(?:lesser|library) general public licen[sc]e(?: version| v)? ?2(?: 1| 0)?"),
-    ("lgpl-3.0", "lesser general", r"(?:gnu )?lesser general public licen[sc]e(?: version| v)? ?3(?: 0)?"),
+    ("lgpl", "general public", r"(?:gnu )?(?:lesser|library) general public licen[sc]e"),
+    ("lgpl-2.0", "general public", rf"(?:gnu )?library general public licen[sc]e{_FSF}(?: version| v)? ?2(?: 0)?"),
+    ("lgpl-2.1", "general public", rf"(?:gnu )?(?:lesser|library) general public licen[sc]e{_FSF}(?: version| v)? ?2 1"),
+    ("lgpl-3.0", "general public", rf"(?:gnu )?lesser general public licen[sc]e{_FSF}(?: version| v)? ?3(?: 0)?"),
+    ("gpl", "gpl", r"(?:gnu )?gpl"),
     ("lgpl", "lgpl", r"(?:gnu )?lgpl(?: ?(?:version |v)?[23](?: [01])?)?"),
-    ("agpl-3.0", "affero", r"(?:gnu )?affero general public licen[sc]e(?:(?: version| v)? ?3(?: 0)?)?"),
-    ("agpl-3.0", "agpl", r"(?:gnu )?agpl(?: ?(?:version |v)?3(?: 0)?)?"),
+    ("agpl", "affero", r"(?:gnu )?affero general public licen[sc]e"),
+    ("agpl-3.0", "affero", rf"(?:gnu )?affero general public licen[sc]e{_FSF}(?: version| v)? ?3(?: 0)?"),
+    ("agpl", "agpl", r"(?:gnu )?agpl"),
+    ("agpl-3.0", "agpl", r"(?:gnu )?agpl ?(?:version |v)?3(?: 0)?"),
     ("gfdl", "documentation", r"(?:gnu )?free documentation licen[sc]e"),
     ("mpl-1.1", "mozilla", r"mozilla public licen[sc]e(?: version| v)? ?1 [01]"),
     ("mpl-2.0", "mozilla", r"mozilla public licen[sc]e(?:(?: version| v)? ?2(?: 0)?)?"),
@@ -75,6 +80,74 @@ NAMES = [
     ("public-domain", "public domain", r"(?:in|into) the public domain"),
     ("proprietary", "all rights", r"all rights reserved"),
 ]
+# Sentences that the texts and notices of licences consist of: label, keyword, pattern.
+TEXTS = [
+    ("mit", "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation"),
+    ("boost-1.0", "hereby granted", r"permission is hereby granted free of charge to any person or organi[sz]ation obtaining a copy of the software and accompanying documentation"),
+    ("isc", "with or without fee", r"permission to use copy modify and(?: or)? distribute this software for any purpose with or without fee is hereby granted"),
+    ("bsd", "source and binary", r"redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd-3-clause", "nor the names", r"neither the names? of (?:[^ ]+ ){1,12}?nor the names of its contributors may be used to endorse"),
+    ("bsd-4-clause", "mentioning features", r"all advertising materials mentioning features or use of this software must display"),
+    ("zlib", "express or implied", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "want to public", r"do what the fuck you want to public licen[sc]e"),
+    ("mpl-2.0", "source code form", r"this source code form is subject to the terms of the mozilla public licen[sc]e"),
+    ("mpl-1.1", "contents of this file", r"the contents of this file are subject to the mozilla public licen[sc]e version 1 1"),
+    ("gpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu general public licen[sc]e"),
+    ("lgpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public licen[sc]e"),
+    ("agpl", "redistribute it", r"you can redistribute it and or modify it under the terms of the gnu affero general public licen[sc]e"),
+    ("apache-2.0", "on an as is", r"distributed under the licen[sc]e is distributed on an as is basis without warranties or conditions of any kind"),
+    ("gfdl", "free documentation", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation licen[sc]e"),
+    ("ofl-1.1", "open font", r"this font software is licen[sc]ed under the sil open font licen[sc]e"),
+    ("postgresql", "without a written", r"without fee and without a written agreement is hereby granted"),
+    ("cc0", "waived all", r"(?:has )?waived all copyright and related(?: or neighboring)? rights"),
+]
+# Identifiers that stand behind "SPDX-License-Identifier": label, pattern of the identifier's words.
+SPDX = [
+    ("mit", "mit"),
+    ("isc", "isc"),
+    ("zlib", "zlib"),
+    ("unlicense", "unlicense"),
+    ("wtfpl", "wtfpl"),
+    ("boost-1.0", "bsl 1 0"),
+    ("apache-1.1", "apache 1 1"),
+    ("apache-2.0", "apache 2 0"),
+    ("bsd-2-clause", "bsd 2 clause"),
+    ("bsd-3-clause", "bsd 3 clause"),
+    ("bsd-4-clause", "bsd 4 clause"),
+    ("gpl-2.0", r"gpl 2 0(?: only| or later)?"),
+    ("gpl-3.0", r"gpl 3 0(?: only| or later)?"),
+    ("lgpl-2.0", r"lgpl 2 0(?: only| or later)?"),
+    ("lgpl-2.1", r"lgpl 2 1(?: only| or later)?"),
+    ("lgpl-3.0", r"lgpl 3 0(?: only| or later)?"),
+    ("agpl-3.0", r"agpl 3 0(?: only| or later)?"),
+    ("gfdl", r"gfdl 1 [123](?: only| or later)?"),
+    ("mpl-1.1", "mpl 1 1"),
+    ("mpl-2.0", "mpl 2 0"),
+    ("epl-1.0", "epl 1 0"),
+    ("epl-2.0", "epl 2 0"),
+    ("cddl-1.0", "cddl 1 0"),
+    ("cpl-1.0", "cpl 1 0"),
+    ("eupl-1.2", "eupl 1 2"),
+    ("artistic", "artistic [12] 0"),
+    ("psf", "psf 2 0"),
+    ("postgresql", "postgresql"),
+    ("openssl", "openssl"),
+    ("ofl-1.1", "ofl 1 1"),
+    ("odbl", "odbl 1 0"),
+    ("odc-by", "odc by 1 0"),
+    ("ms-pl", "ms pl"),
+    ("cc0", "cc0 1 0"),
+    ("cc-by", "cc by [1234] [05]"),
+    ("cc-by-sa", "cc by sa [1234] [05]"),
+    ("cc-by-nc", "cc by nc [1234] [05]"),
+    ("cc-by-nd", "cc by nd [1234] [05]"),
+    ("cc-by-nc-sa", "cc by nc sa [1234] [05]"),
+    ("cc-by-nc-nd", "cc by nc nd [1234] [05]"),
+]
+# Words that are searched together, and those looked at on both sides, which are more than any
+# rule's place has.
+STEP, MARGIN = 96, 48
 # Ways to say that a licence holds: priority, weight, the words before its name.
 FORMS = [
     (1, 0.5, ""),
@@ -106,7 +179,22 @@ def rules() -> list[dict]:
         for priority, weight, words in FORMS
         for label, keyword, name in NAMES
     ]
-    return base + others
+    texts = [
+        {"label": label, "keyword": keyword, "pattern": rf"(?<= ){pattern}(?= )", "priority": 900 + len(label), "weight": 1.0, "base": False}
+        for label, keyword, pattern in TEXTS
+    ]
+    spdx = [
+        {
+            "label": label,
+            "keyword": "spdx",
+            "pattern": rf"(?<= )spdx licen[sc]e identifier {pattern}(?= )",
+            "priority": 800 + len(label),
+            "weight": 1.0,
+            "base": False,
+        }
+        for label, pattern in SPDX
+    ]
+    return base + others + texts + spdx
 
 
 def gate() -> str:
@@ -122,6 +210,10 @@ def gate() -> str:
 
 
 GATE = gate()
+KEYWORDS = list(dict.fromkeys(r["keyword"] for r in rules()))
+
+
+_PLACES = "array<struct<start:bigint,end:bigint,label:string,priority:int,weight:double>>"
 
 
 def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -129,47 +221,84 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     license_words is the number of words; license_base and license_found are arrays of
     (start, end, label, priority, weight), places counted in words.  A text that the gate
-    does not let pass is searched no further; of the rules, only those whose keyword stands
-    in the text are tried.  A found place is dropped when another of higher priority, or of
-    the same and longer, covers all of its words; base places are all kept.  Null texts are
-    empty.  Existing columns of these names are replaced, others stay.
+    does not let pass is searched no further.  The others are searched STEP words at a time,
+    with MARGIN more on both sides, so that the work is in proportion to their length; of
+    the rules, only those whose keyword stands among these words are tried.  A found place
+    is dropped when another of higher priority, or of the same and longer, covers all of
+    its words; of equal places of one label one stays; base places are all kept.
+
+    Null, empty and blank texts have no words and no places.  Equal rows have equal places;
+    an empty table gives an empty result.  Existing columns of the three names are replaced,
+    others stay.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     words = F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
-    line = F.when(text.rlike(GATE), F.concat(F.lit(" "), F.array_join(words, " "), F.lit(" ")))
+    none = F.array().cast(_PLACES)
+    # The words are bound once; what is written inside would be evaluated for every window.
+    every = F.flatten(F.flatten(F.transform(F.array(words), lambda w: F.transform(_windows(w), _places))))
     docs = docs.withColumns(
         {
             "license_words": F.regexp_count(text, F.lit(ANY_CASE_WORD)).cast("long"),
-            "license_line": F.coalesce(line, F.lit("")),
+            "_license_places": F.when(text.rlike(GATE), every).otherwise(none),
         }
     )
+    found = F.col("_license_places")
+    return docs.withColumns(
+        {
+            "license_base": F.filter(found, lambda d: d["priority"] == 0),
+            "license_found": F.filter(found, lambda d: d["priority"] > 0),
+        }
+    ).drop("_license_places")
+
+
+def _windows(words: Column) -> Column:
+    """Overlapping stretches of the words that hold a keyword: (first, own, line)."""
+    starts = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1, F.lit(STEP)))
+
+    def window(at: Column) -> Column:
+        first = F.greatest(at - MARGIN, F.lit(0))
+        line = F.array_join(F.slice(words, first + 1, at - first + STEP + MARGIN), " ")
+        return F.struct(
+            first.cast("bigint").alias("first"), at.cast("bigint").alias("own"), F.concat(F.lit(" "), line, F.lit(" ")).alias("line")
+        )
+
+    cut = F.transform(F.coalesce(starts, F.array().cast("array<int>")), window)
+    return F.filter(cut, lambda w: w["line"].rlike(f"(?:{'|'.join(KEYWORDS)})"))
+
+
+def _places(window: Column) -> Column:
+    """Places that start among a window's own words and that no other covers."""
     kind = "array<struct<label:string,keyword:string,pattern:string,priority:int,weight:double,base:boolean>>"
-    table_of = F.from_json(F.lit(json.dumps(rules())), kind)
-    tried = F.filter(table_of, lambda r: F.contains(F.col("license_line"), r["keyword"]))
+    by_keyword = [[r for r in rules() if r["keyword"] == k] for k in KEYWORDS]
+    table_of = F.from_json(F.lit(json.dumps(by_keyword)), f"array<{kind}>")
+    tried = F.flatten(
+        F.transform(
+            F.filter(
+                F.arrays_zip(F.array(*map(F.lit, KEYWORDS)).alias("keyword"), table_of.alias("rules")),
+                lambda k: F.contains(window["line"], k["keyword"]),
+            ),
+            lambda k: k["rules"],
+        )
+    )
 
-    def places(rule: Column) -> Column:
-        return F.transform(
-            matches(F.col("license_line"), rule["pattern"], measure=_blanks),
+    def of_rule(rule: Column) -> Column:
+        spans = F.transform(
+            matches(window["line"], rule["pattern"], measure=_blanks),
             lambda m: F.struct(
-                (m["start"] - 1).alias("start"),
-                m["end"].alias("end"),
+                (m["start"] - 1 + window["first"]).alias("start"),
+                (m["end"] + window["first"]).alias("end"),
                 rule["label"].alias("label"),
                 rule["priority"].alias("priority"),
                 rule["weight"].alias("weight"),
             ),
         )
+        return F.when(F.rlike(window["line"], rule["pattern"]), spans).otherwise(F.array().cast(_PLACES))
 
-    none = F.array().cast("array<struct<start:bigint,end:bigint,label:string,priority:int,weight:double>>")
-    seen = F.col("license_line") != ""
-    docs = docs.withColumn("license_all", F.when(seen, F.flatten(F.transform(tried, places))).otherwise(none))
-    every = F.col("license_all")
-    covered = F.filter(every, lambda d: ~F.exists(every, lambda e: _covers(e, d)))
-    return docs.withColumns(
-        {
-            "license_base": F.filter(every, lambda d: d["priority"] == 0),
-            "license_found": F.filter(covered, lambda d: d["priority"] > 0),
-        }
-    ).drop("license_line", "license_all")
+    def kept(every: Column) -> Column:
+        own = F.filter(every, lambda d: (d["start"] >= window["own"]) & (d["start"] < window["own"] + STEP))
+        return F.filter(own, lambda d: (d["priority"] == 0) | ~F.exists(every, lambda e: _covers(e, d)))
+
+    return F.get(F.transform(F.array(F.flatten(F.transform(tried, of_rule))), kept), F.lit(0))
 
 
 def _blanks(text: Column) -> Column:
@@ -185,7 +314,7 @@ def _covers(e: Column, d: Column) -> Column:
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score of every row.
 
-    The score is the largest weight of a kept place, 0 without any.
+    The score is the largest weight of a kept place, 0 without any.  Odd rows are as in ``scan``.
     """
     found = scan(docs.select("doc_id", "text"))
     base, kept = F.col("license_base"), F.concat("license_base", "license_found")

@@ -10,16 +10,42 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<start:bigint,end:bigint,hit:string,part:string>>"
 
 
+def scanned(values: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """Array of the running sums, or maxima, of an array of numbers from 0 on.
+
+    An array grows by copying, so it is cut into about as many parts as each has values:
+    the work is in proportion to the number of values times its root.
+    """
+    zero = F.lit(0).cast("bigint")
+
+    def plain(part: Column, start: Column) -> Column:
+        first = F.array(start)
+        sums = F.aggregate(
+            part, first, lambda out, x: F.concat(out, F.array(add(F.element_at(out, -1), x.cast("bigint"))))
+        )
+        return F.slice(sums, F.lit(2), F.size(sums) - 1)
+
+    def whole(bound: Column) -> Column:
+        size = F.greatest(F.ceil(F.sqrt(F.size(bound))), F.lit(1)).cast("int")
+        starts = F.sequence(F.lit(1), F.size(bound), size)
+        parts = F.transform(starts, lambda i: F.slice(bound, i, size))
+        totals = F.transform(parts, lambda p: F.aggregate(p, zero, lambda t, x: add(t, x.cast("bigint"))))
+        before = F.concat(F.array(zero), plain(totals, zero))
+        made = F.flatten(F.transform(F.arrays_zip(parts.alias("p"), F.slice(before, F.lit(1), F.size(parts)).alias("b")), lambda z: plain(z["p"], z["b"])))
+        return F.when(F.size(bound) > 0, made).otherwise(F.array().cast("array<bigint>"))
+
+    # The values are bound once, however often they are used.
+    return F.get(F.transform(F.array(values), whole), F.lit(0))
+
+
 def running(values: Column) -> Column:
     """Array of the running sums of an array of numbers."""
-    start = F.array().cast("array<bigint>")
-    return F.aggregate(
-        values,
-        start,
-        lambda sums, x: F.concat(
-            sums, F.array(F.coalesce(F.get(sums, F.size(sums) - 1), F.lit(0).cast("bigint")) + x)
-        ),
-    )
+    return scanned(values, lambda a, b: a + b)
+
+
+def highest(values: Column) -> Column:
+    """Array of the running maxima of an array of numbers from 0 on."""
+    return scanned(values, lambda a, b: F.greatest(a, b))
 
 
 def matches(

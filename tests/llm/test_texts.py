@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -101,7 +102,97 @@ def test_every_alternative_holds_its_keyword(spark):
     assert lost == []
     text = "the GNU Library General Public License version 2"
     (row,) = licenses.scan(spark.createDataFrame([(text,)], "text string")).collect()
-    assert {p["label"] for p in row["license_found"]} == {"lgpl-2.1"}
+    assert {p["label"] for p in row["license_found"]} == {"lgpl-2.0"}
+
+
+NOTICES = {
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+    "Public License as published by the Free Software Foundation; either version 2.1 of the License": {"lgpl", "lgpl-2.1"},
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free "
+    "Software Foundation; either version 2 of the License, or (at your option) any later version.": {"gpl", "gpl-2.0"},
+    "it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either "
+    "version 3 of the License": {"agpl-3.0"},
+    "GNU Lesser General Public License": {"lgpl"},
+    "GNU Library General Public License": {"lgpl"},
+    "the GNU Affero General Public License": {"agpl"},
+    "SPDX-License-Identifier: MIT": {"mit"},
+    "# SPDX-License-Identifier: ISC": {"isc"},
+    "SPDX-License-Identifier: GPL-2.0-or-later": {"gpl-2.0"},
+    "SPDX-License-Identifier: BSD-3-Clause": {"bsd-3-clause"},
+    "SPDX-License-Identifier: CC-BY-SA-4.0": {"cc-by-sa"},
+    "licensed under the GPL": {"gpl"},
+    "distributed under the LGPL.": {"lgpl"},
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    "documentation files (the \"Software\"), to deal": {"mit"},
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+    "granted, provided that": {"isc"},
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided": {"bsd"},
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse": {"bsd-3-clause"},
+    "This is free and unencumbered software released into the public domain.": {"unlicense"},
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": {"mpl-2.0"},
+    "Licensed under the Apache License, Version 2.0 (the \"License\")": {"apache-2.0"},
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": {"cc-by-sa"},
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held "
+    "liable for any damages": {"zlib"},
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+    "accompanying documentation covered by this license": {"boost-1.0"},
+    "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation "
+    "License": {"gfdl"},
+    "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE": {"wtfpl"},
+}
+
+
+def test_standard_notices(spark):
+    frame = spark.createDataFrame([(t,) for t in NOTICES], "text string")
+    got = {r["text"]: {p["label"] for p in r["license_found"]} for r in licenses.scan(frame).collect()}
+    assert {t: got[t] for t in NOTICES if got[t] != NOTICES[t]} == {}
+
+
+def test_every_text_and_identifier_passes_the_gate_with_its_keyword(spark):
+    rows = [(k, p) for _, k, p in licenses.TEXTS if not re.search(r"\[\^|\{", p)]
+    texts = [(k, t) for k, p in rows for t in examples(p)] + [
+        ("spdx", f"spdx license identifier {t}") for _, p in licenses.SPDX for t in examples(p)
+    ]
+    assert [(k, t) for k, t in texts if k not in t] == []
+    frame = spark.createDataFrame([(t.title(),) for _, t in texts], "text string")
+    assert frame.where(~F.col("text").rlike(licenses.GATE)).isEmpty()
+    found = licenses.scan(frame).where(F.size("license_found") == 0)
+    assert found.isEmpty()
+
+
+def test_no_place_is_longer_than_the_margin():
+    for rule in licenses.rules():
+        words = re.sub(r"\(\?<?= \)", "", rule["pattern"])
+        words = re.sub(r"\{1,12\}\?", "", words)
+        assert words.count(" ") + 12 < licenses.MARGIN or rule["label"] == "gfdl", rule["label"]
+
+
+def test_windows_find_what_one_line_holds(spark):
+    """Places near the ends of windows, against a search of the whole line."""
+    notice = list(NOTICES)
+    texts = [("x " * n + notice[n % len(notice)] + " mit license, CC BY 4.0" + " y" * (n % 7)) * 3 for n in range(80, 110)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in licenses.digests(frame.withColumn("doc_id", F.lit(1))).select("n_base", "first_word").collect():
+        assert row["n_base"] >= 6 and row["first_word"] is not None
+    for row in licenses.scan(frame).collect():
+        words = re.findall(licenses.WORD, row["text"].lower())
+        assert row["license_words"] == len(words)
+        for place in row["license_found"]:
+            assert 0 <= place["start"] < place["end"] <= len(words)
+        plain = [i for i in range(len(words)) if words[i : i + 2] == ["mit", "license"]]
+        assert [p["start"] for p in row["license_base"] if p["label"] == "mit"] == plain
+        labels = {p["label"] for p in row["license_found"]}
+        assert "cc-by" in labels and "mit" in labels
+
+
+def test_a_megabyte_of_licences_takes_seconds(spark):
+    frame = spark.createDataFrame([("mit license, " * 80_000,)], "text string").withColumn("doc_id", F.lit(1))
+    start = time.time()
+    row = licenses.digests(frame).first()
+    assert time.time() - start < 60
+    assert (row["n_base"], row["labels"]) == (80_000, "mit")
+
+
 
 
 # ---------------------------------------------------------------- secrets
