@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from narrowlake.llm.common import table
-from narrowlake.llm.spans import SPAN, matches, nothing
+from narrowlake.llm.spans import SPAN, highest, let, matches, nothing, running
 
 # The base rules; a match counts when its part has so many characters.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -32,6 +32,8 @@ SAMPLE_DOCUMENTS = 20_000
 # the means of shorter runs vary more and need more, by the root of their number of pairs.
 THRESHOLD = 0.9
 FULL = 16
+# Characters of the chunks that a text is cut into to take parts of it.
+CHUNK = 4096
 
 
 def base_spans(text: Column) -> dict[str, Column]:
@@ -109,46 +111,87 @@ def random_spans(text: Column, model: list[float]) -> Column:
     """
     least = lambda h: THRESHOLD * F.sqrt(F.greatest(F.lit(1.0), (FULL - 1) / (F.length(h) - 1)))
     hits = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
-    judged = F.transform(hits, lambda h: F.struct(h.alias("hit"), (ratio(h, model) >= least(h)).alias("random")))
     gaps = F.transform(F.split(text, CANDIDATE, -1), F.length)
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), nothing().alias("out"))
 
-    def put(state: Column, m: Column) -> Column:
-        first = state["at"] + m["gap"]
-        end = first + F.length(m["judged"]["hit"])
-        hit = m["judged"]["hit"]
-        span = F.array(F.struct(first.alias("start"), end.alias("end"), hit.alias("hit"), hit.alias("part")))
-        out = F.when(m["judged"]["random"], F.concat(state["out"], span.cast(SPAN))).otherwise(state["out"])
-        return F.struct(end.cast("bigint").alias("at"), out.alias("out"))
+    def placed(hits: Column) -> Column:
+        sizes = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits, lambda g, h: g + F.length(h))
+        found = F.filter(
+            F.arrays_zip(running(sizes).alias("end"), hits.alias("hit")), lambda m: ratio(m["hit"], model) >= least(m["hit"])
+        )
+        return F.transform(
+            found,
+            lambda m: F.struct(
+                (m["end"] - F.length(m["hit"])).alias("start"), m["end"].alias("end"), m["hit"].alias("hit"), m["hit"].alias("part")
+            ),
+        ).cast(SPAN)
+
+    return let(hits, placed)
+
 
-    placed = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), judged, lambda g, j: F.struct(g.alias("gap"), j.alias("judged")))
-    return F.aggregate(placed, start, put)["out"]
+def _unused(names: list[str], name: str) -> str:
+    while name.lower() in {n.lower() for n in names}:
+        name += "_"
+    return name
 
 
-def find(docs: DataFrame, model: list[float]) -> DataFrame:
+def find(docs: DataFrame, model: list[float], column: str = "secret_spans") -> DataFrame:
     """The documents with secret_spans: (start, kind, end) of all spans, by start and kind.
 
     kind is a place in KINDS.  The models judge every whole run of LEAST or more characters
-    of the alphabet, letters or digits alone too; shorter runs are not looked at.  Spans of the Markov models that spans of base rules cover
-    wholly, alone or together, are left out; base spans all stay.  Null texts are empty and have none.
+    of the alphabet, letters or digits alone too; shorter runs are not looked at.  Spans of the
+    Markov models that spans of base rules cover wholly, alone or together, are left out;
+    base spans all stay.
+
+    Null, empty and blank texts have none; equal rows have equal spans; an empty table gives
+    an empty result.  The work grows with the length of a text times the root of the number
+    of its spans.  An existing column of the name is replaced, others stay.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = docs.withColumns({f"secret_{k}": s for k, s in base_spans(text).items()})
-    base = F.concat(F.col("secret_assign"), F.col("secret_access"), F.col("secret_hex"))
-    apart = F.filter(random_spans(text, model), lambda m: ~_covered(m, base))
-    docs = docs.withColumn("secret_markov", F.when(text.rlike(CANDIDATE), apart).otherwise(nothing()))
-    marked = [_marked(F.col(f"secret_{kind}"), place) for place, kind in enumerate(KINDS)]
-    docs = docs.withColumn("secret_spans", F.array_sort(F.concat(*marked)))
-    return docs.drop(*[f"secret_{k}" for k in KINDS])
+    held = _unused(docs.columns, "secret_held")
+    docs = docs.withColumn(held, F.struct(*[s.alias(k) for k, s in base_spans(text).items()]))
+    kinds = {k: F.col(held)[k] for k in KINDS[:-1]}
+    random = F.when(text.rlike(CANDIDATE), _apart(random_spans(text, model), F.concat(*kinds.values()))).otherwise(nothing())
+    marked = [_marked(spans, place) for place, spans in enumerate([*kinds.values(), random])]
+    return docs.withColumn(column, F.array_sort(F.concat(*marked))).drop(held)
+
 
+def _apart(spans: Column, base: Column) -> Column:
+    """The spans that base spans do not cover wholly.
 
-def _covered(m: Column, spans: Column) -> Column:
-    """Whether spans leave no character of a span free."""
+    Base spans that touch are joined; then the last joined one that starts no later than a
+    span is the only one that can cover it, so one pass over all by start is enough.
+    """
+    kind = "array<struct<start:bigint,kind:int,end:bigint,hit:string,part:string>>"
+
+    def joined(sorted_base: Column) -> Column:
+        tops = highest(F.transform(sorted_base, lambda b: b["end"]))
+        before = F.concat(F.array(F.lit(-1).cast("bigint")), F.slice(tops, F.lit(1), F.size(tops) - 1))
+        rows = F.arrays_zip(F.transform(sorted_base, lambda b: b["start"]).alias("start"), before.alias("before"))
+        firsts = F.filter(rows, lambda r: r["start"] > r["before"])
+        ends = F.concat(
+            F.slice(F.transform(firsts, lambda r: r["before"]), F.lit(2), F.size(firsts) - 1), F.array(F.element_at(tops, -1))
+        )
+        return F.zip_with(
+            firsts,
+            ends,
+            lambda r, end: F.struct(
+                r["start"].alias("start"), F.lit(0).alias("kind"), end.alias("end"), F.lit("").alias("hit"), F.lit("").alias("part")
+            ),
+        ).cast(kind)
+
+    own = F.transform(
+        spans, lambda m: F.struct(m["start"].alias("start"), F.lit(1).alias("kind"), m["end"].alias("end"), m["hit"], m["part"])
+    ).cast(kind)
+    covers = let(F.array_sort(base), lambda b: F.when(F.size(b) > 0, joined(b)).otherwise(F.array().cast(kind)))
 
-    def reach(at: Column, b: Column) -> Column:
-        return F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at)
+    def left(rows: Column) -> Column:
+        tops = highest(F.transform(rows, lambda r: F.when(r["kind"] == 0, r["end"]).otherwise(F.lit(0).cast("bigint"))))
+        free = F.filter(F.arrays_zip(rows.alias("row"), tops.alias("top")), lambda z: (z["row"]["kind"] == 1) & (z["top"] < z["row"]["end"]))
+        return F.transform(
+            free, lambda z: F.struct(z["row"]["start"], z["row"]["end"], z["row"]["hit"], z["row"]["part"])
+        ).cast(SPAN)
 
-    return F.aggregate(F.array_sort(spans), m["start"], reach) >= m["end"]
+    return let(F.array_sort(F.concat(covers, own)), left)
 
 
 def _marked(spans: Column, kind: int) -> Column:
@@ -161,30 +204,55 @@ def _count(spans: Column, kind: int) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def _piece(chunks: Column, start: Column, end: Column) -> Column:
+    """The text from start to before end, of a text that is cut into chunks of CHUNK characters."""
+    first, last = F.floor(start / CHUNK).cast("int"), F.floor((end - 1) / CHUNK).cast("int")
+    at = (start % CHUNK + 1).cast("int")
+    head = F.get(chunks, first)
+    several = F.concat(
+        F.substr(head, at),
+        F.array_join(F.slice(chunks, first + 2, F.greatest(last - first - 1, F.lit(0))), ""),
+        F.substr(F.get(chunks, last), F.lit(1), (end - last * CHUNK).cast("int")),
+    )
+    return F.when(start >= end, F.lit("")).when(first == last, F.substr(head, at, (end - start).cast("int"))).otherwise(several)
+
+
 def redacted(text: Column, spans: Column, mark: str = "[secret]") -> Column:
-    """The text with a mark in place of each run of touching spans."""
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def put(state: Column, span: Column) -> Column:
-        gap = F.substr(text, (state["at"] + 1).cast("int"), F.greatest(span["start"] - state["at"], F.lit(0)).cast("int"))
-        new = F.when((span["start"] < state["at"]), F.lit("")).otherwise(F.lit(mark))
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"), F.concat(state["out"], gap, new).alias("out")
-        )
+    """The text with a mark in place of each run of overlapping spans, which are in order of their starts.
+
+    The text is cut once; no part of it is looked for from its beginning again.
+    """
+
+    def made(chunks: Column) -> Column:
+        def marked(tops: Column) -> Column:
+            before = F.concat(F.array(F.lit(0).cast("bigint")), F.slice(tops, F.lit(1), F.size(tops) - 1))
+            rows = F.arrays_zip(F.transform(spans, lambda s: s["start"]).alias("start"), before.alias("at"))
+            parts = F.transform(
+                rows,
+                lambda r: F.when(r["start"] < r["at"], F.lit("")).otherwise(
+                    F.concat(_piece(chunks, r["at"], r["start"]), F.lit(mark))
+                ),
+            )
+            return F.concat(F.array_join(parts, ""), _piece(chunks, F.element_at(tops, -1), F.length(text).cast("bigint")))
+
+        return let(highest(F.transform(spans, lambda s: s["end"])), marked)
 
-    end = F.aggregate(spans, start, put)
-    rest = F.substr(text, (end["at"] + 1).cast("int"))
-    return F.when(F.size(spans) == 0, text).otherwise(F.concat(end["out"], rest))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CHUNK}}}"), F.lit(0))
+    return F.when(F.size(spans) == 0, text).otherwise(let(cut, made))
 
 
 def clean(docs: DataFrame, model: list[float]) -> DataFrame:
-    """The documents with their secrets replaced by a mark; other texts stay as they are."""
+    """The documents with their secrets replaced by a mark; other texts stay as they are.
+
+    Null texts stay null, and n_chars, where there is one, follows a text that changes.  Other
+    columns stay whatever their names; equal rows stay equal.
+    """
     names = docs.columns
-    text = F.coalesce(F.col("text"), F.lit(""))
-    found = find(docs, model).withColumn("text", F.when(F.col("text").isNotNull(), redacted(text, F.col("secret_spans"))))
+    column = _unused(names, "secret_spans")
+    text, spans = F.coalesce(F.col("text"), F.lit("")), F.col(column)
+    found = find(docs, model, column).withColumn("text", F.when(F.col("text").isNotNull(), redacted(text, spans)))
     if "n_chars" in names:
-        changed = F.size("secret_spans") > 0
-        found = found.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(spans) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return found.select(*names)
 
 

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<start:bigint,end:bigint,hit:string,part:string>>"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """What ``use`` makes of a value that is evaluated once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def scanned(values: Column, add: Callable[[Column, Column], Column]) -> Column:
     """Array of the running sums, or maxima, of an array of numbers from 0 on.
 
@@ -34,8 +39,7 @@ def scanned(values: Column, add: Callable[[Column, Column], Column]) -> Column:
         made = F.flatten(F.transform(F.arrays_zip(parts.alias("p"), F.slice(before, F.lit(1), F.size(parts)).alias("b")), lambda z: plain(z["p"], z["b"])))
         return F.when(F.size(bound) > 0, made).otherwise(F.array().cast("array<bigint>"))
 
-    # The values are bound once, however often they are used.
-    return F.get(F.transform(F.array(values), whole), F.lit(0))
+    return let(values, whole)
 
 
 def running(values: Column) -> Column:

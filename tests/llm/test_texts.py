@@ -11,7 +11,7 @@ import zlib
 import pytest
 from pyspark.sql import functions as F
 
-from narrowlake.llm import katz, licenses, secrets, toxicity
+from narrowlake.llm import katz, licenses, secrets, spans, toxicity
 
 
 def by_row(frame):
@@ -265,6 +265,52 @@ def test_keys_that_base_rules_find_in_part_are_redacted_whole(spark, model):
     assert secrets.clean(frame, model).first()["text"] == "see [secret] and [secret] or [secret]."
 
 
+def test_columns_of_any_name_stay(spark, docs, model):
+    names = [f"secret_{k}" for k in (*secrets.KINDS, "spans", "held")]
+    clashing = docs.withColumns({n: F.lit(n) for n in names})
+    cleaned = secrets.clean(clashing, model)
+    assert cleaned.columns == clashing.columns and cleaned.count() == clashing.count()
+    assert cleaned.where(" OR ".join(f"{n} IS DISTINCT FROM '{n}'" for n in names)).isEmpty()
+    assert secrets.clean(docs.limit(0), model).isEmpty()
+
+
+def test_spans_that_base_spans_cover_together(spark):
+    """Against a search over all characters."""
+    draw = random.Random(4)
+    rows = []
+    for _ in range(200):
+        base = [(a, a + draw.randint(1, 6)) for a in (draw.randint(0, 40) for _ in range(draw.randint(0, 9)))]
+        own = [(a, a + draw.randint(1, 12)) for a in (draw.randint(0, 40) for _ in range(draw.randint(0, 6)))]
+        rows.append((sorted((a, e, "", "") for a, e in own), [(a, e, "", "") for a, e in base]))
+    frame = spark.createDataFrame(rows, f"own {spans.SPAN}, base {spans.SPAN}")
+    got = frame.select("own", "base", secrets._apart(F.col("own"), F.col("base")).alias("left")).collect()
+    for row in got:
+        held = {i for b in row["base"] for i in range(b["start"], b["end"])}
+        want = [(m["start"], m["end"]) for m in row["own"] if not set(range(m["start"], m["end"])) <= held]
+        assert sorted((m["start"], m["end"]) for m in row["left"]) == sorted(want)
+
+
+def test_running_sums_and_maxima(spark):
+    rows = [([random.Random(n).randrange(100) for _ in range(n)],) for n in (0, 1, 2, 3, 7, 16, 17, 1_000)]
+    frame = spark.createDataFrame(rows, "v array<bigint>")
+    for row in frame.select("v", spans.running(F.col("v")).alias("s"), spans.highest(F.col("v")).alias("m")).collect():
+        assert row["s"] == [sum(row["v"][: i + 1]) for i in range(len(row["v"]))]
+        assert row["m"] == [max(row["v"][: i + 1]) for i in range(len(row["v"]))]
+
+
+def test_a_megabyte_of_keys_takes_seconds(spark, model):
+    draw = random.Random(5)
+    keys = ["".join(draw.choices("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", k=24)) for _ in range(40_000)]
+    text = " é ".join(keys) + " password=" + "0123456789abcdef" * 3
+    frame = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    start = time.time()
+    (row,) = secrets.clean(frame, model).collect()
+    assert time.time() - start < 90
+    # The models know little here: they are fitted on the few hundred documents of the tests.
+    assert row["text"].count("[secret]") >= 30_000 and row["text"].endswith("[secret]")
+    assert row["text"].count(" é ") == 39_999
+
+
 def test_redaction_replaces_spans_only(docs, model):
     names = docs.columns
     cleaned = secrets.clean(docs, model)
