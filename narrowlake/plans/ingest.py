@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
 from narrowlake.operators.filters import reject_reason
 from narrowlake.operators.joins import new_files
+from narrowlake.plans.compact import FILE_BYTES, compact, visible
 from narrowlake.plans.lease import SECONDS, Lease
 from narrowlake.sinks.tables import append_merge_schema, create_or_append, rebalanced
 from narrowlake.sources.csv import MALFORMED, SOURCE_FILE, read_by_header, stamp_ingest
@@ -134,8 +135,28 @@ def narrow_schema(roles: Roles = COLLECTIONS) -> T.StructType:
 
 
 def read_loaded(spark: SparkSession, target: str, roles: Roles = COLLECTIONS) -> DataFrame:
-    """The narrow folder written by ``load_new``, without its load marks."""
-    return spark.read.schema(narrow_schema(roles)).parquet(target).drop(LOAD_ID)
+    """The narrow folder written by loads, without its load marks."""
+    return spark.read.schema(narrow_schema(roles)).parquet(target).where(visible(spark, target)).drop(LOAD_ID)
+
+
+def compact_loads(
+    spark: SparkSession,
+    target: str,
+    ledger: str,
+    *,
+    roles: Roles = COLLECTIONS,
+    file_bytes: int = FILE_BYTES,
+    lease_seconds: float = SECONDS,
+) -> list[str]:
+    """Pack the finished loads of a ledger into larger files; returns the loads packed.
+
+    It holds the lease that loads hold, so no load is written meanwhile.
+    """
+    with Lease(spark, lease_path(ledger), lease_seconds) as lease:
+        done = read_ledger(spark, ledger).where("state = 'loaded'").select(LOAD_ID).distinct()
+        finished = [r[0] for r in done.collect()]
+        lease.check()
+        return compact(spark, target, finished, schema=narrow_schema(roles), roles=roles, file_bytes=file_bytes)
 
 
 def rejects_path(target: str) -> str:

@@ -208,12 +208,14 @@ def _publish(
     database: str | None,
     kind: str | Mapping[str, str],
     location: str | None,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     kinds = {kind} if isinstance(kind, str) else set(kind.values())
     if not kinds <= set(KINDS):
         raise ValueError(f"unknown kind {sorted(kinds - set(KINDS))}")
     source = spark.table(table)
-    chosen = source if prefixes is None else source.where(series_is_valid(roles.series, prefixes))
+    known = source if codes is None else codes
+    chosen = known if prefixes is None else known.where(series_is_valid(roles.series, prefixes))
     series_found = [r[0] for r in chosen.select(roles.series).distinct().collect()]
     found = sorted(s for s in series_found if s is not None)
     names = names_of(found, name_fn)
@@ -221,8 +223,8 @@ def _publish(
     def make(series: str) -> tuple[str, int]:
         # Codes of one series at a time: the limit on columns bounds what is fetched.
         name = _qualified(database, names[series])
-        codes = discover_codes(chosen.where(F.col(roles.series) == series), roles.item)
-        check_columns(codes, roles.keys)
+        items = discover_codes(chosen.where(F.col(roles.series) == series), roles.item)
+        check_columns(items, roles.keys)
         of = kind if isinstance(kind, str) else kind.get(series, "view")
         if of == "view":
             keys = ", ".join(quoted(k) for k in roles.keys)
@@ -230,9 +232,9 @@ def _publish(
                 f"SELECT DISTINCT {keys} FROM {table_name(table)} "
                 f"WHERE {quoted(roles.series)} = {text_literal(series)}"
             )
-            body = pivot_view_sql(table, series, codes, cell_sql, roles) if codes else bare
+            body = pivot_view_sql(table, series, items, cell_sql, roles) if items else bare
             return _view(spark, name, body)
-        wide = build(source, series, roles=roles, items=codes)
+        wide = build(source, series, roles=roles, items=items)
         if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "VIEW":
             drop_relation(spark, name)
         path = f"{location.rstrip('/')}/{names[series]}" if location else None
@@ -252,7 +254,7 @@ def _publish(
     # Any number of other series may be in the table, so they stay a query.
     none = F.lit(None).cast("string")
     skipped = (
-        source.where(~series_is_valid(roles.series, prefixes))
+        known.where(~series_is_valid(roles.series, prefixes))
         .select(F.col(roles.series).alias("series"))
         .distinct()
         .select(
@@ -277,9 +279,13 @@ def publish_wide(
     kind: str | Mapping[str, str] = "view",
     location: str | None = None,
     name_fn: Callable[[str], str] = wide_view_name,
+    codes: DataFrame | None = None,
 ) -> DataFrame:
     """One relation per accepted series with encoded cells.
 
+    ``codes`` are the series and item codes as ``derived.merge_codes`` keeps them; without
+    them they are looked for in the whole table.
+
     ``kind`` is that of all relations, or of some by series: a view, which follows the
     table whatever its width, or a table, stored by as-of date and written anew.  Returns
     what was created, failed and skipped; rows without a series, or with a blank one that
@@ -296,6 +302,7 @@ def publish_wide(
         database=database,
         kind=kind,
         location=location,
+        codes=codes,
     )
 
 

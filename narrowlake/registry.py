@@ -15,8 +15,8 @@ from narrowlake.operators import aggregates as agg
 from narrowlake.operators import filters as flt
 from narrowlake.operators import joins, latest, pivots, quality, sets
 from narrowlake.operators import projections as prj
+from narrowlake.plans import compact, derived, publish, refresh
 from narrowlake.plans import ingest as loads
-from narrowlake.plans import publish, refresh
 from narrowlake.session import work_dir
 from narrowlake.sinks import tables as sink
 from narrowlake.sources import csv as csv_source
@@ -133,6 +133,16 @@ def items_by_series(spark, folder):
     return found.select("seriesid", F.array_join("items", ",").alias("items"))
 
 
+@query
+def kept_codes(spark, folder):
+    """Item codes by series as they are kept load by load."""
+    path, rows = work_dir(spark, "codes"), trade.collections(spark, folder)
+    for line in range(1, 8, 3):
+        derived.merge_codes(rows.where(F.substring("item_mdrm", 5, 1).between(str(line), str(line + 2))), path)
+    found = pivots.items_by_series(derived.read_codes(spark, path))
+    return found.select("seriesid", F.array_join("items", ",").alias("items"))
+
+
 @query
 def unpivot_roundtrip(spark, folder):
     wide = pivots.pivot_encoded(trade.collections(spark, folder), SERIES)
@@ -394,6 +404,18 @@ def refresh_summary(spark, folder):
     return spark.read.parquet(path)
 
 
+@query
+def kept_summary(spark, folder):
+    """The daily summary, kept up load by load; one load comes twice, one is added up with the first."""
+    path, rows = work_dir(spark, "summary-state"), trade.kv(spark, folder)
+    late = F.col("submissionts") >= "2024011500"
+    for load, part in (("a", rows.where(~late)), ("b", rows.where(late)), ("b", rows.where(late))):
+        derived.merge_summary(part, path, load)
+        if load == "a":
+            derived.fold_loads(spark, path, ["a"])
+    return derived.kept_summary(spark, path)
+
+
 # ---------------------------------------------------------------- latest and as-of
 
 
@@ -405,6 +427,17 @@ def latest_submission(spark, folder):
     ).select(*KEYS, "item_mdrm", "item_value", "ingest_timestamp")
 
 
+@query
+def kept_latest(spark, folder):
+    """The current state, kept up load by load; the second load comes twice."""
+    path, rows = work_dir(spark, "latest"), trade.collections(spark, folder)
+    early = F.col("ingest_timestamp") <= INGEST
+    ties = ["item_value", "context_level1_value", "context_level2_value", "context_level3_value"]
+    for part in (rows.where(~early), rows.where(early), rows.where(early)):
+        derived.merge_latest(part, path, tie_break=ties)
+    return derived.read_latest(spark, path).select(*KEYS, "item_mdrm", "item_value", "ingest_timestamp")
+
+
 @query
 def asof_ingest(spark, folder):
     return agg.rows_by(latest.as_of_ingest(trade.collections(spark, folder), INGEST), "seriesid")
@@ -445,6 +478,19 @@ def compare_outputs(spark, folder):
     )
 
 
+@query
+def compare_by_checksum(spark, folder):
+    """The same comparison by checksums of buckets of filings."""
+    rows = trade.collections(spark, folder)
+    codes = pivots.discover_codes(flt.by_series(rows, SERIES), COLLECTIONS.item)
+    damaged = rows.where("rssdid NOT LIKE '%7' OR item_mdrm <> 'ITEM1'")
+    return sets.compare_by_checksum(
+        pivots.pivot_encoded(rows, SERIES, items=codes),
+        pivots.pivot_encoded(damaged, SERIES, items=codes),
+        KEYS,
+    )
+
+
 @query
 def compare_ingests(spark, folder):
     """Rows that differ in number between the table and an earlier state of it."""
@@ -537,20 +583,35 @@ def _new_table(spark, folder, label):
     return f"{_database(spark, folder)}.{label}_{uuid4().hex[:8]}"
 
 
+# A few files of each kind that a drop may hold, one for each ingest time: text with a comma, with
+# a tab, without any delimiter, and behind an empty line.
+ODD_LINE = """CASE month(to_date(ingest_ts, 'yyyyMM')) % 4 WHEN 0 THEN concat('seriesid,rows,', n)
+    WHEN 1 THEN concat('seriesid\\trows\\t', n) WHEN 2 THEN concat('no delimiter ', n) ELSE concat('\\n,', n) END"""
+
+
+@_once
+def _odd_drop(spark, folder):
+    """One file of one line for each ingest time, accepted or not, with the number of its rows in it."""
+    path = work_dir(spark, "odd")
+    rows = trade.collections(spark, folder).groupBy(F.col("ingest_timestamp").alias("ingest_ts"))
+    lines = rows.agg(F.count(F.lit(1)).alias("n")).selectExpr("ingest_ts", f"{ODD_LINE} AS line")
+    plain = {"sep": "\x01", "quote": "", "header": False, "lineSep": "\x02"}
+    lines.repartition("ingest_ts").write.partitionBy("ingest_ts").options(**plain).csv(path)
+    return path
+
+
 @query
 def file_manifest(spark, folder):
-    found = files.file_manifest(spark, _drop(spark, folder))
-    return found.select(
-        files.ingest_ts(F.col("path")).alias("ingest_ts"), (F.col("length") > 0).alias("has_bytes")
-    ).distinct()
+    """Every file of a drop, with its size."""
+    found = files.file_manifest(spark, _odd_drop(spark, folder))
+    return found.select(files.ingest_ts(F.col("path")).alias("ingest_ts"), "length")
 
 
 @query
 def csv_sniff(spark, folder):
-    found = files.csv_sniff(spark, _drop(spark, folder))
-    return found.groupBy("ingest_ts").agg(
-        F.every("is_csv").alias("all_csv"), F.every(F.length("sample_md5") == 32).alias("all_marked")
-    )
+    """Every file of a drop with its fingerprint, header and verdict; half of them are not accepted."""
+    found = files.csv_sniff(spark, _odd_drop(spark, folder))
+    return found.select("ingest_ts", "length", "sample_md5", "header", "is_csv")
 
 
 @query
@@ -655,10 +716,39 @@ def ingest_new_only(spark, folder):
 
 @query
 def new_files(spark, folder):
-    """Files of the drop that a ledger of the earlier ingests does not have."""
-    found = files.valid_files(spark, _drop(spark, folder))
-    ledger = found.where(F.col("ingest_ts") <= INGEST)
-    return joins.new_files(found, ledger).select("ingest_ts").distinct()
+    """Files that a ledger of the earlier ingests does not have as they are: later ones, and some
+    of another length than written down there."""
+    found = files.valid_files(spark, _odd_drop(spark, folder))
+    then = F.when(F.col("ingest_ts") % 3 == 0, F.col("length") + 1).otherwise(F.col("length"))
+    ledger = found.where(F.col("ingest_ts") <= INGEST).withColumn("length", then)
+    return joins.new_files(found, ledger, ("path", "length")).select("ingest_ts", "length", "sample_md5")
+
+
+@query
+def load_long_headers(spark, folder):
+    """A drop whose headers are several kilobytes long and hold a line break in quotes."""
+    path, target, ledger = work_dir(spark, "long"), work_dir(spark, "narrow"), work_dir(spark, "ledger")
+    rows = trade.raw_collections(spark, folder).select(*COLLECTIONS.columns, F.col("ingest_timestamp").alias("ingest_ts"))
+    others = {f"column {n}, with a\nname of some length": F.lit(str(n)) for n in range(120)}
+    wide = rows.select(*[v.alias(n) for n, v in others.items()], *rows.columns)
+    wide.write.partitionBy("ingest_ts").options(
+        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    loads.load_new(spark, path, target, ledger)
+    return loads.read_loaded(spark, target)
+
+
+@query
+def compacted_loads(spark, folder):
+    """The drop loaded in many batches, packed into larger files, loaded on and packed again."""
+    target, checkpoint = work_dir(spark, "streamed"), work_dir(spark, "checkpoint")
+    rows = streams.read_drop_stream(spark, _drop(spark, folder), max_files_per_trigger=60)
+    streams.ingest_stream(rows, target, checkpoint).awaitTermination()
+    ids = spark.read.schema(loads.narrow_schema()).parquet(target).select(loads.LOAD_ID).distinct()
+    done = sorted(r[0] for r in ids.collect())
+    for some in (done[: len(done) // 2 + 1], done):
+        compact.compact(spark, target, some, schema=loads.narrow_schema())
+    return loads.read_loaded(spark, target)
 
 
 @query
@@ -715,6 +805,16 @@ def drop_old_ingests(spark, folder):
     return agg.rows_by(spark.table(table), "seriesid", "ingest_timestamp")
 
 
+@query
+def retained_wide(spark, folder):
+    """Wide relations after the early ingests were dropped from the table and from them."""
+    table, root = _new_table(spark, folder, "kept"), work_dir(spark, "wide")
+    sink.create_partitioned(trade.collections(spark, folder), table)
+    refresh.refresh_series(spark.table(table), root, [SERIES, OTHER_SERIES])
+    derived.retain(spark, table, INGEST, root)
+    return refresh.read_wide(spark, root, SERIES)
+
+
 @query
 def item_dictionary(spark, folder):
     path = work_dir(spark, "dictionary")
@@ -740,6 +840,19 @@ def _bare(status: DataFrame) -> DataFrame:
     )
 
 
+@query
+def schema_probe(spark, folder):
+    """Columns and types of a published relation, without a job."""
+    fields = prj.schema_of(spark.table(f"{_published(spark, folder)}.fry9c_wide_view")).fields
+    told = [(n, f.name, f.dataType.simpleString()) for n, f in enumerate(fields)]
+    names = spark.createDataFrame(told, "place int, name string, type string")
+    # Only codes that the table has are columns.
+    codes = trade.collections(spark, folder).where(F.col("seriesid") == SERIES).select("item_mdrm").distinct()
+    return names.join(codes, F.col("name") == F.col("item_mdrm"), "left").select(
+        "place", "name", "type", F.col("item_mdrm").isNotNull().alias("is_item")
+    )
+
+
 @query
 def publish_wide_status(spark, folder):
     table = _new_table(spark, folder, "raw")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
+from narrowlake.plans.compact import visible
 from narrowlake.plans.ingest import LOAD_ID, load_files, narrow_schema, read_loaded
 from narrowlake.plans.refresh import refresh_filings, refresh_series, touched_series
 from narrowlake.sources.files import CSV_GLOB, sniffed, with_heads
@@ -131,7 +132,7 @@ def refresh_stream(
         raise ValueError(f"unknown refresh {refresh!r}")
 
     def then(spark: SparkSession, load_id: str) -> None:
-        loaded = spark.read.schema(narrow_schema(roles)).parquet(target)
+        loaded = spark.read.schema(narrow_schema(roles)).parquet(target).where(visible(spark, target))
         mine = loaded.where(F.col(LOAD_ID) == load_id).drop(LOAD_ID)
         if refresh == "filings":
             refresh_filings(mine, wide_root, roles)

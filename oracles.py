@@ -97,7 +97,21 @@ def _coded(width: int, keys: str, where: str = "TRUE") -> str:
     return f"WITH {cells} {_pivot(_codes(width), keys=keys, where=where)}"
 
 
+ODD = f"""{NARROW}, counted AS (SELECT ingest_timestamp AS ingest_ts, COUNT(*) AS n FROM narrow GROUP BY 1),
+  odd AS (SELECT ingest_ts, CAST(ingest_ts[5:6] AS BIGINT) % 4 AS kind, CASE kind WHEN 0 THEN 'seriesid,rows,' || n
+  WHEN 1 THEN 'seriesid' || chr(9) || 'rows' || chr(9) || n WHEN 2 THEN 'no delimiter ' || n ELSE chr(10) || ',' || n END AS line
+  FROM counted)"""
+SERIES_ITEMS = f"""WITH {NARROW} SELECT seriesid, string_agg(item_mdrm, ',' ORDER BY item_mdrm) AS items
+        FROM (SELECT DISTINCT seriesid, item_mdrm FROM narrow WHERE item_mdrm IS NOT NULL) GROUP BY seriesid"""
 WIDE = f"{CELLS}, wide AS ({_pivot(ITEMS)})"
+
+
+def _differences() -> str:
+    return f"""WITH {WIDE}, damaged AS ({_pivot(ITEMS, where=f"seriesid = '{SERIES}' AND (rssdid NOT LIKE '%7' OR item_mdrm <> 'ITEM1')")})
+        SELECT *, CAST(1 AS BIGINT) AS left_rows, CAST(0 AS BIGINT) AS right_rows FROM (SELECT * FROM wide EXCEPT SELECT * FROM damaged)
+        UNION ALL SELECT *, CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM (SELECT * FROM damaged EXCEPT SELECT * FROM wide)"""
+
+
 WIDE_ITEMS = f"{NARROW}, wide AS ({_pivot(ITEMS, 'item_value', source='narrow')})"
 WIDE_FR = f"""{CELLS}, wide AS ({_pivot(ITEMS, where="seriesid = 'FR2004A'")})"""
 ENTITY_KEYS = "entity1, entity2, entity3, entity4"
@@ -163,8 +177,8 @@ ORACLES: dict[str, str] = {
     "pivot_custom": f"""WITH {CELLS} SELECT seriesid, aod, MAX(CASE WHEN item_mdrm = 'ITEM1' THEN cell END) AS "ITEM1",
         MAX(CASE WHEN item_mdrm = 'ITEM3' THEN cell END) AS "ITEM3", TRUE AS has_created_at
         FROM cells WHERE item_value IS NOT NULL GROUP BY seriesid, aod""",
-    "items_by_series": f"""WITH {NARROW} SELECT seriesid, string_agg(item_mdrm, ',' ORDER BY item_mdrm) AS items
-        FROM (SELECT DISTINCT seriesid, item_mdrm FROM narrow WHERE item_mdrm IS NOT NULL) GROUP BY seriesid""",
+    "items_by_series": SERIES_ITEMS,
+    "kept_codes": SERIES_ITEMS,
     "unpivot_roundtrip": f"""WITH {CELLS} SELECT {KEYS}, item_mdrm, MAX(cell) AS cell FROM cells
         WHERE seriesid = '{SERIES}' AND item_mdrm IS NOT NULL AND cell IS NOT NULL GROUP BY {KEYS}, item_mdrm""",
     # rows and columns
@@ -237,11 +251,13 @@ ORACLES: dict[str, str] = {
     "filing_summary": f"""WITH {NARROW} SELECT seriesid, aod, rssdid, COUNT(*) AS record_count, MAX(submission_ts) AS latest_submission
         FROM narrow WHERE seriesid = 'FRY9C' GROUP BY 1, 2, 3""",
     "daily_summary": f"WITH {KV}, {DAILY} SELECT * FROM daily",
+    "kept_summary": f"WITH {KV}, {DAILY} SELECT * FROM daily",
     "distinct_rows": f"WITH {NARROW} SELECT DISTINCT seriesid, rssdid, item_mdrm, item_desc FROM narrow",
     "refresh_summary": f"""WITH {KV}, {DAILY}, {DAILY.replace('daily AS', 'early AS').replace('FROM kv', "FROM kv WHERE submissionts < '2024011500'")}
         SELECT * FROM daily WHERE seriesid = 'click' UNION ALL SELECT * FROM early WHERE seriesid <> 'click'""",
     # latest and as-of
     "latest_submission": f"WITH {NARROW} {LATEST}",
+    "kept_latest": f"WITH {NARROW} {LATEST}",
     "asof_ingest": f"""WITH {NARROW} SELECT seriesid, COUNT(*) AS record_count FROM narrow
         WHERE ingest_timestamp <= '199811' GROUP BY 1""",
     # cells
@@ -255,9 +271,8 @@ ORACLES: dict[str, str] = {
         CASE WHEN len(p) > {n} THEN split_part(p[{n}], '=', 2) END AS item1_context{n}_value''' for n in (1, 2, 3))}
         FROM parts""",
     # quality
-    "compare_outputs": f"""WITH {WIDE}, damaged AS ({_pivot(ITEMS, where=f"seriesid = '{SERIES}' AND (rssdid NOT LIKE '%7' OR item_mdrm <> 'ITEM1')")})
-        SELECT *, CAST(1 AS BIGINT) AS left_rows, CAST(0 AS BIGINT) AS right_rows FROM (SELECT * FROM wide EXCEPT SELECT * FROM damaged)
-        UNION ALL SELECT *, CAST(0 AS BIGINT), CAST(1 AS BIGINT) FROM (SELECT * FROM damaged EXCEPT SELECT * FROM wide)""",
+    "compare_outputs": _differences(),
+    "compare_by_checksum": _differences(),
     "compare_ingests": f"""WITH {NARROW} SELECT seriesid, rssdid, item_mdrm, ingest_timestamp, COUNT(*) AS left_rows,
         CAST(0 AS BIGINT) AS right_rows FROM narrow WHERE ingest_timestamp > '200105' GROUP BY 1, 2, 3, 4""",
     "duplicate_items": f"""WITH {NARROW} SELECT {KEYS}, item_mdrm, ingest_timestamp, COUNT(*) AS row_count FROM narrow
@@ -267,8 +282,9 @@ ORACLES: dict[str, str] = {
     "no_unknown_ingest": f"WITH {NARROW} SELECT COUNT(*) AS unknown_rows FROM narrow WHERE item_mdrm = 'ITEM7'",
     "non_empty": f"WITH {NARROW} SELECT {KEYS}, item_mdrm FROM narrow",
     # files and tables
-    "file_manifest": f"WITH {NARROW} SELECT DISTINCT ingest_timestamp AS ingest_ts, TRUE AS has_bytes FROM narrow",
-    "csv_sniff": f"WITH {NARROW} SELECT DISTINCT ingest_timestamp AS ingest_ts, TRUE AS all_csv, TRUE AS all_marked FROM narrow",
+    "file_manifest": f"WITH {ODD} SELECT ingest_ts, CAST(strlen(line) + 1 AS BIGINT) AS length FROM odd",
+    "csv_sniff": f"WITH {ODD} SELECT ingest_ts, CAST(strlen(line) + 1 AS BIGINT) AS length, md5(line || chr(2)) AS sample_md5, "
+    f"split_part(line || CASE WHEN kind = 3 THEN '' ELSE chr(2) END, chr(10), 1) AS header, kind < 2 AS is_csv FROM odd",
     "csv_strict": f"WITH {FROM_CSV} SELECT * FROM narrow",
     "csv_first_file_stamp": f"""WITH {RAW} SELECT (SELECT MIN(ingest_timestamp) FROM narrow) AS ingest_timestamp,
         COUNT(*) AS record_count FROM narrow""",
@@ -284,7 +300,11 @@ ORACLES: dict[str, str] = {
     "post_load_count": f"""WITH {NARROW} SELECT COUNT(*) FILTER (WHERE ingest_timestamp <= '199811') AS before_rows,
         COUNT(*) FILTER (WHERE ingest_timestamp > '199811') AS batch_rows, COUNT(*) AS after_rows FROM narrow""",
     "ingest_new_only": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
-    "new_files": f"WITH {NARROW} SELECT DISTINCT ingest_timestamp AS ingest_ts FROM narrow WHERE ingest_timestamp > '199811'",
+    "new_files": f"""WITH {ODD} SELECT ingest_ts, CAST(strlen(line) + 1 AS BIGINT) AS length, md5(line || chr(2)) AS sample_md5
+        FROM odd WHERE kind < 2 AND (ingest_ts > '199811' OR CAST(ingest_ts AS BIGINT) % 3 = 0)""",
+    "load_long_headers": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
+    "compacted_loads": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
+    "retained_wide": f"""WITH {CELLS} {_pivot(ITEMS, where=f"seriesid = '{SERIES}' AND ingest_timestamp >= '199811'")}""",
     "append_merge_schema": f"""WITH {NARROW} SELECT seriesid, CASE WHEN ingest_timestamp > '199811' THEN 'v2' END AS loader,
         COUNT(*) AS record_count FROM narrow GROUP BY 1, 2""",
     "evolve_schema": f"""WITH {ENTITY} SELECT entity1, entity2, key, value AS new_value, CAST(NULL AS VARCHAR) AS new_field FROM entity""",
@@ -298,6 +318,9 @@ ORACLES: dict[str, str] = {
         CASE WHEN p_size > 25 THEN '1' END AS context_level1_value FROM part""",
     "code_list": "SELECT p_name AS code FROM part UNION SELECT p_type FROM part",
     # published relations
+    "schema_probe": f"""WITH named AS (SELECT unnest(range(0, {len(ITEMS) + 4})) AS place,
+        unnest([{", ".join(f"'{c}'" for c in [*KEYS.split(", "), *ITEMS])}]) AS name)
+        SELECT CAST(place AS INTEGER) AS place, name, 'string' AS type, place >= 4 AS is_item FROM named""",
     "publish_wide_status": f"""WITH {RAW} SELECT lower(seriesid) || '_wide_view' AS name, seriesid AS series, 'view' AS kind,
         CAST(4 + COUNT(DISTINCT item_mdrm) AS INTEGER) AS n_columns, 'created' AS status FROM narrow WHERE {VALID} GROUP BY seriesid
         UNION ALL SELECT DISTINCT CAST(NULL AS VARCHAR), seriesid, CAST(NULL AS VARCHAR), CAST(NULL AS INTEGER), 'skipped'
