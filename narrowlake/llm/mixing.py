@@ -21,6 +21,8 @@ RANK_BITS = 52
 STEP_BITS = 11
 IN_CELL = "rank >= low AND shiftright(rank - low, shift) = 0"
 SEED = 20_011
+# Documents that are taken to fill the gap of a source.
+FILLERS = 8
 
 
 def mix(
@@ -38,8 +40,9 @@ def mix(
     is a Pareto order sample: each document gets an inclusion probability p (half as much
     for short ones) and a uniform number u from a hash of its id and text, and ranks by
     (u / (1 - u)) / (p / (1 - p)).  The sample's fixed size is counted in words: documents
-    are taken in rank order as long as they fit, then of those behind the cut the one
-    that fills the gap best, if it brings the source closer to its target.
+    are taken in rank order as long as they fit, then of those behind the cut, one after
+    the other, the ones that fill the gap best, as long as they bring the source closer to
+    its target and FILLERS at most.
 
     Ranks are never sorted as a whole: words per step of the rank are summed twice, then
     only the documents of one cell of each source meet in a window.  Only totals reach
@@ -147,12 +150,22 @@ def _cuts(sizes: DataFrame, weights: Sequence[float], share: float, most: int) -
     cut = cut.join(fits.agg(F.max("rank").alias("last"), F.max("upto").alias("reached")), "key", "left")
     cut = cut.withColumn("last", F.coalesce("last", F.col("low") - 1))
     cut = cut.withColumn("gap", F.col("rest") - F.coalesce("reached", "used"))
+    cut = cut.withColumn("fillers", F.array().cast("array<bigint>"))
     cut = stored(cut.drop("low", "used", "shift", "reached"), "cut")
-    behind = _ranked(sizes, cut).where("words > 0 AND rank > last AND words < 2 * gap")
-    filler = behind.groupBy("key").agg(
-        F.min(F.struct(F.abs(F.col("words") - F.col("gap")), "rank")).getField("rank").alias("filler")
-    )
-    return stored(cut.join(filler, "key", "left"), "cuts")
+    for _ in range(FILLERS):
+        behind = _ranked(sizes, cut).where("words > 0 AND rank > last AND words < 2 * gap AND NOT array_contains(fillers, rank)")
+        # Equal rows share a rank and are taken together.
+        ranks = behind.groupBy("key", "rank", "gap").agg(F.sum("words").alias("words")).where("words < 2 * gap")
+        best = F.min(F.struct(F.abs(F.col("words") - F.col("gap")).alias("off"), "rank", "words")).alias("best")
+        found = stored(ranks.groupBy("key").agg(best), "filler")
+        if found.isEmpty():
+            break
+        more = F.when(F.col("best").isNotNull(), F.array("best.rank")).otherwise(F.array().cast("array<bigint>"))
+        cut = cut.join(found, "key", "left").withColumns(
+            {"fillers": F.concat("fillers", more), "gap": F.col("gap") - F.coalesce("best.words", F.lit(0))}
+        )
+        cut = stored(cut.drop("best"), "cuts")
+    return cut
 
 
 def _ranked(sizes: DataFrame, plan: DataFrame) -> DataFrame:
@@ -195,7 +208,7 @@ def _narrowed(sizes: DataFrame, cut: DataFrame) -> DataFrame:
 
 def _drawn(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """Every row with the number of its copies."""
-    drawn = F.expr("words > 0 AND (rank <= last OR rank <=> filler)").cast("int")
+    drawn = F.expr("words > 0 AND (rank <= last OR array_contains(fillers, rank))").cast("int")
     return _ranked(rows, cuts).withColumn("copies", F.col("whole") + drawn)
 
 
