@@ -583,10 +583,10 @@ def _new_table(spark, folder, label):
     return f"{_database(spark, folder)}.{label}_{uuid4().hex[:8]}"
 
 
-# A few files of each kind that a drop may hold, one for each ingest time: text with a comma, with
-# a tab, without any delimiter, and behind an empty line.
+# Files of each kind that a drop may hold, one for each ingest time: text with a comma, a tab, a
+# semicolon, or without any delimiter, which is refused.
 ODD_LINE = """CASE month(to_date(ingest_ts, 'yyyyMM')) % 4 WHEN 0 THEN concat('seriesid,rows,', n)
-    WHEN 1 THEN concat('seriesid\\trows\\t', n) WHEN 2 THEN concat('no delimiter ', n) ELSE concat('\\n,', n) END"""
+    WHEN 1 THEN concat('seriesid\\trows\\t', n) WHEN 2 THEN concat('no delimiter ', n) ELSE concat('seriesid;rows;', n) END"""
 
 
 @_once
@@ -609,7 +609,7 @@ def file_manifest(spark, folder):
 
 @query
 def csv_sniff(spark, folder):
-    """Every file of a drop with its fingerprint, header and verdict; half of them are not accepted."""
+    """Every file of a drop with its fingerprint, header and verdict; a quarter of them are not accepted."""
     found = files.csv_sniff(spark, _odd_drop(spark, folder))
     return found.select("ingest_ts", "length", "sample_md5", "header", "is_csv")
 

@@ -99,7 +99,7 @@ def _coded(width: int, keys: str, where: str = "TRUE") -> str:
 
 ODD = f"""{NARROW}, counted AS (SELECT ingest_timestamp AS ingest_ts, COUNT(*) AS n FROM narrow GROUP BY 1),
   odd AS (SELECT ingest_ts, CAST(ingest_ts[5:6] AS BIGINT) % 4 AS kind, CASE kind WHEN 0 THEN 'seriesid,rows,' || n
-  WHEN 1 THEN 'seriesid' || chr(9) || 'rows' || chr(9) || n WHEN 2 THEN 'no delimiter ' || n ELSE chr(10) || ',' || n END AS line
+  WHEN 1 THEN 'seriesid' || chr(9) || 'rows' || chr(9) || n WHEN 2 THEN 'no delimiter ' || n ELSE 'seriesid;rows;' || n END AS line
   FROM counted)"""
 SERIES_ITEMS = f"""WITH {NARROW} SELECT seriesid, string_agg(item_mdrm, ',' ORDER BY item_mdrm) AS items
         FROM (SELECT DISTINCT seriesid, item_mdrm FROM narrow WHERE item_mdrm IS NOT NULL) GROUP BY seriesid"""
@@ -284,7 +284,7 @@ ORACLES: dict[str, str] = {
     # files and tables
     "file_manifest": f"WITH {ODD} SELECT ingest_ts, CAST(strlen(line) + 1 AS BIGINT) AS length FROM odd",
     "csv_sniff": f"WITH {ODD} SELECT ingest_ts, CAST(strlen(line) + 1 AS BIGINT) AS length, md5(line || chr(2)) AS sample_md5, "
-    f"split_part(line || CASE WHEN kind = 3 THEN '' ELSE chr(2) END, chr(10), 1) AS header, kind < 2 AS is_csv FROM odd",
+    f"line || chr(2) AS header, kind <> 2 AS is_csv FROM odd",
     "csv_strict": f"WITH {FROM_CSV} SELECT * FROM narrow",
     "csv_first_file_stamp": f"""WITH {RAW} SELECT (SELECT MIN(ingest_timestamp) FROM narrow) AS ingest_timestamp,
         COUNT(*) AS record_count FROM narrow""",
@@ -301,7 +301,7 @@ ORACLES: dict[str, str] = {
         COUNT(*) FILTER (WHERE ingest_timestamp > '199811') AS batch_rows, COUNT(*) AS after_rows FROM narrow""",
     "ingest_new_only": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
     "new_files": f"""WITH {ODD} SELECT ingest_ts, CAST(strlen(line) + 1 AS BIGINT) AS length, md5(line || chr(2)) AS sample_md5
-        FROM odd WHERE kind < 2 AND (ingest_ts > '199811' OR CAST(ingest_ts AS BIGINT) % 3 = 0)""",
+        FROM odd WHERE kind <> 2 AND (ingest_ts > '199811' OR CAST(ingest_ts AS BIGINT) % 3 = 0)""",
     "load_long_headers": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
     "compacted_loads": f"WITH {FROM_CSV} SELECT * FROM narrow WHERE {VALID}",
     "retained_wide": f"""WITH {CELLS} {_pivot(ITEMS, where=f"seriesid = '{SERIES}' AND ingest_timestamp >= '199811'")}""",
