@@ -51,9 +51,17 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, else one in the warehouse."""
+    """The folder all executors share: ``spark.checkpoint.dir``, else one in the warehouse.
+
+    A cluster must name one of them in a store that all machines reach.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or posixpath.join(spark.conf.get("spark.sql.warehouse.dir"), "_shared")
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return posixpath.join(warehouse, "_shared")
 
 
 def work_dir(spark: SparkSession, label: str) -> str:

@@ -57,6 +57,7 @@ def gen_kv(spark: SparkSession, n: int = 1000) -> DataFrame:
             F.concat(F.lit(value), number).alias("value"),
         )
 
+    # Names of the sample rows.
     return _union(
         [
             block(1, "seriesid_set1", "submissionts_set1", "key_", "value_"),

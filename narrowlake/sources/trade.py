@@ -152,7 +152,7 @@ def schedule(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    """One described item per part."""
+    """One described item per part; the context's code, name and value are fixed values of the format."""
     return read_table(spark, folder, "part").select(
         F.concat(F.lit("P"), F.lpad(_text("p_partkey"), 9, "0")).alias("item_mdrm"),
         F.col("p_name").alias("item_desc"),
@@ -163,7 +163,10 @@ def dictionary(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def document_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Whole documents as item values: long text with line breaks and quotes."""
+    """Whole documents as item values: long text with line breaks and quotes.
+
+    Series, dates and times are fixed values in the form that drops have.
+    """
     return (
         read_table(spark, folder, "documents")
         .withColumns({c: F.lit("") for c in COLLECTIONS.columns})
