@@ -14,8 +14,9 @@ SAMPLE_BYTES = 1024
 
 
 def ingest_ts(path: Column) -> Column:
-    """Value of the ``ingest_ts=`` folder in a path."""
-    found = F.regexp_extract(path, "(?:^|/)ingest_ts=([^/=]*)", 1)
+    """Value of the ``ingest_ts=`` folder in a path; plain searches, as it may be asked for every row."""
+    behind = F.split_part(F.concat(F.lit("/"), path), F.lit("/ingest_ts="), F.lit(2))
+    found = F.substring_index(F.substring_index(behind, "/", 1), "=", 1)
     return F.coalesce(F.nullif(found, F.lit("")), F.lit(UNKNOWN_INGEST))
 
 
@@ -32,7 +33,8 @@ def before_ingest(ingest: Column, bound: str) -> Column:
 
 def file_path(uri: Column) -> Column:
     """A path as listings name it, from the encoded form row metadata has."""
-    return F.url_decode(F.regexp_replace(uri, r"\+", "%2B"))
+    decoded = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(uri, F.lit("%")), decoded).otherwise(uri)
 
 
 def sample_md5(head: Column) -> Column:

@@ -151,7 +151,8 @@ def read_by_header(
     of columns, files last written outside the span of the wanted ones are left out by the
     listing, and rows meet the layout of their file in a join, so no list of files
     passes through the driver.  Layouts are sent to all tasks as long as they are
-    MOST_SENT bytes at most; beyond that, rows go to them.
+    MOST_SENT bytes at most; beyond that, rows go to them.  Where all files of a number of
+    columns have one layout, other columns are not taken out of their lines.
 
     Columns may stand in any order; optional ones that a file lacks are NULL; others are left
     out unless ``extra`` asks for them.  Lines with too few or too many fields keep their text
@@ -168,6 +169,8 @@ def read_by_header(
         F.sum(F.length("path") + 4 * (F.size("places") + F.size("other_places")) + 64).alias("bytes"),
         F.date_format(F.min("modificationTime") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("after"),
         F.date_format(F.max("modificationTime") + F.expr("INTERVAL 2 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("before"),
+        F.min("places").alias("places"),
+        (F.min("places") == F.max("places")).alias("alike"),
     )
     others: dict[str, str] = {}
     if extra:
@@ -178,7 +181,7 @@ def read_by_header(
         of_width = good.where(F.col("width") == span["width"])
         fields = [T.StructField(f"_{n}", T.StringType()) for n in range(span["width"])]
         folders = _folders(of_width)
-        _check_there(spark, of_width, folders)
+        there = _there(spark, of_width, folders)
         rows = (
             spark.read.options(**strict_options(multiline))
             .options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
@@ -187,16 +190,19 @@ def read_by_header(
             .schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())]))
             .csv(folders)
         )
-        layout = of_width.select(_same_path(F.col("path")).alias("_file"), "places", "others", "other_places")
+        layout = there.select("_uri", SOURCE_FILE, "places", "others", "other_places")
         if span["bytes"] <= MOST_SENT:
             layout = F.broadcast(layout)
-        rows = _with_source(rows)
-        rows = rows.join(layout, _same_path(F.col(SOURCE_FILE)) == F.col("_file"))
+        rows = rows.select("*", F.col("_metadata.file_path").alias("_uri")).join(layout, "_uri")
         values = F.array(*[f"_{n}" for n in range(span["width"])])
+        if span["alike"]:
+            own = [F.lit(None).cast("string") if at is None else F.col(f"_{at}") for at in span["places"]]
+        else:
+            own = [F.get(values, F.get("places", F.lit(n))) for n in range(len(columns))]
         lower = F.transform("others", F.lower)
         parts.append(
             rows.select(
-                *[F.get(values, F.get("places", F.lit(n))).alias(c) for n, c in enumerate(columns)],
+                *[value.alias(c) for value, c in zip(own, columns)],
                 *[
                     F.get(values, F.get("other_places", F.array_position(lower, low).cast("int") - 1)).alias(name)
                     for low, name in others.items()
@@ -211,18 +217,26 @@ def read_by_header(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), refused
 
 
-def _check_there(spark: SparkSession, wanted: DataFrame, folders: Sequence[str]) -> None:
-    """Raise if a listing does not show the wanted files as they were sniffed."""
+def _there(spark: SparkSession, wanted: DataFrame, folders: Sequence[str]) -> DataFrame:
+    """The wanted files with their names as rows have them; raises if a listing does not show one as it was sniffed."""
+    uri = F.col("_metadata.file_path")
     listed = (
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter=CSV_GLOB)
         .load(folders)
-        .select(_same_path(F.col("path")).alias("_file"), F.col("modificationTime").alias("_time"))
+        .select(
+            _same_path(F.col("path")).alias("_file"),
+            F.col("modificationTime").alias("_time"),
+            uri.alias("_uri"),
+            file_path(uri).alias(SOURCE_FILE),
+        )
     )
     same = (_same_path(F.col("path")) == F.col("_file")) & (F.col("modificationTime") == F.col("_time"))
-    gone = wanted.join(listed, same, "left_anti").select("path").head(3)
+    found = wanted.join(listed, same, "left").persist()
+    gone = found.where("_uri IS NULL").select("path").head(3)
     if gone:
         raise MissingFiles(f"changed or gone since they were listed: {[r[0] for r in gone]}")
+    return found
 
 
 def read_csv_plain(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:

@@ -492,3 +492,20 @@ def test_csv_drop_keeps_text(spark, tmp_path):
     sink.write_csv_drop(rows, str(tmp_path / "drop"))
     back = csv_source.read_csv_strict(spark, str(tmp_path / "drop"))
     assert {r.item_mdrm: r.item_value for r in back.collect()} == {str(i): v for i, v in enumerate(values)}
+
+
+def test_rows_of_files_of_one_layout_hold_no_other_columns_and_search_no_paths(spark, tmp_path):
+    names = ["extra 1", *COLLECTIONS.columns, "extra 2"]
+    for n in (1, 2):
+        place = tmp_path / f"ingest_ts={n} +%"
+        place.mkdir()
+        (place / f"part +{n}.csv").write_text(",".join(names) + "\n" + ",".join(f"v{n}" for _ in names) + "\nshort\n")
+    rows, refused = loads.read_drop(files.valid_files(spark, str(tmp_path)))
+    got = sorted(map(tuple, rows.select("seriesid", "context_level3_value", "ingest_timestamp", "reason").collect()), key=str)
+    assert sorted(r[2] for r in got) == ["1 +%", "1 +%", "2 +%", "2 +%"]
+    assert sum(r[3] == "malformed" for r in got) == 2
+    assert {r[1] for r in got if r[3] != "malformed"} == {"v1", "v2"}
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
+    assert "_1#" in scan and "_0#" not in scan and f"_{len(names) - 1}#" not in scan
+    assert "regexp" not in plan.split("FileScan csv")[0].split("InMemory")[0]
