@@ -16,7 +16,7 @@ from narrowlake.operators.filters import reject_reason
 from narrowlake.operators.joins import new_files
 from narrowlake.plans.compact import FILE_BYTES, compact, visible
 from narrowlake.plans.lease import SECONDS, Lease
-from narrowlake.sinks.tables import append_merge_schema, create_or_append, rebalanced
+from narrowlake.sinks.tables import append_merge_schema, create_or_append, open_files, rebalanced
 from narrowlake.sources.csv import MALFORMED, SOURCE_FILE, read_by_header, stamp_ingest
 from narrowlake.sources.files import valid_files
 
@@ -182,13 +182,14 @@ def write_load(rows: DataFrame, target: str, load_id: str, roles: Roles = COLLEC
 
 
 def _replace_load(rows: DataFrame, target: str, load_id: str, partition_by: Sequence[str]) -> None:
-    (
+    writer = (
         rebalanced(rows.withColumn(LOAD_ID, F.lit(load_id)), partition_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
-        .parquet(target)
     )
+    with open_files(rows.sparkSession):
+        writer.parquet(target)
 
 
 def load_files(

@@ -7,7 +7,10 @@ share of the rows is split over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import threading
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from functools import reduce
 from itertools import batched
 from urllib.parse import unquote
@@ -26,6 +29,35 @@ from narrowlake.sinks import versions
 # Partitions that one catalog statement drops.
 PARTITIONS_PER_DROP = 200
 
+# Files that a task holds open at once; rows of more partitions than these are sorted by it.
+OPEN_FILES = 64
+_WRITING = threading.Lock()
+_WRITERS: Counter[str] = Counter()
+_BEFORE: dict[str, str] = {}
+
+
+@contextmanager
+def open_files(spark: SparkSession) -> Iterator[None]:
+    """Writes inside put the rows of a few partitions into their files as they come, not sorted first.
+
+    The sort, and what it spills, is needed only where a task meets more partitions than
+    OPEN_FILES.  Meant for narrow rows: an open file of thousands of columns takes much
+    memory.  Threads of one session may be inside together.
+    """
+    key, session = "spark.sql.maxConcurrentOutputFileWriters", spark._jsparkSession.sessionUUID()
+    with _WRITING:
+        if not _WRITERS[session]:
+            _BEFORE[session] = spark.conf.get(key)
+            spark.conf.set(key, str(OPEN_FILES))
+        _WRITERS[session] += 1
+    try:
+        yield
+    finally:
+        with _WRITING:
+            _WRITERS[session] -= 1
+            if not _WRITERS[session]:
+                spark.conf.set(key, _BEFORE.pop(session))
+
 
 def table_name(name: str) -> str:
     """A dotted name as SQL text."""
@@ -53,7 +85,8 @@ def create_partitioned(
     writer = rebalanced(rows, partition_by).write.format(fmt).partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    with open_files(rows.sparkSession):
+        writer.saveAsTable(table)
     if properties:
         set_table_properties(rows.sparkSession, table, properties)
 
@@ -73,7 +106,8 @@ def append_batch(rows: DataFrame, table: str) -> None:
     view = f"narrowlake_batch_{uuid4().hex}"
     rebalanced(rows, partition_by).createOrReplaceTempView(view)
     try:
-        spark.sql(f"INSERT INTO {table_name(table)} BY NAME SELECT * FROM {view}")
+        with open_files(spark):
+            spark.sql(f"INSERT INTO {table_name(table)} BY NAME SELECT * FROM {view}")
     finally:
         spark.catalog.dropTempView(view)
 
@@ -133,14 +167,15 @@ def write_parquet(
 def write_csv_drop(rows: DataFrame, path: str, roles: Roles = COLLECTIONS) -> None:
     """CSV with a header under ``ingest_ts=<time>/``, text kept as it is."""
     dropped = rows.select(*roles.columns, F.col(roles.ingest).alias("ingest_ts"))
-    (
+    writer = (
         rebalanced(dropped, ["ingest_ts"])
         .write.mode("append")
         .partitionBy("ingest_ts")
         .options(header=True, quote='"', escape='"')
         .options(ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-        .csv(path)
     )
+    with open_files(rows.sparkSession):
+        writer.csv(path)
 
 
 def set_table_properties(spark: SparkSession, table: str, properties: Mapping[str, str]) -> None:

@@ -570,3 +570,24 @@ def test_no_cross_join_in_any_query(spark):
 def test_kv_roles_have_no_context(spark):
     assert KV.columns == ("seriesid", "aod", "rssdid", "submissionts", "key", "value")
     assert COLLECTIONS.columns[4:7] == ("item_mdrm", "item_desc", "item_value")
+
+
+def test_narrow_writes_do_not_sort_rows_by_partition(spark, tmp_path):
+    rows = spark.range(1000).selectExpr("'FRY9C' AS seriesid", "cast(id % 7 AS string) AS ingest_timestamp", "id")
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    with sink.open_files(spark):
+        with sink.open_files(spark):
+            rows.write.partitionBy("ingest_timestamp").parquet(str(tmp_path / "in"))
+        assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == str(sink.OPEN_FILES)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    seen = []
+    writer = type(rows.write)
+    kept, writer.saveAsTable = writer.saveAsTable, lambda self, name, *a, **b: seen.append(
+        spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    )
+    try:
+        sink.create_partitioned(rows, "never_made")
+    finally:
+        writer.saveAsTable = kept
+    assert seen == [str(sink.OPEN_FILES)]
+    assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "in")).select("id").collect()) == list(range(1000))
