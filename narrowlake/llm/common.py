@@ -128,12 +128,14 @@ def free(spark: SparkSession) -> None:
 def stage(work: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     """A pipeline stage that first deletes the tables of earlier ones, whose results are stored by then.
 
-    Tables that its documents are still to be read from stay.
+    Tables that its documents are still to be read from stay.  What a cache that may not be
+    filled yet is made of can not be told, so all stay for documents that are cached.
     """
 
     @functools.wraps(work)
     def staged(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-        if _LEFT:
+        cached = "InMemoryRelation" in docs._jdf.queryExecution().optimizedPlan().toString()
+        if _LEFT and not cached:
             read = {urllib.parse.urlsplit(f).path for f in docs.inputFiles()}
             for path in list(_LEFT):
                 if not any(f.startswith(urllib.parse.urlsplit(path).path.rstrip("/") + "/") for f in read):

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from narrowlake.llm import frames, mixing, packing, shingle_join
+from narrowlake.llm import common, frames, mixing, packing, shingle_join
 from narrowlake.llm.components import components
 from narrowlake.llm.tokens import Encoder, vocabulary
 from narrowlake.session import work_dir
@@ -316,3 +316,17 @@ def test_pipeline_of_no_documents(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         rows = stage(spark, rows, "/root/testdata/sf0.001")
     assert rows.collect() == []
+
+
+def test_a_stage_leaves_tables_that_a_cache_is_still_to_be_filled_from(spark):
+    @common.stage
+    def first(spark, docs, folder):
+        return common.stored(docs, "first").where("id > 3")
+
+    @common.stage
+    def second(spark, docs, folder):
+        return docs
+
+    made = first(spark, spark.range(10), "").cache()
+    assert second(spark, made, "").count() == 6
+    made.unpersist()
