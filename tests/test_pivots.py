@@ -210,3 +210,21 @@ def test_hot_filing_is_cut_down_before_its_rows_meet(spark):
     assert wide.count() == 200_001
     expected = rows.where("rssdid = 'hot' AND key = 'K3'").agg(F.max("value")).first()[0]
     assert wide.where("rssdid = 'hot'").first().K3 == expected
+
+
+def test_wide_block_form_gathers_one_list_per_filing(spark):
+    rows = spark.createDataFrame(
+        [("k1", "C000", "a"), ("k1", "C000", "b"), ("k1", "C299", "z"), ("k1", "C150", None), ("k1", "other", "x"),
+         ("k2", None, "q"), ("k3", "C298", "y"), (None, "C001", "n")],
+        "k string, code string, v string",
+    )
+    codes = [f"C{n:03}" for n in range(300)]
+    wide, narrow = (
+        pivots.pivot(rows, F.col("v"), codes, keys=["k"], item="code", form=form) for form in ("block", "case")
+    )
+    assert wide.columns == narrow.columns
+    assert sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect()))
+    numbers = pivots.pivot(rows, F.length("v"), codes, keys=["k"], item="code", form="block")
+    assert numbers.where("k = 'k1'").select("C000", "C150", "C299").first() == (1, None, 1)
+    # However wide, a filing's cells are gathered once, not once for each block of columns.
+    assert wide._jdf.queryExecution().optimizedPlan().toString().count("collect_list(") == 1
