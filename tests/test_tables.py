@@ -591,3 +591,25 @@ def test_narrow_writes_do_not_sort_rows_by_partition(spark, tmp_path):
         writer.saveAsTable = kept
     assert seen == [str(sink.OPEN_FILES)]
     assert sorted(r[0] for r in spark.read.parquet(str(tmp_path / "in")).select("id").collect()) == list(range(1000))
+
+
+def test_report_is_distinct_over_cut_ids_and_joined_rows_are_not_shuffled_again(spark):
+    from narrowlake.operators.joins import items_schedule_join
+    from narrowlake.operators.projections import REPORT_LENGTHS, report_items
+
+    ids = ["a", "a", "b", "x" * 249, "x" * 250, "x" * 250 + "y", "x" * 250 + "z", "x" * 260]
+    columns = [c for c in REPORT_LENGTHS if c not in ("filing_id", "schedule_id")]
+    rows = spark.createDataFrame([(i,) for i in ids], "filing_id string")
+    rows = rows.withColumns({c: F.lit("2024-01-01" if c == "submission_datetime" else "v") for c in columns})
+    schedule = spark.createDataFrame([(i, "s") for i in sorted(set(ids))], "filing_id string, schedule_id string")
+    joined = items_schedule_join(rows.hint("merge"), schedule)
+    report = report_items(joined)
+    assert sorted(r["filing_id"] for r in report.collect()) == ["a", "b", "x" * 249, "x" * 250]
+    assert report.columns == list(REPORT_LENGTHS)
+    executed = report._jdf.queryExecution().executedPlan().toString()
+    first = executed.split("== Initial Plan ==")[-1].split("Union")[1]
+    branches = first.split("SortMergeJoin")
+    assert "Exchange" not in branches[0]
+    # A filing without an id, which no join leaves, is a row too.
+    lone = rows.limit(1).withColumn("filing_id", F.lit(None).cast("string")).withColumn("schedule_id", F.lit("s"))
+    assert report_items(lone).count() == 1
