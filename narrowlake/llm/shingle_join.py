@@ -176,17 +176,18 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     ship_code(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    @F.pandas_udf("n long, key long")
+    @F.pandas_udf("n long, key long, sketch binary")
     def keyed(texts: pd.Series) -> pd.DataFrame:
         only_memory_of("shingles")
         sets = [shingles(t, rule.words) for t in texts]
-        return pd.DataFrame({"n": [len(s) for s in sets], "key": [set_key(s) for s in sets]})
+        return pd.DataFrame({"n": [len(s) for s in sets], "key": [set_key(s) for s in sets], "sketch": list(map(sketch, sets))})
 
-    rows = docs.select("doc_id", keyed("text").alias("set")).select("doc_id", "set.n", "set.key")
+    rows = docs.select("doc_id", keyed("text").alias("set")).select("doc_id", "set.*")
     with small_batches(docs.sparkSession, TEXT_ROWS):
         rows = stored(rows, "sets")
-    sets = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key", "n").agg(F.min("doc_id").alias("first"))
-    sets = stored(sets, "classes")
+    sets = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key", "n")
+    # Equal sets have one sketch.
+    sets = stored(sets.agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")), "classes")
     with scratch(docs.sparkSession) as keep:
         links = stored(_links(docs, sets, rule), "set-links")
         found = keep(stored(components(links), "set-components"))
@@ -195,7 +196,7 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     sets = stored(sets.join(found, "key", "left").select("key", "n", "first", label), "labels")
     smallest = sets.groupBy("component").agg(F.min("first").alias("component_id"))
     named = sets.join(smallest, "component").select("key", "n", "component_id")
-    out = rows.withColumn("key", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("key")))
+    out = rows.drop("sketch").withColumn("key", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("key")))
     out = out.join(named, ["key", "n"], "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
@@ -237,18 +238,19 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
         members = stored(members, "members")
     pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
     stars = stored(pairs.distinct(), "stars")
-    pairs = stored(_alike(stars, sets, rule), "pairs")
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-    held = _held(docs, sets, ids.distinct(), rule)
+    # Sketches rule most pairs out that share a key by chance, so that only the elements of
+    # sets which may be linked are made, kept and moved.
+    marks = sets.select(F.col("key").alias("id"), "n", "sketch")
+    pairs = stored(_sketched(stored(_alike(stars, sets, rule), "alike"), marks, rule), "pairs")
+    held = _held(docs, sets, _ends(pairs), rule)
 
     # Most sets are settled by the smallest set they share a key with.
     nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links, tried = _checked(nearest, held, rule), nearest
     # Of the other pairs only those count that would connect something.
     left = _apart(pairs, links.where("linked")).join(tried, ["a", "b"], "left_anti")
-    more = _checked(_sketched(left, held, rule), held, rule)
-    links = links.union(more)
-    # Pairs whose sizes forbid a link stand here too: their sets may be linked with others.
+    links = links.union(_checked(left, held, rule))
+    # Pairs whose sizes or sketches forbid a link stand here too: their sets may be linked with others.
     left = stored(_apart(stars, links.where("linked")), "apart")
     if left.isEmpty():
         return links.where("linked").select("a", "b")
@@ -260,13 +262,18 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     # Two sets alone under a key are a pair that is decided already.
     counts = wanted.groupBy("bucket").agg(F.count("*").alias("about")).where("about > 2")
     wanted = stored(wanted.join(counts, "bucket"), "open-groups")
-    more = stored(wanted.select("id").distinct().join(held.select("id"), "id", "left_anti"), "more-ids")
+    pairs = _compared(wanted, _labels(links.where("linked")), marks, rule).join(links, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "open-pairs")
+    more = stored(_ends(pairs).join(held.select("id"), "id", "left_anti"), "more-ids")
     if not more.isEmpty():
         held = held.unionByName(_held(docs, sets, more, rule))
-    pairs = _compared(wanted, _labels(links.where("linked")), held, rule).join(links, ["a", "b"], "left_anti")
     return links.union(_checked(pairs, held, rule)).where("linked").select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+
+
 def _labels(links: DataFrame) -> DataFrame:
     return components(links.select("a", "b"))
 
@@ -355,7 +362,7 @@ def _members(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _held(docs: DataFrame, sets: DataFrame, ids: DataFrame, rule: Rule) -> DataFrame:
-    """(id, n, elements, sketch) of the wanted set keys, made from one document of each."""
+    """(id, elements) of the wanted set keys, made from one document of each."""
     spark = docs.sparkSession
     wanted = stored(ids.join(sets, F.col("id") == F.col("key")).select("id", "first"), "wanted")
     if wanted.count() <= MOST_SENT:
@@ -365,10 +372,10 @@ def _held(docs: DataFrame, sets: DataFrame, ids: DataFrame, rule: Rule) -> DataF
     def made(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingles(t, rule.words) for t in batch["text"]]
-            out = [(i, len(s), s.tobytes(), sketch(s)) for i, s in zip(batch["id"], found) if set_key(s) == i]
-            yield pd.DataFrame(out, columns=["id", "n", "elements", "sketch"])
+            out = [(i, s.tobytes()) for i, s in zip(batch["id"], found) if set_key(s) == i]
+            yield pd.DataFrame(out, columns=["id", "elements"])
 
-    held = texts.mapInPandas(made, "id long, n long, elements binary, sketch binary")
+    held = texts.mapInPandas(made, "id long, elements binary")
     with small_batches(spark, SET_ROWS):
         return stored(held.dropDuplicates(["id"]), "held")
 
@@ -382,7 +389,7 @@ def _alike(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     return pairs.where(alike).select("a", "b")
 
 
-def _sketched(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+def _sketched(pairs: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
     """The pairs whose sketches allow a link."""
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -392,8 +399,8 @@ def _sketched(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
                 differ = np.bitwise_count(x ^ y).sum(1)
                 yield rows[differ <= rule.apart((rows["na"] + rows["nb"]).to_numpy())][["a", "b"]]
 
-    left = held.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
-    right = held.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
+    left = marks.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("x"))
+    right = marks.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("y"))
     return pairs.join(left, "a").join(right, "b").mapInPandas(near, "a long, b long")
 
 
@@ -419,7 +426,7 @@ def _checked(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
         return stored(found.mapInPandas(compared, "a long, b long, linked boolean"), "checked")
 
 
-def _compared(members: DataFrame, label: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
+def _compared(members: DataFrame, label: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
     """Distinct pairs of one bucket and different components whose sketches allow a link.
 
     Members are rows of (bucket, id, about): the number of the bucket's rows.
@@ -437,7 +444,7 @@ def _compared(members: DataFrame, label: DataFrame, held: DataFrame, rule: Rule)
     def compared(rows: pd.DataFrame) -> pd.DataFrame:
         return _compare(rows, rule)
 
-    named = held.select("id", "n", "sketch").join(label, "id", "left")
+    named = marks.join(label, "id", "left")
     named = named.withColumn("component", F.coalesce("component", "id"))
     call = F.pmod("tile", F.lit(calls).cast("long")).alias("call")
     return tiles.join(named, "id").groupBy(call).applyInPandas(compared, "a long, b long").distinct()

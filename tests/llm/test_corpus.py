@@ -330,3 +330,22 @@ def test_a_stage_leaves_tables_that_a_cache_is_still_to_be_filled_from(spark):
     made = first(spark, spark.range(10), "").cache()
     assert second(spark, made, "").count() == 6
     made.unpersist()
+
+
+def test_only_sets_whose_sketches_allow_a_link_are_made_in_full(spark, monkeypatch):
+    made = []
+    held = shingle_join._held
+
+    def counted(docs, sets, ids, rule):
+        made.append(ids.count())
+        return held(docs, sets, ids, rule)
+
+    monkeypatch.setattr(shingle_join, "_held", counted)
+    # All share one shingle, so some share a key by chance; only the last two are alike.
+    rows = [(n, "shared words stand right here " + " ".join(f"w{n}x{i}" for i in range(6))) for n in range(200)]
+    long = " ".join(f"z{i}" for i in range(60))
+    rows += [(500, long), (501, long + " end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = shingle_join.classes(docs, shingle_join.Rule(words=5, lower=8, upper=10)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {n: 500 if n == 501 else n for n, _ in rows}
+    assert sum(made) == 2
