@@ -37,6 +37,8 @@ TEXT_ROWS = 2_000
 SET_ROWS = 500
 # Bits of the sketch by which two sets are compared before their elements are.
 SKETCH_BITS = 512
+# Larger sets have a second one of a bit per element at least, up to this many (128 KB).
+MOST_BITS = 2**20
 # Members of one bucket compared in one place, and rows of many buckets in one call.
 BUCKET_ROWS = 1_024
 CALL_ROWS = 50_000
@@ -153,12 +155,30 @@ def segment_keys(elements: np.ndarray, rule: Rule) -> np.ndarray:
     return np.concatenate(out)
 
 
-def sketch(elements: np.ndarray) -> bytes:
-    """Parity of the elements that fall on each bit."""
-    bits = np.bincount((elements >> np.uint64(40)).astype(np.int64) % SKETCH_BITS, minlength=SKETCH_BITS)
+def sketch(elements: np.ndarray, size: int = SKETCH_BITS) -> bytes:
+    """Parity of the elements that fall on each of ``size`` bits."""
+    bits = np.bincount((elements >> np.uint64(40)).astype(np.int64) % size, minlength=size)
     return np.packbits((bits & 1).astype(np.uint8)).tobytes()
 
 
+def wide_sketch(elements: np.ndarray) -> bytes | None:
+    """A sketch in proportion to a set that is too large for the common one; else none.
+
+    Sets that differ in a fixed share of their elements differ in a fixed share of its bits,
+    however large they are.
+    """
+    if len(elements) <= SKETCH_BITS:
+        return None
+    return sketch(elements, min(MOST_BITS, 1 << (len(elements) - 1).bit_length()))
+
+
+def differing(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ, the longer one folded to the size of the other."""
+    x, y = sorted((np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)), key=len)
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)))
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row.
 
@@ -167,7 +187,7 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     sets share a key.  Sets under a key are first linked with the smallest of them, which
     settles groups of near copies without their pairs; then, under keys whose sets are not
     all connected yet, sets of different components are compared, by sketches in tiles
-    and, if these allow a link, exactly.  No key is dropped or cut short.
+    and, if these and the wide ones allow a link, exactly.  No key is dropped or cut short.
 
     Null, empty and blank texts have no shingles and are linked with nothing.  A null
     doc_id is linked with nothing and keeps a null component.  Rows that share a doc_id
@@ -176,18 +196,22 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     ship_code(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    @F.pandas_udf("n long, key long, sketch binary")
+    @F.pandas_udf("n long, key long, sketch binary, wide binary")
     def keyed(texts: pd.Series) -> pd.DataFrame:
         only_memory_of("shingles")
-        sets = [shingles(t, rule.words) for t in texts]
-        return pd.DataFrame({"n": [len(s) for s in sets], "key": [set_key(s) for s in sets], "sketch": list(map(sketch, sets))})
+        out = []
+        for text in texts:
+            elements = shingles(text, rule.words)
+            out.append((len(elements), set_key(elements), sketch(elements), wide_sketch(elements)))
+        return pd.DataFrame(out, columns=["n", "key", "sketch", "wide"])
 
     rows = docs.select("doc_id", keyed("text").alias("set")).select("doc_id", "set.*")
     with small_batches(docs.sparkSession, TEXT_ROWS):
         rows = stored(rows, "sets")
     sets = rows.where("n > 0 AND doc_id IS NOT NULL").groupBy("key", "n")
-    # Equal sets have one sketch.
-    sets = stored(sets.agg(F.min("doc_id").alias("first"), F.first("sketch").alias("sketch")), "classes")
+    # Equal sets have equal sketches.
+    sketches = [F.first(c).alias(c) for c in ("sketch", "wide")]
+    sets = stored(sets.agg(F.min("doc_id").alias("first"), *sketches), "classes")
     with scratch(docs.sparkSession) as keep:
         links = stored(_links(docs, sets, rule), "set-links")
         found = keep(stored(components(links), "set-components"))
@@ -196,7 +220,7 @@ def classes(docs: DataFrame, rule: Rule) -> DataFrame:
     sets = stored(sets.join(found, "key", "left").select("key", "n", "first", label), "labels")
     smallest = sets.groupBy("component").agg(F.min("first").alias("component_id"))
     named = sets.join(smallest, "component").select("key", "n", "component_id")
-    out = rows.drop("sketch").withColumn("key", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("key")))
+    out = rows.drop("sketch", "wide").withColumn("key", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("key")))
     out = out.join(named, ["key", "n"], "left")
     return out.select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
@@ -241,7 +265,8 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     # Sketches rule most pairs out that share a key by chance, so that only the elements of
     # sets which may be linked are made, kept and moved.
     marks = sets.select(F.col("key").alias("id"), "n", "sketch")
-    pairs = stored(_sketched(stored(_alike(stars, sets, rule), "alike"), marks, rule), "pairs")
+    pairs = stored(_sketched(stored(_alike(stars, sets, rule), "alike"), marks, rule), "near")
+    pairs = _wide_sketched(pairs, sets, rule)
     held = _held(docs, sets, _ends(pairs), rule)
 
     # Most sets are settled by the smallest set they share a key with.
@@ -263,7 +288,7 @@ def _links(docs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
     counts = wanted.groupBy("bucket").agg(F.count("*").alias("about")).where("about > 2")
     wanted = stored(wanted.join(counts, "bucket"), "open-groups")
     pairs = _compared(wanted, _labels(links.where("linked")), marks, rule).join(links, ["a", "b"], "left_anti")
-    pairs = stored(pairs, "open-pairs")
+    pairs = _wide_sketched(stored(pairs, "open-near"), sets, rule)
     more = stored(_ends(pairs).join(held.select("id"), "id", "left_anti"), "more-ids")
     if not more.isEmpty():
         held = held.unionByName(_held(docs, sets, more, rule))
@@ -404,6 +429,24 @@ def _sketched(pairs: DataFrame, marks: DataFrame, rule: Rule) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInPandas(near, "a long, b long")
 
 
+def _wide_sketched(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """The pairs whose wide sketches allow a link; those of which one set has none stay."""
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            most = rule.apart((rows["na"] + rows["nb"]).fillna(0).to_numpy().astype(np.int64))
+            stay = [
+                x is None or y is None or differing(x, y) <= m for x, y, m in zip(rows["x"], rows["y"], most.tolist())
+            ]
+            yield rows.loc[np.array(stay, bool), ["a", "b"]]
+
+    wide = sets.where("wide IS NOT NULL")
+    left = wide.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("wide").alias("x"))
+    right = wide.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("wide").alias("y"))
+    with small_batches(pairs.sparkSession, SET_ROWS):
+        return stored(pairs.join(left, "a", "left").join(right, "b", "left").mapInPandas(near, "a long, b long"), "pairs")
+
+
 def _checked(pairs: DataFrame, held: DataFrame, rule: Rule) -> DataFrame:
     """The pairs with ``linked``: whether the sets themselves reach the threshold."""
 

@@ -349,3 +349,34 @@ def test_only_sets_whose_sketches_allow_a_link_are_made_in_full(spark, monkeypat
     found = shingle_join.classes(docs, shingle_join.Rule(words=5, lower=8, upper=10)).collect()
     assert {r["doc_id"]: r["component_id"] for r in found} == {n: 500 if n == 501 else n for n, _ in rows}
     assert sum(made) == 2
+
+
+def test_large_sets_that_share_keys_are_made_in_full_only_if_they_may_be_linked(spark, monkeypatch):
+    made = []
+    held = shingle_join._held
+
+    def counted(docs, sets, ids, rule):
+        made.append(ids.count())
+        return held(docs, sets, ids, rule)
+
+    monkeypatch.setattr(shingle_join, "_held", counted)
+    # Sets of about 2,000 that share 1,200: a sketch of 512 bits can not tell them apart.
+    common = " ".join(f"c{i}" for i in range(1_200))
+    rows = [(n, f"{common} " + " ".join(f"w{n}x{i}" for i in range(800))) for n in range(6)]
+    rows.append((6, rows[5][1] + " end"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = shingle_join.classes(docs, shingle_join.Rule(words=5, lower=8, upper=10)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == {n: min(n, 5) for n in range(7)}
+    assert sum(made) == 2
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(2)
+    for size, other in [(513, 513), (1_000, 1_100), (1_024, 1_025), (5_000, 4_000), (2_000, 600)]:
+        a = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: other // 2], rng.integers(0, 2**63, other - other // 2, dtype=np.uint64)]))
+        found = shingle_join.differing(shingle_join.wide_sketch(a), shingle_join.wide_sketch(b))
+        assert 0 < found <= len(np.setxor1d(a, b))
+        assert shingle_join.differing(shingle_join.wide_sketch(a), shingle_join.wide_sketch(a)) == 0
+        assert shingle_join.differing(shingle_join.wide_sketch(a), shingle_join.sketch(a)) == 0
+    assert shingle_join.wide_sketch(a[:512]) is None
