@@ -17,7 +17,7 @@ from narrowlake.operators.joins import new_files
 from narrowlake.plans.compact import FILE_BYTES, compact, visible
 from narrowlake.plans.lease import SECONDS, Lease
 from narrowlake.sinks.tables import append_merge_schema, create_or_append, open_files, rebalanced
-from narrowlake.sources.csv import MALFORMED, SOURCE_FILE, read_by_header, stamp_ingest
+from narrowlake.sources.csv import FILE_INGEST, MALFORMED, SOURCE_FILE, read_by_header, stamp_ingest
 from narrowlake.sources.files import valid_files
 
 LEDGER_SCHEMA = (
@@ -28,6 +28,8 @@ LEDGER_SCHEMA = (
 FILE_IDENTITY = ("path", "length", "modificationTime")
 LOAD_ID = "load_id"
 REASON = "reason"
+# Bytes of CSV that make a stored file large enough, and those of a file whose rows one task both reads and stores.
+WHOLE_BYTES, MOST_BYTES = 64 * 1024 * 1024, 256 * 1024 * 1024
 
 
 class EmptyLoad(ValueError):
@@ -61,7 +63,7 @@ def read_drop(
     rows, refused = read_by_header(files.sparkSession, files, roles, multiline=multiline, extra=extra)
     reason = F.when(F.col(MALFORMED).isNotNull(), "malformed").otherwise(_series_reason(roles, prefixes))
     rows = stamp_ingest(rows.withColumn(REASON, reason), roles, mode=ingest_mode, files=files)
-    return rows.drop(SOURCE_FILE), refused
+    return rows.drop(SOURCE_FILE, FILE_INGEST), refused
 
 
 def _series_reason(roles: Roles, prefixes: Sequence[str]) -> Column:
@@ -76,6 +78,23 @@ def refused_rows(rows: DataFrame) -> DataFrame:
     return rows.where(F.col(REASON).isNotNull())
 
 
+def stored_as_read(files: DataFrame, ingest_mode: str = "per_file") -> bool:
+    """Whether the tasks that read the files may store their rows without moving them.
+
+    A file's rows are of one ingest time.  Where an ingest time has few files for its size, or
+    one, moving rows would not store them in notably fewer files.  Files that are very large keep
+    one task busy with reading alone.
+    """
+    time = F.col("ingest_ts") if ingest_mode == "per_file" else F.lit(1)
+    of_time = files.groupBy(time).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.greatest(F.lit(1), F.ceil(F.sum("length") / WHOLE_BYTES)).alias("needed"),
+        F.max("length").alias("largest"),
+    )
+    n, needed, largest = of_time.agg(F.sum("n"), F.sum("needed"), F.max("largest")).first()
+    return n is not None and n <= 2 * needed and largest <= MOST_BYTES
+
+
 def ingest(
     spark: SparkSession,
     path: str,
@@ -115,12 +134,13 @@ def ingest(
         F.count_if(F.col(REASON).isNull()).alias("loaded_rows"),
     )
     taken = accepted(counted)
+    moved = not stored_as_read(files, ingest_mode)
     if extra and spark.catalog.tableExists(table):
-        append_merge_schema(taken, table)
+        append_merge_schema(taken, table, moved=moved)
         action = "appended"
     else:
         action = create_or_append(
-            taken, table, partition_by=(roles.series, roles.ingest), fmt=fmt, path=table_path
+            taken, table, moved=moved, partition_by=(roles.series, roles.ingest), fmt=fmt, path=table_path
         )
     read, loaded = seen.get["read_rows"], seen.get["loaded_rows"]
     if reject_table and loaded < read:
@@ -176,14 +196,22 @@ def read_rejects(spark: SparkSession, target: str, roles: Roles = COLLECTIONS) -
         return spark.createDataFrame([], schema)
 
 
-def write_load(rows: DataFrame, target: str, load_id: str, roles: Roles = COLLECTIONS) -> None:
-    """Write the rows of one load; writing the same load again replaces them."""
-    _replace_load(rows, target, load_id, (roles.series, roles.ingest, LOAD_ID))
+def write_load(
+    rows: DataFrame, target: str, load_id: str, roles: Roles = COLLECTIONS, *, moved: bool = True
+) -> None:
+    """Write the rows of one load; writing the same load again replaces them.
+
+    Rows that are not ``moved`` are written by the tasks that make them.
+    """
+    _replace_load(rows, target, load_id, (roles.series, roles.ingest, LOAD_ID), moved)
 
 
-def _replace_load(rows: DataFrame, target: str, load_id: str, partition_by: Sequence[str]) -> None:
+def _replace_load(
+    rows: DataFrame, target: str, load_id: str, partition_by: Sequence[str], moved: bool = True
+) -> None:
+    marked = rows.withColumn(LOAD_ID, F.lit(load_id))
     writer = (
-        rebalanced(rows.withColumn(LOAD_ID, F.lit(load_id)), partition_by)
+        (rebalanced(marked, partition_by) if moved else marked)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
@@ -215,7 +243,7 @@ def load_files(
             F.count(F.lit(1)).alias("read"),
             F.count_if(F.col(REASON).isNull()).alias("stored"),
         )
-        write_load(accepted(counted), target, load_id, roles)
+        write_load(accepted(counted), target, load_id, roles, moved=not stored_as_read(files))
         read, kept = seen.get["read"], seen.get["stored"]
     some = not refused.isEmpty()
     if kept < read or some:

@@ -80,9 +80,14 @@ def create_partitioned(
     fmt: str = "parquet",
     path: str | None = None,
     properties: Mapping[str, str] | None = None,
+    moved: bool = True,
 ) -> None:
-    """A new table with the rows, partitioned."""
-    writer = rebalanced(rows, partition_by).write.format(fmt).partitionBy(*partition_by)
+    """A new table with the rows, partitioned.
+
+    Rows that are not ``moved`` are written by the tasks that make them, for rows that come by
+    partition already.
+    """
+    writer = (rebalanced(rows, partition_by) if moved else rows).write.format(fmt).partitionBy(*partition_by)
     if path:
         writer = writer.option("path", path)
     with open_files(rows.sparkSession):
@@ -91,8 +96,8 @@ def create_partitioned(
         set_table_properties(rows.sparkSession, table, properties)
 
 
-def append_batch(rows: DataFrame, table: str) -> None:
-    """Add rows to a table, columns matched by name.
+def append_batch(rows: DataFrame, table: str, *, moved: bool = True) -> None:
+    """Add rows to a table, columns matched by name; ``moved`` as in ``create_partitioned``.
 
     File tables keep their partition columns last, so matching by position would
     put values into the wrong columns.
@@ -104,7 +109,7 @@ def append_batch(rows: DataFrame, table: str) -> None:
         raise ValueError(f"{table} has no column {sorted(missing)}; add it first")
     partition_by = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     view = f"narrowlake_batch_{uuid4().hex}"
-    rebalanced(rows, partition_by).createOrReplaceTempView(view)
+    (rebalanced(rows, partition_by) if moved else rows).createOrReplaceTempView(view)
     try:
         with open_files(spark):
             spark.sql(f"INSERT INTO {table_name(table)} BY NAME SELECT * FROM {view}")
@@ -112,12 +117,12 @@ def append_batch(rows: DataFrame, table: str) -> None:
         spark.catalog.dropTempView(view)
 
 
-def create_or_append(rows: DataFrame, table: str, **create: object) -> str:
+def create_or_append(rows: DataFrame, table: str, *, moved: bool = True, **create: object) -> str:
     """Create the table on its first load, add to it on later ones."""
     if rows.sparkSession.catalog.tableExists(table):
-        append_batch(rows, table)
+        append_batch(rows, table, moved=moved)
         return "appended"
-    create_partitioned(rows, table, **create)
+    create_partitioned(rows, table, moved=moved, **create)
     return "created"
 
 
@@ -189,7 +194,7 @@ def add_columns(spark: SparkSession, table: str, columns: Mapping[str, str]) ->
     spark.sql(f"ALTER TABLE {table_name(table)} ADD COLUMNS ({parts})")
 
 
-def append_merge_schema(rows: DataFrame, table: str) -> list[str]:
+def append_merge_schema(rows: DataFrame, table: str, *, moved: bool = True) -> list[str]:
     """Append rows that may bring new columns; returns the columns added."""
     spark = rows.sparkSession
     present = {c.lower() for c in spark.table(table).columns}
@@ -200,7 +205,7 @@ def append_merge_schema(rows: DataFrame, table: str) -> list[str]:
     }
     if new:
         add_columns(spark, table, new)
-    append_batch(rows, table)
+    append_batch(rows, table, moved=moved)
     return list(new)
 
 

@@ -24,6 +24,8 @@ STRICT_OPTIONS = {
 }
 
 SOURCE_FILE = "source_file"
+# The ingest time that a row's file has, where it was found once for the file.
+FILE_INGEST = "file_ingest"
 
 # The text of a line whose number of fields is not that of its file's header.
 MALFORMED = "malformed_line"
@@ -190,7 +192,7 @@ def read_by_header(
             .schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())]))
             .csv(folders)
         )
-        layout = there.select("_uri", SOURCE_FILE, "places", "others", "other_places")
+        layout = there.select("_uri", SOURCE_FILE, FILE_INGEST, "places", "others", "other_places")
         if span["bytes"] <= MOST_SENT:
             layout = F.broadcast(layout)
         rows = rows.select("*", F.col("_metadata.file_path").alias("_uri")).join(layout, "_uri")
@@ -209,10 +211,11 @@ def read_by_header(
                 ],
                 MALFORMED,
                 SOURCE_FILE,
+                FILE_INGEST,
             )
         )
     if not parts:
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED, SOURCE_FILE)])
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, MALFORMED, SOURCE_FILE, FILE_INGEST)])
         return spark.createDataFrame([], schema), refused
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), refused
 
@@ -230,6 +233,7 @@ def _there(spark: SparkSession, wanted: DataFrame, folders: Sequence[str]) -> Da
             uri.alias("_uri"),
             file_path(uri).alias(SOURCE_FILE),
         )
+        .withColumn(FILE_INGEST, ingest_ts(F.col(SOURCE_FILE)))
     )
     same = (_same_path(F.col("path")) == F.col("_file")) & (F.col("modificationTime") == F.col("_time"))
     found = wanted.join(listed, same, "left").persist()
@@ -265,7 +269,7 @@ def stamp_ingest(
     order instead.
     """
     if mode == "per_file":
-        stamp = ingest_ts(F.col(SOURCE_FILE))
+        stamp = F.col(FILE_INGEST) if FILE_INGEST in rows.columns else ingest_ts(F.col(SOURCE_FILE))
     elif mode == "first_file":
         if files is None:
             raise ValueError("first_file needs the files of the load")

@@ -509,3 +509,32 @@ def test_rows_of_files_of_one_layout_hold_no_other_columns_and_search_no_paths(s
     scan = next(line for line in plan.splitlines() if "FileScan csv" in line)
     assert "_1#" in scan and "_0#" not in scan and f"_{len(names) - 1}#" not in scan
     assert "regexp" not in plan.split("FileScan csv")[0].split("InMemory")[0]
+
+
+@pytest.mark.parametrize("per_time, moved", [(1, False), (40, True)])
+def test_rows_of_an_ingest_time_in_few_files_are_stored_by_the_tasks_that_read_them(
+    spark, tmp_path, tmp_path_factory, monkeypatch, per_time, moved
+):
+    for time in (100, 200):
+        for n in range(per_time):
+            put(tmp_path, f"ingest_ts={time}/{n:03d}.csv", "\n".join([HEADER, line(item=f"A{n}"), line(item="B")]) + "\n")
+    found = files.valid_files(spark, str(tmp_path))
+    seen = []
+    rebalanced = loads.rebalanced
+    monkeypatch.setattr(loads, "rebalanced", lambda rows, by: seen.append(by) or rebalanced(rows, by))
+    target = str(tmp_path_factory.mktemp("target") / "narrow")
+    assert loads.load_files(found, target, "one") == (4 * per_time, 4 * per_time)
+    assert bool(seen) == moved
+    stored = loads.read_loaded(spark, target)
+    got = sorted((r.ingest_timestamp, r.item_mdrm) for r in stored.collect())
+    assert got == sorted((t, i) for t in ("100", "200") for n in range(per_time) for i in (f"A{n}", "B"))
+    # One file for each series and ingest time, either way.
+    assert len(stored.inputFiles()) == 2
+
+
+def test_a_very_large_file_is_read_by_one_task_and_stored_by_many(spark):
+    sizes = [("a", "1", 300 * 2**20), ("b", "2", 10)]
+    frame = spark.createDataFrame(sizes, "path string, ingest_ts string, length long")
+    assert not loads.stored_as_read(frame)
+    assert loads.stored_as_read(frame.where("length = 10"))
+    assert not loads.stored_as_read(frame.where("length < 0"))
