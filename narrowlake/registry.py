@@ -956,9 +956,11 @@ def _changing_drop(spark, folder):
         "context_level3_mdrm", "context_level3_desc", "context_level3_value"
     )
     for part in (whole, turned, fewer):
-        part.write.mode("append").partitionBy("ingest_ts").options(
-            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-        ).csv(path)
+        writer = sink.rebalanced(part, ["ingest_ts"]).write.mode("append").partitionBy("ingest_ts")
+        with sink.open_files(spark):
+            writer.options(
+                header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+            ).csv(path)
     return path
 
 

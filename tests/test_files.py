@@ -538,3 +538,14 @@ def test_a_very_large_file_is_read_by_one_task_and_stored_by_many(spark):
     assert not loads.stored_as_read(frame)
     assert loads.stored_as_read(frame.where("length = 10"))
     assert not loads.stored_as_read(frame.where("length < 0"))
+
+
+def test_a_changing_drop_has_one_file_of_each_layout_for_an_ingest_time(spark, tmp_path):
+    from narrowlake import registry
+
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    lines.repartition(4).write.parquet(str(tmp_path / "lineitem.parquet"))
+    drop = pathlib.Path(registry._changing_drop(spark, str(tmp_path)).removeprefix("file:"))
+    folders = list(drop.glob("ingest_ts=*"))
+    assert len(folders) > 50
+    assert all(len(list(f.glob("*.csv"))) <= 2 for f in folders)
