@@ -7,10 +7,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as arrow
+from pyarrow import parquet
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from narrowlake.llm.common import ship_code, small_batches, stored, table, task_count
+from narrowlake.llm.common import (
+    file_system,
+    only_memory_of,
+    ship_code,
+    small_batches,
+    stored,
+    table,
+    task_count,
+)
 from narrowlake.llm.tokens import encoder, vocabulary
 
 LENGTH = 2_048
@@ -19,6 +29,8 @@ END_ID = 0
 CALL_PIECES = 8_192
 # Texts that a task hands to Python at a time.
 TEXT_ROWS = 2_000
+# Pieces with ids that a task hands back at a time.
+PIECE_ROWS = 500
 # Words that a worker remembers where packing is all it does.
 REMEMBERED = 300_000
 
@@ -65,26 +77,59 @@ def pack(cut: DataFrame, length: int = LENGTH) -> DataFrame:
     ids, and each call packs its own: a sequence is filled with the longest pieces that
     fit; then, as long as it gets fuller, its shortest piece is exchanged for the two
     waiting pieces that fill the room tightest.  Every piece is placed once, offsets have
-    no gaps.  No pieces give no rows.
+    no gaps.  No pieces give no rows.  Ids stay in the stored files: their pieces are packed
+    by length, and the places are brought to the files.
     """
     with small_batches(cut.sparkSession, TEXT_ROWS):
         rows = stored(cut, "pieces")
     rows = rows.withColumn("row", F.monotonically_increasing_id())
     calls = task_count(rows.count(), CALL_PIECES, 1)
-    names = cut.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema)
+    call = F.pmod(F.xxhash64("row"), F.lit(calls).cast("long")).alias("call")
+    if "ids" not in cut.columns:
+        return _placed(rows.select(*cut.columns, call), cut.columns, length)
+    at = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")]
+    return _beside(rows, _placed(rows.select(*at, "length", call), ["file", "at", "length"], length), cut.columns)
+
+
+def _placed(rows: DataFrame, names: list[str], length: int) -> DataFrame:
+    """These columns of the pieces of each call, with sequence_id and offset."""
+    schema = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
 
     def place(rows: pd.DataFrame) -> pd.DataFrame:
+        only_memory_of("packing")
         sequence, offset = best_two_fit(rows["length"].to_numpy(), length)
         call = int(rows["call"].iloc[0])
         return rows[names].assign(sequence_id=sequence + (call << 32), offset=offset)
 
-    call = F.pmod(F.xxhash64("row"), F.lit(calls).cast("long")).alias("call")
-    return (
-        rows.select(*names, call)
-        .groupBy("call")
-        .applyInPandas(place, schema + ", sequence_id long, offset long")
-    )
+    return rows.groupBy("call").applyInPandas(place, schema + ", sequence_id long, offset long")
+
+
+def _beside(rows: DataFrame, placed: DataFrame, names: list[str]) -> DataFrame:
+    """Stored pieces with their places; the places go to the files, so that no ids are shuffled.
+
+    One file is one unit of work: it holds the pieces of one task that cut documents.
+    """
+    schema = ", ".join(f"`{n}` {rows.schema[n].dataType.simpleString()}" for n in names)
+
+    def read(batches: Iterator[arrow.RecordBatch]) -> Iterator[arrow.RecordBatch]:
+        only_memory_of("packing")
+        for batch in batches:
+            for file, places in zip(batch["file"], batch["places"]):
+                order = np.argsort(places.values.field("at").to_numpy())
+                own = [places.values.field(n).to_numpy()[order] for n in ("sequence_id", "offset")]
+                store, path = file_system(file.as_py())
+                done = 0
+                with store.open_input_file(path) as source:
+                    stream = parquet.ParquetFile(source, buffer_size=1 << 20)
+                    for part in stream.iter_batches(PIECE_ROWS, columns=names):
+                        upto = done + len(part)
+                        beside = [arrow.array(x[done:upto]) for x in own]
+                        yield arrow.RecordBatch.from_arrays([*part.columns, *beside], [*names, "sequence_id", "offset"])
+                        done = upto
+
+    count = max(1, rows.select("_metadata.file_path").distinct().count())
+    files = placed.groupBy("file").agg(F.collect_list(F.struct("at", "sequence_id", "offset")).alias("places"))
+    return files.repartition(count).mapInArrow(read, schema + ", sequence_id long, offset long")
 
 
 def best_two_fit(lengths: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:

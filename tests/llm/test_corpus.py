@@ -95,6 +95,31 @@ def test_packing_nothing(no_docs):
     assert packing.pack(packing.pieces(no_docs, WORDS)).collect() == []
 
 
+def test_packing_brings_places_to_ids_that_stay_in_their_files(monkeypatch, docs, texts):
+    monkeypatch.setattr(packing, "CALL_PIECES", 50)
+    cut = packing.pieces(docs.repartition(5), WORDS, length=64, ids=True)
+    out = packing.pack(cut, length=64)
+    # Ids that a scan reads would be shuffled with the rest.
+    assert "ids:binary" not in out._jdf.queryExecution().executedPlan().toString()
+    assert out.columns == [*cut.columns, "sequence_id", "offset"]
+    rows, want = out.collect(), []
+    for i, ids in encoded(texts, WORDS, 0):
+        for n, at in enumerate(range(0, len(ids), 64)):
+            part = ids[at : at + 64].tobytes()
+            want.append((i, n, at, len(part) // 4, zlib.crc32(part), part))
+    assert sorted((tuple(r)[:5] + (bytes(r["ids"]),) for r in rows), key=repr) == sorted(want, key=repr)
+    bins = collections.defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in bins.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(parts)))
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 64
+
+
+def test_packing_no_ids(no_docs):
+    assert packing.pack(packing.pieces(no_docs, WORDS, ids=True)).collect() == []
+
+
 # ---------------------------------------------------------------- token files
 
 
