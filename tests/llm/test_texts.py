@@ -8,10 +8,12 @@ import re
 import time
 import zlib
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from narrowlake.llm import katz, licenses, secrets, spans, toxicity
+from narrowlake.llm import common, katz, licenses, secrets, spans, toxicity
 
 
 def by_row(frame):
@@ -428,6 +430,14 @@ def test_toxicity_holds_out_of_its_sample(labelled):
         assert 0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5)
 
 
+def test_fitting_drops_what_other_operators_remember(monkeypatch):
+    dropped = []
+    monkeypatch.setitem(common._MEMORIES, "other", [lambda: dropped.append(True)])
+    slots = np.array([1, 2], np.int32).tobytes()
+    toxicity._fit(pd.DataFrame({"id": [1, 2], "y": [0, 1], "slots": [slots, slots]}))
+    assert dropped
+
+
 def test_toxicity_of_odd_rows(docs, no_docs, labelled):
     _, labels = labelled
     assert toxicity.scores(no_docs, labels).collect() == []
