@@ -313,6 +313,32 @@ def load_new(
                 return count
 
 
+def load_once(
+    files: DataFrame,
+    target: str,
+    ledger: str,
+    load_id: str,
+    *,
+    roles: Roles = COLLECTIONS,
+    prefixes: Sequence[str] = SERIES_PREFIXES,
+    multiline: bool = True,
+    lease_seconds: float = SECONDS,
+) -> bool:
+    """Store sniffed files as one load and write it down in the ledger; returns whether it had to be done.
+
+    A load that the ledger has is finished and may have been packed since, so it is not written
+    again; one that died before that replaces its own rows.  Takes turns with packings by the lease.
+    """
+    spark = files.sparkSession
+    with Lease(spark, lease_path(ledger), lease_seconds) as lease:
+        if not read_ledger(spark, ledger).where(F.col(LOAD_ID) == load_id).isEmpty():
+            return False
+        read, _ = load_files(files, target, load_id, roles=roles, prefixes=prefixes, multiline=multiline)
+        lease.check()
+        _append_ledger(files, ledger, load_id, "loaded" if read else "empty")
+        return True
+
+
 def _next_load(
     spark: SparkSession, path: str, ledger: str, lease: Lease, route: str
 ) -> tuple[str | None, bool]:

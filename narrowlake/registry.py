@@ -15,7 +15,7 @@ from narrowlake.operators import aggregates as agg
 from narrowlake.operators import filters as flt
 from narrowlake.operators import joins, latest, pivots, quality, sets
 from narrowlake.operators import projections as prj
-from narrowlake.plans import compact, derived, publish, refresh
+from narrowlake.plans import derived, publish, refresh
 from narrowlake.plans import ingest as loads
 from narrowlake.session import work_dir
 from narrowlake.sinks import tables as sink
@@ -741,13 +741,15 @@ def load_long_headers(spark, folder):
 @query
 def compacted_loads(spark, folder):
     """The drop loaded in many batches, packed into larger files, loaded on and packed again."""
-    target, checkpoint = work_dir(spark, "streamed"), work_dir(spark, "checkpoint")
-    rows = streams.read_drop_stream(spark, _drop(spark, folder), max_files_per_trigger=60)
-    streams.ingest_stream(rows, target, checkpoint).awaitTermination()
-    ids = spark.read.schema(loads.narrow_schema()).parquet(target).select(loads.LOAD_ID).distinct()
-    done = sorted(r[0] for r in ids.collect())
-    for some in (done[: len(done) // 2 + 1], done):
-        compact.compact(spark, target, some, schema=loads.narrow_schema())
+    path, target = work_dir(spark, "arriving"), work_dir(spark, "streamed")
+    checkpoint, ledger = work_dir(spark, "checkpoint"), work_dir(spark, "ledger")
+    rows = trade.raw_collections(spark, folder)
+    late = F.coalesce(F.col("rssdid") % 2 == 0, F.lit(False))
+    for arrived in (rows.where(~late), rows.where(late)):
+        sink.write_csv_drop(arrived, path)
+        found = streams.read_drop_stream(spark, path, max_files_per_trigger=60)
+        streams.ingest_stream(found, target, checkpoint, ledger=ledger).awaitTermination()
+        loads.compact_loads(spark, target, ledger)
     return loads.read_loaded(spark, target)
 
 

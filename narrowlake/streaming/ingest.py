@@ -5,6 +5,7 @@ a batch run: sniffed, read by header, refused lines kept.  ``availableNow`` read
 what has arrived since the last run and stops, so the same query serves an
 arrival trigger, a daily schedule and a backlog.  A target belongs to the query that
 first wrote to it; another query, or the same one with a lost checkpoint, is refused.
+With a ledger, finished batches stand in it, so that they can be packed between runs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from narrowlake.model import COLLECTIONS, SERIES_PREFIXES, Roles
 from narrowlake.plans.compact import visible
-from narrowlake.plans.ingest import LOAD_ID, load_files, narrow_schema, read_loaded
+from narrowlake.plans.ingest import LOAD_ID, load_files, load_once, narrow_schema, read_loaded
 from narrowlake.plans.refresh import refresh_filings, refresh_series, touched_series
 from narrowlake.sources.files import CSV_GLOB, sniffed, with_heads
 
@@ -70,6 +71,7 @@ def _start(
     prefixes: Sequence[str],
     multiline: bool,
     then: Callable[[SparkSession, str], None],
+    ledger: str | None = None,
 ) -> StreamingQuery:
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -81,7 +83,11 @@ def _start(
             if valid.isEmpty():
                 return
             load_id = f"{query}-{batch_id:012d}"
-            load_files(valid, target, load_id, roles=roles, prefixes=prefixes, multiline=multiline)
+            how = {"roles": roles, "prefixes": prefixes, "multiline": multiline}
+            if ledger is None:
+                load_files(valid, target, load_id, **how)
+            else:
+                load_once(valid, target, ledger, load_id, **how)
         finally:
             valid.unpersist()
         then(spark, load_id)
@@ -102,9 +108,14 @@ def ingest_stream(
     *,
     prefixes: Sequence[str] = SERIES_PREFIXES,
     multiline: bool = True,
+    ledger: str | None = None,
 ) -> StreamingQuery:
-    """Store the accepted rows of new files once each; a batch run again replaces its own rows."""
-    return _start(files, target, checkpoint, roles, prefixes, multiline, lambda spark, load_id: None)
+    """Store the accepted rows of new files once each; a batch run again replaces its own rows.
+
+    A ledger takes down the batches whose rows are stored.  ``compact_loads`` packs these,
+    between batches or between runs: both hold the lease of the ledger.
+    """
+    return _start(files, target, checkpoint, roles, prefixes, multiline, lambda spark, load_id: None, ledger)
 
 
 def read_stream_table(spark: SparkSession, target: str, roles: Roles = COLLECTIONS) -> DataFrame:

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from narrowlake import registry
 from narrowlake.functions.files import ingest_ts, looks_like_csv
 from narrowlake.model import COLLECTIONS, KV
 from narrowlake.operators import filters as flt
@@ -549,3 +550,58 @@ def test_a_changing_drop_has_one_file_of_each_layout_for_an_ingest_time(spark, t
     folders = list(drop.glob("ingest_ts=*"))
     assert len(folders) > 50
     assert all(len(list(f.glob("*.csv"))) <= 2 for f in folders)
+
+
+def test_a_stream_is_packed_between_its_runs(spark, tmp_path):
+    target, checkpoint, ledger = (str(tmp_path / name) for name in ("data", "checkpoint", "ledger"))
+    packed = []
+    for first in (100, 200):
+        for time_ in range(first, first + 3):
+            put(tmp_path / "in", f"ingest_ts={time_}/a.csv", "\n".join([HEADER, line(), line(item=f"B{time_}")]) + "\n")
+        rows = streams.read_drop_stream(spark, str(tmp_path / "in"), max_files_per_trigger=1)
+        streams.ingest_stream(rows, target, checkpoint, ledger=ledger).awaitTermination()
+        with lease.Lease(spark, loads.lease_path(ledger)), pytest.raises(lease.LeaseHeld):
+            loads.compact_loads(spark, target, ledger)
+        packed.append(loads.compact_loads(spark, target, ledger))
+    # The second packing takes the batches loaded since, and what the first one packed.
+    assert [len(p) for p in packed] == [3, 4]
+    assert sum(p.startswith("packed-") for p in packed[1]) == 1
+    read = loads.read_loaded(spark, target)
+    assert sorted((r.item_mdrm, r.ingest_timestamp) for r in read.collect()) == sorted(
+        (item, str(t)) for t in (100, 101, 102, 200, 201, 202) for item in ("A1", f"B{t}")
+    )
+
+
+def test_a_batch_run_again_after_it_was_packed_is_not_stored_twice(spark, tmp_path):
+    target, ledger = str(tmp_path / "data"), str(tmp_path / "ledger")
+    for time_ in (100, 200):
+        put(tmp_path, f"in/ingest_ts={time_}/a.csv", "\n".join([HEADER, line()]) + "\n")
+    batches = {f"batch-{t}": files.valid_files(spark, str(tmp_path / f"in/ingest_ts={t}")) for t in (100, 200)}
+    for load_id, found in batches.items():
+        assert loads.load_once(found, target, ledger, load_id)
+    assert loads.compact_loads(spark, target, ledger) == list(batches)
+    loads.compact_loads(spark, target, ledger)
+    assert not loads.load_once(batches["batch-100"], target, ledger, "batch-100")
+    assert loads.read_loaded(spark, target).count() == 2
+
+
+def test_compacted_loads_loads_on_between_its_packings(spark, tmp_path, monkeypatch):
+    months = [f"{1995 + n // 12}-{n % 12 + 1:02d}-01" for n in range(62)]
+    rows = [(1, 1, supplier, 1, 7.0, 0.0, 0.0, "A", "O", month) for month in months for supplier in (1, 2)]
+    names = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_discount l_tax l_returnflag l_linestatus l_shipdate"
+    lines = spark.createDataFrame(rows, names.split()).withColumn("l_shipdate", F.to_timestamp("l_shipdate"))
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    steps, stream, pack = [], streams.ingest_stream, loads.compact_loads
+
+    def streamed(*args, **options):
+        steps.append("loaded")
+        return stream(*args, **options)
+
+    def packing(*args, **options):
+        steps.append(len(pack(*args, **options)))
+
+    monkeypatch.setattr(streams, "ingest_stream", streamed)
+    monkeypatch.setattr(loads, "compact_loads", packing)
+    found = registry.QUERIES["compacted_loads"](spark, str(tmp_path))
+    assert found.count() == len(rows)
+    assert steps == ["loaded", 2, "loaded", 3]
