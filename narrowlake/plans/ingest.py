@@ -280,6 +280,7 @@ def load_new(
     multiline: bool = True,
     route: str = "auto",
     lease_seconds: float = SECONDS,
+    gzip: bool = False,
 ) -> int:
     """Load the files that no earlier run has loaded; returns how many.
 
@@ -288,7 +289,8 @@ def load_new(
     its own load id, whose rows are replaced: no file is lost or loaded twice.
     A file that is written again under its name is a new file; its rows join
     the earlier ones, and reads of the latest state choose between them.
-    Files that hold no line at all are written down as empty and raise.
+    Files that hold no line at all are written down as empty and raise.  ``gzip`` loads
+    ``.csv.gz`` files too.
 
     A run holds the lease of its ledger, so a second one is refused with LeaseHeld;
     the lease of a run that died ends ``lease_seconds`` after its last sign of life.
@@ -296,7 +298,7 @@ def load_new(
     with Lease(spark, lease_path(ledger), lease_seconds) as lease:
         count = 0
         while True:
-            load_id, unfinished = _next_load(spark, path, ledger, lease, route)
+            load_id, unfinished = _next_load(spark, path, ledger, lease, route, gzip)
             if load_id is None:
                 return count
             files = read_ledger(spark, ledger).where(
@@ -340,7 +342,7 @@ def load_once(
 
 
 def _next_load(
-    spark: SparkSession, path: str, ledger: str, lease: Lease, route: str
+    spark: SparkSession, path: str, ledger: str, lease: Lease, route: str, gzip: bool
 ) -> tuple[str | None, bool]:
     """The load to be done and whether a run left it unfinished; new files are taken for it."""
     known = read_ledger(spark, ledger)
@@ -350,7 +352,7 @@ def _next_load(
         return left, True
     load_id = uuid.uuid4().hex
     taken = new_files(
-        valid_files(spark, path, route), known.where(F.col("state") == "taken"), FILE_IDENTITY
+        valid_files(spark, path, route, gzip), known.where(F.col("state") == "taken"), FILE_IDENTITY
     ).persist()
     try:
         if taken.isEmpty():

@@ -726,15 +726,18 @@ def new_files(spark, folder):
 
 @query
 def load_long_headers(spark, folder):
-    """A drop whose headers are several kilobytes long and hold a line break in quotes."""
+    """A drop, packed by gzip, whose headers are several kilobytes long and hold a line break in quotes."""
     path, target, ledger = work_dir(spark, "long"), work_dir(spark, "narrow"), work_dir(spark, "ledger")
     rows = trade.raw_collections(spark, folder).select(*COLLECTIONS.columns, F.col("ingest_timestamp").alias("ingest_ts"))
     others = {f"column {n}, with a\nname of some length": F.lit(str(n)) for n in range(120)}
-    wide = rows.select(*[v.alias(n) for n, v in others.items()], *rows.columns)
-    wide.write.partitionBy("ingest_ts").options(
-        header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
-    ).csv(path)
-    loads.load_new(spark, path, target, ledger)
+    # The rows move before they are wide.
+    moved = sink.rebalanced(rows, ["ingest_ts"])
+    wide = moved.select(*[v.alias(n) for n, v in others.items()], *rows.columns)
+    with sink.open_files(spark):
+        wide.write.partitionBy("ingest_ts").options(
+            header=True, quote='"', escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path, compression="gzip")
+    loads.load_new(spark, path, target, ledger, gzip=True)
     return loads.read_loaded(spark, target)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from narrowlake.functions.files import file_path, ingest_ts
 from narrowlake.model import COLLECTIONS, Roles
-from narrowlake.sources.files import CSV_GLOB
+from narrowlake.sources.files import CSV_GLOB, csv_glob
 
 # Reader options of the loader.
 STRICT_OPTIONS = {
@@ -173,6 +173,7 @@ def read_by_header(
         F.date_format(F.max("modificationTime") + F.expr("INTERVAL 2 SECOND"), "yyyy-MM-dd'T'HH:mm:ss").alias("before"),
         F.min("places").alias("places"),
         (F.min("places") == F.max("places")).alias("alike"),
+        F.bool_or(F.lower("path").endswith(".gz")).alias("gzip"),
     )
     others: dict[str, str] = {}
     if extra:
@@ -183,11 +184,11 @@ def read_by_header(
         of_width = good.where(F.col("width") == span["width"])
         fields = [T.StructField(f"_{n}", T.StringType()) for n in range(span["width"])]
         folders = _folders(of_width)
-        there = _there(spark, of_width, folders)
+        there = _there(spark, of_width, folders, span["gzip"])
         rows = (
             spark.read.options(**strict_options(multiline))
             .options(mode="PERMISSIVE", columnNameOfCorruptRecord=MALFORMED)
-            .options(recursiveFileLookup=True, pathGlobFilter=CSV_GLOB)
+            .options(recursiveFileLookup=True, pathGlobFilter=csv_glob(span["gzip"]))
             .options(modifiedAfter=span["after"], modifiedBefore=span["before"])
             .schema(T.StructType([*fields, T.StructField(MALFORMED, T.StringType())]))
             .csv(folders)
@@ -220,12 +221,12 @@ def read_by_header(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts), refused
 
 
-def _there(spark: SparkSession, wanted: DataFrame, folders: Sequence[str]) -> DataFrame:
+def _there(spark: SparkSession, wanted: DataFrame, folders: Sequence[str], gzip: bool) -> DataFrame:
     """The wanted files with their names as rows have them; raises if a listing does not show one as it was sniffed."""
     uri = F.col("_metadata.file_path")
     listed = (
         spark.read.format("binaryFile")
-        .options(recursiveFileLookup=True, pathGlobFilter=CSV_GLOB)
+        .options(recursiveFileLookup=True, pathGlobFilter=csv_glob(gzip))
         .load(folders)
         .select(
             _same_path(F.col("path")).alias("_file"),

@@ -16,8 +16,9 @@ from narrowlake.functions.files import (
     sample_md5,
 )
 
-# Glob for .csv in any case.
+# Globs for .csv in any case, and for the same with files packed by gzip.
 CSV_GLOB = "*.[cC][sS][vV]"
+GZIP_TOO_GLOB = CSV_GLOB + "{,.[gG][zZ]}"
 
 # Schemes that tasks can open for a ranged read, and the name pyarrow has for them.
 RANGED_SCHEMES = {
@@ -32,15 +33,20 @@ RANGED_SCHEMES = {
 }
 
 
-def file_manifest(spark: SparkSession, path: str) -> DataFrame:
+def csv_glob(gzip: bool) -> str:
+    return GZIP_TOO_GLOB if gzip else CSV_GLOB
+
+
+def file_manifest(spark: SparkSession, path: str, gzip: bool = False) -> DataFrame:
     """Non-empty CSV files below ``path``: path, length, modification time.
 
-    Only the listing is read; Spark lists large trees with a job of its own.
+    Only the listing is read; Spark lists large trees with a job of its own.  ``gzip`` takes
+    ``.csv.gz`` files too; their length is the packed one.
     """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", CSV_GLOB)
+        .option("pathGlobFilter", csv_glob(gzip))
         .load(path)
         .select("path", "length", "modificationTime")
         .where(F.col("length") > 0)
@@ -103,7 +109,9 @@ def _head_reader(sample: int = SAMPLE_BYTES, most: int = HEADER_BYTES):
                         if scheme == "file"
                         else fs.FileSystem.from_uri(f"{scheme}://{place}/")[0]
                     )
-                with opened[scheme, place].open_input_file(name) as handle:
+                own = opened[scheme, place]
+                packed = path.lower().endswith(".gz")
+                with own.open_input_stream(name, "gzip") if packed else own.open_input_file(name) as handle:
                     data, asked = handle.read(sample), sample
                     heads.append(data)
                     # Only files whose header does not end yet are read on.
@@ -120,14 +128,36 @@ def _head_reader(sample: int = SAMPLE_BYTES, most: int = HEADER_BYTES):
     return read_heads
 
 
+def _unpacker(most: int = HEADER_BYTES):
+    """Function from the first bytes of a gzip file to its first text, and whether that is all of it."""
+    import zlib
+
+    def unpacked(data: bytes, whole: bool) -> tuple[bytes, bool]:
+        text = b""
+        while data and len(text) < most:
+            part = zlib.decompressobj(31)
+            text += part.decompress(data, most - len(text))
+            if not part.eof:
+                return text, False
+            data = part.unused_data.lstrip(b"\0")
+        return text, whole and not data
+
+    return unpacked
+
+
 def _content_reader(sample: int = SAMPLE_BYTES):
     """The same for contents that Spark has read."""
-    header = _header_finder()
+    header, unpacked = _header_finder(), _unpacker()
 
     def cut_heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = batch.column("content").to_pylist()
             sizes = batch.column("length").to_pylist()
+            for n, path in enumerate(batch.column("path").to_pylist()):
+                if path.lower().endswith(".gz"):
+                    # Longer than its bytes unless it ends within them, as the length of a plain file is.
+                    data[n], ended = unpacked(data[n], len(data[n]) == sizes[n])
+                    sizes[n] = len(data[n]) + (not ended)
             columns = [batch.column(n) for n in ("path", "length", "modificationTime")]
             heads = pa.array([d[:sample] for d in data], pa.binary())
             headers = pa.array([header(d, len(d) == n) for d, n in zip(data, sizes)], pa.string())
@@ -141,7 +171,7 @@ def _content_reader(sample: int = SAMPLE_BYTES):
 HEAD_SCHEMA = "path string, length bigint, modificationTime timestamp, head binary, header string"
 
 
-def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
+def file_heads(spark: SparkSession, path: str, route: str = "auto", gzip: bool = False) -> DataFrame:
     """The manifest with the first bytes and the header of every file.
 
     ``ranged`` reads nothing but those bytes, and on to the end of a longer header, in the
@@ -151,13 +181,13 @@ def file_heads(spark: SparkSession, path: str, route: str = "auto") -> DataFrame
     if route == "auto":
         route = "ranged" if urlsplit(path).scheme in RANGED_SCHEMES else "whole"
     if route == "ranged":
-        return with_heads(file_manifest(spark, path))
+        return with_heads(file_manifest(spark, path, gzip))
     if route != "whole":
         raise ValueError(f"unknown route {route!r}")
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", CSV_GLOB)
+        .option("pathGlobFilter", csv_glob(gzip))
         .load(path)
         .where(F.col("length") > 0)
         .select("path", "length", "modificationTime", F.substring("content", 1, HEADER_BYTES).alias("content"))
@@ -170,9 +200,9 @@ def with_heads(manifest: DataFrame) -> DataFrame:
     return manifest.select("path", "length", "modificationTime").mapInArrow(_head_reader(), HEAD_SCHEMA)
 
 
-def csv_sniff(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
+def csv_sniff(spark: SparkSession, path: str, route: str = "auto", gzip: bool = False) -> DataFrame:
     """Every file of a drop, its ingest time, fingerprint, header and verdict."""
-    return sniffed(file_heads(spark, path, route))
+    return sniffed(file_heads(spark, path, route, gzip))
 
 
 def sniffed(heads: DataFrame) -> DataFrame:
@@ -187,5 +217,5 @@ def sniffed(heads: DataFrame) -> DataFrame:
     )
 
 
-def valid_files(spark: SparkSession, path: str, route: str = "auto") -> DataFrame:
-    return csv_sniff(spark, path, route).where("is_csv").drop("is_csv")
+def valid_files(spark: SparkSession, path: str, route: str = "auto", gzip: bool = False) -> DataFrame:
+    return csv_sniff(spark, path, route, gzip).where("is_csv").drop("is_csv")

@@ -1,5 +1,6 @@
 """Listing, sniffing, reading, loading."""
 
+import gzip
 import os
 import pathlib
 import time
@@ -605,3 +606,47 @@ def test_compacted_loads_loads_on_between_its_packings(spark, tmp_path, monkeypa
     found = registry.QUERIES["compacted_loads"](spark, str(tmp_path))
     assert found.count() == len(rows)
     assert steps == ["loaded", 2, "loaded", 3]
+
+
+@pytest.mark.parametrize("route", ["ranged", "whole"])
+def test_packed_files_load_as_plain_ones_where_asked_for(spark, tmp_path, route):
+    wide = HEADER + "".join(f',"column {n}, with a\nname of some length"' for n in range(120))
+    text = "\n".join([wide, line() + "," * 120, line(item="A2") + "," * 119]) + "\n"
+    put(tmp_path, "in/ingest_ts=100/a.csv.gz", gzip.compress(text[:3000].encode()) + gzip.compress(text[3000:].encode()))
+    put(tmp_path, "in/ingest_ts=200/b.csv", text)
+    put(tmp_path, "in/ingest_ts=200/note.gz", gzip.compress(text.encode()))
+    for asked, times in ((True, ["100", "200"]), (False, ["200"])):
+        target = str(tmp_path / f"data-{asked}")
+        args = (spark, str(tmp_path / "in"), target, str(tmp_path / f"ledger-{asked}"))
+        assert loads.load_new(*args, route=route, gzip=asked) == len(times)
+        assert loads.load_new(*args, route=route, gzip=asked) == 0
+        stored = sorted((r.item_mdrm, r.ingest_timestamp) for r in loads.read_loaded(spark, target).collect())
+        assert stored == [("A1", t) for t in times]
+        refused = loads.read_rejects(spark, target).collect()
+        assert sorted((r.reason, r.ingest_timestamp) for r in refused) == [("malformed", t) for t in times]
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2\n", '"a\nb",c'])
+def test_first_text_of_packed_bytes(text):
+    unpacked = files._unpacker(most=1024)
+    whole = gzip.compress(text.encode())
+    assert unpacked(whole, True) == (text.encode(), True)
+    assert unpacked(whole + gzip.compress(b"more"), True) == (text.encode() + b"more", True)
+    assert unpacked(whole[:-10], False)[1] is False
+    assert unpacked(gzip.compress(b"x" * 5000), True) == (b"x" * 1024, False)
+
+
+def test_the_drop_of_long_headers_is_packed_and_has_one_file_for_an_ingest_time(spark, tmp_path, monkeypatch):
+    rows = [(n, n, n % 5, 1, 7.0, 0.0, 0.0, "A", "O", f"1995-0{n % 3 + 1}-01") for n in range(900)]
+    names = "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_discount l_tax l_returnflag l_linestatus l_shipdate"
+    lines = spark.createDataFrame(rows, names.split()).withColumn("l_shipdate", F.to_timestamp("l_shipdate"))
+    lines.repartition(4).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(registry, "work_dir", lambda spark, label: str(tmp_path / label))
+    assert registry.QUERIES["load_long_headers"](spark, str(tmp_path)).count() == 900
+    found = [p for p in (tmp_path / "long").rglob("*") if p.is_file() and p.name.startswith("part-")]
+    assert len(found) == 3 and all(p.name.endswith(".csv.gz") for p in found)
+    texts = [gzip.decompress(p.read_bytes()).decode() for p in found]
+    values = ",".join(map(str, range(120)))
+    assert all(t.startswith('"column 0, with a\nname of some length","column 1,') for t in texts)
+    assert sum(t.count(f"\n{values},FRY9C,") for t in texts) == 900
+    assert sum(p.stat().st_size for p in found) * 5 < sum(map(len, texts))
