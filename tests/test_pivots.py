@@ -228,3 +228,18 @@ def test_wide_block_form_gathers_one_list_per_filing(spark):
     assert numbers.where("k = 'k1'").select("C000", "C150", "C299").first() == (1, None, 1)
     # However wide, a filing's cells are gathered once, not once for each block of columns.
     assert wide._jdf.queryExecution().optimizedPlan().toString().count("collect_list(") == 1
+
+
+def test_blocks_of_columns_that_a_filing_has_no_cell_of_are_one_null(spark):
+    edge = pivots.BLOCK_COLUMNS
+    slots = {"k1": [0], "k2": [edge - 1, edge], "k3": [3 * edge - 1], "k4": [1, 3 * edge, 3 * edge + 1], "k5": []}
+    rows = [(k, f"C{n:03}", f"{k}-{n}") for k, some in slots.items() for n in some] + [("k5", "other", "x"), (None, "C064", "n")]
+    frame = spark.createDataFrame(rows, "k string, code string, v string")
+    codes = [f"C{n:03}" for n in range(3 * edge + 2)]
+    wide, narrow = (
+        pivots.pivot(frame, F.col("v"), codes, keys=["k"], item="code", form=form) for form in ("block", "case")
+    )
+    assert wide.schema == narrow.schema
+    assert sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect()))
+    # No array is made with a place for each column.
+    assert "AS _blocks#" in wide._jdf.queryExecution().optimizedPlan().toString()
